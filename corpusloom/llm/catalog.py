@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusloom.llm import media
+from corpusloom.llm import media, urls, warc
+
+#: The rules of op5, as its contract fixes them: host, path, verdict.
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,6 +24,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived as a WARC record and read back."""
+    read = warc.read_archive(spark, warc.write_archive(table(spark, sf_dir, "pages")))
+    return read.select(
+        F.col("id").alias("page_id"),
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+OP4_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT payload_digest, min(page_id) AS first_id FROM p GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN r THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN r THEN first_id END AS refers_to
+FROM (SELECT p.*, first_id, coalesce(payload_bytes >= 100 AND first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id, false) AS r
+      FROM p JOIN f USING (payload_digest))
+"""
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the fixed rules."""
+    return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
+
+
+OP5_SQL = """
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest FROM pages
+), s AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path
+  FROM u
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+FROM (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+  END AS rule FROM s)
+"""
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as a PNG in a binary column, read back, with its digests and cosine hash."""
     described = media.text_media(table(spark, sf_dir, "documents"))
@@ -22,9 +81,9 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op9_media_columns,)}
+    return {f.__name__: f for f in (op4_warc, op5_url_filters, op9_media_columns)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {}
+    return {"op4_warc": OP4_SQL, "op5_url_filters": OP5_SQL}
