@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import media, urls, warc
+from corpusloom.llm import lengths, media, pieces, urls, warc
+
+#: Public vocabularies, at the same path on every machine.
+PIECES_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 #: The rules of op5, as its contract fixes them: host, path, verdict.
 URL_RULES = (
@@ -24,6 +28,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded, and its ids decoded again: ids, their number, and size and digest of the decoded text."""
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECES_PATH)
+    return pieces.decode(encoded, PIECES_PATH).select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        F.char_length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"),
+    )
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived as a WARC record and read back."""
     read = warc.read_archive(spark, warc.write_archive(table(spark, sf_dir, "pages")))
@@ -73,6 +89,11 @@ FROM (
 """
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals, shares and truncated totals of all texts for every context limit."""
+    return lengths.limits(lengths.length_histogram(table(spark, sf_dir, "documents"), RANKS_PATH))
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as a PNG in a binary column, read back, with its digests and cosine hash."""
     described = media.text_media(table(spark, sf_dir, "documents"))
@@ -81,7 +102,7 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op4_warc, op5_url_filters, op9_media_columns)}
+    return {f.__name__: f for f in (op3_sentencepiece, op4_warc, op5_url_filters, op8_token_counts, op9_media_columns)}
 
 
 def oracle_sql() -> dict[str, str]:
