@@ -291,7 +291,7 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFra
     bounded(encoded.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     at = encoded.columns.index(ids_col)
-    types = [to_arrow_type(f.dataType) for f in encoded.schema]
+    types, names = [to_arrow_type(f.dataType) for f in encoded.schema], [*encoded.columns, "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(model_path)
@@ -303,6 +303,6 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFra
                 ids = np.asarray(part.column(at).flatten().fill_null(known.unknown), np.int64)
                 texts = decode_ids(known, ids, np.concatenate([[0], np.cumsum(sizes[a:b])]))
                 columns = [c if c.type == t else c.cast(t) for c, t in zip(part.columns, types, strict=True)]
-                yield pa.record_batch([*columns, pa.array(texts, pa.string())], names=[*encoded.columns, "text"])
+                yield pa.record_batch([*columns, pa.array(texts, pa.string())], names=names)
 
     return encoded.mapInArrow(run, f"{schema}, text string")
