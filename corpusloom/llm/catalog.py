@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import lengths, media, pieces, urls, warc
+from corpusloom.llm import lengths, media, mixing, pieces, urls, warc
 
 #: Public vocabularies, at the same path on every machine.
 PIECES_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -28,6 +28,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its source's target and the words that the mix takes of it."""
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
+    return plan.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        mixing.taken_words().alias("taken"),
+        "source",
+        F.array_sort(F.array_distinct("pieces.shard")).alias("shards"),
+    )
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded, and its ids decoded again: ids, their number, and size and digest of the decoded text."""
     encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECES_PATH)
@@ -102,7 +116,7 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op3_sentencepiece, op4_warc, op5_url_filters, op8_token_counts, op9_media_columns)}
+    return {f.__name__: f for f in (op1_mixing, op3_sentencepiece, op4_warc, op5_url_filters, op8_token_counts, op9_media_columns)}
 
 
 def oracle_sql() -> dict[str, str]:
