@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import lengths, media, mixing, pieces, urls, warc
+from corpusloom.llm import lengths, media, mixing, pieces, topk, urls, warc
 
 #: Public vocabularies, at the same path on every machine.
 PIECES_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -103,6 +103,23 @@ FROM (
 """
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every twentieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, shares and truncated totals of all texts for every context limit."""
     return lengths.limits(lengths.length_histogram(table(spark, sf_dir, "documents"), RANKS_PATH))
@@ -116,9 +133,9 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op1_mixing, op3_sentencepiece, op4_warc, op5_url_filters, op8_token_counts, op9_media_columns)}
+    return {f.__name__: f for f in (op1_mixing, op3_sentencepiece, op4_warc, op5_url_filters, op7_topk, op8_token_counts, op9_media_columns)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {"op4_warc": OP4_SQL, "op5_url_filters": OP5_SQL}
+    return {"op4_warc": OP4_SQL, "op5_url_filters": OP5_SQL, "op7_topk": OP7_SQL}
