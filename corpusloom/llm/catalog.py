@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import lengths, media, mixing, pieces, topk, urls, warc
+from corpusloom.llm import lengths, media, mixing, pieces, topk, toxicity, urls, warc
 
 #: Public vocabularies, at the same path on every machine.
 PIECES_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -103,6 +103,19 @@ FROM (
 """
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, by a model fitted on a sample of the labelled ones, and whether it counts
+    as toxic (any grade over 0 is likelier than not)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.col("_severity").alias("severity"),
+        F.col("_toxic").alias("p_toxic"),
+        (F.col("_toxic") >= 0.5).cast("int").alias("toxic"),
+    )
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best rows for every twentieth vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
@@ -133,7 +146,7 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op1_mixing, op3_sentencepiece, op4_warc, op5_url_filters, op7_topk, op8_token_counts, op9_media_columns)}
+    return {f.__name__: f for f in (op1_mixing, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns)}
 
 
 def oracle_sql() -> dict[str, str]:
