@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import lengths, media, mixing, pieces, topk, toxicity, urls, warc
+from corpusloom.llm import lengths, media, mixing, pieces, style_tree, topk, toxicity, urls, warc
 
 #: Public vocabularies, at the same path on every machine.
 PIECES_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -144,9 +144,15 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described.select(*media.columns(described))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    found = style_tree.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op1_mixing, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns)}
+    return {f.__name__: f for f in (op1_mixing, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
