@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import lengths, media, mixing, pieces, style_tree, topk, toxicity, urls, warc
+from corpusloom.llm import jaccard, lengths, media, mixing, pieces, style_tree, topk, toxicity, urls, warc
 
 #: Public vocabularies, at the same path on every machine.
 PIECES_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -42,6 +42,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near duplicates and its number of links."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "class_docs", "n_links")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded, and its ids decoded again: ids, their number, and size and digest of the decoded text."""
     encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECES_PATH)
@@ -152,7 +157,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op1_mixing, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction)}
+    return {f.__name__: f for f in (op1_mixing, op2_ngram_jaccard, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
