@@ -38,8 +38,8 @@ from corpusloom.session import written
 
 #: Words of a shingle, similarity of a link, trees, values of a signature, and recall at the similarity.
 WORDS, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 8, 0.99999
-#: Sets and shingles of a block, columns of an incidence product, words that a worker remembers.
-BLOCK_SETS, BLOCK_SHINGLES, COLUMNS, WORDS_KEPT = 256, 1 << 20, 4096, 500_000
+#: Sets and shingles of a block, columns of an incidence product, words that a task remembers.
+BLOCK_SETS, BLOCK_SHINGLES, COLUMNS, WORDS_KEPT = 256, 1 << 20, 4096, 200_000
 
 _U64 = np.uint64
 _K = (_U64(0x9E3779B97F4A7C15), _U64(0xC2B2AE3D27D4EB4F), _U64(0x165667B19E3779F9))
@@ -103,6 +103,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     yield i, key, xxhash.xxh128_digest(h.tobytes()), len(h), signature(h).tobytes()
 
         yield from emit(rows(), schema, lambda r: 500)
+        _known.clear()
 
     return plain.mapInArrow(run, f"id {kind.simpleString()}, key bigint, set binary, n bigint, sig binary")
 
@@ -262,6 +263,7 @@ def verified(docs: DataFrame, sets: DataFrame, members: DataFrame, id_col: str,
                         yield root, name, docs, blocks, data
 
         yield from emit(rows(), schema, lambda r: len(r[4]))
+        _known.clear()
 
     dealt = _deal(fetched.mapInArrow(cut, "root binary, set binary, docs bigint, blocks bigint, shingles binary"), "blocks")
     ready = dealt.select("root", "a", "b", "set", "block", "docs", "blocks", "shingles").repartition("root", "a", "b").sortWithinPartitions("root", "a", "b", "set")

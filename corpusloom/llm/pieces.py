@@ -36,8 +36,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from corpusloom.llm.batches import bounded
 
 MARK = "▁"
-#: Words kept with their ids in a worker, pairs of pieces kept with their test, characters encoded at once.
-WORDS_KEPT, PAIRS_KEPT, CHARS_AT_ONCE = 200_000, 1_000_000, 1_000_000
+#: Words kept with their ids in a task, pairs of pieces kept with their test in a worker, characters encoded at once.
+WORDS_KEPT, PAIRS_KEPT, CHARS_AT_ONCE = 100_000, 200_000, 1_000_000
 UNIGRAM, BPE = 1, 2
 #: Kinds of piece, as the format numbers them.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -251,11 +251,6 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary.load(path)
 
 
-@lru_cache(maxsize=1)
-def _encoder(path: str) -> Encoder:
-    return Encoder(vocabulary(path))
-
-
 def _runs(weights: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbours whose weights sum to ``most`` at the most, or single ones."""
     start, held = 0, 0
@@ -275,7 +270,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     kind = plain.schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(model_path)
+        encoder = Encoder(vocabulary(model_path))  # its words go with the task
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in _runs(np.array([len(t) for t in texts]), CHARS_AT_ONCE):

@@ -23,7 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from corpusloom.llm.batches import bounded, emit
 from corpusloom.session import written
 
-#: Bounds of the model, and of the words that a worker remembers.
-SAMPLE, MAX_TERMS, MIN_TOXIC, MIN_Z, WORDS_KEPT = 20_000, 4096, 4, 6.0, 300_000
+#: Bounds of the model, and of the words that a task remembers.
+SAMPLE, MAX_TERMS, MIN_TOXIC, MIN_Z, WORDS_KEPT = 20_000, 4096, 4, 6.0, 100_000
 GRADES = 3
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -190,7 +190,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = replace(shared.value, known={})  # the words remembered go with the task
         for batch in batches:
             p = [known.severity(text.as_py()) for text in batch.column(at)]
             columns = [c if c.type == t else c.cast(t) for c, t in zip(batch.columns, types, strict=True)]
