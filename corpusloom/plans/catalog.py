@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.plans import corpus_queries, relational_queries, text_queries  # noqa: F401  they register themselves
+from corpusloom.plans.registry import QUERIES, SQL
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Every reference query by name."""
-    return {}
+    """Every query by name."""
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     """The SQL of the queries that SQL can express."""
-    return {}
+    return dict(SQL)
