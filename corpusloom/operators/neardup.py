@@ -143,3 +143,24 @@ def greedy_survivors(rows: DataFrame, id_col: str, text_col: str, threshold: flo
     kind = rows.schema[id_col].dataType.simpleString()
     lost = rooted.repartition("root").sortWithinPartitions("root", "i", "j").mapInPandas(removed, f"id {kind}")
     return signed.select("id").join(lost, "id", "left_anti")
+
+
+def exact_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """``i``, ``j`` and ``similarity`` of all pairs of different shingle sets that are as similar as the threshold, each set
+    told by its smallest id.
+
+    Prefix filter: in one order of shingles, the rarest first, two such sets share one of their first
+    ``n - ceil(threshold * n) + 1`` shingles. So only the beginnings are joined, and a frequent shingle, which stands in
+    no beginning of a set of some size, ties nothing.
+    """
+    hashed = F.array_sort(F.transform(word_shingles(F.coalesce(F.col(text_col), F.lit(""))), lambda s: F.xxhash64(s)))
+    sets = written(docs.select(F.col(id_col).alias("id"), hashed.alias("g")).groupBy("g").agg(F.min("id").alias("id")).where(F.size("g") > 0), "exact-sets")
+    each = sets.select("id", F.size("g").alias("n"), F.explode("g").alias("s"))
+    rare = each.join(each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "s")
+    # shingles of a single set come before all others in the order, and tie nothing
+    place = F.row_number().over(Window.partitionBy("id").orderBy("df", "s")) + F.col("n") - F.count("*").over(Window.partitionBy("id"))
+    begins = written(rare.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold) + 1).select("id", "n", "s"), "exact-prefixes")
+    left, right = begins.withColumnsRenamed({"id": "i", "n": "ni"}), begins.withColumnsRenamed({"id": "j", "n": "nj"})
+    near = left.join(right, "s").where((F.col("i") < F.col("j")) & (F.least("ni", "nj") >= F.greatest("ni", "nj") * threshold)).select("i", "j").distinct()
+    told = near.join(sets.select(F.col("id").alias("i"), F.col("g").alias("gi")), "i").join(sets.select(F.col("id").alias("j"), F.col("g").alias("gj")), "j")
+    return told.select("i", "j", jaccard(F.col("gi"), F.col("gj")).alias("similarity")).where(F.col("similarity") >= threshold)

@@ -56,20 +56,17 @@ def budgeted_mix(spark, sf_dir):
 # --- near duplicates
 
 
-@query("""
-WITH w AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') AS ws FROM benchmark),
-s AS (SELECT item_id, CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) ELSE list_distinct(ws) END AS g FROM w)
-SELECT a.item_id AS i, b.item_id AS j, round(len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))), 4) AS similarity
-FROM s a JOIN s b ON a.item_id < b.item_id WHERE len(list_intersect(a.g, b.g)) > 0
+@query(r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) ELSE ws END)) AS g FROM w),
+c AS (SELECT min(doc_id) AS id, g, len(g) AS n FROM g WHERE len(g) > 0 GROUP BY g),
+e AS (SELECT id, n, unnest(g) AS s FROM c),
+p AS (SELECT a.id AS i, b.id AS j, count(*) / (a.n + b.n - count(*)) AS similarity FROM e a JOIN e b ON a.s = b.s AND a.id < b.id GROUP BY a.id, b.id, a.n, b.n)
+SELECT i, j, round(similarity, 4) AS similarity FROM p WHERE similarity >= 0.8
 """)
 def shingle_jaccard_pairs(spark, sf_dir):
-    """Benchmark items that share a shingle, with their similarity."""
-    items = table(spark, sf_dir, "benchmark").select("item_id", N.word_shingles(F.col("text")).alias("g"))
-    sizes = items.select("item_id", F.size("g").alias("n"))
-    each = items.select("item_id", F.explode("g").alias("s"))
-    common = each.withColumnRenamed("item_id", "i").join(each.withColumnRenamed("item_id", "j"), "s").where("i < j").groupBy("i", "j").agg(F.count("*").alias("both"))
-    told = common.join(sizes.withColumnsRenamed({"item_id": "i", "n": "ni"}), "i").join(sizes.withColumnsRenamed({"item_id": "j", "n": "nj"}), "j")
-    return told.select("i", "j", F.round(F.col("both") / (F.col("ni") + F.col("nj") - F.col("both")), 4).alias("similarity"))
+    """All pairs of different texts whose shingles are as alike as 0.8."""
+    return N.exact_pairs(table(spark, sf_dir, "documents")).withColumn("similarity", F.round("similarity", 4))
 
 
 @query()
