@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's ids, their number, and whether decoding them gives the text back."""
     columns = docs.select(F.struct("doc_id", "lang", "source", F.sha2(F.encode(F.replace(F.coalesce("text", F.lit("")), F.lit(pieces.MARK), F.lit(" ")), "UTF-8"), 256).alias("digest")).alias("row"), "text")
-    decoded = pieces.decode(pieces.encode(columns, PIECES_PATH, id_col="row"), PIECES_PATH)
+    decoded = pieces.encode(columns, PIECES_PATH, id_col="row", decoded=True)
     same = F.col("id.digest") == F.sha2(F.encode("text", "UTF-8"), 256)
     return decoded.select("id.doc_id", "id.lang", "id.source", "ids", F.size("ids").cast("bigint").alias("n_tokens"), same.alias("exact"))
 

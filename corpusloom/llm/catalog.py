@@ -49,8 +49,7 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded, and its ids decoded again: ids, their number, and size and digest of the decoded text."""
-    encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECES_PATH)
-    return pieces.decode(encoded, PIECES_PATH).select(
+    return pieces.encode(table(spark, sf_dir, "documents"), PIECES_PATH, decoded=True).select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("bigint").alias("n_tokens"),
         "ids",

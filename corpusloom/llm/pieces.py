@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -37,7 +38,7 @@ from corpusloom.llm.batches import bounded
 
 MARK = "▁"
 #: Words kept with their ids in a task, pairs of pieces kept with their test in a worker, characters encoded at once.
-WORDS_KEPT, PAIRS_KEPT, CHARS_AT_ONCE = 100_000, 200_000, 1_000_000
+WORDS_KEPT, PAIRS_KEPT, CHARS_AT_ONCE = 100_000, 200_000, 500_000
 UNIGRAM, BPE = 1, 2
 #: Kinds of piece, as the format numbers them.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -263,22 +264,26 @@ def _runs(weights: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(weights)
 
 
-def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id`` and ``ids`` of every text."""
+def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """``id`` and ``ids`` of every text; on demand also the ``text`` that the ids give back, decoded by the same task."""
     bounded(docs.sparkSession)
     plain = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     kind = plain.schema["id"].dataType
+    names = ["id", "ids", "text"] if decoded else ["id", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary(model_path))  # its words go with the task
+        known = vocabulary(model_path)
+        encoder = Encoder(known)  # its words go with the task
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in _runs(np.array([len(t) for t in texts]), CHARS_AT_ONCE):
-                ids, offsets = encoder.encode(texts[a:b])
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-                yield pa.record_batch([batch.column(0).slice(a, b - a), lists], names=["id", "ids"])
+            for a, b in _runs(np.array(pc.utf8_length(batch.column(1))), CHARS_AT_ONCE):
+                part = batch.slice(a, b - a)
+                ids, offsets = encoder.encode(part.column(1).to_pylist())
+                columns = [part.column(0), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
+                if decoded:
+                    columns.append(pa.array(decode_ids(known, ids, offsets), pa.string()))
+                yield pa.record_batch(columns, names=names)
 
-    return plain.mapInArrow(run, f"id {kind.simpleString()}, ids array<int>")
+    return plain.mapInArrow(run, f"id {kind.simpleString()}, ids array<int>" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
