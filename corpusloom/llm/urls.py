@@ -6,7 +6,7 @@ candidate strings of a batch with one vectorised binary search and confirm each
 key that two strings share never decides.
 
 A rule fits its host and all subdomains when the path starts with the rule's path; the longest rule (host and path
-together) wins, and of equal strings the first given. A url without a rule gets ``default``: the array lists what is
+together) wins, of equally long ones that with the longer host, and of equal strings the first given. A url without a rule gets ``default``: the array lists what is
 known, and what it doesn't list is allowed unless the caller says otherwise.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, no rule and the default verdict.
@@ -95,7 +95,7 @@ class DigestArray:
             return []
         labels = host.split(".")
         found = {".".join(labels[-d:]) + path[:n] for d in range(1, min(len(labels), self.depth) + 1) for n in self.lengths if n <= len(path)}
-        return sorted((s.encode() for s in found), key=lambda s: (-len(s), s))
+        return sorted((s.encode() for s in found), key=lambda s: (-len(s), -len(s.partition(b"/")[0])))
 
     def lookup(self, probes: list[bytes]) -> np.ndarray:
         """The position of each probe, or -1."""
@@ -196,6 +196,6 @@ def judge_urls_by_join(pages: DataFrame, rules: DataFrame, id_col: str = "page_i
         probes.join(known, "suffix")
         .where(F.expr("startswith(path, start)"))
         .groupBy("row")
-        .agg(F.max(F.struct((F.octet_length("suffix") + F.octet_length("start")).alias("size"), F.concat("suffix", "start").alias("rule"), "verdict")).alias("best"))
+        .agg(F.max(F.struct((F.octet_length("suffix") + F.octet_length("start")).alias("size"), F.octet_length("suffix").alias("host_size"), F.concat("suffix", "start").alias("rule"), "verdict")).alias("best"))
     )
     return base.join(best, "row", "left").select("id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
