@@ -161,16 +161,18 @@ def plan_mix(
     counts = draw_counts(targets, block_words, seed)
     sources = written(counts.join(shard_quotas(counts, shards, seed), "number"), "mix-sources")
 
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = buckets.select("source", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("offset", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = placed.join(bases.withColumnsRenamed({"source": "s", "bucket": "b"}), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    placed = placed.withColumn("offset", F.col("base") + F.col("offset")).drop("s", "b", "base")
-
+    # the sources' numbers come first: rows are dealt out once, by number and bucket, for the sum and the join alike
     few = sources.count() <= BROADCAST_SOURCES
     known = sources.withColumnRenamed("source", "s")
-    joined = placed.join(F.broadcast(known) if few else known, F.col("source").eqNullSafe(F.col("s")))
+    known = F.broadcast(known) if few else known
+    slim = known.select("s", F.col("number").alias("no")) if not few else F.broadcast(sources.select(F.col("source").alias("s"), F.col("number").alias("no")))
+    earlier = Window.partitionBy("no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = buckets.join(slim, F.col("source").eqNullSafe(F.col("s"))).select("no", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("no", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = sized.join(slim, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    placed = numbered.withColumn("offset", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(bases, ["no", "bucket"])
+    placed = placed.withColumn("offset", F.col("base") + F.col("offset")).drop("base")
+    joined = placed.join(known.drop("s"), F.col("no") == F.col("number"))
 
     b = block_words
     at = permuted("k", "blocks", "number", "e", seed)
