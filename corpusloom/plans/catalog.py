@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import corpus_queries, relational_queries, text_queries  # noqa: F401  they register themselves
+from corpusloom.plans import corpus_queries, pipeline_queries, relational_queries, text_queries  # noqa: F401  they register themselves
 from corpusloom.plans.registry import QUERIES, SQL
 
 
