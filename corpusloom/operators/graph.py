@@ -7,26 +7,36 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import written
 
+#: Nodes that may have so many edges that they are joined by broadcast, and edges that any node may have without it.
+HOT_NODES, LEAST_HOT = 2000, 500
+
 
 def components(edges: DataFrame, label: str = "components", most: int = 50) -> DataFrame:
     """``node`` and ``root`` (the smallest node) of every connected component of ``edges`` (``u``, ``v``).
 
     Large-star and small-star in turn, until the edges are stars: every step is an aggregation and a join by node,
-    written to the shared folder; the number of steps grows with the logarithm of the components' sizes.
+    written to the shared folder; the number of steps grows with the logarithm of the components' sizes. Nodes with
+    many edges are joined by broadcast, so no task gets a large star as a whole.
     """
     edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), label)
 
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
+    def with_least(rows: DataFrame, least: DataFrame, n: int) -> DataFrame:
+        most_edges = max(LEAST_HOT, 2 * n // HOT_NODES)
+        hot = F.broadcast(least.where(F.col("edges") > most_edges).drop("edges"))  # HOT_NODES rows at the most
+        cold = rows.join(hot.select("u"), "u", "left_anti").join(least.drop("edges"), "u")
+        return rows.join(hot, "u").unionByName(cold)
+
     before = state(edges)
     for _ in range(most if before[0] else 0):
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("edges")).withColumn("m", F.least("m", "u"))
+        large = with_least(both, least, before[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.distinct(), label)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("edges"))
+        joined = with_least(large, least, before[0])
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = written(small.distinct(), label)
         after = state(edges)
