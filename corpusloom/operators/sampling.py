@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import estimate_tokens
@@ -33,8 +33,6 @@ def sample_n(df: DataFrame, groups: list[str], key: str, n: int, seed: int) -> D
 
 def sample_quotas(df: DataFrame, quotas: DataFrame, group: str, key: str, seed: int) -> DataFrame:
     """As many drawn rows of every group as ``quotas`` (``group``, ``quota``) has for it; a group without one gives none."""
-    from pyspark.sql import Window
-
     ranked = df.join(quotas, group).withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy(draw(F.col(key), seed), key)))
     return ranked.where(F.col("_rank") <= F.col("quota")).drop("_rank", "quota")
 
@@ -56,5 +54,6 @@ def budgeted_mix(domain: DataFrame, general: DataFrame, ratio: float, order_col:
 def composition(df: DataFrame, group: str, tokens: str = "tokens") -> DataFrame:
     """Rows and tokens of every group and of all (group null), and the group's share of the tokens."""
     told = df.rollup(group).agg(F.count("*").alias("n_docs"), F.sum(tokens).alias("tokens"), F.grouping(group).alias("is_total"))
-    whole = df.agg(F.sum(tokens).alias("all_tokens"))
-    return told.crossJoin(F.broadcast(whole)).withColumn("share", F.round(F.col("tokens") / F.col("all_tokens"), 4)).drop("all_tokens")
+    # the total's own row has the sum, so the table is read once
+    whole = F.max(F.when(F.col("is_total") == 1, F.col("tokens"))).over(Window.partitionBy())
+    return told.withColumn("share", F.round(F.col("tokens") / whole, 4))
