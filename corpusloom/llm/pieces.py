@@ -38,7 +38,7 @@ from corpusloom.llm.batches import bounded
 
 MARK = "▁"
 #: Words kept with their ids in a task, pairs of pieces kept with their test in a worker, characters encoded at once.
-WORDS_KEPT, PAIRS_KEPT, CHARS_AT_ONCE = 100_000, 200_000, 500_000
+WORDS_KEPT, PAIRS_KEPT, CHARS_AT_ONCE = 150_000, 200_000, 2_000_000
 UNIGRAM, BPE = 1, 2
 #: Kinds of piece, as the format numbers them.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -131,65 +131,82 @@ class Vocabulary:
         """Whether the two pieces stay as they are when their characters are merged by rank."""
         if left < 0:  # a character without a piece merges with nothing
             return self.alone[right]
-        known = self.pairs.get((left, right))
-        if known is None:
-            known = self.merged(self.pieces[left][0] + self.pieces[right][0]) == [left, right]
-            if len(self.pairs) >= PAIRS_KEPT:
-                self.pairs.clear()
-            self.pairs[left, right] = known
-        return known
+        fits = self.merged(self.pieces[left][0] + self.pieces[right][0]) == [left, right]
+        if len(self.pairs) >= PAIRS_KEPT:
+            self.pairs.clear()
+        self.pairs[left, right] = fits
+        return fits
 
     def forward(self, words: Iterable[str]) -> Iterator[list[int]]:
         """The ids of each of the sorted words, sharing states across common prefixes."""
-        unigram = self.model_type != BPE
+        extend = self._extend_merged if self.model_type == BPE else self._extend_scored
         last, start, score = [-1], [0], [0.0]  # by length of prefix
         before = ""
         for word in words:
-            same = 0
-            for a, b in zip(before, word):  # noqa: B905  the shorter one ends it
-                if a != b:
-                    break
+            same, most = 0, min(len(before), len(word))
+            while same < most and before[same] == word[same]:
                 same += 1
             del last[same + 1 :], start[same + 1 :], score[same + 1 :]
-            for j in range(same + 1, len(word) + 1):
-                node, i, ending = self.ends, j, []
-                while i:
-                    node = node.get(word[i - 1])
-                    if node is None:
-                        break
-                    i -= 1
-                    if "" in node:
-                        ending.append((i, node[""]))
-                if unigram:
-                    best = (score[j - 1] + self.unknown_score, j - 1, -1 - ord(word[j - 1]))
-                    for i, k in reversed(ending):  # the longest first among equals
-                        if best[2] < 0 and i == j - 1 or score[i] + self.scores[k] > best[0]:
-                            best = (score[i] + self.scores[k], i, k)
-                    score.append(best[0])
-                    start.append(best[1])
-                    last.append(best[2])
-                    continue
-                for i, k in reversed(ending):
-                    if self._fits(last[i], k):
-                        break
-                else:
-                    i, k = j - 1, -1 - ord(word[j - 1])
-                score.append(0.0)
-                start.append(i)
-                last.append(k)
+            extend(word, last, start, score)
             before = word
             out, j = [], len(word)
             while j:
                 k = last[j]
                 if k >= 0:
                     out.append(k)
+                elif len(self.bytes) == 256:
+                    out.extend(self.bytes[b] for b in reversed(chr(-1 - k).encode("utf-8", "replace")))
                 else:
-                    raw = chr(-1 - k).encode("utf-8", "replace")
-                    out.extend(self.bytes[b] for b in reversed(raw)) if len(self.bytes) == 256 else out.append(self.unknown)
+                    out.append(self.unknown)
                 j = start[j]
             out.reverse()
             yield out
 
+    def _extend_scored(self, word: str, last: list[int], start: list[int], score: list[float]) -> None:
+        """Unigram states of the word's longer prefixes: the largest sum of scores, the longest last piece among equals."""
+        for j in range(len(last), len(word) + 1):
+            node, i, ending = self.ends, j, []
+            while i:
+                node = node.get(word[i - 1])
+                if node is None:
+                    break
+                i -= 1
+                if "" in node:
+                    ending.append((i, node[""]))
+            best = (score[j - 1] + self.unknown_score, j - 1, -1 - ord(word[j - 1]))
+            for i, k in reversed(ending):
+                if best[2] < 0 and i == j - 1 or score[i] + self.scores[k] > best[0]:
+                    best = (score[i] + self.scores[k], i, k)
+            score.append(best[0])
+            start.append(best[1])
+            last.append(best[2])
+
+    def _extend_merged(self, word: str, last: list[int], start: list[int], score: list[float]) -> None:
+        """BPE states of the word's longer prefixes: the one last piece that stays beside its neighbour."""
+        ends, pairs, fits = self.ends, self.pairs, self._fits
+        for j in range(len(last), len(word) + 1):
+            node, i, ending = ends, j, []
+            while i:
+                node = node.get(word[i - 1])
+                if node is None:
+                    break
+                i -= 1
+                k = node.get("")
+                if k is not None:
+                    ending.append(k)
+                    ending.append(i)
+            while ending:  # the longest first
+                i, k = ending.pop(), ending.pop()
+                left = last[i]
+                fit = pairs.get((left, k))
+                if fit or fit is None and fits(left, k):
+                    start.append(i)
+                    last.append(k)
+                    break
+            else:
+                start.append(j - 1)
+                last.append(-1 - ord(word[j - 1]))
+
 
 def marked_words(text: str) -> list[str]:
     """The text's marked words, each without its first mark."""
