@@ -300,5 +300,9 @@ def one_of_each(docs: DataFrame, duplicates: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs`` that stay if every class keeps one: that with the smallest id (nulls last)."""
     stay = duplicates.groupBy("class_set").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", "key")).alias("s")).select(F.col("s.id").alias("_id"), F.col("s.key").alias("_key")).distinct()
     key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    kept = docs.withColumn("_key_", key).join(stay, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_key_") == F.col("_key")))
-    return kept.dropDuplicates([id_col, "_key_"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # one hash of id and key deals the texts out, for the join and for the repeated rows alike; the rest are conditions
+    stay = stay.withColumn("_hash", F.xxhash64("_id", "_key"))
+    told = docs.withColumn("_key_", key).withColumn("_hash_", F.xxhash64(F.col(f"`{id_col}`"), "_key_"))
+    same_id = F.coalesce(F.col(f"`{id_col}`") == F.col("_id"), F.col(f"`{id_col}`").isNull() & F.col("_id").isNull())
+    kept = told.join(stay, (F.col("_hash_") == F.col("_hash")) & same_id & F.coalesce(F.col("_key_") == F.col("_key"), F.lit(False)))
+    return kept.dropDuplicates(["_hash_", id_col, "_key_"]).select(*[F.col(f"`{c}`") for c in docs.columns])
