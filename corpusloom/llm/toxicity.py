@@ -1,14 +1,15 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
-Grades are ordered: 0 for texts labelled clean, 1 to 3 for the lower, middle and upper third of the toxic texts by the
-share of their words that carry a selected term. One weight vector serves all thresholds:
+Grades are ordered: 0 for texts labelled clean, 1 to 3 for the lower, middle and upper third of the toxic texts by how
+many of their words carry a selected term. One weight vector serves all thresholds:
 ``P(grade > k) = logistic(w x - t_k)`` with ``t_0 < t_1 < t_2``; the expected severity is the sum of the three.
 
 Terms are lower-cased words (marked by a final ``$``) and their beginnings of 3 to 6 letters. Those count that occur
 in at least ``MIN_TOXIC`` toxic texts of the sample and stand ``MIN_Z`` standard errors above their share in clean
-texts, the ``MAX_TERMS`` strongest. Each gives two features: the logarithm of its count, and the root of its rate.
+texts, the ``MAX_TERMS`` strongest. A term's feature is the logarithm of its count.
 
-The model is fitted on at most ``sample`` labelled texts, drawn by a hash of their ids, equal texts once; term counts
+The model is fitted on at most ``sample`` labelled texts, drawn by a hash of their ids. Of texts with the same smallest
+shingle hash (copies, and most near copies) one counts, else the chance words of a copied text look telling. Term counts
 are summed by the executors, and only the selected terms' features of the sample come to the driver. Scoring covers
 every row and whole texts, one pass without a shuffle.
 
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.llm.batches import bounded, emit
+from corpusloom.llm.jaccard import shingles
 from corpusloom.session import written
 
 #: Bounds of the model, and of the words that a task remembers.
@@ -62,8 +64,8 @@ class Model:
     def __getstate__(self):
         return {**self.__dict__, "known": {}}
 
-    def hits(self, counts: Counter) -> tuple[dict[int, int], int, int]:
-        """Count of each selected term, of words, and of words with a selected term."""
+    def hits(self, counts: Counter) -> tuple[dict[int, int], int]:
+        """Count of each selected term, and of words with a selected term."""
         found: dict[int, int] = {}
         hit = 0
         known = self.known
@@ -78,26 +80,24 @@ class Model:
                 hit += n
                 for i in at:
                     found[i] = found.get(i, 0) + n
-        return found, sum(counts.values()), hit
+        return found, hit
 
     def severity(self, text: str | None) -> tuple[float, ...]:
         """P(grade > k) for every threshold."""
         if not self.index:
             return (0.0,) * GRADES
-        found, total, _ = self.hits(words(text))
-        at, values = features(found, total, len(self.index))
+        at, values = features(self.hits(words(text))[0])
         z = float(self.weights[at] @ values) - self.thresholds
         return tuple((1 / (1 + np.exp(-np.clip(z, -50, 50)))).tolist())
 
 
-def features(found: dict[int, int], total: int, n_terms: int) -> tuple[np.ndarray, np.ndarray]:
+def features(found: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Positions and values of a text's features."""
     at = np.array(sorted(found), np.int64)
-    n = np.array([found[i] for i in at.tolist()], np.float64)
-    return np.concatenate([at, at + n_terms]), np.concatenate([np.log1p(n), np.sqrt(100 * n / (total + 20))])
+    return at, np.log1p(np.array([found[i] for i in at.tolist()], np.float64))
 
 
-def fit_ordinal(rows: np.ndarray, at: np.ndarray, values: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 400, ridge: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: np.ndarray, at: np.ndarray, values: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 600, ridge: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of the cumulative-link model over sparse features, by full-batch Adam.
 
     The thresholds are the first one and the logarithms of the gaps to the next, so they stay in order.
@@ -136,7 +136,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # ids in the order of a hash: the same ids at every run; the bound keeps the broadcast small
     ids = plain.select("id").distinct().join(told, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample)
     drawn = told.join(F.broadcast(ids), "id")
-    texts = written(plain.join(F.broadcast(drawn), "id").groupBy("text").agg(F.max("toxic").alias("toxic"), F.min("id").alias("id")), "toxicity-sample")
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = [int(h[0]) >> 1 if len(h := shingles(text.as_py())) else 0 for text in batch.column(0)]
+            yield pa.record_batch([*batch.columns, pa.array(least, pa.int64())], names=["text", "toxic", "id", "sketch"])
+
+    found = plain.join(F.broadcast(drawn), "id").select("text", "toxic", F.col("id").cast("string").alias("id"))
+    sketched = found.mapInArrow(sketch, "text string, toxic int, id string, sketch bigint")
+    texts = written(sketched.groupBy("sketch").agg(F.min_by(F.struct("text", "toxic"), F.struct(-F.col("toxic"), "id", "text")).alias("s"), F.min("id").alias("id")).select("s.text", "s.toxic", "id"), "toxicity-sample")
     sizes = dict(texts.groupBy("toxic").count().collect())
     none = Model({}, np.zeros(0), np.arange(GRADES, dtype=float))
     if not sizes.get(0) or not sizes.get(1):
@@ -159,25 +167,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = Model({r.term: i for i, r in enumerate(best)}, np.zeros(0), np.zeros(0))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.string()), ("toxic", pa.int64()), ("at", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("total", pa.int64()), ("hit", pa.int64())])
+        schema = pa.schema([("id", pa.string()), ("toxic", pa.int64()), ("at", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("hit", pa.int64())])
 
         def rows():
             for batch in batches:
                 for key, text, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    found, total, hit = model.hits(words(text))
-                    yield key, toxic, list(found), list(found.values()), total, hit
+                    found, hit = model.hits(words(text))
+                    yield key, toxic, list(found), list(found.values()), hit
 
         yield from emit(rows(), schema)
 
-    described = texts.select(F.col("id").cast("string"), "text", "toxic").mapInArrow(describe, "id string, toxic bigint, at array<bigint>, n array<bigint>, total bigint, hit bigint")
-    sampled = sorted(described.collect(), key=lambda r: (r.id, r.total, r.hit))
-    share = np.array([r.hit / max(r.total, 1) for r in sampled])
+    described = texts.select("id", "text", "toxic").mapInArrow(describe, "id string, toxic bigint, at array<bigint>, n array<bigint>, hit bigint")
+    sampled = sorted(described.collect(), key=lambda r: (r.id, r.hit, sorted(r.at)))
+    hit = np.array([r.hit for r in sampled])
     toxic = np.array([r.toxic for r in sampled])
-    thirds = np.quantile(share[toxic == 1], [1 / 3, 2 / 3])
-    grade = np.where(toxic == 1, 1 + (share > thirds[0]) + (share > thirds[1]), 0)
-    each = [features(dict(zip(r.at, r.n, strict=True)), r.total, len(best)) for r in sampled]
+    thirds = np.quantile(hit[toxic == 1], [1 / 3, 2 / 3])
+    grade = np.where(toxic == 1, 1 + (hit > thirds[0]) + (hit > thirds[1]), 0)
+    each = [features(dict(zip(r.at, r.n, strict=True))) for r in sampled]
     rows = np.repeat(np.arange(len(each)), [len(a) for a, _ in each])
-    model.weights, model.thresholds = fit_ordinal(rows, np.concatenate([a for a, _ in each]), np.concatenate([v for _, v in each]), grade, 2 * len(best))
+    model.weights, model.thresholds = fit_ordinal(rows, np.concatenate([a for a, _ in each]), np.concatenate([v for _, v in each]), grade, len(best))
     return model
 
 
