@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 #: Rows and bytes that one Arrow batch into a Python worker may hold: a worker then needs tens of MB, whatever
 #: the lengths of the texts.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def bounded(spark: SparkSession) -> None:
