@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.operators.graph import components
-from corpusloom.session import written
+from corpusloom.session import spread, written
 
 #: Hashes of a signature.
 HASHES = 128
@@ -95,7 +95,7 @@ def document_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Documents of one band are tied to the band's smallest id, so ties don't outnumber documents. Without ``verify`` a tie
     counts as it is; with it, only if the signatures agree at least so often.
     """
-    signed = written(docs.select(F.col(id_col).alias("id"), minhash(F.col(text_col)).alias("sig")), "neardup-signatures")
+    signed = written(spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), minhash(F.col(text_col)).alias("sig")), "neardup-signatures")
     keyed = signed.select("id", F.posexplode(bands(F.col("sig"), n_bands, rows)).alias("band", "key"))
     firsts = keyed.groupBy("band", "key").agg(F.min("id").alias("v"))
     ties = keyed.join(firsts, ["band", "key"]).where("id <> v").select(F.col("id").alias("u"), "v").distinct()
@@ -118,7 +118,7 @@ def greedy_survivors(rows: DataFrame, id_col: str, text_col: str, threshold: flo
     Similar pairs come from shared bands (of the first ``bucket_cap`` rows of each) and agreeing signatures. The order
     is resolved within the pairs' connected components.
     """
-    signed = written(rows.select(F.col(id_col).alias("id"), md5_minhash(F.col(text_col)).alias("sig")), "greedy-signatures")
+    signed = written(spread(rows.select(id_col, text_col)).select(F.col(id_col).alias("id"), md5_minhash(F.col(text_col)).alias("sig")), "greedy-signatures")
     keyed = signed.select("id", F.posexplode(bands(F.col("sig"), n_bands, band_rows)).alias("band", "key"))
     if bucket_cap is not None:
         keyed = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("band", "key").orderBy("id"))).where(F.col("rank") <= bucket_cap).drop("rank")
@@ -154,7 +154,7 @@ def exact_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     no beginning of a set of some size, ties nothing.
     """
     hashed = F.array_sort(F.transform(word_shingles(F.coalesce(F.col(text_col), F.lit(""))), lambda s: F.xxhash64(s)))
-    sets = written(docs.select(F.col(id_col).alias("id"), hashed.alias("g")).groupBy("g").agg(F.min("id").alias("id")).where(F.size("g") > 0), "exact-sets")
+    sets = written(spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), hashed.alias("g")).groupBy("g").agg(F.min("id").alias("id")).where(F.size("g") > 0), "exact-sets")
     each = sets.select("id", F.size("g").alias("n"), F.explode("g").alias("s"))
     rare = each.join(each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "s")
     # shingles of a single set come before all others in the order, and tie nothing

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.order import first_n
+from corpusloom.session import spread
 
 #: Tokens of a chunk, tokens it repeats of the one before, and tokens an abstract needs for a chunk of its own.
 CHUNK, OVERLAP, ABSTRACT = 512, 128, 30
@@ -102,7 +103,7 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             rows = [(i, n, k, t) for i, text in zip(frame.iloc[:, 0], frame.iloc[:, 1], strict=True) for n, (k, t) in enumerate(chunks(text or "", compat))]
             yield pd.DataFrame(rows, columns=["id", "chunk_no", "chunk_type", "text"])
 
-    return docs.select(id_col, text_col).mapInPandas(run, f"id {kind}, chunk_no int, chunk_type string, text string")
+    return spread(docs.select(id_col, text_col)).mapInPandas(run, f"id {kind}, chunk_no int, chunk_type string, text string")
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import records
-from corpusloom.operators import joins, neardup, order, replay, retrieval, sampling, stats
+from corpusloom.operators import graph, joins, neardup, order, replay, retrieval, sampling, stats
 from corpusloom.operators.graph import components
 from corpusloom.sources import rest
 
@@ -90,7 +90,9 @@ def test_mix_ledger(spark):
     assert sampling.budgeted_mix(domain, general, 0).where("part = 'general'").count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("least_hot", [500, 2])
+def test_components(spark, monkeypatch, least_hot):
+    monkeypatch.setattr(graph, "LEAST_HOT", least_hot)  # at 2 the star's centre is joined by broadcast
     edges = spark.createDataFrame([(1, 2), (2, 3), (9, 3), (5, 6), (7, 7)] + [(100 + i, 101 + i) for i in range(60)] + [(200, 200 + i) for i in range(1, 50)], "u bigint, v bigint")
     found = {r.node: r.root for r in components(edges).collect()}
     assert [found[i] for i in (1, 2, 3, 9, 5, 6)] == [1, 1, 1, 1, 5, 5] and 7 not in found
