@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.llm.batches import bounded, emit
 from corpusloom.operators.graph import components
-from corpusloom.session import written
+from corpusloom.session import spread, written
 
 #: Words of a shingle, similarity of a link, trees, values of a signature, and recall at the similarity.
 WORDS, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 8, 0.99999
@@ -106,7 +106,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         yield from emit(rows(), schema, lambda r: 500)
         _known.clear()
 
-    return plain.mapInArrow(run, f"id {kind.simpleString()}, key bigint, set binary, n bigint, sig binary")
+    return spread(plain).mapInArrow(run, f"id {kind.simpleString()}, key bigint, set binary, n bigint, sig binary")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.batches import bounded
+from corpusloom.session import spread
 
 #: Fixed value: how the byte-level vocabulary cuts texts before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -46,7 +47,7 @@ def length_histogram(docs: DataFrame, ranks_path: str, text_col: str = "text") -
         if found:
             yield pa.record_batch([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["length", "n_docs"])
 
-    each = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, "length bigint, n_docs bigint")
+    each = spread(docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))).mapInArrow(run, "length bigint, n_docs bigint")
     return each.groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
 
 

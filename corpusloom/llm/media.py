@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.batches import bounded, emit
-from corpusloom.session import written
+from corpusloom.session import spread, written
 
 #: Samples a row, and the padding byte.
 ROW, PAD = 576, 255
@@ -182,7 +182,7 @@ def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(kind)
-    return plain.mapInArrow(encode, f"id {kind.simpleString()}, n_bytes bigint, media binary")
+    return spread(plain).mapInArrow(encode, f"id {kind.simpleString()}, n_bytes bigint, media binary")
 
 
 def read_media(media: DataFrame) -> DataFrame:

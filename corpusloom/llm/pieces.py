@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.llm.batches import bounded
+from corpusloom.session import spread
 
 MARK = "▁"
 #: Words kept with their ids in a task, pairs of pieces kept with their test in a worker, characters encoded at once.
@@ -300,7 +301,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                     columns.append(pa.array(decode_ids(known, ids, offsets), pa.string()))
                 yield pa.record_batch(columns, names=names)
 
-    return plain.mapInArrow(run, f"id {kind.simpleString()}, ids array<int>" + ", text string" * decoded)
+    return spread(plain).mapInArrow(run, f"id {kind.simpleString()}, ids array<int>" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:

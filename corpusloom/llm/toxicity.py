@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.llm.batches import bounded, emit
 from corpusloom.llm.jaccard import shingles
-from corpusloom.session import written
+from corpusloom.session import spread, written
 
 #: Bounds of the model, and of the words that a task remembers.
 SAMPLE, MAX_TERMS, MIN_TOXIC, MIN_Z, WORDS_KEPT = 20_000, 4096, 4, 6.0, 100_000
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.record_batch([*batch.columns, pa.array(least, pa.int64())], names=["text", "toxic", "id", "sketch"])
 
     found = plain.join(F.broadcast(drawn), "id").select("text", "toxic", F.col("id").cast("string").alias("id"))
-    sketched = found.mapInArrow(sketch, "text string, toxic int, id string, sketch bigint")
+    sketched = found.transform(spread).mapInArrow(sketch, "text string, toxic int, id string, sketch bigint")
     texts = written(sketched.groupBy("sketch").agg(F.min_by(F.struct("text", "toxic"), F.struct(-F.col("toxic"), "id", "text")).alias("s"), F.min("id").alias("id")).select("s.text", "s.toxic", "id"), "toxicity-sample")
     sizes = dict(texts.groupBy("toxic").count().collect())
     none = Model({}, np.zeros(0), np.arange(GRADES, dtype=float))
@@ -204,4 +204,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             columns = [c if c.type == t else c.cast(t) for c, t in zip(batch.columns, types, strict=True)]
             yield pa.record_batch([*columns, pa.array([sum(x) for x in p], pa.float64()), pa.array([x[0] for x in p], pa.float64())], names=names)
 
-    return docs.mapInArrow(run, f"{schema}, _severity double, _toxic double")
+    return spread(docs).mapInArrow(run, f"{schema}, _severity double, _toxic double")
