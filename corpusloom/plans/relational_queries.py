@@ -9,7 +9,6 @@ from corpusloom.operators import order as O
 from corpusloom.operators import replay as R
 from corpusloom.operators import sampling as S
 from corpusloom.operators import stats as A
-from corpusloom.operators.neardup import jaccard
 from corpusloom.plans.registry import query, table
 
 
@@ -274,14 +273,16 @@ def simplex_grid(spark, sf_dir):
 
 
 @query("""
-WITH runs AS (SELECT conv_id AS run, list_sort(list_distinct(list(length(text) % 10))) AS s FROM conversations GROUP BY conv_id)
+WITH runs AS (SELECT event_type AS run, list_distinct(list(user_id)) AS s FROM events GROUP BY event_type)
 SELECT a.run AS run_a, b.run AS run_b, round(len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s))), 4) AS similarity FROM runs a JOIN runs b ON a.run < b.run
 """)
 def pairwise_jaccard(spark, sf_dir):
-    """Similarity of every two runs' selections."""
-    runs = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_set(F.char_length("text") % 10).alias("s"))
-    a, b = runs.select(F.col("conv_id").alias("run_a"), F.col("s").alias("sa")), runs.select(F.col("conv_id").alias("run_b"), F.col("s").alias("sb"))
-    return a.join(b, F.col("run_a") < F.col("run_b")).select("run_a", "run_b", F.round(jaccard(F.col("sa"), F.col("sb")), 4).alias("similarity"))
+    """Similarity of every two runs' selections: users by type of event (a few types, each once)."""
+    each = table(spark, sf_dir, "events").select(F.col("event_type").alias("run"), "user_id").distinct()
+    sizes = each.groupBy("run").agg(F.count("*").alias("n"))
+    both = each.withColumnRenamed("run", "run_a").join(each.withColumnRenamed("run", "run_b"), "user_id").where("run_a < run_b").groupBy("run_a", "run_b").agg(F.count("*").alias("both"))
+    told = both.join(F.broadcast(sizes.select(F.col("run").alias("run_a"), F.col("n").alias("na"))), "run_a").join(F.broadcast(sizes.select(F.col("run").alias("run_b"), F.col("n").alias("nb"))), "run_b")
+    return told.select("run_a", "run_b", F.round(F.col("both") / (F.col("na") + F.col("nb") - F.col("both")), 4).alias("similarity"))
 
 
 @query("""
