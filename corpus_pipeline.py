@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import jaccard, mixing, pieces, toxicity
 from corpusloom.llm.catalog import PIECES_PATH, table
+from corpusloom.llm.names import all_columns
 from corpusloom.session import written
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that the model, fitted on this input's labelled ones, takes for toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("_toxic") < 0.5).select(*docs.columns)
+    scored = toxicity.score(docs, model)
+    return scored.where(F.col(scored.columns[-1]) < 0.5).select(*all_columns(docs))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources at their target weights; ``n_chars`` follows the text where a document is cut."""
     mix = mixing.mixed(mixing.plan_mix(docs, carry=docs.columns)).select("row.*")
-    return mix.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return mix.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*all_columns(docs))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

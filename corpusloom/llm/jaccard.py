@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.llm.batches import bounded, emit
+from corpusloom.llm.names import all_columns, free
 from corpusloom.operators.graph import components
 from corpusloom.session import spread, written
 
@@ -301,8 +302,9 @@ def one_of_each(docs: DataFrame, duplicates: DataFrame, id_col: str = "doc_id",
     stay = duplicates.groupBy("class_set").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", "key")).alias("s")).select(F.col("s.id").alias("_id"), F.col("s.key").alias("_key")).distinct()
     key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     # one hash of id and key deals the texts out, for the join and for the repeated rows alike; the rest are conditions
-    stay = stay.withColumn("_hash", F.xxhash64("_id", "_key"))
-    told = docs.withColumn("_key_", key).withColumn("_hash_", F.xxhash64(F.col(f"`{id_col}`"), "_key_"))
-    same_id = F.coalesce(F.col(f"`{id_col}`") == F.col("_id"), F.col(f"`{id_col}`").isNull() & F.col("_id").isNull())
-    kept = told.join(stay, (F.col("_hash_") == F.col("_hash")) & same_id & F.coalesce(F.col("_key_") == F.col("_key"), F.lit(False)))
-    return kept.dropDuplicates(["_hash_", id_col, "_key_"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    k, h, stay_id, stay_key, stay_hash = free(docs, "_k", "_h", "_stay_id", "_stay_key", "_stay_h")
+    stay = stay.select(F.col("_id").alias(stay_id), F.col("_key").alias(stay_key), F.xxhash64("_id", "_key").alias(stay_hash))
+    told = docs.withColumn(k, key).withColumn(h, F.xxhash64(F.col(f"`{id_col}`"), k))
+    same_id = F.coalesce(F.col(f"`{id_col}`") == F.col(stay_id), F.col(f"`{id_col}`").isNull() & F.col(stay_id).isNull())
+    kept = told.join(stay, (F.col(h) == F.col(stay_hash)) & same_id & F.coalesce(F.col(k) == F.col(stay_key), F.lit(False)))
+    return kept.dropDuplicates([h, id_col, k]).select(*all_columns(docs))

@@ -1,0 +1,22 @@
+"""Column names that cannot clash."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as make it differ from all columns (whatever their case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def all_columns(df: DataFrame) -> list[Column]:
+    """Every column, whatever characters its name has."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

@@ -305,8 +305,9 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
-    """``encoded`` with the decoded ``text`` beside every other column."""
+    """``encoded`` with the decoded ``text`` beside every other column; an older ``text`` goes."""
     bounded(encoded.sparkSession)
+    encoded = encoded.drop("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     at = encoded.columns.index(ids_col)
     types, names = [to_arrow_type(f.dataType) for f in encoded.schema], [*encoded.columns, "text"]

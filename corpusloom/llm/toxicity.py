@@ -30,10 +30,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.llm.batches import bounded, emit
 from corpusloom.llm.jaccard import shingles
+from corpusloom.llm.names import free
 from corpusloom.session import spread, written
 
 #: Bounds of the model, and of the words that a task remembers.
@@ -190,12 +192,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_severity`` (expected grade, 0 to 3) and ``_toxic`` (probability of any grade over 0)."""
+    """``docs`` with ``_severity`` (expected grade, 0 to 3) and ``_toxic`` (probability of any grade over 0) as the last two
+    columns, with more underscores if the names are taken."""
     bounded(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_TERMS terms
-    names, types = [*docs.columns, "_severity", "_toxic"], [to_arrow_type(f.dataType) for f in docs.schema]
+    added = free(docs, "_severity", "_toxic")
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # mapInArrow takes no dots in names
+    names, types = [*plain.columns, *added], [to_arrow_type(f.dataType) for f in docs.schema]
     at = docs.columns.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    schema = T.StructType([*plain.schema.fields, *(T.StructField(c, T.DoubleType()) for c in added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = replace(shared.value, known={})  # the words remembered go with the task
@@ -204,4 +209,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             columns = [c if c.type == t else c.cast(t) for c, t in zip(batch.columns, types, strict=True)]
             yield pa.record_batch([*columns, pa.array([sum(x) for x in p], pa.float64()), pa.array([x[0] for x in p], pa.float64())], names=names)
 
-    return spread(docs).mapInArrow(run, f"{schema}, _severity double, _toxic double")
+    return spread(plain).mapInArrow(run, schema).toDF(*docs.columns, *added)

@@ -30,7 +30,8 @@ def folder(spark, tmp_path_factory):
         rows.append([2000 + i, " ".join(words[:-1] + ["changed"]), "en", "s0"])
     rows += [[3000, None, None, None], [3001, "", "en", "s1"], [1, rows[1][1], "en", "s1"], [None, "some text without an id at all", "de", None], [3002, " ".join(rng.choices(clean, k=30_000)), "en", "s2"]]
     path = str(tmp_path_factory.mktemp("pipeline"))
-    spark.createDataFrame([(i, t, lang, s, len(t or "")) for i, t, lang, s in rows], DOCS).repartition(4).write.parquet(f"{path}/documents.parquet")
+    clashing = "_toxic int, _K int, row string, `a.b` string, size string, pieces string, ids string, class_id string"
+    spark.createDataFrame([(i, t, lang, s, len(t or ""), 1, 2, None, "x", "y", "z", "q", None) for i, t, lang, s in rows], f"{DOCS}, {clashing}").repartition(4).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     return path
 
