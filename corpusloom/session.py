@@ -54,6 +54,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """``df`` dealt out over all cores if it has fewer partitions, as a small table of one file has: for steps that cost
-    much more than moving their rows. Tables of more partitions stay as they are."""
+    much more than moving their rows. Tables of more partitions stay as they are. Call it on tables as they are read, as
+    counting partitions behind a shuffle would run it."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
