@@ -144,8 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             least = [int(h[0]) >> 1 if len(h := shingles(text.as_py())) else 0 for text in batch.column(0)]
             yield pa.record_batch([*batch.columns, pa.array(least, pa.int64())], names=["text", "toxic", "id", "sketch"])
 
-    found = plain.join(F.broadcast(drawn), "id").select("text", "toxic", F.col("id").cast("string").alias("id"))
-    sketched = found.transform(spread).mapInArrow(sketch, "text string, toxic int, id string, sketch bigint")
+    found = spread(plain).join(F.broadcast(drawn), "id").select("text", "toxic", F.col("id").cast("string").alias("id"))
+    sketched = found.mapInArrow(sketch, "text string, toxic int, id string, sketch bigint")
     texts = written(sketched.groupBy("sketch").agg(F.min_by(F.struct("text", "toxic"), F.struct(-F.col("toxic"), "id", "text")).alias("s"), F.min("id").alias("id")).select("s.text", "s.toxic", "id"), "toxicity-sample")
     sizes = dict(texts.groupBy("toxic").count().collect())
     none = Model({}, np.zeros(0), np.arange(GRADES, dtype=float))
