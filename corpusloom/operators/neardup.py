@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.operators.graph import components
 from corpusloom.session import spread, written
 
 #: Hashes of a signature.
 HASHES = 128
+#: Signatures of a block, of which pairs are compared in one task, and rounds of the greedy order before components.
+BLOCK, ROUNDS = 512, 3
 _rng = np.random.Generator(np.random.PCG64(7))
 _MUL = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -112,37 +116,155 @@ def cluster_sizes(clusters: DataFrame) -> DataFrame:
     return sizes.groupBy("size").agg(F.count("*").alias("n_clusters"), F.sum(F.col("size") - 1).alias("removed"))
 
 
-def greedy_survivors(rows: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, n_bands: int = 32, band_rows: int = 4, bucket_cap: int | None = 100) -> DataFrame:
+def _packed(signature: Column, hex_of) -> Column:
+    """A signature as bytes, eight of each value (of an MD5 its first eight, which differ wherever the whole does)."""
+    return F.unhex(F.array_join(F.transform(signature, hex_of), ""))
+
+
+def _signature_sets(signed: DataFrame) -> DataFrame:
+    """One row (``h``, ``id``, ``sig``) of every signature, with its smallest id."""
+    return signed.where("id IS NOT NULL").groupBy("h").agg(F.min("id").alias("id"), F.first("sig").alias("sig"))
+
+
+def _band_tasks(sets: DataFrame, status: DataFrame, n_bands: int, rows: int) -> DataFrame:
+    """The rows of every band that holds two and more, one of them open (``status``: ``id``, ``stays``), with the task
+    (``band``, ``key``, ``a`` <= ``b``) of every pair of blocks that they stand in; sorted by task and id."""
+    keys = F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda b: F.substring("sig", b * (8 * rows) + 1, F.lit(8 * rows)))
+    keyed = sets.join(status, "id").select("id", "stays", F.posexplode(keys).alias("band", "key"))
+    shared = keyed.groupBy("band", "key").agg(F.count("*").alias("members"), F.count_if(~F.col("stays")).alias("open")).where("members > 1 AND open > 0")
+    dealt = (
+        keyed.join(shared.select("band", "key", F.expr(f"cast(ceil(members / {BLOCK}) as int)").alias("blocks")), ["band", "key"])
+        .withColumn("block", F.expr("cast(pmod(xxhash64(id, 7), blocks) as int)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .select("id", "stays", "band", "key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block")
+    )
+    ready = dealt.join(sets.select("id", "sig"), "id").select("band", "key", "a", "b", "id", "stays", "block", "sig")
+    return ready.repartition("band", "key", "a", "b").sortWithinPartitions("band", "key", "a", "b", "id")
+
+
+def _alike(group: list[tuple], threshold: float) -> np.ndarray:
+    """Which rows of a task are alike, told below the diagonal; pairs of kept rows, and within a block in a task of two, don't count."""
+    sig = np.frombuffer(b"".join(r[7] for r in group), np.uint64).reshape(len(group), -1)
+    stays, block = np.array([r[5] for r in group]), np.array([r[6] for r in group])
+    alike = np.zeros((len(group), len(group)), bool)
+    for i in range(1, len(group)):
+        wanted = ~(stays[:i] & stays[i])
+        if group[0][2] != group[0][3]:
+            wanted &= block[:i] != block[i]
+        js = np.flatnonzero(wanted)
+        alike[i, js] = np.count_nonzero(sig[js] == sig[i], axis=1) / sig.shape[1] >= threshold
+    return alike
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
+    """Runs of rows with equal first columns."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and held[-1][:keys] != row[:keys]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _each_run(ready: DataFrame, keys: int, work: Callable[[list[tuple]], list[tuple]], ddl: str, kinds: list) -> DataFrame:
+    """What ``work`` gives for every run of rows with equal first columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        names = [x.split()[0] for x in ddl.split(",")]
+        pack = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+        for group in _runs(batches, keys):
+            out += work(group)
+            if len(out) >= 1000:
+                yield pack()
+                out = []
+        if out:
+            yield pack()
+
+    return ready.mapInArrow(run, ddl)
+
+
+def _band_ties(sets: DataFrame, status: DataFrame, n_bands: int, rows: int, threshold: float) -> DataFrame:
+    """``u``, ``v``: ties that span the groups of alike rows of every task. Only they leave a task, never its pairs."""
+
+    def work(group: list[tuple]) -> list[tuple]:
+        alike = _alike(group, threshold)
+        alike |= alike.T
+        root, out = np.full(len(group), -1), []
+        for i in range(len(group)):
+            if root[i] < 0:
+                root[i], front = i, np.array([i])
+                while len(front):
+                    front = np.flatnonzero(alike[front].any(0) & (root < 0))
+                    root[front] = i
+            if root[i] != i:
+                out.append((group[i][4], group[root[i]][4]))
+        return out
+
+    kind = sets.schema["id"].dataType
+    return _each_run(_band_tasks(sets, status, n_bands, rows), 4, work, f"u {kind.simpleString()}, v {kind.simpleString()}", [to_arrow_type(kind)] * 2).distinct()
+
+
+def greedy_survivors(rows: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, n_bands: int = 32, band_rows: int = 4) -> DataFrame:
     """The ids that stay if, in the order of ids, a row goes when an earlier row that stays is as similar as the threshold.
 
-    Similar pairs come from shared bands (of the first ``bucket_cap`` rows of each) and agreeing signatures. The order
-    is resolved within the pairs' connected components.
+    Similar rows share a band, and their signatures agree. Of equal signatures the first id stands for all: what takes it
+    takes the others, else it takes them itself. Bands of any size are compared whole, as pairs of blocks, and a task
+    gives at most one row for each of its rows. A row without an earlier similar one stays, a row whose first similar one
+    stays goes, and so on for ``ROUNDS`` rounds, which decide groups of near copies; what is open then (chains) is
+    decided in order within its connected components. Rows without an id stay.
     """
-    signed = written(rows.select(F.col(id_col).alias("id"), md5_minhash(F.col(text_col)).alias("sig")), "greedy-signatures")
-    keyed = signed.select("id", F.posexplode(bands(F.col("sig"), n_bands, band_rows)).alias("band", "key"))
-    if bucket_cap is not None:
-        keyed = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("band", "key").orderBy("id"))).where(F.col("rank") <= bucket_cap).drop("rank")
-    pairs = keyed.withColumnRenamed("id", "i").join(keyed.withColumnRenamed("id", "j"), ["band", "key"]).where("i < j").select("i", "j").distinct()
-    left, right = signed.select(F.col("id").alias("i"), F.col("sig").alias("si")), signed.select(F.col("id").alias("j"), F.col("sig").alias("sj"))
-    similar = written(pairs.join(left, "i").join(right, "j").where(agreement(F.col("si"), F.col("sj")) >= threshold).select("i", "j"), "greedy-pairs")
-    rooted = similar.join(components(similar.select(F.col("i").alias("u"), F.col("j").alias("v")), "greedy-components"), F.col("i") == F.col("node")).select("root", "i", "j")
-
-    def removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gone: set = set()
-        root = None
-        for frame in frames:
-            out = []
-            for r, i, j in frame.itertuples(index=False):
-                if r != root:
-                    gone, root = set(), r
-                if i not in gone and j not in gone:
-                    gone.add(j)
-                    out.append(j)
-            yield pd.DataFrame({"id": out}, dtype="int64")
-
-    kind = rows.schema[id_col].dataType.simpleString()
-    lost = rooted.repartition("root").sortWithinPartitions("root", "i", "j").mapInPandas(removed, f"id {kind}")
-    return signed.select("id").join(lost, "id", "left_anti")
+    signature = _packed(md5_minhash(F.col(text_col)), lambda x: F.substring(x, 1, 16))
+    signed = written(rows.select(F.col(id_col).alias("id"), signature.alias("sig")).withColumn("h", F.md5("sig")), "greedy-signatures")
+    sets = written(_signature_sets(signed), "greedy-sets")
+    kind = sets.schema["id"].dataType
+    name, arrow = kind.simpleString(), to_arrow_type(kind)
+
+    def first(group: list[tuple]) -> list[tuple]:
+        alike, stays = _alike(group, threshold), np.array([r[5] for r in group])
+        gone, least = (alike & stays).any(1), (alike & ~stays).argmax(1)
+        before = (alike & ~stays).any(1)
+        return [(group[i][4], group[least[i]][4] if before[i] else None, bool(gone[i])) for i in np.flatnonzero(gone | before).tolist()]
+
+    status = sets.select("id", F.lit(False).alias("stays"))
+    for _ in range(ROUNDS):
+        told = _each_run(_band_tasks(sets, status, n_bands, band_rows), 4, first, f"id {name}, first {name}, gone boolean", [arrow, arrow, pa.bool_()])
+        told = written(told.groupBy("id").agg(F.min("first").alias("first"), F.max("gone").alias("gone")), "greedy-told")
+        # rows that aren't told of have no similar row before them
+        left = told.where("NOT gone").join(told.select(F.col("id").alias("first")), "first", "left_semi").select("id", F.lit(False).alias("stays"))
+        status = written(status.join(told.select("id"), "id", "left_anti").select("id", F.lit(True).alias("stays")).union(left), "greedy-status")
+        if status.where("NOT stays").isEmpty():
+            break
+    else:
+        found = components(_band_ties(sets, status, n_bands, band_rows, threshold), "greedy-components")
+        ready = found.join(status, F.col("node") == F.col("id")).drop("node").join(sets.select("id", "sig"), "id").select("root", "id", "stays", "sig")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            root, kept, n = None, np.zeros((16, HASHES), np.uint64), 0
+            for batch in batches:
+                lost = []
+                for r, i, stays, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if r != root:
+                        root, n = r, 0
+                    sig = np.frombuffer(data, np.uint64)
+                    if not stays:
+                        same = kept[:n] == sig
+                        near = same[np.count_nonzero(same, axis=1) / HASHES >= threshold]
+                        if near[:, : n_bands * band_rows].reshape(len(near), n_bands, band_rows).all(2).any():
+                            lost.append(i)
+                            continue
+                    if n == len(kept):
+                        kept = np.concatenate([kept, np.zeros_like(kept)])
+                    kept[n] = sig
+                    n += 1
+                yield pa.RecordBatch.from_arrays([pa.array(lost, arrow)], ["id"])
+
+        lost = ready.repartition("root").sortWithinPartitions("root", "id").mapInArrow(run, f"id {name}")
+        status = status.join(lost, "id", "left_anti")
+    return signed.where("id IS NULL").select("id").union(signed.select("id").join(status, "id", "left_semi"))
 
 
 def exact_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:

@@ -119,6 +119,26 @@ def test_greedy_order(spark):
     assert ids(neardup.greedy_survivors(spark.createDataFrame(rows, "id bigint, text string"), "id", "text")) == [1, 3]
 
 
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_greedy_order_takes_hot_bands_whole(spark, monkeypatch, rounds):
+    monkeypatch.setattr(neardup, "BLOCK", 50)
+    monkeypatch.setattr(neardup, "ROUNDS", rounds)
+    rng = random.Random(5)
+    base = "".join(rng.choices("abcdefghij", k=300))
+    texts = ["Say the same again, please."] * 120 + [base + str(i) for i in range(130)]
+    for _ in range(40):  # chains: every text is a small change of the one before
+        base = base[5:] + "".join(rng.choices("abcdefghij", k=5))
+        texts.append(base)
+    rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    sig = {r.id: np.array(r.s) for r in rows.select("id", neardup.md5_minhash("text").alias("s")).collect()}
+    want: list[int] = []
+    for i in range(len(texts)):  # at 0.8 of 128 values, one of 32 bands agrees whole
+        if all((sig[i] == sig[j]).mean() < 0.8 for j in want):
+            want.append(i)
+    found = ids(neardup.greedy_survivors(rows, "id", "text"))
+    assert found == want and 3 < len(want) < 60
+
+
 def test_exact_pairs_find_all(spark):
     rng = random.Random(3)
     base = [f"w{rng.randrange(900)}" for _ in range(60)]
