@@ -96,16 +96,22 @@ def jaccard(a: Column, b: Column) -> Column:
 def document_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_bands: int = 9, rows: int = 13, verify: float | None = None) -> DataFrame:
     """Every document's ``cluster`` (its smallest id) by bands that it shares.
 
-    Documents of one band are tied to the band's smallest id, so ties don't outnumber documents. Without ``verify`` a tie
-    counts as it is; with it, only if the signatures agree at least so often.
+    Without ``verify`` all documents of a band are one cluster, tied to its smallest id, so ties don't outnumber documents.
+    With it, two documents of a band are tied if their signatures agree at least so often: equal signatures are one, and
+    all pairs of the others are tested, dealt out as pairs of blocks.
     """
-    signed = written(spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), minhash(F.col(text_col)).alias("sig")), "neardup-signatures")
+    signed = spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), minhash(F.col(text_col)).alias("sig"))
+    if verify is not None:
+        signed = signed.withColumn("sig", _packed(F.col("sig"), lambda x: F.lpad(F.hex(x), 16, "0")))
+        signed = written(signed.withColumn("h", F.md5("sig")), "neardup-signatures")
+        sets = written(_signature_sets(signed), "neardup-sets")
+        ties = _band_ties(sets, sets.select("id", F.lit(False).alias("stays")), n_bands, rows, verify)
+        found = sets.select("h", F.col("id").alias("rep")).join(components(ties, "neardup-clusters"), F.col("rep") == F.col("node"), "left")
+        return signed.select("id", "h").join(found, "h", "left").select("id", F.coalesce("root", "rep", "id").alias("cluster"))
+    signed = written(signed, "neardup-signatures")
     keyed = signed.select("id", F.posexplode(bands(F.col("sig"), n_bands, rows)).alias("band", "key"))
     firsts = keyed.groupBy("band", "key").agg(F.min("id").alias("v"))
     ties = keyed.join(firsts, ["band", "key"]).where("id <> v").select(F.col("id").alias("u"), "v").distinct()
-    if verify is not None:
-        left, right = signed.select(F.col("id").alias("u"), F.col("sig").alias("su")), signed.select(F.col("id").alias("v"), F.col("sig").alias("sv"))
-        ties = ties.join(left, "u").join(right, "v").where(agreement(F.col("su"), F.col("sv")) >= verify).select("u", "v")
     found = components(ties, "neardup-clusters")
     return docs.select(F.col(id_col).alias("id")).join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("cluster"))
 

@@ -114,6 +114,16 @@ def test_document_clusters(spark):
     assert list(pairs) == [(1, 3)] and pairs[1, 3] == pytest.approx(195 / 197)
 
 
+def test_verified_clusters_behind_a_stranger(spark):
+    rng = random.Random(9)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    text = words(120)
+    rows = [(i, " ".join([*text, *words(70)])) for i in range(800)]  # strangers: alike by less than the threshold
+    rows += [(1000, " ".join(text)), (1001, " ".join(text)), (1002, " ".join([*text[:-1], "x"]))]
+    found = {r.id: r.cluster for r in neardup.document_clusters(spark.createDataFrame(rows, "doc_id bigint, text string"), n_bands=32, rows=4, verify=0.8).collect()}
+    assert found == {i: 1000 if i >= 1000 else i for i, _ in rows}
+
+
 def test_greedy_order(spark):
     rows = [(1, "What is the boiling point of water at sea level?"), (2, "What is the boiling point of water at sea level ?"), (3, "Name three rivers in Europe and their lengths."), (4, "what is the boiling point of water at sea level?")]
     assert ids(neardup.greedy_survivors(spark.createDataFrame(rows, "id bigint, text string"), "id", "text")) == [1, 3]
