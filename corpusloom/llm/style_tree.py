@@ -9,16 +9,16 @@ aggregate by node:
   one of a single page 0), so repeated text is unimportant.
 
 Their weighted sum is a branch's importance, times a presentation prior: what a page marks as menu, header, footer,
-sidebar, notice, advert, form, script or comments has importance 0, and a page's article or main element has
-importance 1 and makes the rest of that page 0. The prior is needed: menus and adverts with other words on every page
-have the same entropies as articles. Branches without such marks live or fall by their entropies.
+sidebar, notice, advert, form, script or comments has the prior 0, all else 1. The prior is needed: menus and adverts
+with other words on every page have the same entropies as articles. Branches without such marks live or fall by their
+entropies, within a page's article or main element and beside it.
 
 Pages are read twice (for the tree, then for the texts), so that no text is shuffled; only nodes with low importance
 are joined back by host.
 
 Defined results: null and empty html give an empty text; broken markup is closed as browsers close it; equal pages of
 a host count once; a host with fewer than ``MIN_PAGES`` distinct pages, or a row without a host, is judged by marks
-alone; repeated rows give repeated results; null ids stay null; an empty table gives an empty result. Only the named
+alone, by which a page's article or main element, where it has text, is all of its main text; repeated rows give repeated results; null ids stay null; an empty table gives an empty result. Only the named
 columns are read.
 """
 
@@ -180,22 +180,22 @@ def host_key(url: Column) -> Column:
 
 
 def tree_rows(key: int | None, html: str | None) -> Iterator[tuple[int, int, int, int, int]]:
-    """The page's part of its host's tree: (host, kind, node, feature, page); kind 0 is content without marks, 1
-    content with marks, 2 presentation, 3 the page itself."""
+    """The page's part of its host's tree: (host, kind, node, feature, page); kind 0 is content, 1
+    content marked as boilerplate, 2 presentation, 3 the page itself."""
     if key is None or not html:
         return
     sheet = _hash(html)
     page = Page(html)
     yield key, 3, 0, sheet, sheet
     for node, mark, feature in {(n, mark, _hash(text)) for n, mark, text in page.blocks}:
-        yield key, 0 if mark == _UNMARKED else 1, node, feature, sheet
+        yield key, 1 if mark == _ZERO else 0, node, feature, sheet
     for node, sequences in page.shown.items():
         yield key, 2, node, _hash(*sequences), sheet
 
 
 def node_importance(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Every node of every host's tree: ``host`` (hash), ``node``, ``pages`` of the host, ``presentation``, ``content``,
-    ``importance``, and ``marked`` where no page has the node without a mark."""
+    ``importance``, and ``marked`` where all pages mark the node as boilerplate."""
     bounded(pages.sparkSession)
     schema = pa.schema([("host", pa.int64()), ("kind", pa.int32()), ("node", pa.int64()), ("feature", pa.int64()), ("page", pa.int64())])
 
@@ -220,21 +220,23 @@ def node_importance(pages: DataFrame, url_col: str = "url", html_col: str = "htm
     )
 
 
-def main_text(html: str | None, low: frozenset[int] = frozenset()) -> str:
-    """The page's main text; ``low`` has the nodes of its host that go."""
+def main_text(html: str | None, low: frozenset[int] | None = None) -> str:
+    """The page's main text; ``low`` has the nodes of its host that go, and is None for hosts without a judgement."""
     if not html:
         return ""
     blocks = Page(html).blocks
-    if any(mark == _ARTICLE for _, mark, _ in blocks):
-        return "\n".join(text for _, mark, text in blocks if mark == _ARTICLE)
-    return "\n".join(text for node, mark, text in blocks if mark == _UNMARKED and node not in low)
+    if low is not None:
+        return "\n".join(text for node, mark, text in blocks if mark != _ZERO and node not in low)
+    wanted = _ARTICLE if any(mark == _ARTICLE for _, mark, _ in blocks) else _UNMARKED
+    return "\n".join(text for _, mark, text in blocks if mark == wanted)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id``, ``url`` and main ``text`` of every page."""
     bounded(pages.sparkSession)
-    low = node_importance(pages, url_col, html_col).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW) & ~F.col("marked"))
-    by_host = written(low.groupBy("host").agg(F.collect_list("node").alias("low")), "pages-low")
+    judged = node_importance(pages, url_col, html_col).where(F.col("pages") >= MIN_PAGES)
+    low = F.when((F.col("importance") < LOW) & ~F.col("marked"), F.col("node"))
+    by_host = written(judged.groupBy("host").agg(F.collect_list(low).alias("low")), "pages-low")  # nulls are left out
     few = by_host.agg(F.coalesce(F.sum(F.size("low") + 1), F.lit(0))).first()[0] <= BROADCAST_NODES
     url = F.col(f"`{url_col}`").cast("string")
     plain = pages.select(F.col(f"`{id_col}`").alias("id"), url.alias("url"), F.col(f"`{html_col}`").cast("string").alias("html"))
@@ -244,7 +246,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), batch.column(2), strict=True)
-            yield from emit(((k, u, main_text(h.as_py(), frozenset(nodes or ()))) for k, u, nodes, h in rows), schema, lambda r: len(r[2]))
+            yield from emit(((k, u, main_text(h.as_py(), None if nodes is None else frozenset(nodes))) for k, u, nodes, h in rows), schema, lambda r: len(r[2]))
 
     known = spread(plain).withColumn("host", host_key(F.col("url")))
     if few:

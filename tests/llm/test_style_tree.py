@@ -49,6 +49,13 @@ def test_low_entropy_branches_go(spark):
     assert all(0 <= r.importance <= 1 for r in nodes) and min(r.importance for r in nodes) < 0.1 and max(r.importance for r in nodes) >= 0.9
 
 
+def test_entropies_judge_articles_too(spark):
+    html = "<body><main>Small {0}</main><div class='story'>Long text {0}</div><article><p>Own {0}</p><div class='box'>Same words</div></article></body>"
+    rows = [(i, f"http://{'large' if i < 6 else 'small'}.example/{i}", html.format(i)) for i in range(8)]
+    found = {r.id: r.text for r in st.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert found == {i: f"Small {i}\nLong text {i}\nOwn {i}" if i < 6 else f"Small {i}\nOwn {i}\nSame words" for i in range(8)}
+
+
 def test_the_salted_join_gives_the_same(spark, monkeypatch):
     rng = random.Random(2)
     rows = [(i, f"http://h.example/{i}", page(rng, "h", i, f"<p>text {i} {rng.random()}</p>")) for i in range(30)]
