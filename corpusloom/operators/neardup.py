@@ -273,16 +273,19 @@ def greedy_survivors(rows: DataFrame, id_col: str, text_col: str, threshold: flo
     return signed.where("id IS NULL").select("id").union(signed.select("id").join(status, "id", "left_semi"))
 
 
+def _hashed_shingles(text: Column) -> Column:
+    return F.array_sort(F.transform(word_shingles(F.coalesce(text, F.lit(""))), lambda s: F.xxhash64(s)))
+
+
 def exact_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """``i``, ``j`` and ``similarity`` of all pairs of different shingle sets that are as similar as the threshold, each set
-    told by its smallest id.
+    told by its smallest id; ``exact_members`` has the documents of the sets.
 
     Prefix filter: in one order of shingles, the rarest first, two such sets share one of their first
     ``n - ceil(threshold * n) + 1`` shingles. So only the beginnings are joined, and a frequent shingle, which stands in
     no beginning of a set of some size, ties nothing.
     """
-    hashed = F.array_sort(F.transform(word_shingles(F.coalesce(F.col(text_col), F.lit(""))), lambda s: F.xxhash64(s)))
-    sets = written(spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), hashed.alias("g")).groupBy("g").agg(F.min("id").alias("id")).where(F.size("g") > 0), "exact-sets")
+    sets = written(spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), _hashed_shingles(F.col(text_col)).alias("g")).groupBy("g").agg(F.min("id").alias("id")).where(F.size("g") > 0), "exact-sets")
     each = sets.select("id", F.size("g").alias("n"), F.explode("g").alias("s"))
     rare = each.join(each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "s")
     # shingles of a single set come before all others in the order, and tie nothing
@@ -292,3 +295,18 @@ def exact_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = left.join(right, "s").where((F.col("i") < F.col("j")) & (F.least("ni", "nj") >= F.greatest("ni", "nj") * threshold)).select("i", "j").distinct()
     told = near.join(sets.select(F.col("id").alias("i"), F.col("g").alias("gi")), "i").join(sets.select(F.col("id").alias("j"), F.col("g").alias("gj")), "j")
     return told.select("i", "j", jaccard(F.col("gi"), F.col("gj")).alias("similarity")).where(F.col("similarity") >= threshold)
+
+
+def exact_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """One row for every document: ``id``, the ``representative`` of its shingle set (the smallest id, as ``exact_pairs`` tells
+    it), ``class_id`` (the smallest id of all that links tie together) and ``n_links`` (other documents as similar as the
+    threshold, copies included). Null and blank texts have no shingles and are alike among themselves only."""
+    name = F.md5(F.array_join(_hashed_shingles(F.col(text_col)).cast("array<string>"), ","))
+    rows = written(spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), name.alias("h")), "exact-members")
+    sets = rows.groupBy("h").agg(F.min("id").alias("representative"), F.count("*").alias("docs"))
+    pairs = written(exact_pairs(docs, id_col, text_col, threshold).select(F.col("i").alias("u"), F.col("j").alias("v")), "exact-links")
+    other = sets.select(F.col("representative").alias("v"), "docs")
+    links = pairs.union(pairs.select("v", "u")).join(other, "v").groupBy("u").agg(F.sum("docs").alias("links"))
+    told = sets.join(links, F.col("representative") == F.col("u"), "left").join(components(pairs, "exact-classes"), F.col("representative") == F.col("node"), "left")
+    told = told.select("h", "representative", F.coalesce("root", "representative").alias("class_id"), (F.col("docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return rows.join(told, "h").select("id", "representative", "class_id", "n_links")

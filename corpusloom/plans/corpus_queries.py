@@ -69,6 +69,20 @@ def shingle_jaccard_pairs(spark, sf_dir):
     return N.exact_pairs(table(spark, sf_dir, "documents")).withColumn("similarity", F.round("similarity", 4))
 
 
+@query(r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) ELSE ws END)) AS g FROM w),
+c AS (SELECT min(doc_id) AS id, g, len(g) AS n, count(*) AS docs FROM g GROUP BY g),
+e AS (SELECT id, n, docs, unnest(g) AS s FROM c),
+p AS (SELECT a.id AS i, b.id AS j, a.docs AS di, b.docs AS dj FROM e a JOIN e b ON a.s = b.s AND a.id < b.id GROUP BY a.id, b.id, a.n, b.n, a.docs, b.docs HAVING count(*) / (a.n + b.n - count(*)) >= 0.8),
+l AS (SELECT id, sum(d) AS links FROM (SELECT i AS id, dj AS d FROM p UNION ALL SELECT j, di FROM p) GROUP BY id)
+SELECT g.doc_id AS id, c.id AS representative, CAST(c.docs - 1 + coalesce(l.links, 0) AS BIGINT) AS n_links FROM g JOIN c ON g.g = c.g LEFT JOIN l ON l.id = c.id
+""")
+def shingle_jaccard_members(spark, sf_dir):
+    """The set of every document, and how many others are as alike as 0.8; the membership of the pairs."""
+    return N.exact_members(table(spark, sf_dir, "documents")).drop("class_id")
+
+
 @query()
 def minhash_document_clusters(spark, sf_dir):
     """Clusters of documents that share a band of nine."""

@@ -166,6 +166,14 @@ def test_exact_pairs_find_all(spark):
     assert {(r.i, r.j) for r in neardup.exact_pairs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()} == want
 
 
+def test_exact_members_tell_all_documents(spark):
+    base = [f"w{i}" for i in range(100)]
+    near = " ".join([*base, "x"])
+    rows = [(1, " ".join(base)), (2, near), (3, near.upper()), (4, "lone  copy"), (5, "Lone copy"), (6, None), (7, " "), (8, "else")]
+    found = {r.id: (r.representative, r.class_id, r.n_links) for r in neardup.exact_members(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == {1: (1, 1, 2), 2: (2, 1, 2), 3: (2, 1, 2), 4: (4, 4, 1), 5: (4, 4, 1), 6: (6, 6, 1), 7: (6, 6, 1), 8: (8, 8, 0)}
+
+
 def test_chunks():
     words = lambda n, end="": " ".join(["w"] * n) + end
     assert list(retrieval.chunks("")) == [] and list(retrieval.chunks("short")) == [("fulltext", "short")]
