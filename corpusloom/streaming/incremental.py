@@ -8,6 +8,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpusloom.session import scratch_path
@@ -76,3 +77,23 @@ def each_batch(process: Callable[[DataFrame], DataFrame], path: str) -> Callable
         process(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return put
+
+
+class Progress(StreamingQueryListener):
+    """Tells every batch (``batch``, ``rows``, ``rows_per_second``) of the session's streams, once added to ``spark.streams``."""
+
+    def __init__(self, tell: Callable[[dict[str, Any]], None]):
+        self.tell = tell
+
+    def onQueryStarted(self, event: Any) -> None:
+        pass
+
+    def onQueryProgress(self, event: Any) -> None:
+        p = event.progress
+        self.tell({"batch": p.batchId, "rows": p.numInputRows, "rows_per_second": p.processedRowsPerSecond})
+
+    def onQueryIdle(self, event: Any) -> None:
+        pass
+
+    def onQueryTerminated(self, event: Any) -> None:
+        pass

@@ -98,3 +98,22 @@ def test_running_budget_over_batches(spark, tmp_path):
     assert run().count() == 3
     put([("a", 3, 4), ("a", 4, 1), ("b", 2, 1)])
     assert [r.n for r in run().collect()] == [3]
+
+
+def test_streams_tell_their_progress(spark, tmp_path):
+    import time
+
+    from corpusloom.streaming import incremental
+
+    spark.range(7).write.parquet(str(tmp_path / "in"))
+    told: list[dict] = []
+    listener = incremental.Progress(told.append)
+    spark.streams.addListener(listener)
+    try:
+        incremental.run_available(incremental.file_stream(spark, str(tmp_path / "in"), "id bigint"), "progress")
+        until = time.time() + 20
+        while sum(t["rows"] for t in told) < 7 and time.time() < until:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert sum(t["rows"] for t in told) == 7 and told[0]["batch"] == 0
