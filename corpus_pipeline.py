@@ -34,7 +34,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources at their target weights; ``n_chars`` follows the text where a document is cut."""
-    mix = mixing.mixed(mixing.plan_mix(docs, carry=docs.columns)).select("row.*")
+    mix = mixing.mixed(docs).select("row.*")
     return mix.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*all_columns(docs))
 
 
