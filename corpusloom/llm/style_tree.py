@@ -1,32 +1,36 @@
 """Main text of web pages by a site style tree.
 
-The pages of a host are merged into one tree of styles: a node is a path of elements (tag, classes, id), and siblings
-of one style share a node. Over the host's distinct pages every node gets two entropies, as sums that executors
+The pages of a host are merged into one tree of styles: a node is a path of elements (tag, letters of classes and id), and
+siblings of one style share a node. Over the host's distinct pages every node gets two entropies, as sums that executors
 aggregate by node:
 
 * presentation: the entropy of the sequences of child elements that the node shows (many different ones: important);
 * content: one minus the mean entropy of its text blocks over pages (a block that stands on all pages has entropy 1,
   one of a single page 0), so repeated text is unimportant.
 
-Their weighted sum is a branch's importance, times a presentation prior: what a page marks as menu, header, footer,
-sidebar, notice, advert, form, script or comments has the prior 0, all else 1. The prior is needed: menus and adverts
-with other words on every page have the same entropies as articles. Branches without such marks live or fall by their
-entropies, within a page's article or main element and beside it.
+Their weighted sum times a prior is a node's importance, and the text of nodes under ``LOW`` goes; nothing else does. The prior
+(``PRIORS``) comes from what pages mark: menus, footers, sidebars, adverts, forms, scripts and comments by 0.1, so none of
+them stays; words that boilerplate and articles share (notice, banner, widget) by 0.5, so such a box goes if it repeats and
+stays if its text is its page's own; an article or main element by 10, so of it only goes what stands on nearly all pages;
+all else by 1. A prior is needed: menus and adverts with other words on every page have the same entropies as articles.
 
 Pages are read twice (for the tree, then for the texts), so that no text is shuffled; only nodes with low importance
 are joined back by host.
 
-Defined results: null and empty html give an empty text; broken markup is closed as browsers close it; equal pages of
-a host count once; a host with fewer than ``MIN_PAGES`` distinct pages, or a row without a host, is judged by marks
-alone, by which a page's article or main element, where it has text, is all of its main text; repeated rows give repeated results; null ids stay null; an empty table gives an empty result. Only the named
-columns are read.
+Defined results: null and empty html give an empty text; broken markup is closed as browsers close it, and a tag that the
+page breaks off in is none; equal pages of a host count once; a host with fewer than ``MIN_PAGES`` distinct pages, or a row
+without a host, is judged by marks alone, by which a page's article or main element, where it has text, is all of its main
+text; so is a page of which the tree would leave nothing. A form around an article or main element, or around all text of a
+page, is no form; where class names mark all text of a page, they count for nothing. Digits in classes and ids don't count, so
+numbered ones share a node. Repeated rows give repeated results; null ids stay null; an empty table gives an empty result.
+Only the named columns are read.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 import xxhash
@@ -49,15 +53,31 @@ CLOSES_P = BLOCKS - frozenset("body dd dt html legend option tbody td tfoot th t
 SELF_CLOSING = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"})}
 SCOPES = frozenset("html body table td th article section main div button object".split())
 
+#: Elements whose content is raw text up to their end tag; none of it is main text.
+RAW = frozenset("script style title textarea iframe noembed noframes".split())
+
 # Presentation prior: marks of what is no main text.
-NO_TEXT = frozenset("head title script style noscript template iframe object svg math canvas audio video nav footer aside form button select textarea input option datalist dialog menu search".split())
-MARKS = frozenset("nav navbar navigation menu menubar breadcrumb breadcrumbs masthead footer sidebar aside widget widgets ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments commentlist respond replies disqus pagination pager".split())
+NO_TEXT = RAW | frozenset("head noscript template object svg math canvas audio video nav footer aside button select input option datalist dialog menu search".split())
+MARKS = frozenset("nav navbar navigation menu menubar breadcrumb breadcrumbs masthead footer sidebar aside ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr newsletter subscribe subscription signup login share sharing social related recommended comment comments commentlist respond replies disqus pagination pager".split())
+#: Words of classes that boilerplate and parts of articles share.
+DOUBTFUL = frozenset("notice notices alert banner widget widgets promo promotion popup modal overlay".split())
 #: Classes of article elements that are no articles; others of theirs often name topics, so parts of names don't count.
 REPLIES = frozenset({"comment", "comments", "comment-body", "reply", "ad", "advert"})
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-_TOKEN = re.compile(r"[a-z0-9]+")
-
-_UNMARKED, _ZERO, _ARTICLE = 0, 1, 2
+_LETTERS = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"""([^\s=/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+_NAMED = frozenset(("class", "id", "role", "hidden"))
+#: A tag with its attributes (in a value's quotes a tag doesn't end, but for a quote that nothing closes), a comment, or
+#: another declaration. Possessive, so that broken markup costs no second look.
+_MARKUP = re.compile(
+    r"""<(?:(/?)([a-zA-Z][^\s/>]*+)(?:((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>|([^>]*+)>)|!--(?:-?>|.*?(?:--!?>|\Z))|[!?/][^>]*+>?)""",
+    re.DOTALL,
+)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW}
+
+#: Marks, and the prior of each.
+UNMARKED, BOILERPLATE, ARTICLE, DOUBTED, FORM = range(5)
+PRIORS = (1.0, 0.1, 10.0, 0.5, 0.1)
 
 
 def _hash(*parts: object) -> int:
@@ -65,38 +85,85 @@ def _hash(*parts: object) -> int:
 
 
 class _Element:
-    __slots__ = ("children", "mark", "path", "tag")
+    """An open element: its tag, node, marks with and without the words of classes, and the styles of its children."""
+
+    __slots__ = ("block", "children", "loose", "mark", "path", "tag")
 
-    def __init__(self, tag: str, path: int, mark: int):
-        self.tag, self.path, self.mark, self.children = tag, path, mark, []
+    def __init__(self, tag: str, path: int, mark: int, loose: int):
+        self.tag, self.path, self.mark, self.loose, self.children = tag, path, mark, loose, []
+        self.block = tag in BLOCKS
 
 
-class Page(HTMLParser):
+def _by_tag(tag: str, above: int, given: dict[str, str]) -> int:
+    """The mark of an element below one marked ``above``, but for its classes' words."""
+    if above == BOILERPLATE or tag in NO_TEXT or "hidden" in given or tag == "header" and above != ARTICLE or given.get("role", "").lower() in ROLES:
+        return BOILERPLATE
+    if tag in ("article", "main"):
+        return BOILERPLATE if not REPLIES.isdisjoint(given.get("class", "").lower().split()) else ARTICLE
+    return FORM if tag == "form" else above
+
+
+class Page:
     """A page's text blocks as (node, mark, text), and its nodes with their sequences of children."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.stack = [_Element("", 0, _UNMARKED)]
-        self.blocks: list[tuple[int, int, str]] = []
+        self.stack = [_Element("", 0, UNMARKED, UNMARKED)]
+        self.found: list[tuple[int, int, int, str]] = []
         self.shown: dict[int, list[str]] = {}
         self.held: list[str] = []
-        self.feed(html)
-        self.close()
+        self._read(html)
         self._flush()
         while len(self.stack) > 1:
             self._pop()
+        marks = 1 if any(mark not in (BOILERPLATE, FORM) for _, mark, _, _ in self.found) else 2
+        if marks == 2 and not any(loose not in (BOILERPLATE, FORM) for _, _, loose, _ in self.found):
+            self.blocks = [(node, UNMARKED if loose == FORM else loose, text) for node, _, loose, text in self.found]
+        else:
+            self.blocks = [(b[0], b[marks], b[3]) for b in self.found]
+
+    def _read(self, html: str) -> None:
+        at, end = 0, html.rfind(">") + 1
+        while True:
+            found = _MARKUP.search(html, at, end)
+            if found is None:
+                break
+            if found.start() > at:
+                self._text(html[at : found.start()])
+            at = found.end()
+            tag = found[2]
+            if tag is None:
+                continue
+            tag = tag.lower()
+            if found[1]:
+                self._end(tag)
+                continue
+            attributes = found[3] or found[4]
+            self._start(tag, attributes)
+            if tag in RAW:
+                close = _RAW_END[tag].search(html, at)
+                if close is None:
+                    return
+                at = close.start()
+        # behind the last tag: text, and maybe the beginning of a tag
+        rest = html[at:]
+        broken = re.search(r"<[a-zA-Z!?/]", rest)
+        self._text(rest[: broken.start()] if broken else rest)
+
+    def _text(self, text: str) -> None:
+        self.held.append(unescape(text) if "&" in text else text)
 
     def _flush(self) -> None:
         if self.held:
             text = " ".join("".join(self.held).split())
             self.held = []
             if text:
-                owner = next((e for e in reversed(self.stack) if e.tag in BLOCKS or e.mark != self.stack[-1].mark), self.stack[0])
-                self.blocks.append((owner.path, self.stack[-1].mark, text))
+                top = self.stack[-1]
+                owner = next((e for e in reversed(self.stack) if e.block or e.mark != top.mark), self.stack[0])
+                self.found.append((owner.path, top.mark, top.loose, text))
 
     def _pop(self) -> None:
         element = self.stack[-1]
-        if element.tag in BLOCKS:
+        if element.block:
             self._flush()
         self.stack.pop()
         if element.children:
@@ -112,65 +179,55 @@ class Page(HTMLParser):
             if self.stack[i].tag in until:
                 return
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def _start(self, tag: str, attributes: str) -> None:
         if tag in CLOSES_P:
             self._close({"p"}, SCOPES)
         if tag in SELF_CLOSING:
             self._close(*SELF_CLOSING[tag])
-        if tag in BLOCKS:
+        block = tag in BLOCKS
+        if block:
             self._flush()
         top = self.stack[-1]
-        style = tag
-        mark = top.mark
-        names: list[str] = []
-        given = dict(attrs)
-        if attrs:
-            names = _TOKEN.findall(f"{given.get('class') or ''} {given.get('id') or ''}".lower())
+        style, names, given = tag, [], {}
+        if attributes and not attributes.isspace():
+            for m in _ATTRIBUTE.finditer(attributes):
+                name = m[1].lower()
+                if name in _NAMED and name not in given:
+                    value = m[2] or m[3] or m[4] or ""
+                    given[name] = unescape(value) if "&" in value else value
+            names = _LETTERS.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())
             if names:
                 style = f"{tag}.{'.'.join(sorted(set(names)))}"
-            if mark != _ZERO and (given.get("role") or "").lower() in ROLES or "hidden" in given:
-                mark = _ZERO
         if not top.children or top.children[-1] != style:
             top.children.append(style)
         if tag in VOID:
             if tag == "br":
                 self.held.append(" ")
             return
-        if mark != _ZERO:
-            if tag in NO_TEXT or tag == "header" and mark != _ARTICLE:
-                mark = _ZERO
-            elif tag not in ("html", "body", "article", "main") and not MARKS.isdisjoint(names):
-                mark = _ZERO
-            elif tag in ("article", "main"):
-                mark = _ZERO if not REPLIES.isdisjoint((given.get("class") or "").lower().split()) else _ARTICLE
+        mark, loose = _by_tag(tag, top.mark, given), _by_tag(tag, top.loose, given)
+        if names and mark != BOILERPLATE and tag not in ("html", "body", "article", "main"):
+            if not MARKS.isdisjoint(names):
+                mark = BOILERPLATE
+            elif not DOUBTFUL.isdisjoint(names):
+                mark = DOUBTED
         if mark != top.mark:
             self._flush()
-        self.stack.append(_Element(tag, _hash(top.path, style), mark))
-
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)  # a slash means nothing in HTML
+        self.stack.append(_Element(tag, _hash(top.path, style), mark, loose))
 
-    def handle_endtag(self, tag: str) -> None:
+    def _end(self, tag: str) -> None:
         if tag == "br":
             self.held.append(" ")
             return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                marked = self.stack[i].mark != self.stack[i - 1].mark
-                if marked or tag in BLOCKS:
+                if self.stack[i].block or self.stack[i].mark != self.stack[i - 1].mark:
                     self._flush()
                 while len(self.stack) > i:
                     self._pop()
                 return
-            if tag not in BLOCKS and self.stack[i].tag in BLOCKS and self.stack[i].tag != "p":
+            if tag not in BLOCKS and self.stack[i].block and self.stack[i].tag != "p":
                 return  # an inline end tag closes nothing outside its block
 
-    def handle_data(self, data: str) -> None:
-        self.held.append(data)
-
-    def unknown_decl(self, data: str) -> None:
-        """A broken declaration holds no text."""
-
 
 def host_key(url: Column) -> Column:
     """A hash of the url's host, null without one; computed by Spark, so that joins by host need no Python."""
@@ -179,23 +236,26 @@ def host_key(url: Column) -> Column:
     return F.when(rest != "", F.xxhash64(F.translate(rest, upper, lower)))
 
 
+#: Kinds of a tree's rows behind those of content, which are its marks: presentation, and the page itself.
+SHOWN, SHEET = 10, 11
+
+
 def tree_rows(key: int | None, html: str | None) -> Iterator[tuple[int, int, int, int, int]]:
-    """The page's part of its host's tree: (host, kind, node, feature, page); kind 0 is content, 1
-    content marked as boilerplate, 2 presentation, 3 the page itself."""
+    """The page's part of its host's tree: (host, kind, node, feature, page); the kind of content is its mark."""
     if key is None or not html:
         return
     sheet = _hash(html)
     page = Page(html)
-    yield key, 3, 0, sheet, sheet
+    yield key, SHEET, 0, sheet, sheet
     for node, mark, feature in {(n, mark, _hash(text)) for n, mark, text in page.blocks}:
-        yield key, 1 if mark == _ZERO else 0, node, feature, sheet
+        yield key, mark, node, feature, sheet
     for node, sequences in page.shown.items():
-        yield key, 2, node, _hash(*sequences), sheet
+        yield key, SHOWN, node, _hash(*sequences), sheet
 
 
 def node_importance(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Every node of every host's tree: ``host`` (hash), ``node``, ``pages`` of the host, ``presentation``, ``content``,
-    ``importance``, and ``marked`` where all pages mark the node as boilerplate."""
+    """Every node of every host's tree: ``host`` (hash), ``node``, ``pages`` of the host, ``presentation``, ``content``, the largest
+    ``prior`` that pages give it, ``importance``, and whether any text stands in it (``texts``)."""
     bounded(pages.sparkSession)
     schema = pa.schema([("host", pa.int64()), ("kind", pa.int32()), ("node", pa.int64()), ("feature", pa.int64()), ("page", pa.int64())])
 
@@ -207,17 +267,18 @@ def node_importance(pages: DataFrame, url_col: str = "url", html_col: str = "htm
     features = rows.groupBy("host", "kind", "node", "feature").agg(F.countDistinct("page").alias("n"))
     # of an entropy -sum(p log p) with p = n / s: log(s) - sum(n log n) / s
     sums = features.groupBy("host", "kind", "node").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.log("n")).alias("l"))
-    of = lambda kinds, x: F.sum(F.when(F.col("kind").isin(*kinds), x))
-    nodes = sums.where("kind <> 3").groupBy("host", "node").agg(
-        of((2,), F.col("s")).alias("ps"), of((2,), F.col("l")).alias("pl"), of((0, 1), F.col("s")).alias("cs"), of((0, 1), F.col("l")).alias("cl"), (of((0,), F.col("s")).isNull()).alias("marked")
+    shown, text = F.col("kind") == SHOWN, F.col("kind") < SHOWN
+    prior = F.element_at(F.array(*map(F.lit, PRIORS)), F.col("kind") + 1)
+    nodes = sums.where(F.col("kind") != SHEET).groupBy("host", "node").agg(
+        F.sum(F.when(shown, F.col("s"))).alias("ps"), F.sum(F.when(shown, F.col("l"))).alias("pl"), F.sum(F.when(text, F.col("s"))).alias("cs"), F.sum(F.when(text, F.col("l"))).alias("cl"), F.max(F.when(text, prior)).alias("prior")
     )
-    sizes = sums.where("kind = 3").select(F.col("host").alias("h"), F.col("s").alias("pages"))
+    sizes = sums.where(F.col("kind") == SHEET).select(F.col("host").alias("h"), F.col("s").alias("pages"))
     base = F.log(F.greatest("pages", F.lit(2)))
     presentation = F.coalesce((F.log("ps") - F.col("pl") / F.col("ps")) / base, F.lit(0.0))
     content = F.coalesce(1 - F.col("cl") / F.col("cs") / base, F.lit(1.0))
-    return nodes.join(sizes, F.col("host") == F.col("h")).select(
-        "host", "node", "pages", presentation.alias("presentation"), content.alias("content"), (presentation * PRESENTATION + content * (1 - PRESENTATION)).alias("importance"), "marked"
-    )
+    importance = (F.col("presentation") * PRESENTATION + F.col("content") * (1 - PRESENTATION)) * F.col("prior")
+    told = nodes.join(sizes, F.col("host") == F.col("h")).select("host", "node", "pages", presentation.alias("presentation"), content.alias("content"), F.coalesce("prior", F.lit(1.0)).alias("prior"), F.col("cs").isNotNull().alias("texts"))
+    return told.withColumn("importance", importance)
 
 
 def main_text(html: str | None, low: frozenset[int] | None = None) -> str:
@@ -226,8 +287,10 @@ def main_text(html: str | None, low: frozenset[int] | None = None) -> str:
         return ""
     blocks = Page(html).blocks
     if low is not None:
-        return "\n".join(text for node, mark, text in blocks if mark != _ZERO and node not in low)
-    wanted = _ARTICLE if any(mark == _ARTICLE for _, mark, _ in blocks) else _UNMARKED
+        kept = [text for node, _, text in blocks if node not in low]
+        if kept:
+            return "\n".join(kept)
+    wanted = ARTICLE if any(mark == ARTICLE for _, mark, _ in blocks) else UNMARKED
     return "\n".join(text for _, mark, text in blocks if mark == wanted)
 
 
@@ -235,7 +298,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """``id``, ``url`` and main ``text`` of every page."""
     bounded(pages.sparkSession)
     judged = node_importance(pages, url_col, html_col).where(F.col("pages") >= MIN_PAGES)
-    low = F.when((F.col("importance") < LOW) & ~F.col("marked"), F.col("node"))
+    low = F.when((F.col("importance") < LOW) & F.col("texts"), F.col("node"))
     by_host = written(judged.groupBy("host").agg(F.collect_list(low).alias("low")), "pages-low")  # nulls are left out
     few = by_host.agg(F.coalesce(F.sum(F.size("low") + 1), F.lit(0))).first()[0] <= BROADCAST_NODES
     url = F.col(f"`{url_col}`").cast("string")
