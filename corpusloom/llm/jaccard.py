@@ -3,12 +3,16 @@
 Shingles are runs of five lower-cased words (the set of words, if a text has fewer). Documents with equal sets form one
 set, which stands for all of them, so copies of any number cost one row. For the rest:
 
-1. MinHash LSH forest. A set has ``TREES`` signatures of ``DEPTH`` values; each tree is the sorted order of its
-   signatures, whose common prefixes are the tries' branches. Prefixes are shortened from ``DEPTH`` until two sets at the
-   threshold share one in some tree with the target recall; the sets below one branch of that depth are candidates.
-2. In every branch, candidates whose sizes allow the threshold and whose whole signatures agree nearly as often as the
-   threshold asks (five standard errors below) are tied together. Only ties that span a branch's groups leave the task,
-   so they never outnumber the members. Their connected components hold every link.
+1. MinHash LSH forest. A set has ``TREES`` signatures of ``DEPTH`` values; the sorted order of a tree's signatures is its
+   trie, a run of rows with a common prefix one of its branches. Every set's prefixes are shortened from ``DEPTH`` until a
+   set as little alike as its own size and the threshold allow shares one with it in some tree with the target recall (a
+   set of 7 shingles is alike at 6/7 or not at all, so its prefixes stay longer); sets too small to be alike to any other
+   stand in no tree. No branch is shorter than the shortest prefix, so each of those is a unit of work.
+2. In a unit, the sorted signatures are walked from the longest common prefixes to shorter ones: at every length the rows
+   of a branch that aren't tied yet are compared, and tied if their sizes allow the threshold and their whole signatures
+   agree nearly as often as it asks (five standard errors below). A branch that is tied as a whole is not looked into
+   again. Only ties that span a unit's groups leave the task, so they never outnumber the members. Their connected
+   components hold every link.
 3. Exact verification. The sets of a component are read once, and all their pairs are counted by an incidence product
    over their shingles. What leaves the task are link counts for each set and the links that span its groups.
 4. Classes are the components of the verified links.
@@ -24,7 +28,8 @@ that isn't null); an empty table gives an empty result; long texts are taken who
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
+from functools import lru_cache
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +94,19 @@ def prefix_depth(threshold: float = THRESHOLD, recall: float = RECALL, trees: in
     return depth
 
 
+def least_alike(n: int, threshold: float = THRESHOLD) -> float | None:
+    """The smallest similarity from the threshold up that a set of ``n`` elements can have with another one."""
+    found = (i / (n + m - i) for m in range(max(1, ceil(n * threshold)), int(n / threshold) + 1) for i in range(ceil((n + m) * threshold / (1 + threshold) - 1e-9), min(n, m) + 1) if i < max(n, m))
+    return min((x for x in found if x >= threshold - 1e-12), default=None)
+
+
+@lru_cache(maxsize=1 << 16)
+def own_depth(n: int, threshold: float, recall: float) -> int:
+    """The prefix of a set of ``n`` elements; with many elements its similarities lie so dense that the threshold decides."""
+    alike = least_alike(n, threshold) if n <= 200 else threshold
+    return DEPTH if alike is None else prefix_depth(alike, recall)
+
+
 def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Every row's ``id``, ``key`` (a hash of the text), ``set`` (a 128-bit hash of its shingles), their number ``n`` and the
     signature ``sig``."""
@@ -148,16 +166,46 @@ def _deal(rows: DataFrame, blocks: str) -> DataFrame:
     )
 
 
+def branch_ties(values: np.ndarray, sig: np.ndarray, n: np.ndarray, depths: np.ndarray, side: np.ndarray | None, threshold: float, least: int) -> np.ndarray:
+    """The group (its first member's place) of each row of a unit, which is sorted by the tree's ``values``: from the longest
+    common prefixes to the shortest, rows are compared that first share a branch there and aren't tied yet. Rows of one
+    ``side`` aren't compared: they have a task of their own."""
+    k = len(n)
+    root = np.arange(k)
+    # the common prefix of neighbours; that of any two rows is the least between them
+    common = np.cumprod(values[1:] == values[:-1], axis=1).sum(1) if k > 1 else np.zeros(0, int)
+    inner = np.arange(k)  # the branch of the longer prefix: rows of one were compared there
+    for d in sorted({c for c in common.tolist() if c >= depths.min()}, reverse=True):
+        branch = np.concatenate([[0], np.cumsum(common < d)])
+        ends = np.searchsorted(branch, branch, "right")
+        for i in np.flatnonzero(ends - np.arange(k) > 1).tolist():
+            js = np.arange(i + 1, ends[i])
+            js = js[(inner[js] != inner[i]) & (root[js] != root[i]) & (depths[js] <= d)] if depths[i] <= d else js[:0]
+            if side is not None and len(js):
+                js = js[side[js] != side[i]]
+            if len(js):
+                js = js[np.minimum(n[js], n[i]) >= threshold * np.maximum(n[js], n[i])]
+            if len(js):
+                js = js[np.count_nonzero(sig[js] == sig[i], axis=1) >= least]
+            if len(js):
+                tied = np.unique(np.append(root[js], root[i]))
+                root[np.isin(root, tied)] = tied[0]
+        inner = branch
+    return root
+
+
 def candidate_ties(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """``u`` and ``v``: ties that span the groups of likely links in every branch of the forest."""
     depth = prefix_depth(threshold, recall)
     least = int(TREES * DEPTH * threshold - 5 * sqrt(TREES * DEPTH * threshold * (1 - threshold)))
     branch = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.substring("sig", t * (2 * DEPTH) + 1, F.lit(2 * depth)))
-    slim = sets.where("n > 0").select("set", F.posexplode(branch).alias("tree", "prefix"))
+    # a set of fewer elements differs from any other by more than the threshold allows
+    slim = sets.where(F.col("n") >= threshold / (1 - threshold) - 1e-9 if threshold < 1 else F.lit(False)).select("set", F.posexplode(branch).alias("tree", "prefix"))
     shared = slim.groupBy("tree", "prefix").agg(F.count("*").alias("members")).where("members > 1")
     members = slim.join(shared, ["tree", "prefix"]).join(sets.select("set", "n", "sig"), "set")
     dealt = _deal(members.withColumn("blocks", F.expr(f"ceil(members / {BLOCK_SETS})")), "blocks")
-    ready = dealt.select("tree", "prefix", "a", "b", "set", "block", "n", "sig").repartition("tree", "prefix", "a", "b").sortWithinPartitions("tree", "prefix", "a", "b", "set")
+    values = F.substring("sig", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * DEPTH))
+    ready = dealt.select("tree", "prefix", "a", "b", "set", "block", "n", "sig").repartition("tree", "prefix", "a", "b").sortWithinPartitions("tree", "prefix", "a", "b", values, "set")
     schema = pa.schema([("u", pa.binary()), ("v", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,16 +214,11 @@ def candidate_ties(sets: DataFrame, threshold: float = THRESHOLD, recall: float
                 if len(group) < 2:
                     continue
                 n = np.array([r[6] for r in group], np.float64)
-                sig = np.frombuffer(b"".join(r[7] for r in group), np.uint16).reshape(len(group), -1)
-                alike = np.minimum.outer(n, n) >= threshold * np.maximum.outer(n, n)
-                if group[0][2] != group[0][3]:  # between two blocks: pairs within one have a task of their own
-                    side = np.array([r[5] for r in group])
-                    alike &= side[:, None] != side
-                for i in np.flatnonzero(alike.sum(1) > 0).tolist():
-                    js = np.flatnonzero(alike[i])
-                    alike[i, js] = (sig[js] == sig[i]).sum(1) >= least
-                alike |= alike.T
-                root = _forest(alike)
+                sig = np.frombuffer(b"".join(r[7] for r in group), ">u2").astype(np.uint16).reshape(len(group), -1)
+                depths = np.array([own_depth(r[6], threshold, recall) for r in group])
+                tree = group[0][0]
+                side = None if group[0][2] == group[0][3] else np.array([r[5] for r in group])
+                root = branch_ties(sig[:, tree * DEPTH : (tree + 1) * DEPTH], sig, n, depths, side, threshold, least)
                 for i, r in enumerate(root.tolist()):
                     if r != i:
                         yield group[i][4], group[r][4]

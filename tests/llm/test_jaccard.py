@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -86,6 +87,81 @@ def test_prefix_and_recall():
     assert hits == 300
 
 
+def test_own_depths():
+    """By trying all pairs of sizes and intersections; a longer prefix needs no more than its own similarity's recall."""
+    for n in range(1, 60):
+        found = [i / (n + m - i) for m in range(1, 100) for i in range(0, min(n, m) + 1) if not i == n == m and i / (n + m - i) >= 0.8]
+        least = jaccard.least_alike(n)
+        assert (least is None) == (not found) and (least is None or abs(least - min(found)) < 1e-12)
+        depth = jaccard.own_depth(n, 0.8, 0.99999)
+        assert least is None or depth == 1 or 1 - (1 - least**depth) ** jaccard.TREES >= 0.99999 or depth == jaccard.prefix_depth()
+    assert jaccard.least_alike(3) is None and jaccard.own_depth(7, 0.8, 0.99999) > jaccard.prefix_depth()
+
+
+def test_branches_against_all_pairs():
+    """What the walk ties is what comparing all pairs of a unit ties that share a prefix long enough for both."""
+    rng = np.random.default_rng(5)
+    for case in range(40):
+        k = int(rng.integers(2, 40))
+        base = rng.integers(0, 3, (4, jaccard.DEPTH)).astype(np.uint16)
+        values = base[rng.integers(0, 4, k)]
+        values[:, :2] = 1
+        sig = rng.integers(0, 2, (k, 30)).astype(np.uint16)
+        order = np.lexsort(values.T[::-1])
+        values, sig = values[order], sig[order]
+        n, depths = rng.integers(8, 12, k).astype(float), rng.integers(2, 6, k)
+        side = rng.integers(0, 2, k) if case % 2 else None
+        want = list(range(k))
+        for i in range(k):
+            for j in range(i):
+                same = 0
+                while same < jaccard.DEPTH and values[i, same] == values[j, same]:
+                    same += 1
+                ok = same >= max(depths[i], depths[j]) and min(n[i], n[j]) >= 0.8 * max(n[i], n[j]) and (sig[i] == sig[j]).sum() >= 18
+                if ok and (side is None or side[i] != side[j]):
+                    old, new = want[i], want[j]
+                    want = [new if x == old else x for x in want]
+        got = jaccard.branch_ties(values, sig, n, depths, side, 0.8, 18).tolist()
+        assert [want.index(x) for x in want] == [got.index(x) for x in got] and all(r <= i for i, r in enumerate(got))
+
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="needs the test tables")
+def test_recall_on_a_table(spark):
+    """Every link of the table's 10,000 texts, by all pairs that share any shingle."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = {r.id: r.n_links for r in jaccard.near_duplicates(docs).collect()}
+    sets = {r.doc_id: frozenset(jaccard.shingles(r.text).tolist()) for r in docs.collect()}
+    by_set = defaultdict(list)
+    for i, s in sets.items():
+        by_set[s].append(i)
+    stands, pairs = defaultdict(list), set()
+    kinds = list(by_set)
+    for k, s in enumerate(kinds):
+        for x in s:
+            stands[x].append(k)
+    for ks in stands.values():
+        if len(ks) > 1:
+            for a in range(len(ks)):
+                for b in range(a):
+                    x, y = kinds[ks[a]], kinds[ks[b]]
+                    if min(len(x), len(y)) >= 0.8 * max(len(x), len(y)):
+                        pairs.add((ks[b], ks[a]))
+    links = {i: len(by_set[s]) - 1 for i, s in sets.items()}
+    for a, b in pairs:
+        x, y = kinds[a], kinds[b]
+        if len(x & y) >= 0.8 * len(x | y):
+            for i in by_set[x]:
+                links[i] += len(by_set[y])
+            for i in by_set[y]:
+                links[i] += len(by_set[x])
+    lost, total = sum(links[i] - found[i] for i in links), sum(links.values())
+    print(f"links found: {total - lost} of {total}")
+    assert total > 90 and all(found[i] <= links[i] for i in links) and lost <= total // 100
+
+
 def test_intersections():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (0, 1, 50, 200, 400)]
