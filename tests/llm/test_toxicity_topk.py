@@ -66,7 +66,7 @@ def test_ordinal_fit_recovers_thresholds():
 
 
 def brute_top(rows, k, wanted):
-    usable = {i: np.floor(64 * np.array(v, np.float64)).astype(int).tolist() for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    usable = {i: [int(x) for x in np.floor(64 * np.array(v, np.float64))] for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
     out = []
     for q in sorted(i for i in usable if wanted(i)):
         scores = sorted((-sum(a * b for a, b in zip(usable[q], v, strict=False)), i) for i, v in usable.items() if i != q)
@@ -74,20 +74,47 @@ def brute_top(rows, k, wanted):
     return out
 
 
-@pytest.mark.parametrize("big", [False, True])
-def test_top_k(spark, monkeypatch, big):
+@pytest.mark.parametrize("scale", [1, 1e7, 1e30])
+@pytest.mark.parametrize("group_rows", [64, 16_384])
+def test_top_k(spark, monkeypatch, scale, group_rows):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
-    monkeypatch.setattr(topk, "GROUP_BLOCKS", 4)
+    monkeypatch.setattr(topk, "GROUP_ROWS", group_rows)
     monkeypatch.setattr(topk, "PACK_ROWS", 4)
     monkeypatch.setattr(topk, "PACKS_TOGETHER", 2)
     rng = np.random.default_rng(3)
-    scale = 1e7 if big else 1
-    rows = [(int(i), [float(np.float32(x)) for x in rng.normal(size=5) * scale]) for i in range(300)]
+    rows = [(int(i), [float(np.float32(x)) for x in rng.normal(size=5) * (scale if i % 3 else 1)]) for i in range(300)]
     rows += [(1000 + i, rows[0][1]) for i in range(50)]  # ties
     rows += [(2000, None), (2020, [1.0, None, 2.0]), (2040, [float("nan")] * 5), (2060, [float("inf"), 1.0]), (2080, [1.0, 2.0]), (2100, []), (None, [1.0] * 5)]
     table = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id bigint, embedding array<float>, score int").repartition(5)
     found = topk.top_k(table, F.col("id") % 20 == 0, 7)
-    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect()) == brute_top(rows, 7, lambda i: i % 20 == 0)
+    want = [(q, r, v, max(-topk.LONGEST, min(topk.LONGEST, s))) for q, r, v, s in brute_top(rows, 7, lambda i: i % 20 == 0)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect()) == want
+
+
+def test_repeated_rows_of_vectors(spark):
+    """Every row with a query's id is a query, its candidates all rows of other ids, each row by itself."""
+    rows = [(0, [1.0]), (0, [-1.0]), (1, [2.0]), (1, [2.0]), (2, [3.0])]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), F.col("id") == 0, 2).collect()
+    up, down = 64 * 64, -64 * 64
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == [(0, 1, 1, 2 * down), (0, 1, 2, 3 * up), (0, 2, 1, 2 * down), (0, 2, 1, 2 * up)]
+
+
+def test_sort_keys():
+    rng = np.random.default_rng(1)
+    numbers = [0, 1, -1, 9, 10, -9, -10, 10**40, -(10**40), 10**40 + 1] + [int(x) * 10 ** int(e) for x, e in zip(rng.integers(-999, 999, 50), rng.integers(0, 60, 50), strict=True)]
+    assert sorted(numbers) == sorted(numbers, key=topk.sort_key)
+
+
+def test_known_scores_stop_a_search():
+    rng = np.random.default_rng(4)
+    docs = [(np.arange(20) + 20 * b, np.rint(rng.normal(size=(20, 8)) * 100)) for b in range(30)]
+    q = np.rint(rng.normal(size=(5, 8)) * 100)
+    at, _, score, all_blocks = topk.search_blocks(docs, np.full(5, -1), q, 3)
+    kth = [min(s for a, s in zip(at.tolist(), score, strict=True) if a == i) for i in range(5)]
+    again = topk.search_blocks(docs, np.full(5, -1), q, 3, kth)
+    assert (again[0].tolist(), again[2]) == (at.tolist(), score) and again[3] <= all_blocks
+    none = topk.search_blocks(docs, np.full(5, -1), q, 3, [10**9] * 5)
+    assert not len(none[0]) and none[3] == 0
 
 
 def test_blocks_are_pruned():
@@ -95,8 +122,8 @@ def test_blocks_are_pruned():
     centres = rng.normal(size=(30, 8)) * 100
     docs = [(np.arange(20) + 20 * b, np.rint(c + rng.normal(size=(20, 8))).astype(np.int64)) for b, c in enumerate(centres)]
     q = np.rint(centres[:5]).astype(np.int64)
-    query, doc, score, scored = topk.search_blocks(docs, np.full(5, -1), q, 10)
-    assert len(query) == 50 and scored < 5 * 30 / 2
+    at, doc, score, scored = topk.search_blocks(docs, np.full(5, -1), q, 10)
+    assert len(at) == 50 and scored < 5 * 30 / 2
 
 
 def test_few_rows(spark):
