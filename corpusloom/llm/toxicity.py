@@ -8,14 +8,14 @@ Terms are lower-cased words (marked by a final ``$``) and their beginnings of 3
 in at least ``MIN_TOXIC`` toxic texts of the sample and stand ``MIN_Z`` standard errors above their share in clean
 texts, the ``MAX_TERMS`` strongest. A term's feature is the logarithm of its count.
 
-The model is fitted on at most ``sample`` labelled texts, drawn by a hash of their ids. Of texts with the same smallest
-shingle hash (copies, and most near copies) one counts, else the chance words of a copied text look telling. Term counts
+The model is fitted on at most ``sample`` labelled texts: those of ids drawn by hash, one text of each id. Of texts with the
+same smallest shingle hash (copies, and most near copies) one counts, else the chance words of a copied text look telling. Term counts
 are summed by the executors, and only the selected terms' features of the sample come to the driver. Scoring covers
 every row and whole texts, one pass without a shuffle.
 
 Defined results: a null or empty text has no words and scores as such; several labels of one id count as their
-largest, null labels and labels without a text not at all; rows with one id share the label and are scored each by
-itself; without any toxic (or any clean) label nothing is learnt and every severity is 0; an empty table gives an empty
+largest, null labels and labels without a text not at all; rows with one id share the label, are scored each by itself, and
+that whose text has the smallest hash stands for the id in the fit; texts of any length are read whole; without any toxic (or any clean) label nothing is learnt and every severity is 0; an empty table gives an empty
 result. Only the named columns are read.
 """
 
@@ -146,6 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     found = spread(plain).join(F.broadcast(drawn), "id").select("text", "toxic", F.col("id").cast("string").alias("id"))
     sketched = found.mapInArrow(sketch, "text string, toxic int, id string, sketch bigint")
+    # one text of each id, so that the bound on ids is one on texts
+    sketched = sketched.groupBy("id").agg(F.min_by(F.struct("text", "toxic", "sketch"), F.struct(F.xxhash64("text"), "text")).alias("s")).select("s.*", "id")
     texts = written(sketched.groupBy("sketch").agg(F.min_by(F.struct("text", "toxic"), F.struct(-F.col("toxic"), "id", "text")).alias("s"), F.min("id").alias("id")).select("s.text", "s.toxic", "id"), "toxicity-sample")
     sizes = dict(texts.groupBy("toxic").count().collect())
     none = Model({}, np.zeros(0), np.arange(GRADES, dtype=float))

@@ -54,6 +54,56 @@ def test_sample_is_bounded_and_edges_are_defined(spark):
         assert toxicity.score(docs, toxicity.fit(docs, part)).agg(F.max("_severity")).first()[0] == 0
 
 
+def test_one_text_of_each_id_is_learnt(spark, monkeypatch):
+    """An id with many texts counts once, so the driver gets no more rows than the sample has ids."""
+    rows, labels = made(300, 3)
+    rows += [(7, f"other text {i} of one id " + "word " * (i % 9), "x") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _x string").repartition(5)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda r, at, v, grade, n, **k: seen.append(len(grade)) or (np.zeros(n), np.arange(3.0)))
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"), sample=250)
+    assert model.index and seen and seen[0] <= 250
+
+
+def test_scores_by_plain_recomputation(spark):
+    """Every severity from the model's weights and each text's terms, counted one by one."""
+    import math
+    import re
+
+    rows, labels = made(400, 5)
+    rows += [(9000, None, "x"), (9001, "", "x"), (9002, "VILE vile vileness 123 nasty_word", "x"), (9003, "nasty " * 3000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _x string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    got = {r.doc_id: (r._severity, r._toxic) for r in toxicity.score(docs, model).collect()}
+    for i, text, _ in rows:
+        counts = {}
+        for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            for t in [w + "$"] + [w[:n] for n in range(3, 7) if len(w) >= n]:
+                counts[t] = counts.get(t, 0) + 1
+        z = sum(math.log(1 + n) * model.weights[model.index[t]] for t, n in counts.items() if t in model.index)
+        p = [1 / (1 + math.exp(min(50, max(-50, t - z)))) for t in model.thresholds]
+        assert got[i] == pytest.approx((sum(p), p[0]), abs=1e-9)
+
+
+def test_gradient_is_that_of_the_likelihood(monkeypatch):
+    """The fit ends where no small change of a weight or threshold raises the penalised likelihood."""
+    rng = np.random.default_rng(2)
+    n, d = 500, 3
+    x = rng.random((n, d))
+    grade = ((x @ [4.0, -3, 1] + rng.logistic(size=n))[:, None] > np.array([0.0, 1.0, 2.0])).sum(1)
+    w, t = toxicity.fit_ordinal(np.repeat(np.arange(n), d), np.tile(np.arange(d), n), x.ravel(), grade, d, steps=4000, ridge=1e-3)
+    scale = x.std(0) + 0.05
+
+    def loss(w, t):
+        above = 1 / (1 + np.exp(-((x @ w)[:, None] - t)))
+        s = np.concatenate([np.ones((n, 1)), above, np.zeros((n, 1))], 1)
+        return -np.log(s[np.arange(n), grade] - s[np.arange(n), grade + 1]).mean() + 1e-3 / 2 * ((w * scale) ** 2).sum()
+
+    best = loss(w, t)
+    for step in (0.02, -0.02):
+        assert all(loss(w + step * np.eye(d)[i], t) > best for i in range(d)) and all(loss(w, t + step * np.eye(3)[i]) > best for i in range(3))
+
+
 def test_ordinal_fit_recovers_thresholds():
     rng = np.random.default_rng(0)
     n, d = 4000, 6
