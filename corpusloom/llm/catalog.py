@@ -42,6 +42,24 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of op1: every document's size, its source's size and target."""
+    told = mixing.plan_mix(table(spark, sf_dir, "documents"))
+    return told.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", F.round("target", 3).alias("target"))
+
+
+MIXING_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number FROM d GROUP BY source),
+w AS (SELECT *, CASE number % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, (SELECT sum(size) FROM d) AS total FROM s),
+o AS (SELECT *, coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier,
+             sum(weight) OVER (ORDER BY 3 * source_size / weight, number ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS remaining FROM w),
+l AS (SELECT *, (total - earlier) / remaining AS level, (total - earlier) / remaining >= 3 * source_size / weight AS capped FROM o),
+t AS (SELECT source, source_size, CASE WHEN capped THEN 3 * source_size ELSE least(3 * source_size, weight * max(CASE WHEN NOT capped THEN level END) OVER ()) END AS target FROM l)
+SELECT doc_id, size, source_size, round(CAST(target AS DOUBLE), 3) AS target FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+"""
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near duplicates and its number of links."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "class_docs", "n_links")
@@ -148,6 +166,18 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described.select(*media.columns(described))
 
 
+def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of op9: the payload of every text as it is read back."""
+    return op9_media_columns(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+MEDIA_SQL = """
+WITH b AS (SELECT doc_id, encode(coalesce(text, '')) AS data FROM documents), n AS (SELECT *, octet_length(data) AS n_bytes FROM b),
+p AS (SELECT *, CASE WHEN n_bytes = 0 THEN 576 ELSE CAST((n_bytes + 575) // 576 * 576 AS BIGINT) END AS payload_bytes FROM n)
+SELECT doc_id, n_bytes, payload_bytes, sha256(data || unhex(repeat('FF', CAST(payload_bytes - n_bytes AS INTEGER)))) AS payload_sha256 FROM p
+"""
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     found = style_tree.extract(table(spark, sf_dir, "pages"))
@@ -156,9 +186,9 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op1_mixing, op2_ngram_jaccard, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction)}
+    return {f.__name__: f for f in (op1_mixing, op2_ngram_jaccard, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction, mixing_targets, media_payloads)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {"op4_warc": OP4_SQL, "op5_url_filters": OP5_SQL, "op7_topk": OP7_SQL}
+    return {"op4_warc": OP4_SQL, "op5_url_filters": OP5_SQL, "op7_topk": OP7_SQL, "mixing_targets": MIXING_SQL, "media_payloads": MEDIA_SQL}

@@ -69,5 +69,62 @@ def test_texts_of_all_kinds(spark):
     assert found[0] == found[1] and found[2].media_sha256 == found[5].media_sha256
 
 
+def plain_png(data):
+    """A PNG's samples by the format's own words, byte by byte."""
+    assert data[:8] == b"\x89PNG\r\n\x1a\n"
+    at, parts = 8, []
+    while at < len(data):
+        size, kind = int.from_bytes(data[at : at + 4], "big"), data[at + 4 : at + 8]
+        assert int.from_bytes(data[at + 8 + size : at + 12 + size], "big") == zlib.crc32(data[at + 4 : at + 8 + size])
+        parts.append((kind, data[at + 8 : at + 8 + size]))
+        at += 12 + size
+    assert [k for k, _ in parts][0] == b"IHDR" and parts[-1] == (b"IEND", b"")
+    width, height = struct.unpack(">II", parts[0][1][:8])
+    raw, rows = zlib.decompress(b"".join(b for k, b in parts if k == b"IDAT")), []
+    for y in range(height):
+        kind, line = raw[y * (width + 1)], bytearray(raw[y * (width + 1) + 1 : (y + 1) * (width + 1)])
+        for x in range(width):
+            line[x] = (line[x] + {0: 0, 1: line[x - 1] if x else 0, 2: rows[-1][x] if rows else 0}[kind]) & 255
+        rows.append(bytes(line))
+    return width, rows
+
+
+def plain_hash(width, rows):
+    """The hash by sums: averages over a 32 x 32 grid, then each low frequency as a double sum of cosines."""
+    from fractions import Fraction
+    from math import cos, pi
+    from statistics import median
+
+    def cells(size):
+        out = []
+        for i in range(32):
+            a, b = Fraction(i * size, 32), Fraction((i + 1) * size, 32)
+            out.append([(s, float(min(b, s + 1) - max(a, s)) * 32 / size) for s in range(int(a), size) if min(b, s + 1) > max(a, s)])
+        return out
+
+    across, down = cells(width), cells(len(rows))
+    narrow = [[sum(row[s] * w for s, w in c) for c in across] for row in rows]
+    small = [[sum(narrow[s][x] * w for s, w in c) for x in range(32)] for c in down]
+    low = [sum(small[y][x] * cos(pi * u * (2 * y + 1) / 64) * cos(pi * v * (2 * x + 1) / 64) for y in range(32) for x in range(32)) for u in range(8) for v in range(8)]
+    middle = median(low)
+    return low, middle
+
+
+def test_stored_media_by_a_plain_reading(spark):
+    texts = ["", "short", "the same line\n" * 200, "é ü 日本 " * 300, " ".join(str(i * i) for i in range(900))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    stored = {r.id: bytes(r.media) for r in media.store_media(docs).collect()}
+    described = {r.id: r for r in media.text_media(docs).collect()}
+    for i, text in enumerate(texts):
+        width, rows = plain_png(stored[i])
+        payload = b"".join(rows)
+        data = text.encode()
+        assert width == 576 and payload == data + b"\xff" * (len(payload) - len(data)) and 0 <= len(payload) - len(data) <= 576
+        assert described[i].media_bytes == len(stored[i]) and described[i].media_sha256 == hashlib.sha256(stored[i]).hexdigest()
+        low, middle = plain_hash(width, rows)
+        bits = f"{int(described[i].feature, 16):064b}"
+        assert all((x > middle) == (b == "1") for x, b in zip(low, bits, strict=True) if abs(x - middle) > 1e-4)
+
+
 def test_empty_table(spark):
     assert media.text_media(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
