@@ -4,8 +4,9 @@ Each task encodes its texts and counts lengths; the counts are summed into one r
 number is bounded by the longest text, not by the number of texts. Running sums over that histogram then answer
 totals, quantiles and truncated totals for every limit without looking at a text again.
 
-Defined results: a null or empty text has length 0 and is counted; an empty table gives an empty histogram; repeated
-rows count each. Only the text column is read.
+Defined results: a null or empty text has length 0 and is counted; a text of any length is encoded whole, by the task that
+holds it; texts of one length share a row, and repeated rows count each; an empty table gives an empty histogram. Only the
+text column is read, so other columns may have any names.
 """
 
 from __future__ import annotations
