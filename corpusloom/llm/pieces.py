@@ -26,6 +26,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from corpusloom.session import spread
 
 MARK = "▁"
 #: Words kept with their ids in a task, pairs of pieces kept with their test in a worker, characters encoded at once.
-WORDS_KEPT, PAIRS_KEPT, CHARS_AT_ONCE = 150_000, 200_000, 2_000_000
+WORDS_KEPT, PAIRS_KEPT, CHARS_AT_ONCE = 300_000, 400_000, 2_000_000
 UNIGRAM, BPE = 1, 2
 #: Kinds of piece, as the format numbers them.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -72,6 +73,16 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+class _Suffix:
+    """The longest end of a prefix that some piece begins with: its text, the pieces that end here as (length, piece, its fitting
+    neighbours), the longest first, and where each character leads."""
+
+    __slots__ = ("ending", "next", "text")
+
+    def __init__(self, text: str, ending: list[tuple[int, int, dict[int, bool]]]):
+        self.text, self.ending, self.next = text, ending, {}
+
+
 class Vocabulary:
     """Pieces with scores and kinds, and the forward pass over marked words."""
 
@@ -86,13 +97,11 @@ class Vocabulary:
         self.unknown = next(i for i, (_, _, kind) in enumerate(pieces) if kind == UNKNOWN)
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
         self.unknown_score = min([self.scores[i] for i in self.ids.values()], default=0.0) - 10
-        self.ends: dict = {}  # pieces by their characters from the last to the first
-        for p, i in self.ids.items():
-            node = self.ends
-            for c in reversed(p):
-                node = node.setdefault(c, {})
-            node[""] = i
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.begins = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+        self.suffixes: dict[str, _Suffix] = {}  # made as texts need them
+        self.empty = self._suffix("")
+        self.fitting: dict[int, dict[int, bool]] = {}  # by piece, which left neighbours it stays beside
+        self.pairs = 0
         self.alone = {i: self.merged(p) == [i] for p, i in self.ids.items()} if model_type == BPE else {}
         raw = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else " ⁇ ".encode() if kind == UNKNOWN else p.replace(MARK, " ").encode() for p, _, kind in pieces]
         self.raw_sizes = np.array([len(x) for x in raw], np.int64)
@@ -128,27 +137,47 @@ class Vocabulary:
                 return [self.ids.get(p, self.unknown) for p in parts]
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def _suffix(self, text: str) -> _Suffix:
+        known = self.suffixes.get(text)
+        if known is None:
+            pieces = ((n, self.ids.get(text[len(text) - n :])) for n in range(len(text), 0, -1))
+            known = self.suffixes[text] = _Suffix(text, [(n, k, self.fitting.setdefault(k, {})) for n, k in pieces if k is not None])
+        return known
+
+    def _step(self, at: _Suffix, c: str) -> _Suffix:
+        """Where the character leads; every step is worked out once."""
+        text = at.text + c
+        while text and text not in self.begins:
+            text = text[1:]
+        found = self._suffix(text)
+        if text or c in self.begins:  # characters of no piece are not remembered, as there may be many
+            at.next[c] = found
+        return found
+
     def _fits(self, left: int, right: int) -> bool:
         """Whether the two pieces stay as they are when their characters are merged by rank."""
         if left < 0:  # a character without a piece merges with nothing
             return self.alone[right]
         fits = self.merged(self.pieces[left][0] + self.pieces[right][0]) == [left, right]
-        if len(self.pairs) >= PAIRS_KEPT:
-            self.pairs.clear()
-        self.pairs[left, right] = fits
+        if self.pairs >= PAIRS_KEPT:
+            for known in self.fitting.values():
+                known.clear()
+            self.pairs = 0
+        self.fitting[right][left] = fits
+        self.pairs += 1
         return fits
 
     def forward(self, words: Iterable[str]) -> Iterator[list[int]]:
         """The ids of each of the sorted words, sharing states across common prefixes."""
         extend = self._extend_merged if self.model_type == BPE else self._extend_scored
-        last, start, score = [-1], [0], [0.0]  # by length of prefix
+        last, start, score, ends = [-1], [0], [0.0], [self.empty]  # by length of prefix
         before = ""
         for word in words:
             same, most = 0, min(len(before), len(word))
             while same < most and before[same] == word[same]:
                 same += 1
-            del last[same + 1 :], start[same + 1 :], score[same + 1 :]
-            extend(word, last, start, score)
+            del last[same + 1 :], start[same + 1 :], score[same + 1 :], ends[same + 1 :]
+            extend(word, last, start, score, ends)
             before = word
             out, j = [], len(word)
             while j:
@@ -163,50 +192,38 @@ class Vocabulary:
             out.reverse()
             yield out
 
-    def _extend_scored(self, word: str, last: list[int], start: list[int], score: list[float]) -> None:
+    def _extend_scored(self, word: str, last: list[int], start: list[int], score: list[float], ends: list[_Suffix]) -> None:
         """Unigram states of the word's longer prefixes: the largest sum of scores, the longest last piece among equals."""
+        at = ends[-1]
         for j in range(len(last), len(word) + 1):
-            node, i, ending = self.ends, j, []
-            while i:
-                node = node.get(word[i - 1])
-                if node is None:
-                    break
-                i -= 1
-                if "" in node:
-                    ending.append((i, node[""]))
-            best = (score[j - 1] + self.unknown_score, j - 1, -1 - ord(word[j - 1]))
-            for i, k in reversed(ending):
-                if best[2] < 0 and i == j - 1 or score[i] + self.scores[k] > best[0]:
-                    best = (score[i] + self.scores[k], i, k)
+            c = word[j - 1]
+            at = at.next.get(c) or self._step(at, c)
+            best = (score[j - 1] + self.unknown_score, j - 1, -1 - ord(c))
+            for n, k, _ in at.ending:
+                if best[2] < 0 and n == 1 or score[j - n] + self.scores[k] > best[0]:
+                    best = (score[j - n] + self.scores[k], j - n, k)
             score.append(best[0])
             start.append(best[1])
             last.append(best[2])
+            ends.append(at)
 
-    def _extend_merged(self, word: str, last: list[int], start: list[int], score: list[float]) -> None:
+    def _extend_merged(self, word: str, last: list[int], start: list[int], score: list[float], ends: list[_Suffix]) -> None:
         """BPE states of the word's longer prefixes: the one last piece that stays beside its neighbour."""
-        ends, pairs, fits = self.ends, self.pairs, self._fits
+        fits, at = self._fits, ends[-1]
         for j in range(len(last), len(word) + 1):
-            node, i, ending = ends, j, []
-            while i:
-                node = node.get(word[i - 1])
-                if node is None:
-                    break
-                i -= 1
-                k = node.get("")
-                if k is not None:
-                    ending.append(k)
-                    ending.append(i)
-            while ending:  # the longest first
-                i, k = ending.pop(), ending.pop()
-                left = last[i]
-                fit = pairs.get((left, k))
+            c = word[j - 1]
+            at = at.next.get(c) or self._step(at, c)
+            ends.append(at)
+            for n, k, known in at.ending:
+                left = last[j - n]
+                fit = known.get(left)
                 if fit or fit is None and fits(left, k):
-                    start.append(i)
+                    start.append(j - n)
                     last.append(k)
                     break
             else:
                 start.append(j - 1)
-                last.append(-1 - ord(word[j - 1]))
+                last.append(-1 - ord(c))
 
 
 def marked_words(text: str) -> list[str]:
@@ -241,14 +258,14 @@ class Encoder:
         if len(self.at) > WORDS_KEPT:
             self._clear()
         words = [marked_words(t) for t in texts]
-        new = sorted({w for ws in words for w in ws}.difference(self.at))
+        new = sorted(set().union(*words).difference(self.at))
         for w, ids in zip(new, self.vocabulary.forward(MARK + w for w in new), strict=True):
             self.at[w] = len(self.starts)
             self.starts.append(len(self.flat))
             self.sizes.append(len(ids))
             self.flat.extend(ids)
         counts = np.fromiter(map(len, words), np.int64, len(words))
-        index = np.fromiter((self.at[w] for ws in words for w in ws), np.int64, int(counts.sum()))
+        index = np.fromiter(map(self.at.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
         flat, starts, sizes = np.array(self.flat, np.int32), np.array(self.starts, np.int64), np.array(self.sizes, np.int64)
         lengths = sizes[index]
         upto = np.concatenate([[0], np.cumsum(lengths)])

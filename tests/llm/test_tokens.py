@@ -53,7 +53,7 @@ def test_states_are_shared(monkeypatch):
     words = sorted({"▁" + "shared" * 5 + c for c in "abcdefghij"})
     seen = []
     extend = pieces.Vocabulary._extend_merged
-    monkeypatch.setattr(pieces.Vocabulary, "_extend_merged", lambda self, word, last, start, score: seen.append(len(word) + 1 - len(last)) or extend(self, word, last, start, score))
+    monkeypatch.setattr(pieces.Vocabulary, "_extend_merged", lambda self, word, last, *rest: seen.append(len(word) + 1 - len(last)) or extend(self, word, last, *rest))
     list(known.forward(words))
     assert seen == [len(words[0])] + [1] * 9  # only the characters behind the common prefix
 
@@ -71,10 +71,10 @@ def test_tables(spark, texts):
 
 
 def test_length_histogram(spark, texts):
-    rows = [(t,) for t in texts] + [(None,)] * 3
-    docs = spark.createDataFrame(rows, "text string").repartition(4)
+    rows = [(t, 1, 2, "x") for t in [*texts, *[None] * 3, "long text " * 150_000]]
+    docs = spark.createDataFrame(rows, "text string, length int, n_docs int, `a.b` string").repartition(4)
     known = lengths.encoding(RANKS_PATH)
-    sizes = sorted(len(known.encode_ordinary(t or "")) for (t,) in rows)
+    sizes = sorted(len(known.encode_ordinary(r[0] or "")) for r in rows)
     histogram = lengths.length_histogram(docs, RANKS_PATH)
     table = lengths.limits(histogram).cache()
     assert [r.length for r in table.orderBy("length").collect()] == sorted(set(sizes))
