@@ -11,6 +11,10 @@ from corpusloom.functions.text import strip
 PAIR_SCHEMA = "array<struct<instruction string, input string, output string, type string>>"
 MESSAGES_SCHEMA = "array<struct<role string, content string>>"
 ANSWER_WORDS = r"(?i)^(The\s+)?(correct\s+)?(answer|answers?)\s*(is|are|:)\s*"
+# Letters in a list, a letter that begins a line, and letters that are no part of words.
+LISTED_LETTERS = r"^([A-Z](?:\s*(?:,|;|&|\band\b)\s*[A-Z])+)\b"
+FIRST_LETTER = r"^([A-Z])(?:\.|,|\s|$)"
+LONE_LETTERS = r"(?<![A-Za-z])([A-Z])(?![a-z])"
 
 
 def qa_pairs(reply: Column, least_instruction: int = 10, least_output: int = 50) -> Column:
@@ -54,9 +58,9 @@ def answer_letters(reply: Column, valid: Column | None = None, drop_thoughts: bo
     first = F.regexp_replace(F.regexp_extract(text, r"^\S+", 0), r"[.,;:!]+$", "")
     compact = F.when(first.rlike(r"^[A-Z]{2,}$"), _letters(first, valid))
     line = F.regexp_replace(strip(F.regexp_extract(text, r"^[^\n]*", 0)), ANSWER_WORDS, "")
-    listed = _letters(F.regexp_replace(F.regexp_extract(line, r"^([A-Z](?:\s*(?:,|;|&|\band\b)\s*[A-Z])+)\b", 1), "and", ""), valid)
-    single = _letters(F.regexp_extract(line, r"^([A-Z])(?:\.|,|\s|$)", 1), valid)
-    alone = _letters(F.array_join(F.regexp_extract_all(line, F.lit(r"(?<![A-Za-z])([A-Z])(?![a-z])"), F.lit(1)), ""), valid)
+    listed = _letters(F.regexp_replace(F.regexp_extract(line, LISTED_LETTERS, 1), "and", ""), valid)
+    single = _letters(F.regexp_extract(line, FIRST_LETTER, 1), valid)
+    alone = _letters(F.array_join(F.regexp_extract_all(line, F.lit(LONE_LETTERS), F.lit(1)), ""), valid)
     filled = lambda c: F.when(c != "", c)
     return F.coalesce(filled(compact), filled(listed), filled(single), alone)
 
@@ -107,3 +111,41 @@ def question_prompt(question: Column, options: Column, passages: Column | None =
         return body
     numbered = F.transform(passages, lambda p, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), F.substring(p, 1, most)))
     return F.concat(F.array_join(numbered, "\n\n"), F.lit("\n\n"), body)
+
+
+def _asked(question: Column, options: Column, answer: Column) -> Column:
+    return F.concat(F.lit("\nQuestion: "), question, F.lit("\n"), options_text(options), F.lit("\n\nAnswer:"), answer)
+
+
+def solved_example(question: Column, options: Column, answer: Column) -> Column:
+    """A question with its options and the letters (an array) of its answer in order."""
+    return _asked(question, options, F.concat(F.lit(" "), F.array_join(F.array_sort(answer), "")))
+
+
+def exam_prompt(instruction: str, question: Column, options: Column, examples: Column | None = None) -> Column:
+    """An instruction, solved examples (an array) if there are any, and the question."""
+    asked = _asked(question, options, F.lit(""))
+    if examples is None:
+        return F.concat_ws("\n", F.lit(instruction), asked)
+    return F.concat_ws("\n", F.lit(instruction), examples, asked)
+
+
+def filled(template: str, **values: Column) -> Column:
+    """A template with columns in the place of their names in braces; nulls are empty. A value's own braces stay as they are."""
+    parts, rest = [], template
+    while names := [n for n in values if f"{{{n}}}" in rest]:
+        name = min(names, key=lambda n: rest.index(f"{{{n}}}"))
+        before, _, rest = rest.partition(f"{{{name}}}")
+        parts += [F.lit(before), F.coalesce(values[name].cast("string"), F.lit(""))]
+    return F.concat(*parts, F.lit(rest))
+
+
+def candidate_line(number: Column, amounts: dict[str, Column]) -> Column:
+    """A candidate's line: its number in two places, and amounts with two digits behind the point under their names."""
+    shown = "  #%2d: " + ", ".join(f"{name}=%.2f" for name in amounts)
+    return F.format_string(shown, number, *amounts.values())
+
+
+def in_lines(line: Column, order: Column) -> Column:
+    """Aggregate: the lines of a group in order, for groups of few rows as a prompt has them."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), line.alias("l")))), lambda x: x["l"]), "\n")

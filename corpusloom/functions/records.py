@@ -187,3 +187,14 @@ def parse_articles(files: DataFrame, name_col: str = "name", content_col: str =
                 yield pd.DataFrame(rows)
 
     return files.select(name_col, content_col).mapInPandas(run, ARTICLE_SCHEMA)
+
+
+def exploded_sections(articles: DataFrame) -> DataFrame:
+    """A row for every section of every article: ``pmcid``, ``section_no`` from 0, ``title``, ``text``."""
+    return articles.select("pmcid", F.posexplode("sections").alias("section_no", "s")).select("pmcid", "section_no", "s.title", "s.text")
+
+
+def exploded_captions(articles: DataFrame) -> DataFrame:
+    """A row for every caption: ``pmcid``, ``kind`` (figure or table), ``caption_no`` from 0 in its kind, ``caption``."""
+    parts = [articles.select("pmcid", F.lit(kind).alias("kind"), F.posexplode(f"{kind}_captions").alias("caption_no", "caption")) for kind in ("figure", "table")]
+    return parts[0].union(parts[1])

@@ -261,8 +261,13 @@ def sentences(text: Column) -> Column:
 
 
 def inverted_index_text(index: Column) -> Column:
-    """The text of a map from words to positions: gaps are empty words, the last word in order of the map wins a place."""
-    places = F.flatten(F.transform(F.map_entries(index), lambda e: F.transform(e["value"], lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
-    at = lambda p: F.element_at(F.filter(places, lambda x: x["p"] == p), -1)["w"]
-    last = F.array_max(F.transform(places, lambda x: x["p"]))
-    return F.when(F.size(places) > 0, F.array_join(F.transform(F.sequence(F.lit(0), last), lambda p: F.coalesce(F.when(F.exists(places, lambda x: x["p"] == p), at(p)), F.lit(""))), " "))
+    """The text of a map from words to positions: gaps are empty words, the last word in order of the map wins a place.
+
+    Places are sorted once; each word is led by as many empty ones as lie between it and the place before.
+    """
+    places = F.array_sort(F.flatten(F.transform(F.map_entries(index), lambda e, i: F.transform(e["value"], lambda p: F.struct(p.alias("p"), i.alias("i"), e["key"].alias("w"))))))
+    # the one-element arrays bind what is sorted and filtered, which is then computed once
+    last = lambda s: F.filter(s, lambda x, i: F.coalesce(F.get(s, i + 1)["p"] != x["p"], F.lit(True)))
+    led = lambda s: F.transform(s, lambda x, i: F.concat(F.array_repeat(F.lit(""), x["p"] - F.coalesce(F.get(s, i - 1)["p"], F.lit(-1)) - 1), F.array(x["w"])))
+    words = F.transform(F.transform(F.array(places), last), led)[0]
+    return F.when(F.size(places) > 0, F.array_join(F.flatten(words), " "))

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.columns import all_columns, free
 from corpusloom.operators.order import keep_first
 
-#: Rows up to which a lookup table is broadcast; it is counted first.
-BROADCAST_ROWS = 1_000_000
+#: Rows and bytes (of its rows as JSON) up to which a table is broadcast; both are counted first.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def small(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if it has few rows, else as it is: Spark then shuffles and splits hot keys."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """``df`` with a broadcast hint if it has few rows and bytes, else as it is: Spark then shuffles and splits hot keys."""
+    some = df.limit(BROADCAST_ROWS + 1).select(F.octet_length(F.to_json(F.struct(*all_columns(df)))).alias("size"))
+    rows, size = some.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def lookup(df: DataFrame, mapping: DataFrame, key: str, value: str, default: str) -> DataFrame:
@@ -31,19 +34,20 @@ def cascade_reasons(df: DataFrame, known: DataFrame, keys: list[tuple[str, Colum
 
     A key is (name, expression over ``df``, expression over ``known``); null and empty keys match nothing.
     """
-    out, flags = df, []
-    for i, (_, left, right) in enumerate(keys):
-        seen = known.select(right.alias(f"_k{i}")).where(F.col(f"_k{i}") != "").distinct().withColumn(f"_f{i}", F.lit(True))
-        out = out.withColumn(f"_l{i}", left).join(seen, F.col(f"_l{i}") == F.col(f"_k{i}"), "left").drop(f"_l{i}", f"_k{i}")
-        flags.append(f"_f{i}")
+    out, flags = df, free(df, *[f"_f{i}" for i in range(len(keys))])
+    own, theirs = free(df, "_left", "_right", *flags)[:2]
+    for flag, (_, left, right) in zip(flags, keys, strict=True):
+        seen = known.select(right.alias(theirs)).where(F.col(theirs) != "").distinct().withColumn(flag, F.lit(True))
+        out = out.withColumn(own, left).join(seen, F.col(own) == F.col(theirs), "left").drop(own, theirs)
     reason = F.coalesce(*[F.when(F.col(f), name) for f, (name, _, _) in zip(flags, keys, strict=True)])
     return out.withColumn("reason", reason).drop(*flags)
 
 
 def unseen(df: DataFrame, done: DataFrame, left: Column, right: Column) -> DataFrame:
     """The rows whose key isn't among those done; rows without a key stay."""
-    keys = done.select(right.alias("_done")).where(F.col("_done").isNotNull()).distinct()
-    return df.withColumn("_key", left).join(keys, F.col("_key") == F.col("_done"), "left_anti").drop("_key")
+    key, known = free(df, "_key", "_done")
+    keys = done.select(right.alias(known)).where(F.col(known).isNotNull()).distinct()
+    return df.withColumn(key, left).join(keys, F.col(key) == F.col(known), "left_anti").drop(key)
 
 
 def append_new(main: DataFrame, more: DataFrame, key: str, order: str) -> DataFrame:
@@ -63,13 +67,15 @@ def nearest_known(points: DataFrame, known: DataFrame, columns: list[str], toler
     so the join is an equi-join.
     """
     cell = lambda c: F.floor(F.col(c) / tolerance)
-    right = known.select(*[F.col(c).alias(f"known_{c}") for c in known.columns]).withColumn("_cell", cell(f"known_{columns[0]}"))
-    left = points.select(key, *columns, F.explode(F.array(*[cell(columns[0]) + d for d in (-1, 0, 1)])).alias("_cell"))
-    near = left.join(right, "_cell")
+    right = known.select(*[F.col(c).alias(f"known_{c}") for c in known.columns])
+    own, rank = free(right, "_cell", "_rank", key, *columns)[:2]
+    right = right.withColumn(own, cell(f"known_{columns[0]}"))
+    left = points.select(key, *columns, F.explode(F.array(*[cell(columns[0]) + d for d in (-1, 0, 1)])).alias(own))
+    near = left.join(right, own)
     for c in columns:
         near = near.where(F.abs(F.col(c) - F.col(f"known_{c}")) < tolerance)
     first = Window.partitionBy(key).orderBy(f"known_{known_order}")
-    best = near.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank", "_cell", *columns)
+    best = near.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank, own, *columns)
     return points.join(best, key, "left")
 
 

@@ -96,8 +96,11 @@ def jaccard(a: Column, b: Column) -> Column:
 def document_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_bands: int = 9, rows: int = 13, verify: float | None = None) -> DataFrame:
     """Every document's ``cluster`` (its smallest id) by bands that it shares.
 
-    Without ``verify`` all documents of a band are one cluster, tied to its smallest id, so ties don't outnumber documents.
-    With it, two documents of a band are tied if their signatures agree at least so often: equal signatures are one, and
+    Without ``verify`` all documents of a band are one cluster, tied to its smallest id, so ties don't outnumber documents. Nine
+    bands of 13 rows are the compatible form: two documents of similarity s share one with the probability 1 - (1 - s^13)^9,
+    which is 0.40 at 0.8, 0.93 at 0.9 and 0.9999 at 0.97. With 32 bands of 4 rows that is 0.9999999 at 0.8; ``verify`` then errs
+    by what 128 hashes do (a standard error of 0.035 at 0.8), and ``exact_members`` loses no link.
+    With ``verify``, two documents of a band are tied if their signatures agree at least so often: equal signatures are one, and
     all pairs of the others are tested, dealt out as pairs of blocks.
     """
     signed = spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), minhash(F.col(text_col)).alias("sig"))
@@ -273,8 +276,11 @@ def greedy_survivors(rows: DataFrame, id_col: str, text_col: str, threshold: flo
     return signed.where("id IS NULL").select("id").union(signed.select("id").join(status, "id", "left_semi"))
 
 
-def _hashed_shingles(text: Column) -> Column:
-    return F.array_sort(F.transform(word_shingles(F.coalesce(text, F.lit(""))), lambda s: F.xxhash64(s)))
+def _hashed_shingles(text: Column, k: int = 5) -> Column:
+    """The sorted hashes of a text's word shingles, made of its words' hashes, so no shingle is put together as a text."""
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")
+    runs = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (k - 1)), lambda i: F.xxhash64(*[F.element_at(h, i + j) for j in range(k)]))
+    return F.array_sort(F.array_distinct(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), lambda h: F.when(F.size(h) >= k, runs(h)).otherwise(h))[0]))
 
 
 def exact_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:

@@ -1,34 +1,65 @@
 """Operators on ordered rows that never bring all rows to one task.
 
-Rows are cut into ranges of the order column; sums by range are few and small, and what is left runs within a range.
+Rows are cut into ranges of the order column; sums by range are few and small, and what is left runs within a range. A value
+that many rows share has ranges of its own, cut by the column that breaks ties.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corpusloom.columns import beside, free, named
 
 #: Ranges that an ordered operator cuts its rows into.
 RANGES = 64
 
 
+def _cuts(df: DataFrame, order_col: str, ranges: int) -> list[float]:
+    """Approximate quantiles of a numeric column, equal ones as often as they come; none for other columns."""
+    if not isinstance(df.schema[order_col].dataType, T.NumericType):
+        return []
+    return df.approxQuantile(order_col, [i / ranges for i in range(1, ranges)], 0.25 / ranges)
+
+
+def _range(order_col: str, cuts: list[float]) -> Column:
+    number = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < named(order_col))) if cuts else F.lit(0)
+    return F.when(named(order_col).isNull(), -1).otherwise(number)
+
+
 def by_range(df: DataFrame, order_col: str, ranges: int = RANGES) -> Column:
     """The number of a row's range of the numeric order column, by approximate quantiles; null order is range -1."""
-    cuts = sorted(set(df.approxQuantile(order_col, [i / ranges for i in range(1, ranges)], 0.25 / ranges)))
-    number = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(order_col))) if cuts else F.lit(0)
-    return F.when(F.col(order_col).isNull(), -1).otherwise(number)
+    return _range(order_col, sorted(set(_cuts(df, order_col, ranges))))
 
 
-def running_sum(df: DataFrame, value: Column, order_col: str, ties: tuple[str, ...] = (), out: str = "running") -> DataFrame:
-    """``df`` with the sum of ``value`` over all rows up to this one, in the order of the numeric column (nulls first)
-    and then the ``ties`` columns."""
-    told = df.withColumn("_range", by_range(df, order_col)).withColumn("_value", value)
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = told.groupBy("_range").agg(F.sum("_value").alias("_sum"))  # RANGES + 1 rows at the most
-    bases = sums.select("_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("_range").orderBy(order_col, *ties).rowsBetween(Window.unboundedPreceding, 0)
-    summed = told.join(F.broadcast(bases), "_range").withColumn(out, F.col("_base") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-    return summed.drop("_range", "_value", "_base")
+def running_sum(df: DataFrame, value: Column, order_col: str, ties: tuple[str, ...] = (), out: str = "running", groups: tuple[str, ...] = (), ranges: int = RANGES) -> DataFrame:
+    """``df`` with the sum of ``value`` over all rows (of its group) up to this one, in the order of the order column (nulls
+    first) and then the ``ties`` columns.
+
+    A numeric order column is cut into ranges. A value at which two quantiles lie has a range of its own, which is cut by the
+    first of the ties; so neither a frequent value nor a large group is the work of one task. ``ranges`` is 1 for tables that
+    are known to be small.
+    """
+    at, part, one, base = free(df, "_range", "_part", "_value", "_base")
+    found = _cuts(df, order_col, ranges) if ranges > 1 else []
+    if not found:
+        upto = Window.partitionBy(*groups).orderBy(order_col, *ties).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(one, value).withColumn(out, F.coalesce(F.sum(one).over(upto), F.lit(0))).drop(one)
+    whole = isinstance(df.schema[order_col].dataType, T.IntegralType)
+    heavy = sorted({c for c in found if found.count(c) > 1 and (not whole or abs(c) < 2**53)}) if ties else []
+    place, inside = _range(order_col, sorted(set(found))) * 2, F.lit(0)
+    if heavy:
+        often = named(order_col).isin([int(c) if whole else c for c in heavy])
+        place = F.when(often, place + 1).otherwise(place)
+        inside = F.when(often, by_range(df.where(often), ties[0])).otherwise(inside)
+    told = df.withColumn(at, place).withColumn(part, inside).withColumn(one, value)
+    earlier = Window.partitionBy(*groups).orderBy(at, part).rowsBetween(Window.unboundedPreceding, -1)
+    sums = told.groupBy(*groups, at, part).agg(F.sum(one).alias(base))  # for each group at most a row for each range
+    bases = sums.withColumn(base, F.coalesce(F.sum(base).over(earlier), F.lit(0)))
+    within = Window.partitionBy(*groups, at, part).orderBy(order_col, *ties).rowsBetween(Window.unboundedPreceding, 0)
+    summed = beside(told, bases, [*groups, at, part], broadcast=not groups)
+    return summed.withColumn(out, named(base) + F.coalesce(F.sum(one).over(within), F.lit(0))).drop(at, part, one, base)
 
 
 def budget_cut(df: DataFrame, tokens: Column, limit: int | None, order_col: str) -> DataFrame:
@@ -36,14 +67,16 @@ def budget_cut(df: DataFrame, tokens: Column, limit: int | None, order_col: str)
     not positive) keeps all."""
     if limit is None or limit <= 0:
         return df
-    cut = running_sum(df.withColumn("_tokens", tokens), F.col("_tokens"), order_col, out="_running")
-    return cut.where(F.col("_running") - F.col("_tokens") < limit).drop("_tokens", "_running")
+    size, running = free(df, "_tokens", "_running")
+    cut = running_sum(df.withColumn(size, tokens), F.col(size), order_col, out=running)
+    return cut.where(F.col(running) - F.col(size) < limit).drop(size, running)
 
 
 def every_nth(df: DataFrame, n: int, order_col: str, keep: Column | None = None) -> DataFrame:
     """Every n-th row in order; rows that ``keep`` rejects are counted but not returned."""
-    numbered = running_sum(df, F.lit(1), order_col, out="_number").where(F.col("_number") % n == 0)
-    return (numbered if keep is None else numbered.where(keep)).drop("_number")
+    (number,) = free(df, "_number")
+    numbered = running_sum(df, F.lit(1), order_col, out=number).where(F.col(number) % n == 0)
+    return (numbered if keep is None else numbered.where(keep)).drop(number)
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str], empty_key: str = "collapse") -> DataFrame:
@@ -58,11 +91,17 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str], empty_key: str
         spared = spared | F.col(k).isNull()
         if empty_key == "keep":
             spared = spared | (F.col(k) == "")
-    first = Window.partitionBy(*keys).orderBy(*order)
-    kept = df.where(~spared).withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
+    (rank,) = free(df, "_rank")
+    kept = df.where(~spared).withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) == 1).drop(rank)
     return kept.unionByName(df.where(spared))
 
 
 def first_n(df: DataFrame, groups: list[str], order: list[Column | str], n: int) -> DataFrame:
     """The first n rows in order of every group."""
-    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).where(F.col("_rank") <= n).drop("_rank")
+    (rank,) = free(df, "_rank")
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).where(F.col(rank) <= n).drop(rank)
+
+
+def top_n(df: DataFrame, column: str, n: int, ties: str, largest: bool = True) -> DataFrame:
+    """The n rows with the largest (or smallest) values of a column, ties by another one, in that order; nulls come last."""
+    return df.orderBy(F.desc_nulls_last(column) if largest else F.asc_nulls_last(column), ties).limit(n)

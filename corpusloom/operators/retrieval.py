@@ -4,21 +4,23 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from itertools import dropwhile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.operators.order import first_n
-from corpusloom.session import spread
+from corpusloom.operators.order import first_n, running_sum
+from corpusloom.session import spread, written
 
 #: Tokens of a chunk, tokens it repeats of the one before, and tokens an abstract needs for a chunk of its own.
 CHUNK, OVERLAP, ABSTRACT = 512, 128, 30
-# The parts of a document's text.
-_FIELDS = re.compile(r"^(Title|Authors|Year|Venue|Keywords):")
-_ABSTRACT = re.compile(r"Abstract:\s*\n?(.*?)(?:\nFull Text:|\nKeywords:|\Z)", re.S)
-_BODY = re.compile(r"Full Text:\s*\n?(.*)", re.S)
+# The lines that head a document, and what ends the fields of its text.
+HEAD_LINES = ("Title", "Authors", "Year", "Venue", "Keywords")
+FIELDS = {"abstract": ("Abstract:", ("Full Text:", "Keywords:")), "body": ("Full Text:", ())}
 
 
 def tokens(text: str) -> int:
@@ -26,21 +28,29 @@ def tokens(text: str) -> int:
     return int(len(text.split()) * 1.3)
 
 
+def _field(text: str, start: str, ends: tuple[str, ...]) -> str:
+    """What follows a field's name, up to a line that begins with one of the ends; empty if the text has no such field."""
+    _, name, rest = text.partition(start)
+    if not name:
+        return ""
+    stops = [at for at in (rest.find(f"\n{end}") for end in ends) if at >= 0]
+    return rest[: min(stops)].strip() if stops else rest.strip()
+
+
 def parts(text: str, compat: bool = True) -> tuple[str, str, str]:
     """Title, abstract and body. A text without a title line is all body. ``compat`` gives a text with an abstract but no
     ``Full Text:`` no body; else its body is what follows the abstract's first paragraph."""
     if not text.startswith("Title:"):
         return "", "", text.strip()
-    title, found, body = text[6:].lstrip().partition("\n")[0].strip(), _ABSTRACT.search(text), _BODY.search(text)
-    abstract, rest = found.group(1).strip() if found else "", body.group(1).strip() if body else ""
-    if not rest and not abstract:
-        lines = text.split("\n")
-        first = next((i for i, line in enumerate(lines) if not _FIELDS.match(line)), len(lines))
-        rest = "\n".join(lines[first:]).strip()
-    elif not rest and not compat:
-        abstract, _, rest = abstract.partition("\n\n")
-        rest = rest.strip()
-    return title, abstract, rest
+    title = text.removeprefix("Title:").lstrip().split("\n", 1)[0].strip()
+    found = {name: _field(text, *limits) for name, limits in FIELDS.items()}
+    if found["body"] or found["abstract"] and compat:
+        return title, found["abstract"], found["body"]
+    if found["abstract"]:
+        head, _, rest = found["abstract"].partition("\n\n")
+        return title, head, rest.strip()
+    heads = tuple(f"{name}:" for name in HEAD_LINES)
+    return title, "", "\n".join(dropwhile(lambda line: line.startswith(heads), text.split("\n"))).strip()
 
 
 class _Pack:
@@ -117,52 +127,73 @@ def normalised(v: Column) -> Column:
     return F.transform(v, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(0.0))
 
 
-#: Queries of one pass over the candidates.
-QUERY_BLOCK = 4096
+#: Queries of a block, and bytes of the blocks that go to every task at once.
+QUERY_BLOCK, PASS_BYTES = 1024, 64 << 20
+
+
+def _usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """Rows with an id and a vector of finite numbers."""
+    x = F.transform(F.col(vector_col), lambda c: c.cast("double"))
+    fit = F.col(id_col).isNotNull() & x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    return rows.where(fit).select(F.col(id_col).cast("bigint").alias("id"), x.alias("v"))
+
+
+def _matrix(vectors: pd.Series, dims: int, cosine: bool) -> np.ndarray:
+    """Vectors in rows, shorter ones padded with zeros."""
+    m = np.zeros((len(vectors), dims))
+    for row, v in zip(m, vectors, strict=True):
+        row[: len(v)] = v
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300) if cosine else m
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", cosine: bool = False) -> DataFrame:
     """``query_id``, ``vec_id``, ``score`` and ``rank`` of every query's k candidates of the largest inner product, others than
-    itself, ties by id.
+    itself, ties by id. Vectors that are null or hold null or non-finite numbers take no part.
 
-    A query set against all rows, in blocks of queries: each task scores its candidates against a block by one matrix
-    product and keeps the best k, which are ranked again for every query.
+    A query set against all rows, in blocks: queries are packed into blocks by the executors, and a pass takes as many blocks
+    to every candidate as fit ``PASS_BYTES``; a task scores its candidates against a block by one matrix product and keeps
+    the best k, which are ranked again for every query.
     """
-    rows = queries.orderBy(id_col).select(id_col, vector_col).toLocalIterator()
-    out, held = None, []
-
-    def scored(block: list) -> DataFrame:
-        ids, matrix = np.array([r[0] for r in block], np.int64), _unit(np.array([r[1] for r in block], np.float64), cosine)
-
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                if not len(frame):
-                    continue
-                keys = frame.iloc[:, 0].to_numpy(np.int64)
-                scores = matrix @ _unit(np.stack(frame.iloc[:, 1].to_numpy()).astype(np.float64), cosine).T
-                for q, row in zip(ids, scores, strict=True):
-                    at = np.flatnonzero(keys != q)
-                    at = at[np.lexsort((keys[at], -row[at]))[:k]]
-                    yield pd.DataFrame({"query_id": q, "vec_id": keys[at], "score": row[at]})
+    wanted, rows = _usable(queries, id_col, vector_col), _usable(candidates, id_col, vector_col)
+    dims = wanted.union(rows).agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
 
-        return candidates.select(id_col, vector_col).mapInPandas(run, "query_id bigint, vec_id bigint, score double")
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
 
-    for row in rows:
-        held.append(row)
-        if len(held) == QUERY_BLOCK:
-            out, held = scored(held) if out is None else out.union(scored(held)), []
-    if held:
-        out = scored(held) if out is None else out.union(scored(held))
-    if out is None:
-        return candidates.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score double, rank int")
-    from pyspark.sql import Window
+        number = TaskContext.get().partitionId() << 33
+        for frame in frames:
+            for at in range(0, len(frame), QUERY_BLOCK):
+                part = frame.iloc[at : at + QUERY_BLOCK]
+                yield pd.DataFrame({"block": [number], "ids": [part["id"].to_numpy(np.int64).tobytes()], "data": [_matrix(part["v"], dims, cosine).tobytes()]})
+                number += 1
+
+    kinds = "block bigint, ids binary, data binary"
+    blocks, others = written(wanted.mapInPandas(pack, kinds), "topk-queries"), rows.mapInPandas(pack, kinds)
+    size = (F.octet_length("ids") + F.octet_length("data")).cast("bigint")
+    passes = [blocks]
+    if (blocks.agg(F.sum(size)).first()[0] or 0) > PASS_BYTES:
+        number = F.floor((F.col("upto") - 1) / PASS_BYTES).alias("pass")
+        placed = running_sum(blocks.select("block", size.alias("size")), F.col("size"), "block", out="upto").select("block", number)
+        numbered, others = written(blocks.join(placed, "block"), "topk-passes"), written(others, "topk-candidates")
+        passes = [numbered.where(F.col("pass") == i) for i in range(numbered.agg(F.max("pass")).first()[0] + 1)]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, data, keys, others in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids, keys = np.frombuffer(ids, np.int64), np.frombuffer(keys, np.int64)
+                scores = np.frombuffer(data).reshape(len(ids), dims) @ np.frombuffer(others).reshape(len(keys), dims).T
+                out: list[tuple[np.ndarray, ...]] = []
+                for one, row in zip(ids, scores, strict=True):
+                    at = np.flatnonzero(keys != one)
+                    at = at[np.lexsort((keys[at], -row[at]))[:k]]
+                    out.append((np.full(len(at), one), keys[at], row[at]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
 
+    candidates_of = others.select(F.col("ids").alias("keys"), F.col("data").alias("others"))
+    # PASS_BYTES and a block at the most go to every task
+    found = [F.broadcast(some.select("ids", "data")).crossJoin(candidates_of).mapInArrow(score, "query_id bigint, vec_id bigint, score double") for some in passes]
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return out.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
-
-
-def _unit(m: np.ndarray, cosine: bool) -> np.ndarray:
-    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300) if cosine else m
+    return reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
 
 
 def first_chunks(chunked: DataFrame, n: int) -> DataFrame:

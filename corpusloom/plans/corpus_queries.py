@@ -14,7 +14,7 @@ from corpusloom.operators import retrieval as R
 from corpusloom.operators import sampling as S
 from corpusloom.plans.registry import query, table
 from corpusloom.plans.text_queries import TOKENS_SQL
-from corpusloom.session import scratch_path
+from corpusloom.session import scratch_path, written
 from corpusloom.sources import markup as M
 from corpusloom.sources import readers as RD
 from corpusloom.sources import sinks as SK
@@ -47,7 +47,9 @@ SELECT part, count(*) AS n_docs, CAST(sum(tokens) AS BIGINT) AS tokens, round(su
 """)
 def budgeted_mix(spark, sf_dir):
     """English texts whole, others up to a quarter of the mix; what each part has."""
-    docs = table(spark, sf_dir, "documents").where(F.char_length("text").between(500, 50000)).select("doc_id", "lang", "text")
+    # ids and tokens once; the texts themselves would be joined to the result
+    docs = table(spark, sf_dir, "documents").where(F.char_length("text").between(500, 50000)).select("doc_id", "lang", T.estimate_tokens(F.col("text")).alias("tokens"))
+    docs = written(docs, "mix-tokens")
     english = F.col("lang") == "en"
     mix = S.budgeted_mix(docs.where(english), docs.where(~F.coalesce(english, F.lit(False))), 0.25)
     return S.composition(mix.select("part", "tokens"), "part")
@@ -281,6 +283,18 @@ def jats_extract(spark, sf_dir):
     return RC.parse_articles(files).select(F.substring("pmcid", 4, 20).cast("bigint").alias("item_id"), "pmcid", "title", F.element_at("sections", 1)["title"].alias("section"))
 
 
+@query("SELECT 'PMC' || item_id AS pmcid, section_no, title, CASE WHEN title = 'In' THEN 'inner' ELSE trim(regexp_replace(repeat(regexp_replace(text, '[^a-zA-Z ]', '', 'g') || ' ', 10), '\\s+', ' ', 'g')) END AS text FROM benchmark, (VALUES (0, 'In'), (1, 'Methods')) s(section_no, title) WHERE length(trim(regexp_replace(repeat(regexp_replace(text, '[^a-zA-Z ]', '', 'g') || ' ', 10), '\\s+', ' ', 'g'))) + 5 >= 500")
+def exploded_sections(spark, sf_dir):
+    """A row for every section of articles in XML, inner sections first."""
+    words = F.regexp_replace("text", "[^a-zA-Z ]", "")
+    xml = F.concat(
+        F.lit('<r><article><front><article-meta><article-id pub-id-type="pmc">'), "item_id", F.lit("</article-id></article-meta></front><body><sec><title>Methods</title><p>"),
+        F.repeat(F.concat(words, F.lit(" ")), F.lit(10)), F.lit("</p><sec><title>In</title><p>inner</p></sec></sec></body></article></r>"),
+    )
+    files = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("name"), F.encode(xml, "UTF-8").alias("content"))
+    return RC.exploded_sections(RC.parse_articles(files))
+
+
 @query("SELECT page_id AS id, '2024/01/02' AS date, 'Page ' || page_id AS title, 'https://example.org/p/' || page_id AS url FROM pages")
 def html_table_links(spark, sf_dir):
     """Dates, titles and urls of table rows."""
@@ -323,6 +337,14 @@ def csv_round_trip(spark, sf_dir):
     return RD.csv_table(spark, path, "doc_id bigint, text string").select("doc_id", F.md5("text").alias("digest"))
 
 
+@query("SELECT doc_id, source FROM documents")
+def csv_with_mark(spark, sf_dir):
+    """Documents written as CSV with a byte order mark, which the reader takes off."""
+    path = scratch_path(spark, "csv-mark")
+    SK.write_csv(table(spark, sf_dir, "documents").select("doc_id", "source"), path, mark=True)
+    return RD.csv_table(spark, path, "doc_id bigint, source string")
+
+
 @query("SELECT lang, count(*) AS n FROM documents GROUP BY lang")
 def split_sink(spark, sf_dir):
     """Documents written in a folder for each language, and counted from there."""
@@ -340,6 +362,18 @@ def upsert_sink(spark, sf_dir):
     return spark.read.schema("event_id bigint, event_type string").parquet(path)
 
 
+@query("SELECT key, CAST(value ->> 'n' AS BIGINT) AS n FROM (SELECT unnest(json_keys(d)) AS key, d FROM (SELECT json_group_object(k, json_object('n', n)) AS d FROM (SELECT event_type AS k, CASE WHEN event_type = 'click' THEN 7 ELSE count(*) END AS n FROM events GROUP BY event_type))) t, LATERAL (SELECT json_extract(d, '$.' || key) AS value)")
+def upsert_document(spark, sf_dir):
+    """Results by model in one JSON document, one model's replaced."""
+    path = scratch_path(spark, "upsert-document")
+    results = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("model")).agg(F.count("*").alias("n"))
+    SK.upsert(results, path, "model")
+    SK.upsert(results.where("model = 'click'").withColumn("n", F.lit(7).cast("bigint")), path, "model")
+    document = SK.as_document(spark.read.schema("n bigint, model string").parquet(path), "model")
+    told = document.select(F.explode(F.from_json("document", "results map<string, struct<n: bigint>>")["results"]).alias("key", "value"))
+    return told.select("key", F.col("value.n").alias("n"))
+
+
 @query("SELECT 'n' AS metric, CAST(count(*) AS DOUBLE) AS value FROM documents UNION ALL SELECT 'chars', CAST(sum(n_chars) AS DOUBLE) FROM documents")
 def statistics_report(spark, sf_dir):
     """Statistics as rows of metrics."""
@@ -382,4 +416,4 @@ def events_session_counts(spark, sf_dir):
 def budget_running_stream(spark, sf_dir):
     """Events of every type up to a budget."""
     told = _events(spark, sf_dir).select("event_id", "event_type", F.lit(10).alias("tokens"))
-    return I.run_available(I.running_budget(told, "event_type", "event_id", "tokens", 500), "stream-budget")
+    return I.run_budget(told, "event_type", "event_id", "tokens", 500, "stream-budget")

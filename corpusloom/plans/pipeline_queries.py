@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.functions import parse as P
 from corpusloom.functions import text as T
 from corpusloom.operators import stats as A
 from corpusloom.plans import pipelines as PL
+from corpusloom.plans.corpus_queries import TURN_SQL
 from corpusloom.plans.registry import query, table
+from corpusloom.plans.text_queries import TABLES, table_lines_sql, tidy_sql
 
 
 @query(r"""
@@ -28,6 +31,39 @@ def clean_works(spark, sf_dir):
     return PL.clean_works(works, F.col("abstract"), T.title_key(F.col("title")), "doc_id").select("doc_id", "quality", "tier", F.md5("abstract").alias("abstract"))
 
 
+EARLIER_SQL = """
+WITH w AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE md5(substr(text, 1, 40)) END AS doi, regexp_extract(text, '^[^\\n]*') AS title, source FROM documents),
+a AS (SELECT * FROM w WHERE source >= 'src2'),
+b AS (SELECT * FROM a WHERE doi IS NULL OR doc_id IN (SELECT min(doc_id) FROM a GROUP BY doi)),
+k AS (SELECT *, regexp_replace(regexp_replace(lower(trim(title)), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g') AS tk FROM b),
+c AS (SELECT * FROM k WHERE doc_id IN (SELECT min(doc_id) FROM k GROUP BY tk))
+SELECT doc_id FROM c WHERE doi IS NULL OR doi NOT IN (SELECT doi FROM w WHERE source < 'src2' AND doi IS NOT NULL)
+"""
+
+
+@query(EARLIER_SQL)
+def clean_works_next_round(spark, sf_dir):
+    """Works of a later round, those of an earlier one left out by their identifiers."""
+    docs = table(spark, sf_dir, "documents")
+    works = docs.select(
+        "doc_id", "source", F.when(F.col("doc_id") % 5 != 0, F.md5(F.substring("text", 1, 40))).alias("doi"), F.regexp_extract("text", r"^[^\n]*", 0).alias("title"),
+        F.lit("en").alias("language"), F.col("text").alias("abstract"), F.col("n_chars").alias("cited_by_count"),
+    )
+    earlier = works.where("source < 'src2'").select(F.upper("doi").alias("doi"))
+    return PL.clean_works(works.where("source >= 'src2'"), F.col("abstract"), T.title_key(F.col("title")), "doc_id", earlier).select("doc_id")
+
+
+MARKED = TABLES + " || '𝐀𝑏𝟗伪尾' || chr(7)"
+CLEANED_SQL = tidy_sql(table_lines_sql(f"replace(replace(replace(replace(replace({MARKED}, '尾', 'β'), '伪', 'α'), '𝐀', 'A'), '𝑏', 'b'), '𝟗', '9')"))
+
+
+@query(f"SELECT doc_id, md5(r) AS digest, r <> ({MARKED}) AS modified FROM (SELECT doc_id, text, {CLEANED_SQL} AS r FROM documents) WHERE length(r) >= 500")
+def clean_corpus(spark, sf_dir):
+    """Bodies cleaned, those that are long enough still, and whether cleaning changed them."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.expr(TABLES + " || '𝐀𝑏𝟗伪尾' || chr(7)").alias("text"))
+    return PL.clean_corpus(texts).select("doc_id", F.md5("text").alias("digest"), "modified")
+
+
 @query("""
 WITH f AS (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey AND c_acctbal > 3000)
 SELECT (SELECT count(*) FROM f) AS n_full, (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM f) AND length(o_orderpriority) > 5) AS n_abstract
@@ -115,8 +151,8 @@ SELECT model, round(avg(t25), 4) AS top25_mean, round(avg(t10), 4) AS top10_mean
 def hit_rates(spark, sf_dir):
     """How often selections hit the best candidates."""
     pool = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("idx"), F.col("p_retailprice").alias("objective"))
-    runs = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("model"), F.col("l_linestatus").alias("run")).agg(F.collect_list("l_partkey").alias("selected"))
-    found = PL.hit_rates(runs, pool)
+    picks = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("model"), F.col("l_linestatus").alias("run"), F.col("l_partkey").alias("idx"))
+    found = PL.hit_rates(picks, pool)
     return found.select("model", F.round("top25_mean", 4).alias("top25_mean"), F.round("top10_mean", 4).alias("top10_mean"), "hit_best_rate", "n_runs", F.round("chance", 4).alias("chance"))
 
 
@@ -199,7 +235,55 @@ def retrieval_prompts(spark, sf_dir):
     return PL.retrieval_prompts(questions, hits, items.select(F.col("item_id").alias("chunk_id"), "text")).withColumn("prompt", F.md5("prompt"))
 
 
-@query()
+EXAM_SQL = """
+WITH q AS (SELECT item_id AS id, 'Question: ' || substr(text, 1, 60) || chr(10) || 'A. yes' || chr(10) || 'B. no' || chr(10) || chr(10) || 'Answer:' AS q FROM benchmark)
+SELECT id, md5('Select.' || chr(10) || chr(10) || (SELECT q FROM q WHERE id = 3) || ' AB' || chr(10) || chr(10) || (SELECT q FROM q WHERE id = 1) || ' AB' || chr(10) || chr(10) || q) AS prompt FROM q WHERE id NOT IN (1, 3)
+"""
+
+
+def _questions(spark, sf_dir):
+    options = F.create_map(F.lit("B"), F.lit("no"), F.lit("A"), F.lit("yes"))
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.substring("text", 1, 60).alias("question"), options.alias("options"), F.array(F.lit("B"), F.lit("A")).alias("answer"))
+
+
+@query(EXAM_SQL)
+def few_shot_prompts(spark, sf_dir):
+    """Prompts behind two solved examples, which are not asked."""
+    return PL.exam_prompts(_questions(spark, sf_dir), "Select.", [3, 1]).withColumn("prompt", F.md5("prompt"))
+
+
+@query("SELECT item_id AS id, md5('Select.' || chr(10) || chr(10) || 'Question: ' || substr(text, 1, 60) || chr(10) || 'A. yes' || chr(10) || 'B. no' || chr(10) || chr(10) || 'Answer:') AS prompt FROM benchmark")
+def zero_shot_prompts(spark, sf_dir):
+    """Prompts without examples."""
+    return PL.exam_prompts(_questions(spark, sf_dir), "Select.").withColumn("prompt", F.md5("prompt"))
+
+
+@query("""
+SELECT p_size AS pool, 'Take 3 of ' || count(*) || ':' || chr(10) || string_agg(printf('  #%2d: CE=%.2f, GE=%.2f', CAST(p_partkey AS INTEGER), CAST(p_retailprice AS DOUBLE), CAST(p_size AS DOUBLE)), chr(10) ORDER BY p_partkey) AS prompt FROM part WHERE p_partkey < 100 GROUP BY p_size
+""")
+def candidate_prompt(spark, sf_dir):
+    """A table of candidates in a prompt, for every pool."""
+    pool = table(spark, sf_dir, "part").where("p_partkey < 100")
+    line = P.candidate_line(F.col("p_partkey").cast("int"), {"CE": F.col("p_retailprice").cast("double"), "GE": F.col("p_size").cast("double")})
+    told = pool.groupBy(F.col("p_size").alias("pool")).agg(F.count("*").alias("n"), P.in_lines(line, F.col("p_partkey")).alias("lines"))
+    return told.select("pool", P.filled("Take {k} of {n}:\n{lines}", k=F.lit(3), n=F.col("n"), lines=F.col("lines")).alias("prompt"))
+
+
+@query("SELECT doc_id, md5('Write 5 pairs about src {x}.' || chr(10) || 'ARTICLE:' || chr(10) || text) AS prompt FROM documents")
+def generation_prompt(spark, sf_dir):
+    """Prompts that ask for pairs about an article."""
+    template = "Write {n} pairs about {what}.\nARTICLE:\n{article}"
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(P.filled(template, n=F.lit(5), what=F.lit("src {x}"), article=F.col("text"))).alias("prompt"))
+
+
+MIX_SQL = TURN_SQL + f"""
+, d AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id % 2 ORDER BY CAST('0x' || substr(md5(conv_id || '#42'), 1, 15) AS BIGINT), conv_id) AS r FROM (SELECT DISTINCT conv_id FROM conversations))
+SELECT CASE WHEN conv_id % 2 = 0 THEN 'even' ELSE 'odd' END AS source, count(*) AS n, count(DISTINCT conv_id) AS chats FROM d JOIN f USING (conv_id)
+WHERE r <= 1000 AND length(instruction) >= 10 AND length(output) BETWEEN 20 AND 8000 GROUP BY 1
+"""
+
+
+@query(MIX_SQL)
 def chat_mix(spark, sf_dir):
     """First turns of two chat sources that pass the gate, by source."""
     said = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("m"))

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.columns import free
 from corpusloom.functions import lexicon as L
 from corpusloom.functions import parse as P
 from corpusloom.functions import text as T
-from corpusloom.operators import joins, neardup, order, sampling
+from corpusloom.operators import joins, neardup, order, sampling, stats
 from corpusloom.operators.neardup import jaccard
 
 
@@ -110,11 +111,24 @@ def rescored(results: DataFrame, questions: DataFrame) -> DataFrame:
 
 
 def few_shot(questions: DataFrame, example_ids: Sequence[int]) -> tuple[DataFrame, DataFrame]:
-    """Examples, and the questions left to evaluate."""
-    chosen = F.col("id").isin(list(example_ids))
+    """Examples, and the questions left to evaluate; a question without an id is no example."""
+    chosen = F.coalesce(F.col("id").isin(list(example_ids)), F.lit(False))
     return questions.where(chosen), questions.where(~chosen)
 
 
+def exam_prompts(questions: DataFrame, instruction: str, example_ids: Sequence[int] = ()) -> DataFrame:
+    """``id`` and ``prompt`` of every question (``id``, ``question``, ``options``, ``answer``) that is no example, behind the examples
+    in the order of their ids as given."""
+    shown, left = few_shot(questions, example_ids)
+    if not example_ids:
+        return left.select("id", P.exam_prompt(instruction, F.col("question"), F.col("options")).alias("prompt"))
+    place = F.array_position(F.array(*[F.lit(i) for i in example_ids]), F.col("id"))
+    solved = shown.select(F.struct(place.alias("o"), P.solved_example(F.col("question"), F.col("options"), F.col("answer")).alias("e")).alias("x"))
+    examples = solved.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["e"]).alias("examples"))  # as many as ids are given
+    asked = left.crossJoin(F.broadcast(examples))  # one row
+    return asked.select("id", P.exam_prompt(instruction, F.col("question"), F.col("options"), F.col("examples")).alias("prompt"))
+
+
 def retrieval_prompts(questions: DataFrame, hits: DataFrame, chunks: DataFrame) -> DataFrame:
     """Prompts with the passages of every question (``hits``: ``query_id``, ``chunk_id``, ``score``, ``rank``), the best score and the
     number of passages."""
@@ -123,14 +137,13 @@ def retrieval_prompts(questions: DataFrame, hits: DataFrame, chunks: DataFrame)
     return questions.join(passages, "id", "left").select("id", P.question_prompt(F.col("question"), F.col("options"), F.coalesce("passages", F.array())).alias("prompt"), "top_passage_score", F.coalesce("num_passages", F.lit(0)).alias("num_passages"))
 
 
-def hit_rates(runs: DataFrame, pool: DataFrame) -> DataFrame:
-    """Of every model, over its runs (``model``, ``run``, ``selected``), the mean share of selected candidates (``idx``,
-    ``objective``) in the upper quarter and tenth, how often the best is among them, and the share that chance gives."""
-    levels = pool.agg(F.percentile("objective", 0.75).alias("q75"), F.percentile("objective", 0.9).alias("q90"), F.max("objective").alias("top"), F.count("*").alias("size"))
-    known = pool.crossJoin(F.broadcast(levels))
+def hit_rates(picks: DataFrame, pool: DataFrame) -> DataFrame:
+    """Of every model, over its runs' picks (``model``, ``run``, ``idx``, a row for each), the mean share of picked candidates
+    (``idx``, ``objective``) in the upper quarter and tenth, how often the best is among them, and the share that chance gives."""
+    levels = stats.percentiles(pool, [], "objective", {"q75": 0.75, "q90": 0.9, "top": 1.0})
+    known = pool.crossJoin(F.broadcast(levels))  # one row
     chance = known.agg(F.avg((F.col("objective") >= F.col("q75")).cast("double")).alias("chance"))
-    picks = runs.select("model", "run", F.explode("selected").alias("idx")).join(joins.small(known), "idx")
-    each = picks.groupBy("model", "run").agg(
+    each = picks.select("model", "run", "idx").join(joins.small(known), "idx").groupBy("model", "run").agg(
         F.avg((F.col("objective") >= F.col("q75")).cast("double")).alias("t25"), F.avg((F.col("objective") >= F.col("q90")).cast("double")).alias("t10"), F.max((F.col("objective") == F.col("top")).cast("double")).alias("best")
     )
     told = each.groupBy("model").agg(F.avg("t25").alias("top25_mean"), F.avg("t10").alias("top10_mean"), F.avg("best").alias("hit_best_rate"), F.count("*").alias("n_runs"))
@@ -183,8 +196,9 @@ def summary_matrix(results: DataFrame, row: str, column: str, value: str, column
 
 
 def group_quota(df: DataFrame, key: str, group_order: str, row_order: str, quota: int) -> DataFrame:
-    """New keys in the order of groups until the quota is full."""
+    """New keys in the order of groups until the quota is full; a large group is placed by ranges of the row order."""
     fresh = order.keep_first(df, [key], [group_order, row_order])
-    return order.running_sum(fresh, F.lit(1), group_order, (row_order,), "_n").where(F.col("_n") <= quota).drop("_n")
+    (n,) = free(df, "_n")
+    return order.running_sum(fresh, F.lit(1), group_order, (row_order,), n).where(F.col(n) <= quota).drop(n)
 
 

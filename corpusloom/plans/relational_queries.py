@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.columns import kept_if_there
 from corpusloom.operators import joins as J
 from corpusloom.operators import order as O
 from corpusloom.operators import replay as R
@@ -112,9 +113,35 @@ def union_by_name(spark, sf_dir):
     return docs.unionByName(table(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id")), allowMissingColumns=True)
 
 
+@query("SELECT doc_id, source AS venue FROM documents")
+def kept_columns(spark, sf_dir):
+    """Those of the wanted columns that a table has, one renamed."""
+    return kept_if_there(table(spark, sf_dir, "documents"), ["doc_id", "doi", "source", "abstract"], {"source": "venue"})
+
+
 # --- statistics
 
 
+@query("SELECT split_part(url, '.', -1)[1:2] AS agency, CAST(grouping(agency) AS TINYINT) AS is_total, count(*) AS pages, CAST(sum(length(html)) AS BIGINT) AS chars FROM pages GROUP BY ROLLUP (agency)")
+def manifest_totals(spark, sf_dir):
+    """Pages and characters of every agency of a crawl, and of all."""
+    pages = table(spark, sf_dir, "pages")
+    return A.totals(pages.select(F.substring(F.substring_index("url", ".", -1), 1, 2).alias("agency"), F.char_length("html").cast("bigint").alias("size")), "agency", "size")
+
+
+@query("SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 25")
+def longest_documents(spark, sf_dir):
+    """The longest documents."""
+    return O.top_n(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "n_chars", 25, "doc_id")
+
+
+@query("SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey ORDER BY n DESC, min(l_orderkey * 10 + l_linenumber) LIMIT 15")
+def topn_groups_first_seen(spark, sf_dir):
+    """The largest groups, of equally large ones those that were seen first."""
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("at"))
+    return A.top_groups(lines, "l_partkey", 15, "at")
+
+
 @query("""
 SELECT l_returnflag, count(*) AS n, max(x) FILTER (r = n * 25 // 100) AS q25, max(x) FILTER (r = n * 50 // 100) AS q50, max(x) FILTER (r = n * 75 // 100) AS q75, max(x) FILTER (r = n * 95 // 100) AS q95
 FROM (SELECT l_returnflag, l_extendedprice AS x, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1 AS r, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem) GROUP BY l_returnflag
@@ -133,7 +160,9 @@ def upper_median(spark, sf_dir):
 @query("SELECT l_returnflag, round(quantile_cont(l_quantity, 0.5), 4) AS med, round(quantile_cont(l_extendedprice, 0.75), 4) AS p75, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90 FROM lineitem GROUP BY l_returnflag")
 def percentiles(spark, sf_dir):
     """Interpolated percentiles."""
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.round(F.median("l_quantity"), 4).alias("med"), F.round(F.percentile("l_extendedprice", 0.75), 4).alias("p75"), F.round(F.percentile("l_extendedprice", 0.9), 4).alias("p90"))
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice")
+    told = A.percentiles(lines, ["l_returnflag"], "l_quantity", {"med": 0.5}).join(A.percentiles(lines, ["l_returnflag"], "l_extendedprice", {"p75": 0.75, "p90": 0.9}), "l_returnflag")
+    return told.select("l_returnflag", *[F.round(c, 4).alias(c) for c in ("med", "p75", "p90")])
 
 
 @query("SELECT l_linestatus, round(avg(l_quantity), 4) AS mean, round(stddev_pop(l_quantity), 4) AS sd, CAST(sum(l_quantity) AS BIGINT) // count(*) AS floor_mean, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_linestatus")

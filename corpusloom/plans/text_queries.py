@@ -76,7 +76,12 @@ def clean_text(spark, sf_dir):
     return _told(_docs(spark, sf_dir), U.clean_text(F.concat("text", F.expr(MARKS))))
 
 
-@query(_told_sql(r"regexp_replace(regexp_replace(regexp_replace(replace(text, chr(10), repeat(chr(10), 5)) || ' ' || chr(7), '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g'), '\n{4,}', chr(10) || chr(10) || chr(10), 'g'), '(?m)[ \t\r\f]+$', '', 'g').regexp_replace('^\s+|\s+$', '', 'g')"))
+def tidy_sql(x: str) -> str:
+    """SQL of ``text.tidy_lines``."""
+    return rf"regexp_replace(regexp_replace(regexp_replace({x}, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g'), '\n{{4,}}', chr(10) || chr(10) || chr(10), 'g'), '(?m)[ \t\r\f]+$', '', 'g').regexp_replace('^\s+|\s+$', '', 'g')"
+
+
+@query(_told_sql(tidy_sql("replace(text, chr(10), repeat(chr(10), 5)) || ' ' || chr(7)")))
 def collapse_blank_lines(spark, sf_dir):
     """Control characters, runs of line ends and white space at ends removed."""
     return _told(_docs(spark, sf_dir), T.tidy_lines(F.concat(F.expr("replace(text, '\\n', repeat('\\n', 5))"), F.lit(" "), F.lit("\x07"))))
@@ -85,7 +90,12 @@ def collapse_blank_lines(spark, sf_dir):
 TABLES = "text || chr(10) || '1 2.5 3e4 5 6 7 8' || chr(10) || '+--+--+' || chr(10) || 'a' || chr(9) || 'b' || chr(9) || 'c' || chr(9) || 'd' || chr(10) || 'z'"
 
 
-@query(_told_sql(r"regexp_replace(regexp_replace(regexp_replace(" + TABLES + r", '(?m)^[ \t]*(?:\d+\.?\d*(?:[eE][+-]?\d+)?[ \t]+){5,}\d+\.?\d*(?:[eE][+-]?\d+)?[ \t]*$', '', 'g'), '(?m)^[ \t]*(?:[+|][-=]+){2,}[+|]?[ \t]*$|^[ \t]*[-─━═]{10,}[ \t]*$', '', 'g'), '(?m)^[^\t\n]{0,30}(?:\t[^\t\n]{0,30}){3,}$', '', 'g')"))
+def table_lines_sql(x: str) -> str:
+    """SQL of ``text.drop_table_lines``."""
+    return f"regexp_replace(regexp_replace(regexp_replace({x}" + r", '(?m)^[ \t]*(?:\d+\.?\d*(?:[eE][+-]?\d+)?[ \t]+){5,}\d+\.?\d*(?:[eE][+-]?\d+)?[ \t]*$', '', 'g'), '(?m)^[ \t]*(?:[+|][-=]+){2,}[+|]?[ \t]*$|^[ \t]*[-─━═]{10,}[ \t]*$', '', 'g'), '(?m)^[^\t\n]{0,30}(?:\t[^\t\n]{0,30}){3,}$', '', 'g')"
+
+
+@query(_told_sql(table_lines_sql(TABLES)))
 def remove_table_lines(spark, sf_dir):
     """Lines that are rows of tables emptied."""
     return _told(_docs(spark, sf_dir), T.drop_table_lines(F.expr(TABLES)))

@@ -26,11 +26,14 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    Where the setting is absent (tests, local runs) a fresh local folder is set, which is right there because
-    driver and executors are then one process.
+    Where the setting is absent and driver and executors are one process (tests, local runs), a fresh local folder is set; on a
+    cluster no machine's own folder would do, so the setting has to be there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

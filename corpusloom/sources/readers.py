@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.records import parse_articles
 from corpusloom.functions.text import estimate_tokens
 from corpusloom.operators.joins import last_wins
 from corpusloom.operators.order import budget_cut
@@ -89,8 +90,18 @@ def documents_json(spark: SparkSession, path: str, schema: str | None = None) ->
 
 
 def existing_ids(spark: SparkSession, path: str, least_bytes: int = 100) -> DataFrame:
-    """Names, without endings, of the files of a folder that have more than a few bytes."""
-    return spark.read.format("binaryFile").load(path).where(F.col("length") > least_bytes).select(F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("id"))
+    """Names, without endings, of the files of a folder that have more than a few bytes; their contents are not read."""
+    return spark.read.format("binaryFile").load(path).select("path", "length").where(F.col("length") > least_bytes).select(F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("id"))
+
+
+def subset(spark: SparkSession, path: str, name: str, split: str = "train") -> DataFrame:
+    """One subset and split of a table written by ``subset`` and ``split``; only its files are read."""
+    return spark.read.parquet(path).where((F.col("subset") == name) & (F.col("split") == split)).drop("subset", "split")
+
+
+def articles(spark: SparkSession, path: str) -> DataFrame:
+    """The articles of a folder of XML files, sorted by their ids."""
+    return parse_articles(xml_files(spark, path)).orderBy("pmcid")
 
 
 def xml_files(spark: SparkSession, path: str) -> DataFrame:

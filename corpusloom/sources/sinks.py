@@ -25,9 +25,10 @@ def write_split(df: DataFrame, path: str, column: str) -> None:
     df.write.mode("errorifexists").partitionBy(column).json(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header and doubled quotes."""
-    df.write.mode("errorifexists").options(header=True, escape='"').csv(path)
+def write_csv(df: DataFrame, path: str, mark: bool = False) -> None:
+    """CSV with a header and doubled quotes; with a byte order mark before it on demand, as spreadsheets want it."""
+    named = df.withColumnRenamed(df.columns[0], f"\ufeff{df.columns[0]}") if mark else df
+    named.write.mode("errorifexists").options(header=True, escape='"').csv(path)
 
 
 def write_texts(df: DataFrame, path: str, text_col: str = "text") -> None:
@@ -45,6 +46,19 @@ def upsert(df: DataFrame, path: str, key: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
+def as_document(df: DataFrame, key: str, field: str = "results") -> DataFrame:
+    """One row ``document``: a JSON object whose field has an entry for each key, with the other columns; for tables of few
+    keys, such as models, that ``upsert`` keeps up to date."""
+    entry = F.struct(F.col(key).cast("string").alias("k"), F.struct(*[F.col(c) for c in df.columns if c != key]).alias("v"))
+    return df.agg(F.to_json(F.struct(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(field))).alias("document"))
+
+
+def report(statistics: DataFrame) -> DataFrame:
+    """The rows of ``statistics`` as lines of a text report, in ``line``, names padded to one width."""
+    width = 40
+    return statistics.select(F.concat(F.rpad("metric", width, "."), F.lit(" "), F.format_string("%,.2f", "value")).alias("line"))
+
+
 def next_version(spark: SparkSession, df: DataFrame, path: str) -> str:
     """Write a new version beside the older ones, which stay as backups, and return its path; so an input is never
     overwritten while it is read."""

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from corpusloom.columns import all_columns, free, named
+from corpusloom.operators.order import running_sum
 from corpusloom.session import scratch_path
+from corpusloom.sources.readers import first_that_exists
 
 
 def file_stream(spark: SparkSession, path: str, schema: Any) -> DataFrame:
@@ -55,19 +56,37 @@ def session_counts(stream: DataFrame, event_time: str, gap: str, key: str, delay
     return told.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), key, "n")
 
 
-def running_budget(stream: DataFrame, key: str, order: str, tokens: str, limit: int) -> DataFrame:
+def run_budget(stream: DataFrame, key: str, order: str, tokens: str, limit: int, label: str, state: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Rows of every key until their tokens reach the limit, the crossing row included, over all batches; within a batch
-    rows count in order."""
-    schema = stream.schema
+    rows count in order. Processes what is there now and gives the rows that were kept.
+
+    What each key has spent after a batch is a small table of that batch's number below ``state``, so a batch that is tried
+    again starts where it started. A batch's rows are placed by ranges, so no task gets a key as a whole.
+    """
+    spark = stream.sparkSession
+    out, state, checkpoint = scratch_path(spark, label), state or scratch_path(spark, f"{label}-state"), checkpoint or scratch_path(spark, f"{label}-checkpoint")
+    running, spent = free(stream, "_running", "_spent")
+    kinds = f"`{key}` {stream.schema[key].dataType.simpleString()}, `{spent}` bigint"
+
+    def put(batch: DataFrame, number: int) -> None:
+        before = f"{state}/batch={number - 1}"
+        known = spark.read.schema(kinds).parquet(before) if first_that_exists(spark, before) else spark.createDataFrame([], kinds)
+        told = running_sum(batch, named(tokens), order, out=running, groups=(key,))
+        told = beside_if_known(told, known, key).withColumn(spent, F.coalesce(spent, F.lit(0)))
+        told.where(F.col(spent) + F.col(running) - F.coalesce(named(tokens), F.lit(0)) < limit).select(*all_columns(batch)).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        sums = batch.select(named(key), named(tokens).cast("bigint").alias(spent)).unionByName(known).groupBy(key).agg(F.sum(spent).alias(spent))
+        sums.write.mode("overwrite").parquet(f"{state}/batch={number}")
+
+    stream.writeStream.foreachBatch(put).trigger(availableNow=True).option("checkpointLocation", checkpoint).start().awaitTermination()
+    if not first_that_exists(spark, out):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{out}/batch=*")
 
-    def cut(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        spent = state.get[0] if state.exists else 0
-        rows = pd.concat(list(frames)).sort_values(order)
-        before = spent + rows[tokens].cumsum() - rows[tokens]
-        state.update((int(spent + rows[tokens].sum()),))
-        yield rows[before < limit]
 
-    return stream.groupBy(key).applyInPandasWithState(cut, schema, "spent bigint", "append", GroupStateTimeout.NoTimeout)
+def beside_if_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """``df`` with the other columns of ``known``, nulls where it lacks the key; null keys equal null keys."""
+    (other,) = free(df, f"_on_{key}")
+    return df.join(known.withColumnRenamed(key, other), named(key).eqNullSafe(named(other)), "left").drop(other)
 
 
 def each_batch(process: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
@@ -79,6 +98,19 @@ def each_batch(process: Callable[[DataFrame], DataFrame], path: str) -> Callable
     return put
 
 
+def appended(stream: DataFrame, process: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, tell: Callable[[dict[str, Any]], None] | None = None) -> None:
+    """Process what is there now, batch by batch, append it below ``path`` and tell the rows of each batch; what the checkpoint
+    has as done is not read again."""
+    spark, sink = stream.sparkSession, each_batch(process, path)
+
+    def put(batch: DataFrame, number: int) -> None:
+        sink(batch, number)
+        if tell is not None:
+            tell({"batch": number, "rows": spark.read.parquet(f"{path}/batch={number}").count()})
+
+    stream.writeStream.foreachBatch(put).trigger(availableNow=True).option("checkpointLocation", checkpoint).start().awaitTermination()
+
+
 class Progress(StreamingQueryListener):
     """Tells every batch (``batch``, ``rows``, ``rows_per_second``) of the session's streams, once added to ``spark.streams``."""
 

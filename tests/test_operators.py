@@ -66,7 +66,54 @@ def test_statistics(spark):
         assert (row.n, row.q25, row.q50, row.q75, row.q95) == (n, n * 25 // 100, n // 2, n * 75 // 100, n * 95 // 100)
     rows = spark.createDataFrame([(1, True, False), (2, False, True), (3, True, True)], "id int, a boolean, b boolean")
     assert tuple(stats.changes(rows, "a", "b").first()) == (3, 1, 1, 1)
-    assert stats.accuracy(rows.limit(0), "a", "id").count() == 0
+    assert [tuple(r) for r in stats.accuracy(rows.limit(0), "a", "id").collect()] == [("(all)", 0, 0, 0.0)]
+    seen = spark.createDataFrame([(1, "b"), (2, "a"), (3, "a"), (4, "b"), (5, "c")], "at int, g string")
+    assert [r.g for r in stats.top_groups(seen, "g", 2).collect()] == ["a", "b"] and [r.g for r in stats.top_groups(seen, "g", 2, "at").collect()] == ["b", "a"]
+    assert sorted((r.g or "", r.is_total, r.pages, r.chars) for r in stats.totals(seen, "g", "at").collect()) == [("", 1, 5, 15), ("a", 0, 2, 5), ("b", 0, 2, 5), ("c", 0, 1, 5)]
+
+
+@pytest.mark.parametrize("few", [0, 250_000])
+def test_quantiles_of_hot_groups(spark, monkeypatch, few):
+    """A group with most rows, frequent values, nulls as groups, and names that clash; cut into ranges or not."""
+    monkeypatch.setattr(stats, "FEW_VALUES", few)
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "a", "a", None, "b"]), rng.choice([7, 7, rng.randrange(-50, 50), rng.randrange(10**6)]), 1) for _ in range(3000)] + [("c", None, 1), ("d", 5, 1)]
+    table = spark.createDataFrame(rows, "g string, v bigint, _n int").repartition(5)
+    for found in (stats.index_quantiles(table, ["g"], "v", [0, 25, 50, 95]), stats.index_quantiles(table.withColumn("v", F.col("v").cast("string")), ["g"], "v", [50]).limit(0)):
+        for r in found.collect():
+            values = sorted(v for g, v, _ in rows if g == r.g and v is not None)
+            assert (r.n, r.q0, r.q25, r.q50, r.q95) == (len(values), *(values[len(values) * q // 100] for q in (0, 25, 50, 95)))
+    told = {r.g: r for r in stats.percentiles(table, ["g"], "v", {"m": 0.5, "p": 0.9, "top": 1.0}).collect()}
+    assert set(told) == {"a", "b", "d", None}
+    for g, r in told.items():
+        values = [v for x, v, _ in rows if x == g and v is not None]
+        assert (r.m, r.p, r.top) == pytest.approx((np.median(values), np.percentile(values, 90), max(values)))
+    whole = stats.percentiles(table, [], "v", {"m": 0.25}).first()
+    assert whole.m == pytest.approx(np.percentile([v for _, v, _ in rows if v is not None], 25))
+
+
+def test_running_sums_within_groups_and_of_frequent_values(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("aab"), rng.choice([3, 3, 3, 5, rng.randrange(100), None]), i, rng.randrange(5)) for i in range(2000)]
+    table = spark.createDataFrame(rows, "g string, o int, i int, _value int").repartition(6)
+    for groups in ((), ("g",)):
+        found = {r.i: r.running for r in order.running_sum(table, F.col("_value"), "o", ("i",), groups=groups).collect()}
+        totals, want = {}, {}
+        for g, o, i, v in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
+            key = g if groups else ""
+            want[i] = totals[key] = totals.get(key, 0) + v
+        assert found == want
+    assert order.running_sum(table, F.lit(1), "o", ("i",)).columns == [*table.columns, "running"]
+
+
+def test_quotas_of_large_groups(spark):
+    rows = spark.range(5000).select("id", F.when(F.col("id") < 4000, "big").when(F.col("id") < 4500, "mid").otherwise("none").alias("g"), F.lit(1).alias("_rank"))
+    quotas = spark.createDataFrame([("big", 20), ("mid", 10_000), ("absent", 5), ("zero", 0)], "g string, quota int")
+    want = sampling.sample_quotas(rows, quotas, "g", "id", 3)
+    assert want.columns == rows.columns and want.count() == 520
+    assert ids(sampling.sample_quotas(rows, quotas, "g", "id", 3, large=100)) == ids(want)
+    alike = rows.withColumn("id", F.lit(5))  # equal keys draw alike, above the bound or below it
+    assert sampling.sample_quotas(alike, quotas, "g", "id", 3, large=100).count() == 520
 
 
 def test_samples(spark):
@@ -124,6 +171,16 @@ def test_verified_clusters_behind_a_stranger(spark):
     assert found == {i: 1000 if i >= 1000 else i for i, _ in rows}
 
 
+def test_near_duplicates_with_texts_as_ids(spark):
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(500)}" for _ in range(200)]
+    rows = [("b", " ".join(base)), ("a", " ".join([*base[:-1], "x"])), ("c", "something else is said here"), (None, " ".join(base))]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    for found in (neardup.document_clusters(docs), neardup.document_clusters(docs, n_bands=32, rows=4, verify=0.8)):
+        assert {r.id: r.cluster for r in found.collect() if r.id} == {"a": "a", "b": "a", "c": "c"}
+    assert sorted(r.id or "" for r in neardup.greedy_survivors(docs, "doc_id", "text").collect()) == ["", "a", "c"]
+
+
 def test_greedy_order(spark):
     rows = [(1, "What is the boiling point of water at sea level?"), (2, "What is the boiling point of water at sea level ?"), (3, "Name three rivers in Europe and their lengths."), (4, "what is the boiling point of water at sea level?")]
     assert ids(neardup.greedy_survivors(spark.createDataFrame(rows, "id bigint, text string"), "id", "text")) == [1, 3]
@@ -203,6 +260,36 @@ def test_top_k(spark):
         assert [r.vec_id for r in found.where(F.col("query_id") == q).orderBy("rank").collect()] == np.argsort(-s)[:3].tolist()
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_top_k_in_passes(spark, monkeypatch, small):
+    """Nulls, short vectors and repeated rows; and queries that don't fit one pass."""
+    if small:
+        monkeypatch.setattr(retrieval, "QUERY_BLOCK", 3)
+        monkeypatch.setattr(retrieval, "PASS_BYTES", 300)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(40)] + [(50, None), (51, [1.0, None]), (52, [float("nan")] * 4), (None, [1.0] * 4), (53, [2.0]), (7, [0.5] * 4)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    usable = [(i, np.pad(np.array(v), (0, 4 - len(v)))) for i, v in rows if i is not None and v is not None and all(x is not None and x == x for x in v)]
+    for cosine in (False, True):
+        unit = [(i, v / np.linalg.norm(v) if cosine else v) for i, v in usable]
+        found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in retrieval.top_k(table.where("vec_id < 20 AND vec_id <> 7 OR vec_id > 50"), table, 4, cosine=cosine).collect()}
+        for q, x in unit:
+            if q < 20 and q != 7 or q > 50:
+                want = sorted((-float(x @ v), i) for i, v in unit if i != q)[:4]
+                assert [found[q, n + 1][0] for n in range(4)] == [i for _, i in want]
+    assert retrieval.top_k(table.limit(0), table, 3).count() == 0
+
+
+def test_document_parts():
+    p = retrieval.parts
+    assert p("no title\nx") == ("", "", "no title\nx")
+    assert p("Title:  T\nYear: 1\n\nAbstract:\nabs\nmore\nKeywords: k\nFull Text:\nbody\n\nend ") == ("T", "abs\nmore", "body\n\nend")
+    assert p("Title: T\nAbstract: abs\n\nsec\n\nthird") == ("T", "abs\n\nsec\n\nthird", "")
+    assert p("Title: T\nAbstract: abs\n\nsec\n\nthird", compat=False) == ("T", "abs", "sec\n\nthird")
+    assert p("Title: T\nAuthors: A\nVenue: V\nrest\nYear: 3") == ("T", "", "rest\nYear: 3")
+    assert p("Title: T") == ("T", "", "")
+
+
 def test_replay(spark):
     grid = replay.simplex_grid(spark).orderBy("idx").collect()
     assert len(grid) == 66 and all(abs(r.a + r.b + r.c - 2) < 1e-9 for r in grid)
@@ -237,7 +324,17 @@ def test_ranges_and_service(spark):
     each_day = lambda s, e: 40 * (int(e[:4]) - int(s[:4]) + (1 if s[5:7] != e[5:7] and (s[5:], e[5:]) == ("01-01", "12-31") else 0.5))
     found = rest.spans(lambda s, e: int(each_day(s, e)), 2000, 2007, most=90)
     assert [(s.start[:4], s.end[:4]) for s in found] == [("2000", "2001"), ("2002", "2003"), ("2004", "2005"), ("2006", "2007")]
-    assert [s.count for s in rest.spans(lambda s, e: 100 if s[5:] == "01-01" and e[5:] == "12-31" else 60, 2000, 2000, most=50)] == [50, 50]
+    from datetime import date, timedelta
+
+    days = {date(2000, 1, 1) + timedelta(days=i): 1 + (i % 7 == 0) * 5 for i in range(800)}
+    many = lambda s, e: sum(n for d, n in days.items() if date.fromisoformat(s) <= d <= date.fromisoformat(e))
+    found = rest.spans(many, 1999, 2003, most=9)  # no result is lost, however far ranges have to be halved
+    assert sum(s.count for s in found) == sum(days.values()) and all(s.count <= 9 for s in found)
+    assert all(a.end < b.start for a, b in zip(found, found[1:], strict=False))
+    with pytest.raises(ValueError):
+        rest.spans(many, 1999, 2003, most=5)
+    halves = rest.spans(lambda s, e: 100 if (s[5:], e[5:]) == ("01-01", "12-31") else 60, 2000, 2000, most=60)
+    assert [(s.start, s.end) for s in halves] == [("2000-01-01", "2000-06-30"), ("2000-07-01", "2000-12-31")]
     assert rest.spans(lambda s, e: 0, 2000, 2001) == []
     tries = []
     assert rest.retried(lambda: tries.append(1) or (1 / 0 if len(tries) < 3 else 5), wait=0) == 5
@@ -250,5 +347,9 @@ def test_ranges_and_service(spark):
             return [{"id": offset + i} for i in range(size)]
 
     assert ids(rest.fetch(spark, Service(), "q", 2000, 2001, "id bigint", page_size=3)) == list(range(7))
+    wanted, done = spark.createDataFrame([(f"p{i}",) for i in range(6)] + [("p1",)], "k string"), spark.createDataFrame([("p0",), ("p5",)], "id string")
+    got = rest.downloaded(wanted, lambda k: None if k == "p3" else k.encode() * 2, "k", done, tasks=2, per_second=200)
+    assert sorted((r.id, bytes(r.content)) for r in got.collect()) == [("p1", b"p1p1"), ("p2", b"p2p2"), ("p4", b"p4p4")]
+    assert ids(rest.probed([lambda: spark.range(0), lambda: spark.range(2), lambda: 1 / 0])) == [0, 1] and rest.probed([lambda: spark.range(0)]).count() == 0
     known = rest.looked_up(spark.createDataFrame([("a",), ("b",)], "k string"), lambda keys: [{"v": 1} if k == "a" else None for k in keys], "k", "k string, v bigint")
     assert [tuple(r) for r in known.collect()] == [("a", 1)]

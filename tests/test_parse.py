@@ -49,3 +49,18 @@ def test_first_turns(spark):
 def test_prompts(spark):
     row = spark.createDataFrame([("Q?", {"B": "no", "A": "yes"}, ["p" * 20])], "q string, o map<string, string>, p array<string>")
     assert row.select(P.question_prompt(F.col("q"), F.col("o"), F.col("p"), 3).alias("r")).first().r == "[1] ppp\n\nQuestion: Q?\nA. yes\nB. no\nAnswer:"
+
+
+def test_exam_prompts_and_templates(spark):
+    from corpusloom.plans import pipelines
+
+    rows = spark.createDataFrame([(i, f"Q{i}?", {"B": "no", "A": "yes"}, ["B", "A"] if i == 2 else ["A"]) for i in (1, 2, 3)] + [(None, "Q?", {"A": "x"}, ["A"])], "id int, question string, options map<string, string>, answer array<string>")
+    found = {r.id: r.prompt for r in pipelines.exam_prompts(rows, "Do.", [2, 1, 99]).collect()}
+    ask = "\nQuestion: Q%s?\nA. yes\nB. no\n\nAnswer:"
+    assert found == {3: "Do.\n" + ask % 2 + " AB\n" + ask % 1 + " A\n" + ask % 3, None: "Do.\n" + ask % 2 + " AB\n" + ask % 1 + " A\n\nQuestion: Q?\nA. x\n\nAnswer:"}
+    assert pipelines.exam_prompts(rows, "Do.").where("id = 1").first().prompt == "Do.\n" + ask % 1
+    one = spark.createDataFrame([("{b}", None)], "a string, b string")
+    assert one.select(P.filled("x {a} y {b} z {c} {a}", a=F.col("a"), b=F.col("b")).alias("r")).first().r == "x {b} y  z {c} {b}"
+    lines = spark.createDataFrame([(10, 1.0, 2.5), (2, 0.333, 4.0)], "i int, x double, y double")
+    told = lines.agg(P.in_lines(P.candidate_line(F.col("i"), {"CE": F.col("x"), "HS": F.col("y")}), F.col("i")).alias("t")).first().t
+    assert told == "  # 2: CE=0.33, HS=4.00\n  #10: CE=1.00, HS=2.50"
