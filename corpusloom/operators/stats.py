@@ -10,7 +10,7 @@ from corpusloom.operators.order import RANGES, running_sum
 from corpusloom.session import written
 
 #: Distinct values of all groups up to which they are not cut into ranges.
-FEW_VALUES = 250_000
+FEW_VALUES = 1_000_000
 
 
 def _placed(df: DataFrame, groups: list[str], value: str) -> tuple[DataFrame, str, str, str]:
