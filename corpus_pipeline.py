@@ -5,8 +5,11 @@
 3. ``mixing`` draws the sources to their target weights; a document may stand several times, or cut at a block's edge.
 4. ``sentencepiece`` encodes every text, and checks by decoding that the ids give it back.
 
-All but the last return the columns of ``documents``. Nulls, empty tables and repeated rows are defined as in the
-operators.
+All but the last return the columns of ``documents``. Defined results: null and empty texts are clean, alike among themselves
+only, never drawn by the mix, and so don't reach the end; null ids and null sources are kept; rows that repeat id and text are
+one document behind the second stage; of ties for the smallest id any copy stays, as their texts are alike; texts of any
+length are read whole and may be cut by the mix only; columns of any other names, clashing ones too, go along through the
+first three stages; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,9 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.columns import all_columns
 from corpusloom.llm import jaccard, mixing, pieces, toxicity
 from corpusloom.llm.catalog import PIECES_PATH, table
-from corpusloom.llm.names import all_columns
 from corpusloom.session import written
 
 
