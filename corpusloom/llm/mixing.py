@@ -33,14 +33,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.names import all_columns
+from corpusloom.columns import all_columns
 from corpusloom.session import written
 
 #: Words as the contract has them, and one word with the white space behind it.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_AND_SPACE = r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
-#: Rounds of the permutation, and sources whose quotas stand in one array.
-ROUNDS, GROUP = 32, 256
+#: Rounds of the permutation, sources whose quotas stand in one array, and sources up to which one task numbers them.
+ROUNDS, GROUP, FEW_SOURCES = 32, 256, 10_000
 #: Words of a shard and of a part of one, if the number of shards follows from the input, and the least and most shards.
 SHARD_WORDS, PART_WORDS, LEAST_SHARDS, MOST_SHARDS = 1 << 22, 1 << 22, 8, 4096
 #: Ends of ranges (8 bytes each, one for each source and shard) up to which the sources' table is broadcast; a larger one is
@@ -53,19 +53,23 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def source_targets(sizes: DataFrame, weights: Sequence[float], cap: float) -> DataFrame:
+def source_targets(sizes: DataFrame, weights: Sequence[float], cap: float, sources: int) -> DataFrame:
     """``sizes`` (``source``, ``source_size``) with ``number`` in source order, ``weight`` and ``target``.
 
     The level is what is left of the total over the weights left; sources whose share at that level is beyond their cap are
     capped, and the level is taken again among the others until none is above. A round is one sum by weight.
     """
     order = F.col("source").asc_nulls_last()
-    ranges = written(sizes.repartitionByRange(order).withColumn("part", F.spark_partition_id()), "mix-order")
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = ranges.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    numbered = ranges.withColumn("number", F.row_number().over(Window.partitionBy("part").orderBy(order))).join(F.broadcast(bases), "part")
+    if sources <= FEW_SOURCES:
+        numbered = sizes.withColumn("number", F.row_number().over(Window.orderBy(order)).cast("bigint") - 1)
+    else:  # by ranges: how many come before a range, and the place in it
+        ranges = written(sizes.repartitionByRange(order).withColumn("part", F.spark_partition_id()), "mix-order")
+        earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        bases = ranges.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+        placed = ranges.withColumn("number", F.row_number().over(Window.partitionBy("part").orderBy(order))).join(F.broadcast(bases), "part")
+        numbered = placed.withColumn("number", F.col("base") + F.col("number") - 1)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("kind") + 1).cast("int"))
-    numbered = numbered.withColumn("number", F.col("base") + F.col("number") - 1).withColumn("kind", F.pmod("number", F.lit(len(weights))).cast("int")).withColumn("weight", weight)
+    numbered = numbered.withColumn("kind", F.pmod("number", F.lit(len(weights))).cast("int")).withColumn("weight", weight)
     told = written(numbered.select("source", "source_size", "number", "kind", "weight"), "mix-order")
 
     total, level, before = None, 0.0, -1.0
@@ -198,7 +202,7 @@ def plan_sources(docs: DataFrame, weights: Sequence[float], cap: int, block_word
     if shards is None:
         shards = min(MOST_SHARDS, max(LEAST_SHARDS, 1 << max(0, -(-total // SHARD_WORDS) - 1).bit_length()))
     few = n * shards <= BROADCAST_ENDS
-    counts = written(draw_counts(source_targets(sizes, weights, cap), docs, block_words, seed, few), "mix-counts")
+    counts = written(draw_counts(source_targets(sizes, weights, cap, n), docs, block_words, seed, few), "mix-counts")
     sources = written(counts.join(shard_quotas(counts, shards, seed, n), "number"), "mix-sources")
     return Mix(sources, shards, max(1, -(-total // (shards * PART_WORDS))), few, seed)
 

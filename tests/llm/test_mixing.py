@@ -108,6 +108,7 @@ def test_repeated_rows_where_the_target_falls(spark):
 def test_many_sources(spark, monkeypatch):
     """Groups of sources, and targets by the contract's own words."""
     monkeypatch.setattr(mixing, "GROUP", 16)
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 10)
     rows = [(i, " ".join(["w"] * (1 + i % 37)), f"host{i % 301:03d}", 7) for i in range(1500)]
     plan = mixing.plan_mix(spark.createDataFrame(rows, SCHEMA).repartition(4), block_words=4, shards=8).withColumn("taken", mixing.taken_words())
     want, got = brute_targets(sizes_of(rows)), {}
