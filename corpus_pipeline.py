@@ -2,7 +2,7 @@
 
 1. ``toxicity`` rejects documents that any severity grade over 0 is likelier for than not.
 2. ``near_duplicates`` keeps one document of each class of near duplicates (the smallest id).
-3. ``mixing`` draws the sources to their target weights; a document may stand several times, or cut at a block's edge.
+3. ``mixing`` draws the sources to their target weights; a document may stand several times, or cut where a target falls.
 4. ``sentencepiece`` encodes every text, and checks by decoding that the ids give it back.
 
 All but the last return the columns of ``documents``. Defined results: null and empty texts are clean, alike among themselves
