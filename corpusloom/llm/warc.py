@@ -67,14 +67,14 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     second = F.xxhash64("body")
     checked = F.when((F.min("size") == F.max("size")) & (F.min("second") == F.max("second")), F.col("digest")).otherwise(F.raise_error(F.lit("two payloads share a SHA-256 digest")))
     slim = records.select("id", "url", "digest", F.octet_length("body").cast("bigint").alias("size"), second.alias("second"), F.xxhash64("url").alias("target"))
-    least = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "target")))
-    firsts = slim.groupBy("digest").agg(least.alias("first"), checked.alias("checked")).where(F.col("checked").isNotNull()).select("digest", "first")
+    least = (F.min("id").alias("first"), F.min_by("target", "id").alias("first_target"))  # both by hash, if ids are numbers
+    firsts = slim.groupBy("digest").agg(*least, checked.alias("checked")).where(F.col("checked").isNotNull()).select("digest", "first", "first_target")
 
     # each payload once: which of the equal bodies is kept makes no difference
     records.groupBy("digest").agg(F.first("body").alias("body")).write.parquet(archive.payloads)
 
     told = slim.join(firsts, "digest")
-    revisit = F.coalesce((F.col("size") >= min_revisit) & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first.id")), F.lit(False))
+    revisit = F.coalesce((F.col("size") >= min_revisit) & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")), F.lit(False))
     digest = F.concat(F.lit("sha256:"), F.lower(F.hex("digest")))
     lines = [
         F.lit(VERSION + CRLF),
@@ -83,7 +83,7 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         _line("WARC-Date", F.lit(date)),
         _line("WARC-Target-URI", F.col("url")),
         _line("WARC-Payload-Digest", digest),
-        _line("WARC-Refers-To", F.when(revisit, _uri(F.col("first.id"), F.col("digest"), F.col("first.target")))),
+        _line("WARC-Refers-To", F.when(revisit, _uri(F.col("first"), F.col("digest"), F.col("first_target")))),
         _line("WARC-Profile", F.when(revisit, F.lit(REVISIT_PROFILE))),
         _line("Content-Type", F.lit("text/html; charset=utf-8")),
         _line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("size")).cast("string")),
@@ -112,11 +112,11 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
     """Every record, parsed from its bytes: ``id``, its exact ``header`` and ``block``, the full ``payload`` (a revisit's too), ``digest``
     recomputed from it, and ``record_id``, ``record_type``, ``target``, ``refers_to`` and ``length`` as the header has them."""
     found = records(spark, archive)
-    # one character for each byte, so that places in the text are places in the bytes
-    end = F.instr(F.decode("record", "ISO-8859-1"), CRLF * 2) + 3
-    cut = found.withColumn("end", end).withColumn("header", F.expr("substring(record, 1, end)")).withColumn("rest", F.expr("substring(record, end + 1)"))
-    told = cut.withColumn("head", F.decode("header", "UTF-8")).withColumn("length", _field("Content-Length").cast("bigint")).withColumn("block", F.expr("substring(rest, 1, int(length))"))
-    whole = F.startswith("head", F.lit(VERSION + CRLF)) & (F.col("end") > 3) & (F.expr("substring(rest, int(length) + 1)") == F.encode(F.lit(CRLF * 2), "UTF-8"))
+    # the header is all up to the first empty line; its text has as many bytes as the record's beginning
+    end = F.octet_length(F.substring_index(F.col("record").cast("string"), CRLF * 2, 1)) + 4
+    told = found.withColumn("end", end).withColumn("header", F.expr("substring(record, 1, end)")).withColumn("head", F.decode("header", "UTF-8"))
+    told = told.withColumn("length", _field("Content-Length").cast("bigint")).withColumn("block", F.expr("substring(record, end + 1, int(length))"))
+    whole = F.startswith("head", F.lit(VERSION + CRLF)) & (F.expr("substring(record, int(end + length + 1))") == F.encode(F.lit(CRLF * 2), "UTF-8"))
     told = told.withColumn("block", F.when(whole, F.col("block")).otherwise(F.raise_error(F.lit("a record doesn't end where its header says"))))
     # a response's payload is its own block; a revisit's is the one that its digest names
     payload = F.when(_field("WARC-Type") == "revisit", F.col("payload")).otherwise(F.col("block"))
