@@ -43,8 +43,9 @@ from corpusloom.session import spread, written
 
 #: Weight of the presentation entropy, importance under which a branch goes, and pages that a judgement needs.
 PRESENTATION, LOW, MIN_PAGES = 0.1, 0.3, 4
-#: Nodes of low importance (8 bytes each) up to which they are broadcast, and tasks that share a host beyond that.
-BROADCAST_NODES, SALTS = 2_000_000, 64
+#: Nodes of low importance (8 bytes each) up to which they are broadcast, tasks that share a host beyond that, and nodes of one
+#: host that go along with each of its pages; the pages of hosts with more are judged by a join of their blocks.
+BROADCAST_NODES, SALTS, NODES_WITH_PAGE = 2_000_000, 64, 4096
 
 # Fixed values of the format: what breaks blocks, has no content, or closes itself.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
@@ -281,17 +282,46 @@ def node_importance(pages: DataFrame, url_col: str = "url", html_col: str = "htm
     return told.withColumn("importance", importance)
 
 
+def by_marks(blocks: list[tuple[int, int, str]]) -> list[str]:
+    """The texts of blocks that marks alone take for main text."""
+    wanted = ARTICLE if any(mark == ARTICLE for _, mark, _ in blocks) else UNMARKED
+    return [text for _, mark, text in blocks if mark == wanted]
+
+
 def main_text(html: str | None, low: frozenset[int] | None = None) -> str:
     """The page's main text; ``low`` has the nodes of its host that go, and is None for hosts without a judgement."""
     if not html:
         return ""
     blocks = Page(html).blocks
-    if low is not None:
-        kept = [text for node, _, text in blocks if node not in low]
-        if kept:
-            return "\n".join(kept)
-    wanted = ARTICLE if any(mark == ARTICLE for _, mark, _ in blocks) else UNMARKED
-    return "\n".join(text for _, mark, text in blocks if mark == wanted)
+    kept = [] if low is None else [text for node, _, text in blocks if node not in low]
+    return "\n".join(kept or by_marks(blocks))
+
+
+def _joined_blocks(pages: DataFrame, low: DataFrame) -> DataFrame:
+    """``id``, ``url`` and ``text`` of ``pages`` (with ``host``) whose hosts have too many low nodes (``host``, ``node``) to go along
+    with every page: blocks are joined with them, and what is left is put together again, or by marks if nothing is."""
+    kind = pages.schema["id"].dataType
+    schema = pa.schema([("row", pa.int64()), ("host", pa.int64()), ("place", pa.int32()), ("node", pa.int64()), ("marked", pa.bool_()), ("block", pa.string())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for batch in batches:
+                for row, host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                    blocks = Page(html.as_py() or "").blocks
+                    wanted = ARTICLE if any(mark == ARTICLE for _, mark, _ in blocks) else UNMARKED
+                    for place, (node, mark, text) in enumerate(blocks):
+                        yield row, host, place, node, mark == wanted, text
+
+        yield from emit(rows(), schema, lambda r: len(r[5]))
+
+    numbered = written(pages.withColumn("row", F.monotonically_increasing_id()), "pages-large-hosts")
+    blocks = numbered.select("row", "host", "html").mapInArrow(cut, "row bigint, host bigint, place int, node bigint, marked boolean, block string")
+    told = blocks.join(low.withColumn("low", F.lit(True)), ["host", "node"], "left").withColumn("low", F.coalesce("low", F.lit(False)))
+    block = F.struct("place", "block")
+    lists = told.groupBy("row").agg(F.collect_list(F.when(~F.col("low"), block)).alias("kept"), F.collect_list(F.when(F.col("marked"), block)).alias("marked"))  # of one page
+    chosen = F.when(F.size("kept") > 0, F.col("kept")).otherwise(F.col("marked"))
+    texts = lists.select("row", F.array_join(F.transform(F.array_sort(chosen), lambda x: x["block"]), "\n").alias("text"))
+    return numbered.select("row", F.col("id").cast(kind).alias("id"), "url").join(texts, "row", "left").select("id", "url", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -299,8 +329,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     bounded(pages.sparkSession)
     judged = node_importance(pages, url_col, html_col).where(F.col("pages") >= MIN_PAGES)
     low = F.when((F.col("importance") < LOW) & F.col("texts"), F.col("node"))
-    by_host = written(judged.groupBy("host").agg(F.collect_list(low).alias("low")), "pages-low")  # nulls are left out
-    few = by_host.agg(F.coalesce(F.sum(F.size("low") + 1), F.lit(0))).first()[0] <= BROADCAST_NODES
+    nodes = written(judged.select("host", low.alias("node")).distinct(), "pages-low")  # a null stands for the judgement itself
+    sizes = written(nodes.groupBy("host").agg(F.count("node").alias("n")), "pages-hosts")
+    large = sizes.where(F.col("n") > NODES_WITH_PAGE).select("host")
+    by_host = nodes.join(large, "host", "left_anti").groupBy("host").agg(F.collect_list("node").alias("low"))  # NODES_WITH_PAGE at the most
+    few = sizes.agg(F.coalesce(F.sum(F.col("n") + 1), F.lit(0))).first()[0] <= BROADCAST_NODES
     url = F.col(f"`{url_col}`").cast("string")
     plain = pages.select(F.col(f"`{id_col}`").alias("id"), url.alias("url"), F.col(f"`{html_col}`").cast("string").alias("html"))
     kind = plain.schema["id"].dataType
@@ -312,10 +345,16 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield from emit(((k, u, main_text(h.as_py(), None if nodes is None else frozenset(nodes))) for k, u, nodes, h in rows), schema, lambda r: len(r[2]))
 
     known = spread(plain).withColumn("host", host_key(F.col("url")))
+    apart = None
+    if not large.isEmpty():
+        some = F.broadcast(large) if few else large
+        apart = _joined_blocks(known.join(some, "host", "left_semi"), nodes.join(large, "host", "left_semi").where("node IS NOT NULL"))
+        known = known.join(some, "host", "left_anti")
     if few:
         joined = known.join(F.broadcast(by_host), "host", "left")
     else:  # a host's pages are dealt out over SALTS tasks, each with a copy of the host's nodes
         salted = by_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = known.withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
     joined = joined.select("id", "url", "html", "low")
-    return joined.mapInArrow(run, f"id {kind.simpleString()}, url string, text string")
+    texts = joined.mapInArrow(run, f"id {kind.simpleString()}, url string, text string")
+    return texts if apart is None else texts.unionByName(apart)

@@ -71,6 +71,21 @@ def test_the_salted_join_gives_the_same(spark, monkeypatch):
     assert sorted(tuple(r) for r in st.extract(pages).collect()) == plain
 
 
+@pytest.mark.parametrize("broadcast", [2_000_000, 0])
+def test_hosts_of_many_low_nodes_give_the_same(spark, monkeypatch, broadcast):
+    """Hosts whose nodes don't go along with each page: judged by a join of blocks, also where nothing is left or hosts differ."""
+    rng = random.Random(3)
+    rows = [(i, f"http://h.example/{i}", page(rng, "h", i, f"<p>text {i} {rng.random()}</p>")) for i in range(20)]
+    rows += [(100 + i, f"http://u.example/{i}", f"<nav>{i}</nav><article>all the same</article>") for i in range(5)]
+    rows += [(200 + i, f"http://plain.example/{i}", f"<p>only {i}</p>") for i in range(5)] + [(3, "http://h.example/3", rows[3][2]), (None, "http://h.example/x", rows[4][2]), (300, "http://h.example/", None), (301, "http://few.example/", "<p>x</p><nav>n</nav>")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    key = lambda d: sorted(((r.id is None, r.id or 0), r.url, r.text) for r in d.collect())
+    plain = key(st.extract(pages))
+    monkeypatch.setattr(st, "BROADCAST_NODES", broadcast)
+    monkeypatch.setattr(st, "NODES_WITH_PAGE", 2)
+    assert key(st.extract(pages)) == plain and len(plain) == len(rows)
+
+
 def test_empty_table(spark):
     assert st.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
