@@ -283,6 +283,18 @@ def jats_extract(spark, sf_dir):
     return RC.parse_articles(files).select(F.substring("pmcid", 4, 20).cast("bigint").alias("item_id"), "pmcid", "title", F.element_at("sections", 1)["title"].alias("section"))
 
 
+@query("SELECT 'PMC' || item_id AS pmcid, md5(r) AS digest, CAST(length(r) AS INTEGER) AS text_length FROM (SELECT item_id, 'Title: T' || item_id || chr(10) || chr(10) || 'Keywords: k, l' || chr(10) || chr(10) || 'Methods' || chr(10) || t || chr(10) || chr(10) || 'Figure Descriptions:' || chr(10) || '  F1: a long caption' AS r, t FROM (SELECT item_id, trim(regexp_replace(repeat(regexp_replace(text, '[^a-zA-Z ]', '', 'g') || ' ', 10), '\\s+', ' ', 'g')) AS t FROM benchmark)) WHERE length(t) >= 500")
+def article_text(spark, sf_dir):
+    """Articles in XML as texts."""
+    words = F.regexp_replace("text", "[^a-zA-Z ]", "")
+    xml = F.concat(
+        F.lit('<r><article><front><article-meta><article-id pub-id-type="pmc">'), "item_id", F.lit("</article-id><title-group><article-title>T"), "item_id", F.lit("</article-title></title-group><kwd>k</kwd><kwd>l</kwd></article-meta></front><body><sec><title>Methods</title><p>"),
+        F.repeat(F.concat(words, F.lit(" ")), F.lit(10)), F.lit("</p></sec></body><fig><label>F1</label><caption><p>a long caption</p></caption></fig></article></r>"),
+    )
+    files = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("name"), F.encode(xml, "UTF-8").alias("content"))
+    return RC.parse_articles(files).select("pmcid", F.md5("full_text").alias("digest"), "text_length")
+
+
 @query("SELECT 'PMC' || item_id AS pmcid, section_no, title, CASE WHEN title = 'In' THEN 'inner' ELSE trim(regexp_replace(repeat(regexp_replace(text, '[^a-zA-Z ]', '', 'g') || ' ', 10), '\\s+', ' ', 'g')) END AS text FROM benchmark, (VALUES (0, 'In'), (1, 'Methods')) s(section_no, title) WHERE length(trim(regexp_replace(repeat(regexp_replace(text, '[^a-zA-Z ]', '', 'g') || ' ', 10), '\\s+', ' ', 'g'))) + 5 >= 500")
 def exploded_sections(spark, sf_dir):
     """A row for every section of articles in XML, inner sections first."""
