@@ -34,17 +34,19 @@ from math import ceil, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusloom.columns import all_columns, free
+from corpusloom.columns import all_columns, free, named
 from corpusloom.llm.batches import bounded, emit
 from corpusloom.operators.graph import components
 from corpusloom.session import spread, written
 
 #: Words of a shingle, similarity of a link, trees, values of a signature, and recall at the similarity.
 WORDS, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 8, 0.99999
+#: Rows (ids and hashes) that go to the texts by broadcast; more of them meet the texts in a shuffle.
+FEW_ROWS = 200_000
 #: Sets and shingles of a block, columns of an incidence product, words that a task remembers.
 BLOCK_SETS, BLOCK_SHINGLES, COLUMNS, WORDS_KEPT = 256, 1 << 20, 4096, 200_000
 
@@ -261,7 +263,8 @@ def verified(docs: DataFrame, sets: DataFrame, members: DataFrame, id_col: str,
     and rows with ``set`` and ``other`` that span its linked groups; ``closed`` where the component was seen as a whole."""
     known = members.join(sets.select(F.col("set").alias("node"), "key", "rep", "n", "docs"), "node")
     totals = known.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
-    needed = known.join(totals, "root").select("key", "rep", F.col("node").alias("set"), "root", "docs", "blocks")
+    needed = written(known.join(totals, "root").select("key", "rep", F.col("node").alias("set"), "root", "docs", "blocks"), "jaccard-needed")
+    needed = F.broadcast(needed) if needed.count() <= FEW_ROWS else needed
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("k"), text.alias("text"))
     fetched = texts.join(needed, (F.col("k") == F.col("key")) & F.col("id").eqNullSafe(F.col("rep"))).select("root", "set", "docs", "blocks", "text")
@@ -341,13 +344,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, duplicates: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay if every class keeps one: that with the smallest id (nulls last)."""
-    stay = duplicates.groupBy("class_set").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", "key")).alias("s")).select(F.col("s.id").alias("_id"), F.col("s.key").alias("_key")).distinct()
-    key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    # one hash of id and key deals the texts out, for the join and for the repeated rows alike; the rest are conditions
-    k, h, stay_id, stay_key, stay_hash = free(docs, "_k", "_h", "_stay_id", "_stay_key", "_stay_h")
-    stay = stay.select(F.col("_id").alias(stay_id), F.col("_key").alias(stay_key), F.xxhash64("_id", "_key").alias(stay_hash))
-    told = docs.withColumn(k, key).withColumn(h, F.xxhash64(F.col(f"`{id_col}`"), k))
-    same_id = F.coalesce(F.col(f"`{id_col}`") == F.col(stay_id), F.col(f"`{id_col}`").isNull() & F.col(stay_id).isNull())
-    kept = told.join(stay, (F.col(h) == F.col(stay_hash)) & same_id & F.coalesce(F.col(k) == F.col(stay_key), F.lit(False)))
-    return kept.dropDuplicates([h, id_col, k]).select(*all_columns(docs))
+    """The rows of ``docs`` that stay if every class keeps one: that with the smallest id (nulls last).
+
+    Where few rows go or repeat, they are taken out where the texts lie, and no text moves; else the rows that stay meet the
+    texts in one shuffle.
+    """
+    stay = duplicates.groupBy("class_set").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", "key")).alias("s")).select(F.col("s.id").alias("id"), F.col("s.key").alias("key")).distinct()
+    rows = duplicates.groupBy("id", "key").agg(F.count("*").alias("n"))
+    same = F.col("r.id").eqNullSafe(F.col("s.id")) & (F.col("r.key") == F.col("s.key"))
+    told = rows.alias("r").join(stay.alias("s"), same, "left").select("r.id", "r.key", "r.n", F.col("s.key").isNotNull().alias("stays"))
+    special = written(told.where("NOT stays OR n > 1"), "jaccard-special-rows")
+    key = F.xxhash64(F.coalesce(named(text_col).cast("string"), F.lit("")))
+    k, h, other_id, other_key, other_hash = free(docs, "_k", "_h", "_other_id", "_other_key", "_other_h")
+    texts = docs.withColumn(k, key).withColumn(h, F.xxhash64(named(id_col), k))
+
+    def meeting(found: DataFrame) -> tuple[DataFrame, Column]:
+        """The rows under names of their own, and the condition of being a row of ``docs``: one hash of id and key deals the
+        texts out, for the join and for the repeated rows alike; the rest are conditions."""
+        found = found.select(F.col("id").alias(other_id), F.col("key").alias(other_key), F.xxhash64("id", "key").alias(other_hash))
+        same_id = F.coalesce(named(id_col) == F.col(other_id), named(id_col).isNull() & F.col(other_id).isNull())
+        return found, (F.col(h) == F.col(other_hash)) & same_id & F.coalesce(F.col(k) == F.col(other_key), F.lit(False))
+
+    if special.count() <= FEW_ROWS:
+        taken, is_one = meeting(special)
+        plain = texts.join(F.broadcast(taken), is_one, "left_anti")
+        repeated, is_one = meeting(special.where("stays"))
+        kept = plain.unionByName(texts.join(F.broadcast(repeated), is_one, "left_semi").dropDuplicates([h, id_col, k]))
+    else:
+        left, is_one = meeting(stay)
+        kept = texts.join(left, is_one, "left_semi").dropDuplicates([h, id_col, k])
+    return kept.select(*all_columns(docs))

@@ -62,13 +62,21 @@ def test_all_pairs(spark, monkeypatch, blocks):
     assert sorted(((r.id, r.class_id, r.class_docs, r.n_links) for r in found), key=key) == sorted(brute(rows), key=key)
 
 
-def test_one_of_each_stays(spark):
-    rows = corpus(4, 60, 30)
-    docs = spark.createDataFrame(rows, SCHEMA)
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_one_of_each_stays(spark, monkeypatch, few):
+    """By broadcast of the few rows that go, or by a shuffle; repeated rows, null ids and clashing names among them."""
+    monkeypatch.setattr(jaccard, "FEW_ROWS", few)
+    rows = corpus(4, 60, 30) + [(3000, "once more the same words here", None)] * 4 + [(None, "no id but a text of its own", None)] * 3
+    docs = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("class_id", "_k").repartition(4)
     kept = jaccard.one_of_each(docs, jaccard.near_duplicates(docs))
     assert kept.columns == docs.columns
-    want = {(c, n) for _, c, n, _ in brute(rows)}
-    assert kept.count() == len(want)
+    told = brute(rows)
+    classes = defaultdict(list)
+    for r, (i, c, n, _) in zip(rows, told, strict=True):
+        classes[c, n, frozenset(jaccard.shingles(r[1]).tolist()) if c is None else c].append((i is None, i or 0, r[1]))
+    found = sorted(((r.doc_id is None, r.doc_id or 0) for r in kept.collect()))
+    assert found == sorted(min(c[:2] for c in members) for members in classes.values())
+    assert kept.where("doc_id = 3000").count() == 1
 
 
 def test_only_copies_and_empty_tables(spark):
