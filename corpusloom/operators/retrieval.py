@@ -29,10 +29,12 @@ def tokens(text: str) -> int:
 
 
 def _field(text: str, start: str, ends: tuple[str, ...]) -> str:
-    """What follows a field's name, up to a line that begins with one of the ends; empty if the text has no such field."""
+    """What follows a field's name and the white space behind it, up to a later line that begins with one of the ends; empty if
+    the text has no such field. (An empty field so has the next one's name in it.)"""
     _, name, rest = text.partition(start)
     if not name:
         return ""
+    rest = rest.lstrip()
     stops = [at for at in (rest.find(f"\n{end}") for end in ends) if at >= 0]
     return rest[: min(stops)].strip() if stops else rest.strip()
 

@@ -288,6 +288,7 @@ def test_document_parts():
     assert p("Title: T\nAbstract: abs\n\nsec\n\nthird", compat=False) == ("T", "abs", "sec\n\nthird")
     assert p("Title: T\nAuthors: A\nVenue: V\nrest\nYear: 3") == ("T", "", "rest\nYear: 3")
     assert p("Title: T") == ("T", "", "")
+    assert p("Title: T\nAbstract:\nFull Text:\nbody") == ("T", "Full Text:\nbody", "body")
 
 
 def test_replay(spark):
