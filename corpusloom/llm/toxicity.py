@@ -5,8 +5,13 @@ many of their words carry a selected term. One weight vector serves all threshol
 ``P(grade > k) = logistic(w x - t_k)`` with ``t_0 < t_1 < t_2``; the expected severity is the sum of the three.
 
 Terms are lower-cased words (marked by a final ``$``) and their beginnings of 3 to 6 letters. Those count that occur
-in at least ``MIN_TOXIC`` toxic texts of the sample and stand ``MIN_Z`` standard errors above their share in clean
-texts, the ``MAX_TERMS`` strongest. A term's feature is the logarithm of its count.
+in at least ``MIN_TOXIC`` toxic texts of the sample and stand ``min_z`` standard errors above their share in clean
+texts, the ``MAX_TERMS`` strongest. A term of ``SHARE`` of n toxic texts and no clean one stands about the root of
+``SHARE * n`` above, so with few labels that suffices (4 at least, below which chance words pass; 6 from 450 toxic texts on). A
+term's feature is the logarithm of its count.
+
+The fit is a strictly convex problem, solved until its gradient is zero but for rounding: machines agree on the model. The
+fewer texts, the stronger the penalty on weights.
 
 The model is fitted on at most ``sample`` labelled texts: those of ids drawn by hash, one text of each id. Of texts with the
 same smallest shingle hash (copies, and most near copies) one counts, else the chance words of a copied text look telling. Term counts
@@ -39,7 +44,9 @@ from corpusloom.llm.jaccard import shingles
 from corpusloom.session import spread, written
 
 #: Bounds of the model, and of the words that a task remembers.
-SAMPLE, MAX_TERMS, MIN_TOXIC, MIN_Z, WORDS_KEPT = 20_000, 4096, 4, 6.0, 100_000
+SAMPLE, MAX_TERMS, MIN_TOXIC, WORDS_KEPT = 20_000, 4096, 3, 100_000
+SHARE, LEAST_Z, MOST_Z = 0.08, 4.0, 6.0
+RIDGE = 2e-4
 GRADES = 3
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -54,6 +61,11 @@ def terms(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in (3, 4, 5, 6) if len(word) >= n)]
 
 
+def min_z(n_toxic: int) -> float:
+    """Standard errors that a term has to stand above its share in clean texts."""
+    return min(MOST_Z, max(LEAST_Z, (SHARE * n_toxic) ** 0.5))
+
+
 @dataclass
 class Model:
     """Selected terms, the scale of their features, shared weights and ordered thresholds."""
@@ -99,35 +111,82 @@ def features(found: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
     return at, np.log1p(np.array([found[i] for i in at.tolist()], np.float64))
 
 
-def fit_ordinal(rows: np.ndarray, at: np.ndarray, values: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 600, ridge: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds of the cumulative-link model over sparse features, by full-batch Adam.
+def fit_ordinal(rows: np.ndarray, at: np.ndarray, values: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 100, ridge: float = RIDGE) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds of the cumulative-link model over sparse features, by Newton steps until the gradient is zero but
+    for rounding (at most ``steps`` of them).
 
-    The thresholds are the first one and the logarithms of the gaps to the next, so they stay in order.
+    With ``u = z - t[grade - 1]`` and ``l = z - t[grade]`` the likelihood of a grade is ``s(u) * s(-l) * (1 - exp(l - u))``, ``s``
+    being the logistic function; so the penalised loss is strictly convex and has one minimum, whatever machine looks for it.
+    A grade that no text has weighs ``1e-6`` of all texts and thresholds have a slight ridge, which keep them apart and finite.
     """
-    n = len(grade)
+    n, k = len(grade), GRADES
     spread = np.sqrt(np.maximum(np.bincount(at, values**2, n_features) / n - (np.bincount(at, values, n_features) / n) ** 2, 0)) + 0.05
     values = values / spread[at]
-    over = grade[:, None] > np.arange(GRADES)  # whether the grade exceeds each threshold
-    base = np.clip(over.mean(0), 1 / (2 * n), 1 - 1 / (2 * n))
-    start = -np.log(base / (1 - base))
-    p = np.concatenate([np.zeros(n_features), [start[0]], np.log(np.maximum(np.diff(start), 1e-2))])
-    first, second = np.zeros_like(p), np.zeros_like(p)
-    for step in range(1, steps + 1):
-        w, gaps = p[:n_features], np.exp(p[n_features + 1 :])
-        t = p[n_features] + np.concatenate([[0], np.cumsum(gaps)])
-        above = 1 / (1 + np.exp(-np.clip(np.bincount(rows, values * w[at], n)[:, None] - t, -50, 50)))
-        # likelihood of grade g is above[g - 1] - above[g], with 1 before the first and 0 behind the last
-        s = np.concatenate([np.ones((n, 1)), above, np.zeros((n, 1))], 1)
-        upper, lower = s[np.arange(n), grade], s[np.arange(n), grade + 1]
-        mass = np.maximum(upper - lower, 1e-12)
-        du, dl = upper * (1 - upper) / mass, lower * (1 - lower) / mass
-        dz = -(du - dl) / n
-        dt = np.array([(du[grade == k + 1].sum() - dl[grade == k].sum()) / n for k in range(GRADES)])
-        tail = np.cumsum(dt[::-1])[::-1]
-        gradient = np.concatenate([np.bincount(at, values * dz[rows], n_features) + ridge * w, [tail[0]], tail[1:] * gaps])
-        first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
-        p = p - 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
-    return p[:n_features] / spread, p[n_features] + np.concatenate([[0], np.cumsum(np.exp(p[n_features + 1 :]))])
+    with_upper, with_lower = grade > 0, grade < k
+    upper, lower = np.maximum(grade - 1, 0), np.minimum(grade, k - 1)
+    share = np.maximum(np.bincount(grade, minlength=k + 1)[1:k] / n, 1e-6)
+    penalty = np.concatenate([np.full(n_features, ridge), np.full(k, 1e-5)])
+
+    def summed(per_text: np.ndarray, weights: np.ndarray, t_upper: np.ndarray, t_lower: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+        thresholds = -(np.bincount(upper, t_upper, k) + np.bincount(lower, t_lower, k)) / n
+        thresholds[1:] += gaps
+        thresholds[:-1] -= gaps
+        return np.concatenate([np.bincount(at, values * per_text[rows], n_features) / n, thresholds]) + penalty * weights
+
+    def applied(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        z = np.bincount(rows, values * p[:n_features][at], n)
+        return z - p[n_features:][upper], z - p[n_features:][lower]
+
+    def loss(p: np.ndarray) -> float:
+        gaps = np.diff(p[n_features:])
+        if (gaps <= 0).any():
+            return np.inf
+        u, v = applied(p)
+        return float((np.logaddexp(0, -u) * with_upper + np.logaddexp(0, v) * with_lower).mean() - (share * np.log(-np.expm1(-gaps))).sum() + (penalty * p**2).sum() / 2)
+
+    def logistic(x: np.ndarray) -> np.ndarray:
+        return np.exp(-np.logaddexp(0, -x))
+
+    over = (grade[:, None] > np.arange(k)).mean(0)
+    base = np.clip(over, 1 / (2 * n), 1 - 1 / (2 * n))
+    first = -np.log(base / (1 - base))
+    p = np.concatenate([np.zeros(n_features), first[0] + np.concatenate([[0], np.cumsum(np.maximum(np.diff(first), 1e-2))])])
+    now = loss(p)
+    for _ in range(steps):
+        u, v = applied(p)
+        gaps = np.diff(p[n_features:])
+        pull_u, pull_v = -logistic(-u) * with_upper, logistic(v) * with_lower
+        gradient = summed(pull_u + pull_v, p, pull_u, pull_v, -share / np.expm1(gaps))
+        size = np.sqrt(gradient @ gradient)
+        if size < 1e-12:
+            break
+        curve_u, curve_v = logistic(u) * logistic(-u) * with_upper, logistic(v) * logistic(-v) * with_lower
+        curve_gap = share / (4 * np.sinh(np.minimum(gaps, 600) / 2) ** 2)
+
+        def bent(d: np.ndarray, curve_u=curve_u, curve_v=curve_v, curve_gap=curve_gap) -> np.ndarray:
+            du, dv = applied(d)
+            du, dv = curve_u * du, curve_v * dv
+            return summed(du + dv, d, du, dv, curve_gap * np.diff(d[n_features:]))
+
+        diagonal = np.concatenate([np.bincount(at, values**2 * (curve_u + curve_v)[rows], n_features) / n, (np.bincount(upper, curve_u, k) + np.bincount(lower, curve_v, k)) / n + np.append(curve_gap, 0) + np.append(0, curve_gap)]) + penalty
+        # conjugate gradients for the step
+        step, left = np.zeros_like(p), -gradient
+        scaled = left / diagonal
+        way, product = scaled, left @ scaled
+        for _ in range(4 * len(p)):
+            turned = bent(way)
+            far = product / (way @ turned)
+            step, left = step + far * way, left - far * turned
+            if np.sqrt(left @ left) <= min(1e-3, size) * size:
+                break
+            scaled = left / diagonal
+            product, earlier = left @ scaled, product
+            way = scaled + product / earlier * way
+        slope, length = gradient @ step, 1.0
+        while (then := loss(p + length * step)) > now + 1e-4 * length * slope + 1e-14 * abs(now) and length > 1e-12:
+            length /= 2
+        p, now = p + length * step, then
+    return p[:n_features] / spread, p[n_features:]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
@@ -165,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     z = "(toxic / {n1} - clean / {n0}) / sqrt((toxic + clean) / {n} * (1 - (toxic + clean) / {n}) * (1 / {n1} + 1 / {n0}) + 1e-12)".format(n1=n1, n0=n0, n=n1 + n0)
     counted = texts.select("text", "toxic").mapInArrow(count, "term string, toxic bigint, clean bigint").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    best = counted.where(F.col("toxic") >= MIN_TOXIC).withColumn("z", F.expr(z)).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "term").limit(MAX_TERMS).select("term").collect()
+    best = counted.where(F.col("toxic") >= MIN_TOXIC).withColumn("z", F.expr(z)).where(F.col("z") >= min_z(n1)).orderBy(F.desc("z"), "term").limit(MAX_TERMS).select("term").collect()
     if not best:
         return none
     model = Model({r.term: i for i, r in enumerate(best)}, np.zeros(0), np.zeros(0))
@@ -189,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     grade = np.where(toxic == 1, 1 + (hit > thirds[0]) + (hit > thirds[1]), 0)
     each = [features(dict(zip(r.at, r.n, strict=True))) for r in sampled]
     rows = np.repeat(np.arange(len(each)), [len(a) for a, _ in each])
-    model.weights, model.thresholds = fit_ordinal(rows, np.concatenate([a for a, _ in each]), np.concatenate([v for _, v in each]), grade, len(best))
+    model.weights, model.thresholds = fit_ordinal(rows, np.concatenate([a for a, _ in each]), np.concatenate([v for _, v in each]), grade, len(best), ridge=RIDGE + 0.4 / len(grade))
     return model
 
 
