@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import jaccard, lengths, media, mixing, pieces, style_tree, topk, toxicity, urls, warc
+from corpusloom.llm import jaccard, lengths, media, mixing, pieces, sessions, style_tree, topk, toxicity, urls, warc
 
 #: Public vocabularies, at the same path on every machine.
 PIECES_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -184,11 +184,47 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
+def op12_session_merging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every version of the sessions that conversations form while their turns come in, batch by batch."""
+    told = table(spark, sf_dir, "conversations").where("turn IS NOT NULL AND conv_id IS NOT NULL").select("conv_id", "turn")
+    conv, whole = F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint")
+    told = told.select(conv.alias("conv"), whole.alias("turn"), F.crc32(conv.cast("string")).alias("c"), F.crc32(F.concat_ws(":", conv.cast("string"), whole.cast("string"))).alias("h"))
+    timed = told.withColumn("seconds", F.expr("(c div 2) % 7200 + 300 * turn + h % 600")).withColumn("g", F.expr("h div 600"))
+    late = F.when(F.col("g") % 5 == 0, F.col("g") % 4).otherwise(0)
+    return sessions.session_versions(timed, F.shiftright("conv", 3) * 2 + F.col("c") % 2, F.col("seconds"), F.expr("(seconds - pmod(seconds, 900)) div 900") + late, F.col("h"))
+
+
+#: crc32 from its polynomial, eight steps a byte; then the sessions of every user after each of its batches.
+OP12_SQL = """
+WITH bits AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+d AS (SELECT CAST(conv_id AS BIGINT) AS conv, CAST(turn AS BIGINT) AS turn FROM conversations WHERE turn IS NOT NULL AND conv_id IS NOT NULL),
+k AS (SELECT *, list_transform(string_split(CAST(conv AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS a,
+             list_transform(string_split(conv || ':' || turn, ''), lambda x: CAST(ascii(x) AS BIGINT)) AS b FROM d),
+r AS (SELECT conv, turn, xor(list_reduce(list_concat([4294967295], a), lambda x, y: xor(x >> 8, t[CAST(xor(x, y) & 255 AS INTEGER) + 1])), 4294967295) AS c,
+             xor(list_reduce(list_concat([4294967295], b), lambda x, y: xor(x >> 8, t[CAST(xor(x, y) & 255 AS INTEGER) + 1])), 4294967295) AS h FROM k, bits),
+s AS (SELECT *, 2 * (conv >> 3) + c % 2 AS u, (c // 2) % 7200 + 300 * turn + h % 600 AS t, h // 600 AS g FROM r),
+e AS (SELECT u, t, h, CAST(floor(t / 900.0) AS BIGINT) + CASE WHEN g % 5 = 0 THEN g % 4 ELSE 0 END AS batch FROM s),
+x AS (SELECT n.u, n.batch, e.t, e.h, e.batch AS own, row_number() OVER (PARTITION BY n.u, n.batch ORDER BY e.t) AS nth,
+             CASE WHEN e.t - lag(e.t) OVER (PARTITION BY n.u, n.batch ORDER BY e.t) <= 600 THEN 0 ELSE 1 END AS breaks
+      FROM (SELECT DISTINCT u, batch FROM e) n JOIN e ON e.u = n.u AND e.batch <= n.batch),
+y AS (SELECT *, sum(breaks) OVER (PARTITION BY u, batch ORDER BY t, nth ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nr FROM x),
+v AS (SELECT u, batch, min(t) AS start_s, max(t) AS end_s, count(*) AS n_events, count(*) FILTER (own = batch) AS n_new, sum(h) AS h_sum
+      FROM y GROUP BY u, batch, nr HAVING count(*) FILTER (own = batch) > 0),
+w AS (SELECT o.u, o.batch, o.start_s, min(n.batch) AS by_batch, arg_min(n.start_s, n.batch) AS by_start
+      FROM v o JOIN v n ON o.u = n.u AND n.batch > o.batch AND n.start_s <= o.start_s AND n.end_s >= o.end_s GROUP BY ALL),
+m AS (SELECT u, by_batch, by_start, count(*) AS n FROM w GROUP BY ALL)
+SELECT v.u AS "user", v.batch, v.start_s, v.end_s, v.n_events, v.n_new, coalesce(m.n, 0) AS n_retracted, CAST(v.h_sum AS BIGINT) AS h_sum,
+       w.by_batch AS retracted_batch, w.by_start AS retracted_start_s
+FROM v LEFT JOIN w ON v.u = w.u AND v.batch = w.batch AND v.start_s = w.start_s
+       LEFT JOIN m ON v.u = m.u AND v.batch = m.by_batch AND v.start_s = m.by_start
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op1_mixing, op2_ngram_jaccard, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction, mixing_targets, media_payloads)}
+    return {f.__name__: f for f in (op1_mixing, op2_ngram_jaccard, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction, op12_session_merging, mixing_targets, media_payloads)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {"op4_warc": OP4_SQL, "op5_url_filters": OP5_SQL, "op7_topk": OP7_SQL, "mixing_targets": MIXING_SQL, "media_payloads": MEDIA_SQL}
+    return {"op4_warc": OP4_SQL, "op5_url_filters": OP5_SQL, "op7_topk": OP7_SQL, "op12_session_merging": OP12_SQL, "mixing_targets": MIXING_SQL, "media_payloads": MEDIA_SQL}
