@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import jaccard, lengths, media, mixing, pieces, sessions, style_tree, topk, toxicity, urls, warc
+from corpusloom.llm import jaccard, lengths, media, mixing, phrases, pieces, sessions, style_tree, topk, toxicity, urls, warc
 
 #: Public vocabularies, at the same path on every machine.
 PIECES_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -184,6 +184,31 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language by their lowest cut."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+             list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS phrase FROM w),
+f AS (SELECT lang, phrase, count(*) AS n FROM g GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, phrase, n AS a, string_split(phrase, ' ') AS s FROM f WHERE n >= 10 AND contains(phrase, ' ')),
+k AS (SELECT *, unnest(range(1, len(s))) AS k FROM c),
+q AS (SELECT k.*, l.n AS l, r.n AS r, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l.n AS HUGEINT) * r.n) AS score
+      FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(s[1:k], ' ') JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(s[k + 1:], ' ')),
+b AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+h AS (SELECT lang, phrase, max(a) AS longest FROM (SELECT lang, a, unnest([s[1] || ' ' || s[2], s[2] || ' ' || s[3]]) AS phrase FROM c WHERE len(s) = 3) GROUP BY ALL),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+      FROM b LEFT JOIN h ON b.lang = h.lang AND b.phrase = h.phrase WHERE longest IS NULL OR 100 * longest < 50 * a)
+SELECT o.lang, rank, o.phrase, a, l, r, t.n, CAST(score AS BIGINT) AS score FROM o JOIN t ON o.lang = t.lang WHERE rank <= 2000
+"""
+
+
 def op12_session_merging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every version of the sessions that conversations form while their turns come in, batch by batch."""
     told = table(spark, sf_dir, "conversations").where("turn IS NOT NULL AND conv_id IS NOT NULL").select("conv_id", "turn")
@@ -222,9 +247,9 @@ FROM v LEFT JOIN w ON v.u = w.u AND v.batch = w.batch AND v.start_s = w.start_s
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op1_mixing, op2_ngram_jaccard, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction, op12_session_merging, mixing_targets, media_payloads)}
+    return {f.__name__: f for f in (op1_mixing, op2_ngram_jaccard, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction, op11_phrase_collocations, op12_session_merging, mixing_targets, media_payloads)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {"op4_warc": OP4_SQL, "op5_url_filters": OP5_SQL, "op7_topk": OP7_SQL, "op12_session_merging": OP12_SQL, "mixing_targets": MIXING_SQL, "media_payloads": MEDIA_SQL}
+    return {"op4_warc": OP4_SQL, "op5_url_filters": OP5_SQL, "op7_topk": OP7_SQL, "op11_phrase_collocations": OP11_SQL, "op12_session_merging": OP12_SQL, "mixing_targets": MIXING_SQL, "media_payloads": MEDIA_SQL}

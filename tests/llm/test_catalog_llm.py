@@ -19,6 +19,7 @@ COLUMNS = {
     "op7_topk": "query_id rank vec_id score",
     "op9_media_columns": "doc_id n_bytes payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 feature",
     "op10_html_extraction": "page_id url text n_chars",
+    "op11_phrase_collocations": "lang rank phrase a l r n score",
     "op12_session_merging": "user batch start_s end_s n_events n_new n_retracted h_sum retracted_batch retracted_start_s",
 }
 TABLES = {"op4_warc": "pages", "op5_url_filters": "pages", "op10_html_extraction": "pages", "op1_mixing": "documents", "op2_ngram_jaccard": "documents", "op3_sentencepiece": "documents", "op6_toxicity": "documents", "op9_media_columns": "documents"}
