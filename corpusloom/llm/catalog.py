@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import jaccard, lengths, media, mixing, phrases, pieces, sessions, style_tree, topk, toxicity, urls, warc
+from corpusloom.llm import jaccard, langid, lengths, media, mixing, phrases, pieces, sessions, style_tree, topk, toxicity, urls, warc
 
 #: Public vocabularies, at the same path on every machine.
 PIECES_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -245,9 +245,17 @@ FROM v LEFT JOIN w ON v.u = w.u AND v.batch = w.batch AND v.start_s = w.start_s
 """
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by models of the documents that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)))
+    model = langid.fit(docs, ~F.col("held_out"))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {f.__name__: f for f in (op1_mixing, op2_ngram_jaccard, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction, op11_phrase_collocations, op12_session_merging, mixing_targets, media_payloads)}
+    return {f.__name__: f for f in (op1_mixing, op2_ngram_jaccard, op3_sentencepiece, op4_warc, op5_url_filters, op6_toxicity, op7_topk, op8_token_counts, op9_media_columns, op10_html_extraction, op11_phrase_collocations, op12_session_merging, op13_language_id, mixing_targets, media_payloads)}
 
 
 def oracle_sql() -> dict[str, str]:

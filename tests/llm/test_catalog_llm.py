@@ -21,8 +21,9 @@ COLUMNS = {
     "op10_html_extraction": "page_id url text n_chars",
     "op11_phrase_collocations": "lang rank phrase a l r n score",
     "op12_session_merging": "user batch start_s end_s n_events n_new n_retracted h_sum retracted_batch retracted_start_s",
+    "op13_language_id": "doc_id held_out lang_pred score",
 }
-TABLES = {"op4_warc": "pages", "op5_url_filters": "pages", "op10_html_extraction": "pages", "op1_mixing": "documents", "op2_ngram_jaccard": "documents", "op3_sentencepiece": "documents", "op6_toxicity": "documents", "op9_media_columns": "documents"}
+TABLES = {"op4_warc": "pages", "op5_url_filters": "pages", "op10_html_extraction": "pages", "op1_mixing": "documents", "op2_ngram_jaccard": "documents", "op3_sentencepiece": "documents", "op6_toxicity": "documents", "op9_media_columns": "documents", "op13_language_id": "documents"}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
