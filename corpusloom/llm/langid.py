@@ -3,8 +3,8 @@
 Texts are lower-cased words of letters. A language's model gives the probability of a word's letters and of its end, each after up
 to ``ORDER - 1`` characters before it in the word. The longest n-grams are discounted counts, shorter ones count the characters
 they were seen behind; each order is interpolated with the next shorter one, the last with equal chances for all characters. The
-models' n-grams are 64-bit hashes in sorted arrays, one for each language and order, beside their log probabilities and the logs of
-the weight that they leave to shorter ones as contexts. A word is looked up once in a task; a text's cross-entropy is the sum over
+models' n-grams are 64-bit hashes in sorted arrays, one for each language and order, beside their log probabilities, and so are
+contexts beside the logs of the weight that they leave to shorter ones. A word is looked up once in a task; a text's cross-entropy is the sum over
 its words, divided by its characters (ends of words count), and the language with the lowest one is told, the first by name of ties.
 
 The models are fitted on at most ``SAMPLE`` distinct texts, shared out evenly among the languages, drawn by the texts' hashes: the
@@ -12,7 +12,8 @@ n-grams' counts are made by the executors, and of each language the ``GRAMS / la
 driver. Of more than ``LANGS`` languages the commonest are learnt. A fourth of the drawn texts is left out of the counts and
 calibrates: by it a logistic curve turns the margin to the second language, a text's size taken into account, into the chance that
 the language is right. A text is ``rejected``, and its chance halved, if its cross-entropy lies farther over the language's median
-than ``ACCEPTED`` of that language's calibrating texts do and a half more, distances being weighed by the root of the characters.
+than ``ACCEPTED`` of that language's calibrating texts do and a half more, distances being weighed by the root of the characters (of
+``EVEN`` at the most, as longer texts differ by what they are about).
 Prediction covers every row and whole texts in one pass without a shuffle.
 
 Defined results: a text without a letter (null and empty ones too) is ``und`` with score 0, not rejected; without any learnt language
@@ -41,8 +42,8 @@ from corpusloom.session import spread, written
 
 #: Characters of an n-gram, texts that the models are fitted on, n-grams of all models of the longest order, languages.
 ORDER, SAMPLE, GRAMS, LANGS = 5, 8000, 1_000_000, 250
-#: Share of a language's own texts that aren't rejected, and words that a task remembers.
-ACCEPTED, WORDS_KEPT = 0.999, 300_000
+#: Share of a language's own texts that aren't rejected, characters that weigh a distance, and words that a task remembers.
+ACCEPTED, EVEN, WORDS_KEPT = 0.999, 200, 300_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Characters before and behind a word; no letters.
@@ -67,6 +68,12 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def look_up(known: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each hash is in the sorted array, and where."""
+    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    return known[at] == h, at
+
+
 def as_codes(grams: list[str]) -> np.ndarray:
     """Equally long strings as rows of code points."""
     return np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(grams), -1)
@@ -74,10 +81,12 @@ def as_codes(grams: list[str]) -> np.ndarray:
 
 @dataclass
 class CharModel:
-    """One language: by order sorted hashes, log probabilities and log weights of shorter n-grams; and that of an unseen character."""
+    """One language: by order n-grams' sorted hashes and log probabilities, contexts' sorted hashes and log weights of what is
+    shorter; and the log probability of an unseen character."""
 
     hashes: list[np.ndarray]
     chances: list[np.ndarray]
+    contexts: list[np.ndarray]
     weights: list[np.ndarray]
     unseen: float
 
@@ -86,20 +95,13 @@ class CharModel:
         out = np.full(len(windows), self.unseen)
         order = windows.shape[1]
         for k in range(1, order + 1):
-            found, at = self.find(k, gram_hashes(windows[:, order - k :]))
             if k > 1:
-                context, there = self.find(k - 1, gram_hashes(windows[:, order - k : order - 1]))
-                out = out + np.where(context, self.weights[k - 2][there], 0)
+                found, at = look_up(self.contexts[k - 1], gram_hashes(windows[:, order - k : order - 1]))
+                out = out + np.where(found, self.weights[k - 1][at], 0)
+            found, at = look_up(self.hashes[k - 1], gram_hashes(windows[:, order - k :]))
             out = np.where(found, self.chances[k - 1][at], out)
         return out
 
-    def find(self, order: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known = self.hashes[order - 1]
-        if not len(known):
-            return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        return known[at] == h, at
-
 
 def kneser_ney(grams: list[str], counts: list[int], order: int = ORDER) -> CharModel:
     """The interpolated model of n-grams of the longest order and their counts. A discount is ``n1 / (n1 + 2 n2)`` of its order."""
@@ -112,35 +114,24 @@ def kneser_ney(grams: list[str], counts: list[int], order: int = ORDER) -> CharM
             n = n.astype(np.float64)
     levels.reverse()
     # one more for what was never seen
-    base = 1 / (len(levels[0][0]) + 1)
-    hashes, chances, weights = [], [], []
-    lower: dict = {}
-    unseen = 0.0
+    shorter, base = np.zeros(0), 1 / (len(levels[0][0]) + 1)
+    model = CharModel([], [], [], [], 0.0)
     for k, (codes, n) in enumerate(levels, 1):
         n1, n2 = float((n == 1).sum()), float((n == 2).sum())
         discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-        context, of = np.unique(codes[:, :-1], axis=0, return_inverse=True) if k > 1 else (np.zeros((1, 0), np.uint32), np.zeros(len(codes), np.int64))
+        context, of = np.unique(codes[:, :-1], axis=0, return_inverse=True) if k > 1 else (codes[:1, :0], np.zeros(len(codes), np.int64))
         of = of.reshape(-1)
-        total, kinds = np.bincount(of, n), np.bincount(of)
-        left = discount * kinds / total
-        h = gram_hashes(codes)
+        total = np.bincount(of, n)
+        left = discount * np.bincount(of) / total
+        p = (n - discount) / total[of] + left[of] * (shorter[look_up(model.hashes[-1], gram_hashes(codes[:, 1:]))[1]] if k > 1 else base)
         if k == 1:
-            p = (n - discount) / total[0] + left[0] * base
-            unseen = float(np.log(left[0] * base))
-        else:
-            p = (n - discount) / total[of] + left[of] * lower["p"][np.searchsorted(lower["h"], gram_hashes(codes[:, 1:]))]
-            # contexts are n-grams of the order below: their weights stand beside those
-            by = np.zeros(len(lower["h"]))
-            ctx = gram_hashes(context)
-            at = np.minimum(np.searchsorted(lower["h"], ctx), len(lower["h"]) - 1)
-            hit = lower["h"][at] == ctx
-            by[at[hit]] = np.log(left[hit])
-            weights.append(by)
-        sort = np.argsort(h)
-        lower = {"h": h[sort], "p": p[sort]}
-        hashes.append(lower["h"])
-        chances.append(np.log(lower["p"]))
-    return CharModel(hashes, chances, weights, unseen)
+            model.unseen = float(np.log(left[0] * base))
+        for h, value, by, beside in ((gram_hashes(codes), p, model.hashes, model.chances), (gram_hashes(context), left, model.contexts, model.weights)):
+            place = np.argsort(h)
+            by.append(h[place])
+            beside.append(np.log(value[place]))
+        shorter = np.exp(model.chances[-1])
+    return model
 
 
 def word_windows(found: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +180,7 @@ class Model:
         best, lowest, margin, n = self.judged(sums)
         a, b, c = self.curve
         chance = 1 / (1 + np.exp(-np.clip(a + b * margin * np.sqrt(n) + c * np.log1p(n), -30, 30)))
-        over = (lowest - self.usual[best, 0]) * np.sqrt(n) > self.usual[best, 1]
+        over = (lowest - self.usual[best, 0]) * np.sqrt(np.minimum(n, EVEN)) > self.usual[best, 1]
         chance = np.where(over, chance / 2, chance)
         for i, size in enumerate(n.tolist()):
             yield (self.langs[best[i]], float(chance[i]), float(lowest[i]), bool(over[i])) if size else ("und", 0.0, None, False)
@@ -256,7 +247,7 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
             of = (truth == j) & (right == 1)
             of = of if of.sum() > 1 else np.ones(len(told), bool)
             middle = np.median(lowest[of])
-            model.usual[j] = middle, 1.5 * np.quantile((lowest[of] - middle) * np.sqrt(n[of]), ACCEPTED) + 1e-3
+            model.usual[j] = middle, 1.5 * np.quantile((lowest[of] - middle) * np.sqrt(np.minimum(n[of], EVEN)), ACCEPTED) + 1e-3
     return model
 
 
