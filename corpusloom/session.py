@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders of local applications without the setting, by application id.
+_own_folders: dict[str, str] = {}
+
+
 def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     return (
@@ -26,16 +30,18 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    Where the setting is absent and driver and executors are one process (tests, local runs), a fresh local folder is set; on a
-    cluster no machine's own folder would do, so the setting has to be there.
+    Where the setting is absent and driver and executors are one process (tests, local runs), the application gets a fresh local
+    folder; on a cluster no machine's own folder would do, so the setting has to be there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        application = spark.sparkContext.applicationId
+        if application not in _own_folders:  # the setting can't be changed once a session runs
+            _own_folders[application] = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
+        path = _own_folders[application]
     return path.rstrip("/")
 
 

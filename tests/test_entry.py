@@ -36,7 +36,7 @@ def test_the_rest_works_without_the_subpackage(tmp_path):
 def test_a_missing_library_takes_only_the_subpackage():
     whole, without = (run(ROOT, "-c", block + COUNT) for block in ("", "import sys; sys.modules['tiktoken'] = None; "))
     assert whole.returncode == 0 and without.returncode == 0, without.stderr
-    assert whole.stdout.split()[1:3] == ["10", "True"] and without.stdout.split()[1:3] == ["0", "False"]
+    assert whole.stdout.split()[1:3] == ["13", "True"] and without.stdout.split()[1:3] == ["0", "False"]
 
 
 class Fake:
@@ -44,14 +44,11 @@ class Fake:
 
     def __init__(self, master, **settings):
         self.sparkContext, self.conf = self, self
-        self.master, self.settings = master, settings
+        self.master, self.settings, self.applicationId = master, settings, f"app-{id(self)}"
 
     def get(self, name, default=None):
         return self.settings.get(name, default)
 
-    def set(self, name, value):
-        self.settings[name] = value
-
 
 def test_no_machine_has_the_shared_folder():
     for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1024]", "k8s://x"):
@@ -63,3 +60,19 @@ def test_no_machine_has_the_shared_folder():
         path = session.shared_dir(local)
         assert path.startswith("file://") and session.shared_dir(local) == path
         shutil.rmtree(path.removeprefix("file://"))
+
+
+def test_a_real_session_without_the_setting():
+    """A local session that has no shared folder set writes its tables all the same, and always below one folder."""
+    code = """
+from corpusloom import session
+spark = session.local_session("2", 2)
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+first, second = session.written(spark.range(5), "a"), session.written(spark.range(7), "b")
+assert (first.count(), second.count()) == (5, 7)
+assert first.inputFiles()[0].rpartition("/corpusloom/")[0] == second.inputFiles()[0].rpartition("/corpusloom/")[0] == session.shared_dir(spark)
+print("fine")
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_CONF_DIR")} | {"SPARK_CONF_DIR": "/nowhere"}
+    found = subprocess.run([sys.executable, "-c", code], cwd=ROOT, env=env, capture_output=True, text=True, timeout=300)
+    assert "fine" in found.stdout, found.stderr[-2000:]
