@@ -38,6 +38,14 @@ def token_budget_cut(spark, sf_dir):
     return O.budget_cut(docs, F.col("tokens"), 100_000, "doc_id")
 
 
+@query(f"""SELECT doc_id, source, tokens FROM (SELECT doc_id, source, tokens, sum(tokens) OVER (ORDER BY source NULLS FIRST, doc_id ROWS UNBOUNDED PRECEDING) AS running
+FROM (SELECT doc_id, source, {TOKENS_SQL} AS tokens FROM documents)) WHERE running - tokens < 300000""")
+def token_budget_by_source(spark, sf_dir):
+    """Documents up to 300,000 tokens, source by source (a string that many share) and by id within a source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", T.estimate_tokens(F.col("text")).alias("tokens"))
+    return O.budget_cut(docs, F.col("tokens"), 300_000, "source", ("doc_id",))
+
+
 @query(f"""
 WITH t AS (SELECT doc_id, lang, {TOKENS_SQL} AS tokens FROM documents WHERE length(text) BETWEEN 500 AND 50000),
 d AS (SELECT doc_id, tokens, 'domain' AS part FROM t WHERE lang = 'en'),

@@ -227,6 +227,27 @@ def every_nth(spark, sf_dir):
     return O.every_nth(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), 7, "doc_id", F.col("n_chars") >= 500).select("doc_id")
 
 
+@query("SELECT page_id, url FROM (SELECT page_id, url, row_number() OVER (ORDER BY url NULLS FIRST, page_id) AS r FROM pages) WHERE r % 7 = 0")
+def every_nth_by_url(spark, sf_dir):
+    """Every seventh page in the order of urls, which are strings, and then of ids."""
+    return O.every_nth(table(spark, sf_dir, "pages").select("page_id", "url"), 7, "url", ties=("page_id",))
+
+
+@query("SELECT event_id, sum(value) OVER (ORDER BY ts NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) AS running FROM (SELECT event_id, ts, CAST(floor(1000 * value) AS BIGINT) AS value FROM events)")
+def running_sum_over_time(spark, sf_dir):
+    """The sum of all events' values up to each one, in the order of times."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", F.floor(F.col("value") * 1000).alias("value"))
+    return O.running_sum(events, F.col("value"), "ts", ("event_id",)).select("event_id", "running")
+
+
+@query("""SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY k.source, k.text, doc_id) AS place
+FROM (SELECT doc_id, lang, {'source': source, 'text': substr(text, 1, 20)} AS k FROM documents)""")
+def places_by_struct(spark, sf_dir):
+    """Every document's place in its language, in the order of a struct of two strings."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.struct("source", F.substring("text", 1, 20).alias("text")).alias("k"))
+    return O.running_sum(docs, F.lit(1), "k", ("doc_id",), "place", groups=("lang",)).select("doc_id", F.col("place").cast("bigint").alias("place"))
+
+
 @query(f"SELECT doc_id, CASE WHEN {_sha('doc_id', 42)} < CAST(floor(0.02 * (1::BIGINT << 60)) AS BIGINT) THEN 'val' ELSE 'train' END AS split FROM documents")
 def hash_split(spark, sf_dir):
     """A validation split of two in a hundred."""

@@ -354,3 +354,46 @@ def test_ranges_and_service(spark):
     assert ids(rest.probed([lambda: spark.range(0), lambda: spark.range(2), lambda: 1 / 0])) == [0, 1] and rest.probed([lambda: spark.range(0)]).count() == 0
     known = rest.looked_up(spark.createDataFrame([("a",), ("b",)], "k string"), lambda keys: [{"v": 1} if k == "a" else None for k in keys], "k", "k string, v bigint")
     assert [tuple(r) for r in known.collect()] == [("a", 1)]
+
+
+def test_order_of_any_type(spark, monkeypatch):
+    """Strings, structs, times, arrays, bytes and decimals order rows as numbers do; frequent keys are cut by their ties."""
+    import random
+
+    monkeypatch.setattr(order, "DRAWN", 8)
+    rng = random.Random(4)
+    names = ["b", "ä", "a" * 2000, "", None, "日本", "B"]
+    data = [(i, "hot" if i % 3 == 0 else rng.choice(names), rng.choice([None, 1, 2, 3]), i % 4) for i in range(900)]
+    table = spark.createDataFrame(data, "i bigint, s string, _range int, g int").repartition(6)
+    kinds = {
+        "s": lambda r: (r[1] is not None, (r[1] or "").encode()),
+        "struct(_range, s)": lambda r: (r[2] is not None, r[2] or 0, r[1] is not None, (r[1] or "").encode()),
+        "timestamp_seconds(_range * 1000)": lambda r: (r[2] is not None, r[2] or 0),
+        "array(s, cast(g as string))": lambda r: (r[1] is not None, (r[1] or "").encode(), str(r[3])),
+        "encode(s, 'UTF-8')": lambda r: (r[1] is not None, (r[1] or "").encode()),
+        "date_add(date'2024-01-01', _range)": lambda r: (r[2] is not None, r[2] or 0),
+        "_range = 2": lambda r: (r[2] is not None, r[2] == 2),
+    }
+    for text, key in kinds.items():
+        for groups in ((), ("g",)):
+            want, sums = {}, {}
+            for r in sorted(data, key=lambda r: (key(r), r[0])):
+                group = r[3] if groups else 0
+                want[r[0]] = sums[group] = sums.get(group, 0) + (r[2] or 0)
+            found = order.running_sum(table.withColumn("o", F.expr(text)), F.col("_range"), "o", ("i",), groups=groups)
+            assert {r.i: r.running for r in found.collect()} == want, (text, groups)
+    ranked, many = order.sampled_range(table, ["s", "i"], 16)
+    sizes = [r["count"] for r in table.groupBy(ranked.alias("r")).count().collect()]
+    assert many > 10 and max(sizes) < 4 * 900 / many  # a third of the rows has one string
+
+
+def test_order_by_strings_needs_no_window_over_all(spark, tmp_path):
+    from corpusloom.plans.catalog import queries
+
+    spark.range(500).selectExpr("id AS doc_id", "concat('s', id % 3) AS source", "repeat('word ', 90) AS text").write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries()["token_budget_by_source"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" in plan
+    empty = spark.createDataFrame([], "k string, v int")
+    assert order.running_sum(empty, F.col("v"), "k").count() == 0 and order.every_nth(empty, 2, "k").count() == 0
+    assert order.budget_cut(spark.createDataFrame([("b", 5), ("a", 5), (None, 5)], "k string, v int"), F.col("v"), 6, "k").orderBy("k").collect() == [(None, 5), ("a", 5)]
