@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+from collections import defaultdict
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -19,8 +21,9 @@ from corpusloom.session import spread, written
 
 #: Hashes of a signature.
 HASHES = 128
-#: Signatures of a block, of which pairs are compared in one task, and rounds of the greedy order before components.
-BLOCK, ROUNDS = 512, 3
+#: Signatures of a block, of which pairs are compared in one task; rounds of the greedy order before components, and a component's
+#: open rows that one round then decides in order. Grams whose digests a task remembers, 1 KB each.
+BLOCK, ROUNDS, FRONT, GRAMS_KEPT = 512, 3, 16_384, 1 << 15
 _rng = np.random.Generator(np.random.PCG64(7))
 _MUL = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -78,6 +81,39 @@ def md5_minhash(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: [min(x).hex() for x in zip(*map(_digests, _gram_list(text)), strict=True)])
 
 
+class _GramTable:
+    """The first eight bytes of every gram's digests as rows of numbers; each distinct gram of a task is digested once."""
+
+    def __init__(self) -> None:
+        self.at: dict[str, int] = {}
+        self.rows = np.zeros((1024, HASHES), np.uint64)
+
+    def least(self, grams: set[str]) -> np.ndarray:
+        if len(self.at) + len(grams) > GRAMS_KEPT:
+            self.at = {}
+        for g in grams:
+            if g not in self.at:
+                if len(self.at) == len(self.rows):
+                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+                raw = g.encode()
+                digests = b"".join(hashlib.md5(raw + i.to_bytes(4, "big")).digest()[:8] for i in range(HASHES))
+                self.rows[len(self.at)] = np.frombuffer(digests, ">u8")
+                self.at[g] = len(self.at)
+        at = np.fromiter((self.at[g] for g in grams), np.int64, len(grams))
+        out = self.rows[at[:1024]].min(0)
+        for i in range(1024, len(at), 1024):
+            np.minimum(out, self.rows[at[i : i + 1024]].min(0), out=out)
+        return out
+
+
+@F.pandas_udf(T.BinaryType())
+def md5_signature(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The first eight bytes of each value of ``md5_minhash``, one behind the other."""
+    table = _GramTable()
+    for batch in texts:
+        yield batch.map(lambda text: table.least(_gram_list(text)).astype(">u8").tobytes())
+
+
 def bands(signature: Column, n_bands: int, rows: int) -> Column:
     """The keys of a signature's bands."""
     return F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda b: F.md5(F.array_join(F.slice(signature.cast("array<string>"), b * rows + 1, rows), ",")))
@@ -125,6 +161,13 @@ def cluster_sizes(clusters: DataFrame) -> DataFrame:
     return sizes.groupBy("size").agg(F.count("*").alias("n_clusters"), F.sum(F.col("size") - 1).alias("removed"))
 
 
+def cluster_recall(pairs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """How many pairs (``i``, ``j``) there are, ``n_links``, and the share of them within clusters, ``recall`` (null without pairs)."""
+    told = clusters.select("id", "cluster")
+    both = pairs.join(told.withColumnsRenamed({"id": "i", "cluster": "a"}), "i").join(told.withColumnsRenamed({"id": "j", "cluster": "b"}), "j")
+    return both.agg(F.count("*").alias("n_links"), F.avg((F.col("a") == F.col("b")).cast("int")).alias("recall"))
+
+
 def _packed(signature: Column, hex_of) -> Column:
     """A signature as bytes, eight of each value (of an MD5 its first eight, which differ wherever the whole does)."""
     return F.unhex(F.array_join(F.transform(signature, hex_of), ""))
@@ -221,14 +264,25 @@ def greedy_survivors(rows: DataFrame, id_col: str, text_col: str, threshold: flo
     """The ids that stay if, in the order of ids, a row goes when an earlier row that stays is as similar as the threshold.
 
     Similar rows share a band, and their signatures agree. Of equal signatures the first id stands for all: what takes it
-    takes the others, else it takes them itself. Bands of any size are compared whole, as pairs of blocks, and a task
-    gives at most one row for each of its rows. A row without an earlier similar one stays, a row whose first similar one
-    stays goes, and so on for ``ROUNDS`` rounds, which decide groups of near copies; what is open then (chains) is
-    decided in order within its connected components. Rows without an id stay.
+    takes the others, else it takes them itself. Rows without an id stay.
     """
-    signature = _packed(md5_minhash(F.col(text_col)), lambda x: F.substring(x, 1, 16))
-    signed = written(rows.select(F.col(id_col).alias("id"), signature.alias("sig")).withColumn("h", F.md5("sig")), "greedy-signatures")
-    sets = written(_signature_sets(signed), "greedy-sets")
+    signed = written(rows.select(F.col(id_col).alias("id"), md5_signature(F.col(text_col)).alias("sig")).withColumn("h", F.md5("sig")), "greedy-signatures")
+    kept = first_independent(_signature_sets(signed), threshold, n_bands, band_rows)
+    return signed.where("id IS NULL").select("id").union(signed.select("id").join(kept, "id", "left_semi"))
+
+
+def first_independent(sets: DataFrame, threshold: float = 0.8, n_bands: int = 32, band_rows: int = 4) -> DataFrame:
+    """The ids of the rows (``id``, ``sig``: 8 bytes for each value) that stay in the order of ids: of the graph of similar rows the
+    maximal independent set that comes first.
+
+    Rounds to the end. In each one, open rows are compared with the open rows and with those that stay since the last round, in
+    tasks of block pairs of their bands, which tell one line for a row at most: a row without an open similar row before it stays, one
+    whose first such row stays goes, as does one that is like a row which stays. In whatever order ids were given, all but few
+    rows are decided so in a number of rounds that grows with the logarithm of their number; what has been sorted into chains is
+    not. So after ``ROUNDS`` rounds, each connected component's first ``FRONT`` open rows are also decided in order in one task, as
+    nothing before them is open: a chain of n rows ends in n / ``FRONT`` rounds, and no task gets a component.
+    """
+    sets = written(sets.select("id", "sig"), "greedy-sets")
     kind = sets.schema["id"].dataType
     name, arrow = kind.simpleString(), to_arrow_type(kind)
 
@@ -238,42 +292,61 @@ def greedy_survivors(rows: DataFrame, id_col: str, text_col: str, threshold: flo
         before = (alike & ~stays).any(1)
         return [(group[i][4], group[least[i]][4] if before[i] else None, bool(gone[i])) for i in np.flatnonzero(gone | before).tolist()]
 
-    status = sets.select("id", F.lit(False).alias("stays"))
-    for _ in range(ROUNDS):
+    def front(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root = None
+        for batch in batches:
+            told = []
+            for r, i, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if r != root:
+                    root, kept, size, shared = r, np.zeros((16, HASHES), np.uint64), 0, defaultdict(list)
+                sig = np.frombuffer(data, np.uint64)
+                keys = [(b, sig[b * band_rows : (b + 1) * band_rows].tobytes()) for b in range(n_bands)]
+                near = np.unique(np.concatenate([np.array(shared[k], np.int64) for k in keys if k in shared] or [np.zeros(0, np.int64)]))
+                stays = not len(near) or not (np.count_nonzero(kept[near] == sig, axis=1) / HASHES >= threshold).any()
+                if stays:
+                    if size == len(kept):
+                        kept = np.concatenate([kept, np.zeros_like(kept)])
+                    kept[size] = sig
+                    for k in keys:
+                        shared[k].append(size)
+                    size += 1
+                told.append((i, stays))
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in told], arrow), pa.array([s for _, s in told], pa.bool_())], ["id", "stays"])
+
+    open_rows, fresh = sets.select("id"), sets.select("id").limit(0)
+    stayed: list[DataFrame] = []
+    roots = None
+    for round_ in itertools.count():
+        status = open_rows.withColumn("stays", F.lit(False)).union(fresh.withColumn("stays", F.lit(True)))
         told = _each_run(_band_tasks(sets, status, n_bands, band_rows), 4, first, f"id {name}, first {name}, gone boolean", [arrow, arrow, pa.bool_()])
         told = written(told.groupBy("id").agg(F.min("first").alias("first"), F.max("gone").alias("gone")), "greedy-told")
-        # rows that aren't told of have no similar row before them
-        left = told.where("NOT gone").join(told.select(F.col("id").alias("first")), "first", "left_semi").select("id", F.lit(False).alias("stays"))
-        status = written(status.join(told.select("id"), "id", "left_anti").select("id", F.lit(True).alias("stays")).union(left), "greedy-status")
-        if status.where("NOT stays").isEmpty():
+        # rows that aren't told of have no open similar row before them, and so stay; what they are first to goes
+        now = open_rows.join(told.select("id"), "id", "left_anti")
+        left = written(told.where("NOT gone").join(told.select(F.col("id").alias("first")), "first", "left_semi").select("id"), "greedy-open")
+        if round_ >= ROUNDS and not left.isEmpty():
+            if roots is None:
+                status = left.withColumn("stays", F.lit(False))
+                roots = written(components(_band_ties(sets, status, n_bands, band_rows, threshold), "greedy-components").select("root", F.col("node").alias("id")), "greedy-roots")
+            # rows that are like one that stays since this round go first, so that the fronts know all that came before them
+            fresh = written(now.withColumn("stays", F.lit(True)).union(left.withColumn("stays", F.lit(False))), "greedy-status")
+            lost = _each_run(_band_tasks(sets, fresh, n_bands, band_rows), 4, first, f"id {name}, first {name}, gone boolean", [arrow, arrow, pa.bool_()]).where("gone").select("id").distinct()
+            left = written(left.join(lost, "id", "left_anti"), "greedy-open")
+            ranked = left.join(roots, "id").withColumn("place", F.row_number().over(Window.partitionBy("root").orderBy("id"))).where(F.col("place") <= FRONT)
+            ready = ranked.select("root", "id").join(sets, "id").select("root", "id", "sig").repartition("root").sortWithinPartitions("root", "id")
+            solved = written(ready.mapInArrow(front, f"id {name}, stays boolean"), "greedy-fronts")
+            left = written(left.join(solved.select("id"), "id", "left_anti"), "greedy-open")
+            stayed.append(written(now, "greedy-stays"))
+            fresh = solved.where("stays").select("id")
+            stayed.append(fresh)
+        else:
+            fresh = written(now, "greedy-stays")
+            stayed.append(fresh)
+        if left.isEmpty():
             break
-    else:
-        found = components(_band_ties(sets, status, n_bands, band_rows, threshold), "greedy-components")
-        ready = found.join(status, F.col("node") == F.col("id")).drop("node").join(sets.select("id", "sig"), "id").select("root", "id", "stays", "sig")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            root, kept, n = None, np.zeros((16, HASHES), np.uint64), 0
-            for batch in batches:
-                lost = []
-                for r, i, stays, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    if r != root:
-                        root, n = r, 0
-                    sig = np.frombuffer(data, np.uint64)
-                    if not stays:
-                        same = kept[:n] == sig
-                        near = same[np.count_nonzero(same, axis=1) / HASHES >= threshold]
-                        if near[:, : n_bands * band_rows].reshape(len(near), n_bands, band_rows).all(2).any():
-                            lost.append(i)
-                            continue
-                    if n == len(kept):
-                        kept = np.concatenate([kept, np.zeros_like(kept)])
-                    kept[n] = sig
-                    n += 1
-                yield pa.RecordBatch.from_arrays([pa.array(lost, arrow)], ["id"])
-
-        lost = ready.repartition("root").sortWithinPartitions("root", "id").mapInArrow(run, f"id {name}")
-        status = status.join(lost, "id", "left_anti")
-    return signed.where("id IS NULL").select("id").union(signed.select("id").join(status, "id", "left_semi"))
+        open_rows = left
+        if len(stayed) > 16:
+            stayed = [written(reduce(DataFrame.union, stayed), "greedy-stays")]
+    return reduce(DataFrame.union, stayed)
 
 
 def _hashed_shingles(text: Column, k: int = 5) -> Column:

@@ -95,7 +95,8 @@ def shingle_jaccard_members(spark, sf_dir):
 
 @query()
 def minhash_document_clusters(spark, sf_dir):
-    """Clusters of documents that share a band of nine."""
+    """Clusters of documents that share a band of nine: the compatible form, with a recall of 0.40 at a similarity of 0.8.
+    ``minhash_verified_clusters`` and ``shingle_jaccard_members`` find all but few links, and all."""
     return N.document_clusters(table(spark, sf_dir, "documents"))
 
 
@@ -105,13 +106,40 @@ def minhash_verified_clusters(spark, sf_dir):
     return N.document_clusters(table(spark, sf_dir, "documents"), n_bands=32, rows=4, verify=0.8)
 
 
+@query()
+def minhash_recall(spark, sf_dir):
+    """Of all links of different texts at 0.8, found exactly, the share within the clusters of both MinHash forms."""
+    docs = table(spark, sf_dir, "documents")
+    links = written(N.exact_pairs(docs), "recall-links")
+    forms = {"nine bands": N.document_clusters(docs), "verified": N.document_clusters(docs, n_bands=32, rows=4, verify=0.8)}
+    each = [N.cluster_recall(links, found).withColumn("form", F.lit(form)) for form, found in forms.items()]
+    return each[0].unionByName(each[1])
+
+
 @query()
 def near_dup_sizes(spark, sf_dir):
-    """Sizes of the document clusters."""
+    """Sizes of the document clusters, at the recall of ``minhash_document_clusters``."""
     return N.cluster_sizes(N.document_clusters(table(spark, sf_dir, "documents")))
 
 
-@query()
+#: Signatures are the least MD5 of a gram and each number as four bytes; rows are kept one by one in the order of ids.
+GREEDY_SQL = r"""
+WITH RECURSIVE m AS (SELECT conv_id * 1000 + turn AS id, trim(regexp_replace(lower(coalesce(text, '')), '\s+', ' ', 'g')) AS t FROM conversations WHERE role = 'user'),
+g AS (SELECT DISTINCT id, substr(t, CAST(i AS INTEGER), 3) AS g FROM (SELECT id, t, unnest(range(1, greatest(1, length(t) - 2) + 1)) AS i FROM m)),
+d AS (SELECT g, k, md5(g || chr(0) || chr(0) || chr(0) || chr(CAST(k AS INTEGER))) AS h FROM (SELECT DISTINCT g FROM g), (SELECT unnest(range(128)) AS k)),
+v AS (SELECT id, k, min(h) AS h FROM g JOIN d USING (g) GROUP BY id, k),
+s AS (SELECT id, list(h ORDER BY k) AS s, row_number() OVER (ORDER BY id) AS r FROM v GROUP BY id),
+b AS (SELECT id, r, b, array_to_string(s[4 * b + 1:4 * b + 4], '') AS key FROM s, (SELECT unnest(range(32)) AS b)),
+c AS (SELECT DISTINCT x.r AS early, y.r AS late FROM b x JOIN b y ON x.b = y.b AND x.key = y.key AND x.r < y.r),
+e AS (SELECT late, list(early) AS near FROM c JOIN s x ON x.r = early JOIN s y ON y.r = late
+      WHERE len(list_filter(list_zip(x.s, y.s), lambda z: z[1] = z[2])) >= 0.8 * 128 GROUP BY late),
+w AS (SELECT CAST(0 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS kept UNION ALL
+      SELECT s.r, CASE WHEN list_has_any(w.kept, coalesce(e.near, [])) THEN w.kept ELSE list_append(w.kept, s.r) END FROM w JOIN s ON s.r = w.r + 1 LEFT JOIN e ON e.late = s.r)
+SELECT id FROM s WHERE r IN (SELECT unnest(kept) FROM (SELECT kept FROM w ORDER BY r DESC LIMIT 1))
+"""
+
+
+@query(GREEDY_SQL)
 def instruction_near_dup(spark, sf_dir):
     """User messages that stay when similar later ones go."""
     said = table(spark, sf_dir, "conversations").where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")

@@ -206,6 +206,28 @@ def test_greedy_order_takes_hot_bands_whole(spark, monkeypatch, rounds):
     assert found == want and 3 < len(want) < 60
 
 
+def test_signatures_are_the_digests(spark):
+    texts = [("What is the boiling point? " * 3,), ("",), ("日本 é",), (None,)]
+    found = spark.createDataFrame(texts, "text string").select(neardup.md5_signature("text").alias("s"), neardup.md5_minhash("text").alias("m")).collect()
+    assert all(bytes(r.s) == b"".join(bytes.fromhex(x)[:8] for x in r.m) for r in found)
+
+
+@pytest.mark.parametrize("step,front", [(19, 40), (7, 1000), (13, 7)])
+def test_chains_settle_in_fronts(spark, monkeypatch, step, front):
+    """Long chains, each row like its next ones only, against the plain loop; no task of the fronts gets a whole component."""
+    monkeypatch.setattr(neardup, "ROUNDS", 1)
+    monkeypatch.setattr(neardup, "FRONT", front)
+    chains, n = 3, 70
+    rows = [(c * 1000 + i, np.array([((step * i + p) // 128) * 10 + c for p in range(128)], ">u8").tobytes()) for c in range(chains) for i in range(n)]
+    want = []
+    for i, sig in rows:
+        if all(sum(sig[8 * p : 8 * p + 8] == other[8 * p : 8 * p + 8] for p in range(128)) / 128 < 0.8 for _, other in want):
+            want.append((i, sig))
+    random.Random(1).shuffle(rows)
+    found = neardup.first_independent(spark.createDataFrame(rows, "id bigint, sig binary").repartition(4))
+    assert ids(found) == [i for i, _ in want] and chains * 3 < len(want) < chains * n * 0.6
+
+
 def test_exact_pairs_find_all(spark):
     rng = random.Random(3)
     base = [f"w{rng.randrange(900)}" for _ in range(60)]
