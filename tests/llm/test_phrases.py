@@ -59,6 +59,22 @@ def test_collocations(spark, monkeypatch, shard):
     assert run(spark, rows) == brute(rows)
 
 
+def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
+    """Chance marks let n-grams through that are counted and then dropped."""
+    rows = made(80, 9, vocabulary=6)
+    for bits in (64, 256):
+        monkeypatch.setattr(phrases, "BITS", bits)
+        assert run(spark, rows, least=6) == brute(rows, least=6)
+
+
+def test_runs_that_are_left():
+    ids = np.array([1, 2, 3, 4, 0, 5, 6, 7, 8, 9, 1, 0, 2, 3])
+    marked = np.array([1, 1, 0, 1, 0, 1, 1, 0, 1, 1, 0, 0, 1, 0], bool)
+    left = phrases.reduced(ids, marked, 3).tolist()
+    assert left == [1, 2, 3, 0, 5, 6, 7, 8, 9, 1]  # 5 6 7 and 8 9 1 touch, so no end between them
+    assert phrases.reduced(ids[:2], marked[:2], 3).tolist() == [] and phrases.reduced(ids, np.zeros(14, bool), 3).tolist() == []
+
+
 def test_longer_phrases_and_few_rows(spark):
     rows = made(60, 4, vocabulary=3)
     for more in ({"words": 5, "least": 4, "top": 7}, {"words": 2, "least": 1}, {"words": 4, "least": 3, "inside": 80}):
@@ -79,13 +95,9 @@ def test_suffix_array_and_intervals(n):
     assert [(k, len(at)) for k, at, _ in phrases.ngram_counts(ids[:0], 2)] == [(1, 0), (2, 0)]
 
 
-def test_scores_are_exact(spark):
+def test_scores_are_exact(spark, monkeypatch):
     """Products beyond 64 bits: counts of a thousand million."""
     table = spark.sql("SELECT 'en\\n' AS phrase, 9000000000000L AS n UNION ALL SELECT 'en\\na', 3000000000007L UNION ALL SELECT 'en\\nb', 3000000000011L UNION ALL SELECT 'en\\na b', 2999999999999L")
-    original = phrases.counted
-    try:
-        phrases.counted = lambda *a: table
-        (row,) = phrases.collocations(table).collect()
-    finally:
-        phrases.counted = original
+    monkeypatch.setattr(phrases, "counted", lambda *a: table)
+    (row,) = phrases.collocations(table, words=2).collect()
     assert row.score == 10**6 * 2999999999999**2 // (3000000000007 * 3000000000011) and row.a == 2999999999999
