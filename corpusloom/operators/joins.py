@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.columns import all_columns, free
 from corpusloom.operators.order import keep_first
+from corpusloom.session import written
 
 #: Rows and bytes (of its rows as JSON) up to which a table is broadcast; both are counted first.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
+#: Points of a grid cell's block.
+CELL_ROWS = 4096
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -61,22 +66,39 @@ def append_new(main: DataFrame, more: DataFrame, key: str, order: str) -> DataFr
 
 def nearest_known(points: DataFrame, known: DataFrame, columns: list[str], tolerance: float, key: str, known_order: str) -> DataFrame:
     """Every point with the first known point, in order, that differs by less than the tolerance in every column (its
-    columns get the prefix ``known_``), or nulls.
+    columns get the prefix ``known_``), or nulls. Points with equal keys get the first of what any of them meets.
 
-    The first column is cut into cells as wide as the tolerance, and a point meets its own and both neighbouring cells,
-    so the join is an equi-join.
+    A grid over all columns has cells twice as wide as the tolerance; a known point stands in its own cell, and a point meets the
+    one or two cells of every column that its tolerance reaches. Known points with the same coordinates are one, the first in order.
+    The points of a crowded cell are dealt out in blocks, and every block of the one side meets every block of the other.
+    What a point meets is brought down to its first where it is found, so matches aren't gathered. Points with a null or NaN
+    coordinate meet none.
     """
-    cell = lambda c: F.floor(F.col(c) / tolerance)
-    right = known.select(*[F.col(c).alias(f"known_{c}") for c in known.columns])
-    own, rank = free(right, "_cell", "_rank", key, *columns)[:2]
-    right = right.withColumn(own, cell(f"known_{columns[0]}"))
-    left = points.select(key, *columns, F.explode(F.array(*[cell(columns[0]) + d for d in (-1, 0, 1)])).alias(own))
-    near = left.join(right, own)
-    for c in columns:
-        near = near.where(F.abs(F.col(c) - F.col(f"known_{c}")) < tolerance)
-    first = Window.partitionBy(key).orderBy(f"known_{known_order}")
-    best = near.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank, own, *columns)
-    return points.join(best, key, "left")
+    width = 2.0 * tolerance
+    as_double = lambda c: F.col(c).cast("double")
+    usable = reduce(lambda a, b: a & b, (as_double(c).isNotNull() & ~F.isnan(as_double(c)) for c in columns))
+    told = known.where(usable).groupBy(*[as_double(c).alias(f"x{i}") for i, c in enumerate(columns)]).agg(F.min(F.struct(F.col(known_order).alias("order"), *[F.struct(F.col(c)).alias(f"v{i}") for i, c in enumerate(known.columns)])).alias("known"))
+    right = told.withColumn("cell", F.array(*[F.floor(F.col(f"x{i}") / width) for i in range(len(columns))]))
+    left = points.where(usable).select(F.col(key).alias("key"), *[as_double(c).alias(f"y{i}") for i, c in enumerate(columns)])
+    for i in range(len(columns)):
+        reach = F.array_distinct(F.array(F.floor((F.col(f"y{i}") - tolerance) / width), F.floor((F.col(f"y{i}") + tolerance) / width)))
+        left = left.withColumn(f"c{i}", F.explode(reach))
+    left = left.select("key", *[f"y{i}" for i in range(len(columns))], F.array(*[f"c{i}" for i in range(len(columns))]).alias("cell"))
+    blocks = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias(name))
+    dealt = blocks(left, "lefts").join(blocks(right, "rights"), "cell").where("lefts > 1 OR rights > 1")
+    dealt = written(dealt, "grid-crowded")
+
+    def spread_out(df: DataFrame, own: str, other: str, seed: int) -> DataFrame:
+        told = df.join(small(dealt), "cell", "left").withColumn(own, F.pmod(F.xxhash64(F.struct(*[c for c in df.columns if c != "cell"]), F.lit(seed)), F.coalesce(own, F.lit(1))).cast("int"))
+        return told.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
+
+    near = spread_out(left, "lefts", "rights", 1).join(spread_out(right, "rights", "lefts", 2), ["cell", "lefts", "rights"])
+    for i in range(len(columns)):
+        near = near.where(F.abs(F.col(f"y{i}") - F.col(f"x{i}")) < tolerance)
+    best = near.groupBy("key").agg(F.min("known").alias("known"))
+    (own,) = free(points, "_key")
+    best = best.select(F.col("key").alias(own), *[F.col(f"known.v{i}").getField(c).alias(f"known_{c}") for i, c in enumerate(known.columns)])
+    return points.join(best, F.col(key) == F.col(own), "left").drop(own)
 
 
 def new_by_group(df: DataFrame, key: str, group_order: str, row_order: str) -> DataFrame:

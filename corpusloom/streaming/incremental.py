@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
-from corpusloom.columns import all_columns, free, named
-from corpusloom.operators.order import running_sum
 from corpusloom.session import scratch_path
 from corpusloom.sources.readers import first_that_exists
 
@@ -34,6 +33,8 @@ def run_available(stream: DataFrame, label: str, output: str = "append", checkpo
         batch.write.mode("overwrite").parquet(path if mode == "overwrite" else f"{path}/batch={number}")
 
     stream.writeStream.outputMode(output).foreachBatch(put).trigger(availableNow=True).option("checkpointLocation", checkpoint).start().awaitTermination()
+    if not first_that_exists(spark, path):
+        return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(path if mode == "overwrite" else f"{path}/batch=*")
 
 
@@ -56,37 +57,76 @@ def session_counts(stream: DataFrame, event_time: str, gap: str, key: str, delay
     return told.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), key, "n")
 
 
-def run_budget(stream: DataFrame, key: str, order: str, tokens: str, limit: int, label: str, state: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """Rows of every key until their tokens reach the limit, the crossing row included, over all batches; within a batch
-    rows count in order. Processes what is there now and gives the rows that were kept.
+#: The state store that keyed state with timers and expiry needs.
+STORE_SETTING, STORE = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class Budget(StatefulProcessor):
+    """Rows of a key, in order within a batch, until their tokens reach the limit, the crossing row included.
 
-    What each key has spent after a batch is a small table of that batch's number below ``state``, so a batch that is tried
-    again starts where it started. A batch's rows are placed by ranges, so no task gets a key as a whole.
+    What a key has spent is a value of the state store. ``keep_ms`` is how long it is kept after it last changed (the store then
+    forgets it by itself), ``idle_ms`` how long after the key was last seen (a timer). Of a batch's rows a task holds
+    those that may still fit, never all rows of a key.
     """
-    spark = stream.sparkSession
-    out, state, checkpoint = scratch_path(spark, label), state or scratch_path(spark, f"{label}-state"), checkpoint or scratch_path(spark, f"{label}-checkpoint")
-    running, spent = free(stream, "_running", "_spent")
-    kinds = f"`{key}` {stream.schema[key].dataType.simpleString()}, `{spent}` bigint"
 
-    def put(batch: DataFrame, number: int) -> None:
-        before = f"{state}/batch={number - 1}"
-        known = spark.read.schema(kinds).parquet(before) if first_that_exists(spark, before) else spark.createDataFrame([], kinds)
-        told = running_sum(batch, named(tokens), order, out=running, groups=(key,))
-        told = beside_if_known(told, known, key).withColumn(spent, F.coalesce(spent, F.lit(0)))
-        told.where(F.col(spent) + F.col(running) - F.coalesce(named(tokens), F.lit(0)) < limit).select(*all_columns(batch)).write.mode("overwrite").parquet(f"{out}/batch={number}")
-        sums = batch.select(named(key), named(tokens).cast("bigint").alias(spent)).unionByName(known).groupBy(key).agg(F.sum(spent).alias(spent))
-        sums.write.mode("overwrite").parquet(f"{state}/batch={number}")
+    def __init__(self, order: str, tokens: str, limit: int, keep_ms: int | None = None, idle_ms: int | None = None):
+        self.order, self.tokens, self.limit, self.keep_ms, self.idle_ms = order, tokens, limit, keep_ms, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.spent = handle.getValueState("spent", "tokens bigint", ttlDurationMs=self.keep_ms)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        known = self.spent.get()
+        spent, held = known[0] if known else 0, None
+        for frame in rows:
+            if spent >= self.limit:
+                continue  # the key's budget is spent; what is left of the batch is read to its end
+            held = self.fitting(frame if held is None else pd.concat([held, frame]), spent)
+        if held is not None and len(held):
+            self.spent.update((int(spent + held[self.tokens].fillna(0).sum()),))
+            yield held
+        if self.idle_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+
+    def fitting(self, frame: pd.DataFrame, spent: int) -> pd.DataFrame:
+        """The first rows in order (nulls first) that start below the limit."""
+        frame = frame.sort_values(self.order, kind="stable", na_position="first")
+        size = frame[self.tokens].fillna(0)
+        return frame[spent + size.cumsum() - size < self.limit]
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.spent.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
-    stream.writeStream.foreachBatch(put).trigger(availableNow=True).option("checkpointLocation", checkpoint).start().awaitTermination()
-    if not first_that_exists(spark, out):
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(f"{out}/batch=*")
 
+def budgeted(stream: DataFrame, key: str, order: str, tokens: str, limit: int, keep_ms: int | None = None, idle_ms: int | None = None) -> DataFrame:
+    """The stream's rows that stay within each key's budget, over all batches. The session must use the RocksDB state store.
+
+    With ``keep_ms`` or ``idle_ms`` the query goes by processing time and needs a trigger that goes on, as ``availableNow`` would
+    wait for timers without end."""
+    timed = "ProcessingTime" if keep_ms is not None or idle_ms is not None else "None"
+    own = {c: f"c{i}" for i, c in enumerate(stream.columns)}  # names that pandas and Python take as they are
+    plain = stream.toDF(*own.values())
+    return plain.groupBy(own[key]).transformWithStateInPandas(Budget(own[order], own[tokens], limit, keep_ms, idle_ms), plain.schema, "Append", timed).toDF(*stream.columns)
 
-def beside_if_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """``df`` with the other columns of ``known``, nulls where it lacks the key; null keys equal null keys."""
-    (other,) = free(df, f"_on_{key}")
-    return df.join(known.withColumnRenamed(key, other), named(key).eqNullSafe(named(other)), "left").drop(other)
+
+def run_budget(stream: DataFrame, key: str, order: str, tokens: str, limit: int, label: str, checkpoint: str | None = None) -> DataFrame:
+    """``budgeted`` over what is there now; gives the rows that were kept. What keys have spent is part of the checkpoint, so a
+    later run goes on with it, and a batch that is tried again starts where it started; a checkpoint that lacks a part of its
+    state fails, as the store's versions follow those of the batches."""
+    spark = stream.sparkSession
+    before = spark.conf.get(STORE_SETTING)
+    spark.conf.set(STORE_SETTING, STORE)
+    try:
+        return run_available(budgeted(stream, key, order, tokens, limit), label, checkpoint=checkpoint)
+    finally:
+        spark.conf.set(STORE_SETTING, before)
 
 
 def each_batch(process: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:

@@ -60,6 +60,21 @@ def test_nearest_known(spark):
     assert {r.id: r.known_k for r in found.collect()} == want
 
 
+@pytest.mark.parametrize("cell_rows", [4096, 5])
+@pytest.mark.parametrize("columns", [["x"], ["x", "y"], ["x", "y", "z"]])
+def test_nearest_known_in_crowded_cells(spark, monkeypatch, columns, cell_rows):
+    """Nine tenths share the first column, many points are the same, some lack a coordinate."""
+    monkeypatch.setattr(joins, "CELL_ROWS", cell_rows)
+    rng = random.Random(6)
+    made = lambda n: [(i, 1.0 if rng.random() < 0.9 else rng.random() * 3 - 1, rng.choice([0.5, None, float("nan"), rng.random() * 2 - 1, -0.2]), rng.choice([0.1, 0.3, -0.3])) for i in range(n)]
+    p, q = made(150), made(90)
+    at = [{"x": 1, "y": 2, "z": 3}[c] for c in columns]
+    found = joins.nearest_known(spark.createDataFrame(p, "id int, x double, y double, z double"), spark.createDataFrame(q, "k int, x double, y double, z double"), columns, 0.25, "id", "k")
+    ok = lambda a, b: all(a[i] is not None and b[i] is not None and abs(a[i] - b[i]) < 0.25 for i in at)
+    assert {r.id: r.known_k for r in found.collect()} == {a[0]: min((b[0] for b in q if ok(a, b)), default=None) for a in p}
+    assert found.columns == ["id", "x", "y", "z", "known_k", "known_x", "known_y", "known_z"]
+
+
 def test_statistics(spark):
     for n in (1, 2, 4, 5):
         row = stats.index_quantiles(spark.range(n).withColumn("g", F.lit("x")), ["g"], "id", [25, 50, 75, 95]).first()

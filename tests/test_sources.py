@@ -3,6 +3,7 @@
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import records
@@ -131,23 +132,75 @@ def test_streams_resume(spark, tmp_path):
 
 
 def test_running_budget_over_batches(spark, tmp_path):
-    source, checkpoint, state = str(tmp_path / "in"), str(tmp_path / "check"), str(tmp_path / "state")
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "check")
     kinds = "k string, n bigint, t bigint, _running string"
     put = lambda rows: spark.createDataFrame([(*r, "x") for r in rows], kinds).repartition(3).write.mode("append").parquet(source)
-    run = lambda: incremental.run_budget(incremental.file_stream(spark, source, kinds), "k", "n", "t", 10, "b", state, checkpoint)
+    run = lambda: incremental.run_budget(incremental.file_stream(spark, source, kinds), "k", "n", "t", 10, "b", checkpoint)
     put([("a", 2, 6), ("a", 1, 3), ("b", 1, 50), (None, 1, 9), (None, 2, None), (None, 3, 9)])
     assert sorted((r.k or "", r.n) for r in run().collect()) == [("", 1), ("", 2), ("", 3), ("a", 1), ("a", 2), ("b", 1)]
     put([("a", 3, 4), ("a", 4, 1), ("b", 2, 1), (None, 4, 1)])
-    found = run()
+    found = run()  # a restart from the checkpoint keeps what was spent
     assert [r.n for r in found.collect()] == [3] and found.columns == ["k", "n", "t", "_running"]
     assert run().count() == 0  # nothing new
 
 
-def test_a_batch_tried_again_counts_once(spark, tmp_path):
-    rows = [("a", i, 3) for i in range(5)]
-    spark.createDataFrame(rows, "k string, n bigint, t bigint").write.parquet(str(tmp_path / "in"))
-    run = lambda c: incremental.run_budget(incremental.file_stream(spark, str(tmp_path / "in"), "k string, n bigint, t bigint"), "k", "n", "t", 10, "b", str(tmp_path / "state"), str(tmp_path / c))
-    assert [sorted(r.n for r in run(c).collect()) for c in ("one", "two")] == [[0, 1, 2, 3]] * 2  # batch 0 both times
+def test_a_state_that_is_gone_fails(spark, tmp_path):
+    """A checkpoint without its state doesn't start every key at nothing."""
+    import shutil
+
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "check")
+    put = lambda i: spark.createDataFrame([("a", i, 3)] * 3, "k string, n bigint, t bigint").write.mode("append").parquet(source)
+    run = lambda: incremental.run_budget(incremental.file_stream(spark, source, "k string, n bigint, t bigint"), "k", "n", "t", 10, "b", checkpoint).count()
+    put(1)
+    assert run() == 3
+    shutil.rmtree(f"{checkpoint}/state")
+    put(2)
+    with pytest.raises(Exception):  # noqa: B017  Spark's own error of the state store
+        run()
+
+
+@pytest.mark.parametrize("more", [{"keep_ms": 2000}, {"idle_ms": 2000}])
+def test_budgets_are_forgotten(spark, tmp_path, more):
+    """With a time to keep it, a key's state goes by itself; a timer clears keys that aren't seen."""
+    import time
+
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put = lambda k, n: spark.createDataFrame([(k, n, 9)], "k string, n bigint, t bigint").coalesce(1).write.mode("append").parquet(source)
+    put("a", 1)
+    before = spark.conf.get(incremental.STORE_SETTING)
+    spark.conf.set(incremental.STORE_SETTING, incremental.STORE)
+    stream = incremental.budgeted(incremental.file_stream(spark, source, "k string, n bigint, t bigint"), "k", "n", "t", 9, **more)
+    query = stream.writeStream.option("checkpointLocation", str(tmp_path / "check")).trigger(processingTime="300 milliseconds").format("parquet").start(out)
+    kept = lambda: sorted(r.n for r in spark.read.schema("k string, n bigint, t bigint").parquet(out).collect())
+    try:
+        until = time.time() + 40
+        while kept() != [1] and time.time() < until:
+            time.sleep(0.3)
+        time.sleep(4)
+        put("a", 2)
+        while kept() != [1, 2] and time.time() < until:
+            time.sleep(0.3)
+        assert kept() == [1, 2] and query.exception() is None
+    finally:
+        query.stop()
+        spark.conf.set(incremental.STORE_SETTING, before)
+
+
+def test_three_files_one_budget(spark, tmp_path):
+    """Each file a batch of its own: the rows kept are those of one pass over all."""
+    source = str(tmp_path / "in")
+    rows = [(f"k{i % 4}", i, (i * 7) % 5) for i in range(120)]
+    for part in range(3):
+        spark.createDataFrame(rows[40 * part : 40 * part + 40], "k string, n bigint, t bigint").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("k string, n bigint, t bigint").option("maxFilesPerTrigger", 1).parquet(source)
+        kept = incremental.run_budget(stream, "k", "n", "t", 25, "b", str(tmp_path / "check"))
+        kept.write.mode("append").parquet(str(tmp_path / "out"))
+    spent, want = {}, []
+    for k, n, t in rows:
+        if spent.get(k, 0) < 25:
+            want.append(n)
+        spent[k] = spent.get(k, 0) + t
+    assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()) == want
 
 
 def test_appending_tells_its_progress(spark, tmp_path):
