@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.functions import automaton as AM
 from corpusloom.functions import lexicon as L
 from corpusloom.functions import parse as P
 from corpusloom.functions import records as RC
@@ -16,6 +17,7 @@ from corpusloom.plans.registry import query, table
 from corpusloom.plans.text_queries import TOKENS_SQL
 from corpusloom.session import scratch_path, written
 from corpusloom.sources import markup as M
+from corpusloom.sources import paged as PG
 from corpusloom.sources import readers as RD
 from corpusloom.sources import sinks as SK
 from corpusloom.streaming import incremental as I
@@ -465,3 +467,52 @@ def budget_running_stream(spark, sf_dir):
     """Events of every type up to a budget."""
     told = _events(spark, sf_dir).select("event_id", "event_type", F.lit(10).alias("tokens"))
     return I.run_budget(told, "event_type", "event_id", "tokens", 500, "stream-budget")
+
+
+# --- stored forms: paged sources, lexicons of many terms, counters of a pass, versions
+
+
+@query("SELECT page_id // 16 AS shelf, count(*) AS n, CAST(sum(length(html)) AS BIGINT) AS chars, count(DISTINCT url) AS urls FROM pages WHERE page_id // 16 >= 2 GROUP BY 1")
+def paged_shelves(spark, sf_dir):
+    """Pages stored as the shelves of a paginated service, and read from it by ranges; the filter narrows the range."""
+    path = scratch_path(spark, "shelves")
+    pages = table(spark, sf_dir, "pages").select(F.expr("page_id div 16").alias("shelf"), "page_id", "url", "html")
+    PG.stored_pages(pages, "shelf", path)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    name = "shelves_" + path.rpartition("-")[2]
+    PG.register_paged(spark, name, PG.FolderService(path), "shelf bigint, page_id bigint, url string, html string", "shelf", most=400, page_size=100)
+    found = spark.read.format(name).load().where("shelf >= 2")
+    return found.groupBy("shelf").agg(F.count("*").alias("n"), F.sum(F.char_length("html")).alias("chars"), F.countDistinct("url").alias("urls"))
+
+
+@query(r"""
+WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS term FROM benchmark), n AS (SELECT DISTINCT lower(n_name) AS term FROM nation)
+SELECT doc_id, (SELECT count(*) FROM t WHERE contains(lower(d.text), term)) AS n_benchmark, (SELECT count(*) FROM n WHERE contains(lower(d.text), term)) AS n_nations FROM documents d
+""")
+def lexicon_terms(spark, sf_dir):
+    """How many words of the benchmark, and names of nations, stand in every document, by one automaton for both lists."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))).alias("w")).distinct()
+    lists = {"benchmark": [r.w for r in words.collect()], "nations": [r.n_name for r in table(spark, sf_dir, "nation").collect()]}  # word lists, small by their purpose
+    found = AM.lexicon_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", AM.Automaton(lists))
+    return found.select("doc_id", *[F.size(c).cast("bigint").alias(f"n_{c}") for c in ("benchmark", "nations")])
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (length(text) >= 500) AS kept, count(*) FILTER (NOT length(text) >= 500) AS dropped, count(*) FILTER (text IS NULL) AS errors, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents")
+def counted_pass(spark, sf_dir):
+    """Kept and dropped documents, counted by the pass that writes them."""
+    decision = F.when(F.col("text").isNull(), "error").when(F.char_length("text") >= 500, "kept").otherwise("dropped")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", decision.alias("decision"))
+    is_ = lambda d: F.count_if(F.col("decision") == d)
+    counters = {"n": F.count("*"), "kept": is_("kept"), "dropped": is_("dropped"), "errors": is_("error"), "chars": F.sum(F.char_length("text"))}
+    return SK.write_counted(docs, scratch_path(spark, "counted"), counters, "decision")
+
+
+@query("""
+SELECT 0 AS version, event_type, count(*) AS n FROM events GROUP BY ALL UNION ALL SELECT 1, event_type, count(*) FROM events WHERE value > 50 GROUP BY ALL
+""")
+def table_versions(spark, sf_dir):
+    """Two versions of a table, each read as it was written."""
+    path, events = scratch_path(spark, "versions"), table(spark, sf_dir, "events").select("event_type", "value")
+    numbers = [SK.next_version(spark, rows, path) for rows in (events, events.where("value > 50"))]
+    each = [SK.read_version(spark, path, n).groupBy("event_type").agg(F.count("*").alias("n")).withColumn("version", F.lit(n)) for n in numbers]
+    return each[0].unionByName(each[1]).select("version", "event_type", "n")

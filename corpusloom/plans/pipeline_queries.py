@@ -9,6 +9,7 @@ from corpusloom.functions import text as T
 from corpusloom.operators import stats as A
 from corpusloom.plans import pipelines as PL
 from corpusloom.plans.corpus_queries import TURN_SQL
+from corpusloom.session import scratch_path
 from corpusloom.plans.registry import query, table
 from corpusloom.plans.text_queries import TABLES, table_lines_sql, tidy_sql
 
@@ -259,11 +260,11 @@ def zero_shot_prompts(spark, sf_dir):
 
 
 @query("""
-SELECT p_size AS pool, 'Take 3 of ' || count(*) || ':' || chr(10) || string_agg(printf('  #%2d: CE=%.2f, GE=%.2f', CAST(p_partkey AS INTEGER), CAST(p_retailprice AS DOUBLE), CAST(p_size AS DOUBLE)), chr(10) ORDER BY p_partkey) AS prompt FROM part WHERE p_partkey < 100 GROUP BY p_size
+SELECT p_size AS pool, 'Take 3 of ' || count(*) || ':' || chr(10) || string_agg(printf('  #%2d: CE=%.2f, GE=%.2f', CAST(p_partkey AS INTEGER), CAST(p_retailprice AS DOUBLE), CAST(p_size AS DOUBLE)), chr(10) ORDER BY p_partkey) AS prompt FROM part GROUP BY p_size
 """)
 def candidate_prompt(spark, sf_dir):
     """A table of candidates in a prompt, for every pool."""
-    pool = table(spark, sf_dir, "part").where("p_partkey < 100")
+    pool = table(spark, sf_dir, "part")
     line = P.candidate_line(F.col("p_partkey").cast("int"), {"CE": F.col("p_retailprice").cast("double"), "GE": F.col("p_size").cast("double")})
     told = pool.groupBy(F.col("p_size").alias("pool")).agg(F.count("*").alias("n"), P.in_lines(line, F.col("p_partkey")).alias("lines"))
     return told.select("pool", P.filled("Take {k} of {n}:\n{lines}", k=F.lit(3), n=F.col("n"), lines=F.col("lines")).alias("prompt"))
@@ -290,3 +291,71 @@ def chat_mix(spark, sf_dir):
     chats = said.select("conv_id", F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
     mix = PL.chat_mix({"even": (chats.where("conv_id % 2 = 0"), 1000), "odd": (chats.where("conv_id % 2 = 1"), 1000)}, "conv_id", 42)
     return mix.groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("conv_id").alias("chats"))
+
+
+@query(MIX_SQL + " UNION ALL SELECT 'gone', 0, NULL")
+def general_chat_mix(spark, sf_dir):
+    """The same mix in one drawn order with both of its sinks, and a source that can't be read; rows and chats as the files have them."""
+    said = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("m"))
+    chats = said.select("conv_id", F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
+    path = scratch_path(spark, "general-mix")
+    sources = {"even": (lambda: chats.where("conv_id % 2 = 0"), 1000), "gone": (lambda: spark.read.parquet(f"{path}/nowhere"), 1000), "odd": (lambda: chats.where("conv_id % 2 = 1"), 1000)}
+    told = PL.general_mix(sources, "conv_id", 42, path)
+    full = spark.read.schema("conv_id bigint, source string").json(f"{path}/full").groupBy("source").agg(F.count("*").alias("found"), F.countDistinct("conv_id").alias("chats"))
+    rows = told.join(full, "source", "left").where("coalesce(found, 0) = n")  # what was counted is what was written
+    return rows.select("source", "n", "chats")
+
+
+@query("""
+WITH l AS (SELECT quantile_cont(p_retailprice, 0.75) AS q FROM part),
+e AS (SELECT l_returnflag AS method, l_orderkey AS rep, avg(p_retailprice) AS quality, avg(CAST(p_retailprice >= q AS DOUBLE)) AS hits FROM lineitem JOIN part ON l_partkey = p_partkey CROSS JOIN l WHERE l_linenumber <= 3 GROUP BY ALL)
+SELECT method, round(avg(quality), 4) AS init_quality_mean, round(stddev_pop(quality), 4) AS init_quality_sd, round(avg(hits), 4) AS top_quartile_mean, round(stddev_pop(hits), 4) AS top_quartile_sd, count(*) AS n_repeats FROM e GROUP BY method
+""")
+def trajectory_starts(spark, sf_dir):
+    """How good the first three picks of every repeat are, by method."""
+    pool = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("idx"), F.col("p_retailprice").alias("objective"))
+    starts = table(spark, sf_dir, "lineitem").where("l_linenumber <= 3").select(F.col("l_returnflag").alias("method"), F.col("l_orderkey").alias("repeat"), F.col("l_partkey").alias("idx"))
+    found = PL.start_metrics(starts, pool)
+    return found.select("method", *[F.round(c, 4).alias(c) for c in found.columns if c.endswith(("_mean", "_sd"))], "n_repeats")
+
+
+EVALUATION_SQL = """
+WITH s AS (SELECT a.vec_id AS id, b.vec_id AS chunk_id, b.label, list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE))) AS score
+           FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+h AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, chunk_id) AS r FROM s QUALIFY r <= 5),
+p AS (SELECT h.id, list(substr(d.text, 1, 1500) ORDER BY r) AS texts, max(score) AS top_passage_score, count(*) AS num_passages FROM h JOIN documents d ON d.doc_id = h.chunk_id GROUP BY h.id),
+q AS (SELECT vec_id AS id, label, substr(text, 1, 60) AS question FROM embeddings JOIN documents ON doc_id = vec_id WHERE vec_id % 100 = 0),
+o AS (SELECT string_agg(chr(CAST(65 + i AS INTEGER)) || '. group ' || i, chr(10) ORDER BY i) AS options FROM (SELECT unnest(range(10)) AS i))
+SELECT q.id, md5(coalesce(array_to_string(list_transform(texts, lambda x, i: '[' || i || '] ' || x), chr(10) || chr(10)), '') || chr(10) || chr(10) || 'Question: ' || question || chr(10) || options || chr(10) || 'Answer:') AS prompt,
+       round(top_passage_score, 4) AS top_passage_score, coalesce(num_passages, 0) AS num_passages, chr(CAST(65 + h.label AS INTEGER)) AS predicted, h.label = q.label AS correct, CAST(q.label AS VARCHAR) AS category
+FROM q LEFT JOIN p ON p.id = q.id CROSS JOIN o JOIN h ON h.id = q.id AND h.r = 1
+"""
+
+
+def _evaluated(spark, sf_dir):
+    """Which group a vector's document belongs to, asked with its nearest documents; the reply told is the nearest one's group."""
+    vectors, docs = table(spark, sf_dir, "embeddings"), table(spark, sf_dir, "documents")
+    letter = lambda label: F.char(label.cast("int") + 65)
+    options = F.map_from_entries(F.array(*[F.struct(F.lit(chr(65 + i)), F.lit(f"group {i}")) for i in range(10)]))
+    asked = vectors.where("vec_id % 100 = 0").join(docs.select(F.col("doc_id").alias("vec_id"), F.substring("text", 1, 60).alias("question")), "vec_id")
+    questions = asked.select(F.col("vec_id").alias("id"), "question", options.alias("options"), F.array(letter(F.col("label"))).alias("answer"), F.col("label").cast("string").alias("category"))
+    groups = vectors.select(F.col("vec_id").alias("chunk_id"), F.concat(F.lit("The answer is "), letter(F.col("label"))).alias("raw_output"))
+    replies = lambda prompts, hits: hits.where("rank = 1").select(F.col("query_id").alias("id"), "chunk_id").join(groups, "chunk_id").join(prompts.select("id"), "id", "left_semi")
+    return PL.retrieval_evaluation(questions, vectors.where("vec_id % 100 = 0"), vectors, docs.select(F.col("doc_id").alias("chunk_id"), "text"), replies, 5)
+
+
+@query(EVALUATION_SQL)
+def retrieval_evaluation(spark, sf_dir):
+    """From vectors to scored answers: nearest documents, prompts, replies and whether they are right."""
+    found = _evaluated(spark, sf_dir)
+    return found.select("id", F.md5("prompt").alias("prompt"), F.round("top_passage_score", 4).alias("top_passage_score"), "num_passages", "predicted", "correct", "category")
+
+
+@query(f"""
+WITH e AS ({EVALUATION_SQL})
+SELECT category AS group_name, count(*) AS n, CAST(sum(CAST(correct AS BIGINT)) AS BIGINT) AS n_correct, round(avg(CAST(correct AS DOUBLE)), 4) AS accuracy FROM e GROUP BY category
+UNION ALL SELECT '(all)', count(*), CAST(sum(CAST(correct AS BIGINT)) AS BIGINT), round(avg(CAST(correct AS DOUBLE)), 4) FROM e
+""")
+def retrieval_accuracy(spark, sf_dir):
+    """The accuracy of that evaluation, overall and by category."""
+    return A.accuracy(_evaluated(spark, sf_dir), "correct", "category")

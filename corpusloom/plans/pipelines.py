@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,8 +14,10 @@ from corpusloom.columns import free
 from corpusloom.functions import lexicon as L
 from corpusloom.functions import parse as P
 from corpusloom.functions import text as T
-from corpusloom.operators import joins, neardup, order, sampling, stats
+from corpusloom.operators import joins, neardup, order, retrieval, sampling, stats
 from corpusloom.operators.neardup import jaccard
+from corpusloom.session import written
+from corpusloom.sources import sinks
 
 
 def clean_works(works: DataFrame, clean: Column, title_keys: Column, order_col: str, earlier: DataFrame | None = None) -> DataFrame:
@@ -202,3 +206,46 @@ def group_quota(df: DataFrame, key: str, group_order: str, row_order: str, quota
     return order.running_sum(fresh, F.lit(1), group_order, (row_order,), n).where(F.col(n) <= quota).drop(n)
 
 
+def start_metrics(starts: DataFrame, pool: DataFrame) -> DataFrame:
+    """Of every method, over its repeats' first picks (``method``, ``repeat``, ``idx``, a row for each), means and population deviations
+    of their mean objective and of their share in the upper quarter of the pool (``idx``, ``objective``)."""
+    level = stats.percentiles(pool, [], "objective", {"q75": 0.75})
+    known = pool.select("idx", "objective").crossJoin(F.broadcast(level))  # one row
+    each = starts.join(joins.small(known), "idx").groupBy("method", "repeat").agg(F.avg("objective").alias("init_quality"), F.avg((F.col("objective") >= F.col("q75")).cast("double")).alias("top_quartile"))
+    return each.groupBy("method").agg(*[f(c).alias(f"{c}_{n}") for c in ("init_quality", "top_quartile") for n, f in (("mean", F.avg), ("sd", F.stddev_pop))], F.count("*").alias("n_repeats"))
+
+
+def general_mix(sources: dict[str, tuple[Callable[[], DataFrame], int]], key: str, seed: int, path: str) -> DataFrame:
+    """Drawn first turns of several chat sources in one drawn order, written as training rows (``path/train``) and with all columns
+    (``path/full``); a row for each source: its quota, how many rows it gave, and the error for which it was skipped.
+
+    A source is read in whole before it joins the mix, so one that fails leaves the others as they are. ``place`` is a row's place in
+    the order, and files hold ranges of places.
+    """
+    parts, told = [], []
+    for name, (load, quota) in sources.items():
+        try:
+            part = written(chat_mix({name: (load(), quota)}, key, seed), "mix-source")
+            told.append((name, quota, part.count(), None))
+            parts.append(part)
+        except (PySparkException, Py4JJavaError, OSError, ValueError) as e:
+            told.append((name, quota, 0, type(e).__name__))
+    if not parts:
+        raise ValueError("no source could be read")
+    mix = reduce(DataFrame.unionByName, parts).withColumn("_draw", sampling.draw(F.concat_ws("/", "source", F.col(key).cast("string")), seed))
+    placed = order.running_sum(mix, F.lit(1), "_draw", ("source", key), "place").drop("_draw")
+    sinks.write_both(placed.repartitionByRange("place").sortWithinPartitions("place"), path, ["instruction", "input", "output"])
+    return mix.sparkSession.createDataFrame(told, "source string, quota int, n bigint, error string")
+
+
+def retrieval_evaluation(questions: DataFrame, queries: DataFrame, candidates: DataFrame, chunks: DataFrame, replies: Callable[[DataFrame, DataFrame], DataFrame], k: int) -> DataFrame:
+    """From vectors to a scored answer for every question (``id``, ``question``, ``options``, ``answer``, ``category``): the k nearest
+    chunks, the prompt with their texts, the reply to it and whether it is right.
+
+    ``replies`` gives ``id`` and ``raw_output`` for the prompts and their hits: stored ones, or those of a model.
+    """
+    hits = written(retrieval.top_k(queries, candidates, k), "evaluation-hits").withColumnRenamed("vec_id", "chunk_id")
+    prompts = written(retrieval_prompts(questions, hits, chunks), "evaluation-prompts")
+    letters = questions.select("id", "answer", F.array_sort(F.map_keys("options")).alias("options"), "category")
+    results = replies(prompts, hits).select("id", "raw_output").withColumn("correct", F.lit(False))
+    return rescored(results, letters).drop("was_correct").join(prompts, "id")

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import os
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpusloom.session import written
 
@@ -59,16 +65,90 @@ def report(statistics: DataFrame) -> DataFrame:
     return statistics.select(F.concat(F.rpad("metric", width, "."), F.lit(" "), F.format_string("%,.2f", "value")).alias("line"))
 
 
-def next_version(spark: SparkSession, df: DataFrame, path: str) -> str:
-    """Write a new version beside the older ones, which stay as backups, and return its path; so an input is never
-    overwritten while it is read."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    n = 0
-    while fs.exists(fs_path(f"{path}/v{n}")):
+def write_counted(df: DataFrame, path: str, counters: dict[str, Column], by: str | None = None) -> DataFrame:
+    """Write JSON lines (a folder for each value of ``by``, if given) and give the counters, aggregates over the rows written, as one row.
+
+    They are gathered by the tasks that write, so neither the input nor the output is read for them."""
+    told = Observation()
+    observed = df.observe(told, *[c.alias(name) for name, c in counters.items()])
+    writer = observed.write.mode("errorifexists")
+    (writer.partitionBy(by) if by else writer).json(path)
+    found = told.get
+    kinds = df.agg(*[c.alias(name) for name, c in counters.items()]).schema
+    return df.sparkSession.createDataFrame([tuple(found[name] for name in counters)], kinds)
+
+
+def _only_once(spark: SparkSession, path: str, content: str) -> bool:
+    """Put a file there as a whole unless there is one; whether it was put. Of several writers one succeeds."""
+    if path.startswith("file:") or path.startswith("/"):
+        target = path.removeprefix("file://").removeprefix("file:")
+        os.makedirs(os.path.dirname(target), exist_ok=True)
+        own = f"{target}.{uuid.uuid4().hex}"
+        with open(own, "w") as f:
+            f.write(content)
+        try:
+            os.link(own, target)  # fails if the name is taken, whoever took it
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(own)
+    jvm = spark._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    target, own = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(own, False)
+    out.write(bytearray(content.encode()))
+    out.close()
+    try:  # a rename that doesn't replace: the file system's master decides
+        context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+        context.rename(own, target, spark._gateway.new_array(hadoop.Options.Rename, 0))
+        return True
+    except Py4JJavaError:
+        if not fs.exists(target):
+            raise
+        fs.delete(own, False)
+        return False
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the whole versions of a table, ascending; the last is the current one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{path}/_versions")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def next_version(spark: SparkSession, df: DataFrame, path: str) -> int:
+    """Write a new version of a table and make it the current one; its number.
+
+    The rows go to a folder that no other writer has, the manifest names its files, and the version's number is taken last, by a
+    step that only one writer can do; another one takes the next number. So two writers leave two whole versions, a failed one
+    leaves the current version as it was, and readers of older versions find theirs unchanged.
+    """
+    data = f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{data}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{path}/{data}")
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    files = sorted(f.getPath().getName() for f in found if f.getPath().getName().endswith(".parquet"))
+    manifest = json.dumps({"folder": data, "files": files, "schema": df.schema.jsonValue()})
+    n = (versions(spark, path) or [-1])[-1] + 1
+    while not _only_once(spark, f"{path}/_versions/{n}", manifest):
         n += 1
-    df.write.parquet(f"{path}/v{n}")
-    return f"{path}/v{n}"
+    return n
+
+
+def read_version(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """A version of a table, the current one without a number: the files that its manifest names, whatever is written later."""
+    known = versions(spark, path)
+    if not known or number is not None and number not in known:
+        raise ValueError(f"{path} has no version {number if known else ''}".rstrip())
+    manifest = json.loads("\n".join(r.value for r in spark.read.text(f"{path}/_versions/{known[-1] if number is None else number}", wholetext=True).collect()))
+    schema = StructType.fromJson(manifest["schema"])
+    files = [f"{path}/{manifest['folder']}/{f}" for f in manifest["files"]]
+    return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
 
 
 def write_index(vectors: DataFrame, path: str) -> None:

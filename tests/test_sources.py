@@ -65,7 +65,7 @@ def test_sinks(spark, tmp_path):
     sinks.upsert(rows, str(tmp_path / "up"), "g")
     sinks.upsert(spark.createDataFrame([(3, "z", "a")], "id int, text string, g string"), str(tmp_path / "up"), "g")
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "up")).collect()) == [2, 3]
-    assert [sinks.next_version(spark, rows, str(tmp_path / "v"))[-2:] for _ in range(2)] == ["v0", "v1"]
+    assert [sinks.next_version(spark, rows, str(tmp_path / "v")) for _ in range(2)] == [0, 1]
     sinks.write_index(rows, str(tmp_path / "index"))
     assert {r.metric: r.value for r in sinks.statistics(rows.agg(F.count("*").alias("n"))).collect()} == {"n": 2.0}
 
@@ -228,3 +228,84 @@ def test_streams_tell_their_progress(spark, tmp_path):
     finally:
         spark.streams.removeListener(listener)
     assert sum(t["rows"] for t in told) == 7 and told[0]["batch"] == 0
+
+
+def test_counters_of_a_pass(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "if(id % 3 = 0, 'dropped', 'kept') AS decision", "if(id % 10 = 0, null, id) AS text")
+    told = sinks.write_counted(rows, str(tmp_path / "out"), {"n": F.count("*"), "kept": F.count_if(F.col("decision") == "kept"), "errors": F.count_if(F.col("text").isNull())}, "decision")
+    assert told.collect() == [(100, 66, 10)] and spark.read.json(str(tmp_path / "out")).count() == 100
+
+
+def test_two_writers_leave_two_versions(spark, tmp_path):
+    """Writers at once, a failing one, and a reader of an older version."""
+    import threading
+
+    path = str(tmp_path / "table")
+    assert sinks.next_version(spark, spark.range(3), path) == 0
+    first = sinks.read_version(spark, path)
+    got: list[int] = []
+    writers = [threading.Thread(target=lambda n=n: got.append(sinks.next_version(spark, spark.range(n), path))) for n in (5, 6, 7)]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    assert sorted(got) == [1, 2, 3] and sorted(sinks.read_version(spark, path, n).count() for n in got) == [5, 6, 7]
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        sinks.next_version(spark, spark.range(4).selectExpr("1 div (id - id) AS id"), path)
+    assert sinks.versions(spark, path) == [0, 1, 2, 3] and first.count() == 3
+    assert sinks._only_once(spark, f"{path}/_versions/3", "other") is False and sinks.read_version(spark, path, 3).count() > 3
+    with pytest.raises(ValueError, match="no version"):
+        sinks.read_version(spark, path, 9)
+
+
+def test_paged_source(spark, tmp_path):
+    """One task for each range, filters narrow the range, and a stream goes on where it stopped."""
+    from corpusloom.sources import paged
+
+    path = f"file://{tmp_path}/store"
+    rows = spark.range(200).selectExpr("id", "cast(sqrt(id) as int) AS shelf", "concat('text ', id) AS text")
+    paged.stored_pages(rows, "shelf", path)
+    service = paged.FolderService(path)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    paged.register_paged(spark, "shelves", service, "id bigint, shelf int, text string", "shelf", most=40, page_size=7)
+    found = spark.read.format("shelves").load()
+    spans = paged.number_spans(service.count, 0, 14, 40)
+    assert found.rdd.getNumPartitions() == len(spans) > 4 and all(s.count <= 40 for s in spans)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.collect()))
+    some = spark.read.format("shelves").load().where("shelf >= 12 AND shelf < 14 AND text <> 'text 150'")
+    assert some.count() == 13 * 13 - 12 * 12 + 14 * 14 - 13 * 13 - 1 and some.rdd.getNumPartitions() <= 2
+    assert spark.read.format("shelves").load().where("shelf = 99").count() == 0
+    with pytest.raises(ValueError, match="results for"):
+        paged.number_spans(service.count, 0, 14, 5)
+
+    def run():
+        stream = spark.readStream.format("shelves").load()
+        return incremental.run_available(stream, "shelves", checkpoint=str(tmp_path / "check"))
+
+    assert run().count() == 200 and run().count() == 0
+
+
+def test_many_terms_in_one_pass(spark):
+    """The automaton finds what a search for every term finds, in a time that hardly grows with the terms."""
+    import random
+    import time
+
+    from corpusloom.functions import automaton, lexicon
+
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choice("abc dé_1.") for _ in range(60)), "x") for i in range(80)] + [(-1, None, "x"), (-2, "", "x"), (-3, "C++ and R", "x")]
+    lists = {"some": ["ab", "ab", "b c", "é", "Dé"], "text": ["c++", "r", "a_1", "1"], "none": []}
+    df = spark.createDataFrame(rows, "id bigint, text string, some string")
+    found = automaton.lexicon_hits(df, "text", automaton.Automaton(lists, whole=["text"]))
+    assert found.columns == ["id", "text", "some", "none", "some_", "text_"]
+    want = df.select("id", lexicon.any_substring(F.col("text"), lists["some"]).alias("s"), lexicon.any_word(F.col("text"), ["r", "a_1", "1"]).alias("w"))
+    assert {(r.id, bool(r["some_"]), bool(set(r["text_"]) - {"c++"})) for r in found.collect()} == {tuple(r) for r in want.collect()}
+    assert {r.id: r["some_"] for r in found.collect()} == {i: sorted({t.lower() for t in lists["some"] if t.lower() in (text or "").lower()}) for i, text, _ in rows}
+    text = "".join(rng.choice("abcdefgh ") for _ in range(200_000))
+    took = []
+    for n in (500, 50_000):
+        machine = automaton.Automaton({"l": {"".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(n)}})
+        began = time.perf_counter()
+        machine.found(text)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 6 * took[0] + 0.05
