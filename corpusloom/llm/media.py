@@ -6,7 +6,9 @@ the format with numpy and gives back the samples. The hash averages the image to
 cosine transform and keeps the signs of its 8 x 8 lowest frequencies against their median: 64 bits.
 
 Defined results: a null text is an empty text; an empty text is one row of padding; equal texts give equal media and
-equal features; a null id stays null; other columns of the input are not read and may have any names.
+equal features; a null id stays null; rows that repeat are media of their own; an empty table gives an empty result; texts of any
+length become one image, up to the format's 2^31 - 1 bytes of a chunk or row number, far beyond what a row of Spark holds; other
+columns of the input are not read and may have any names.
 """
 
 from __future__ import annotations

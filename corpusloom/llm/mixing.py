@@ -15,7 +15,8 @@
 
 Nothing grows with the input in one task: sources are numbered by ranges, the water level is found by sums over all sources,
 where a source's last epoch stops by sums over runs of its blocks, and a node of the tree holds its sources in groups of
-``GROUP``. Everything that is random is a hash of the seed, so reruns agree, on any number of machines.
+``GROUP``. Everything that is random is a hash of the seed, so reruns agree, on any number of machines (of rows
+that repeat both id and text, another one may take the last words where the table lies in other partitions).
 
 Defined results: null and empty texts have size 0 and are never drawn; a null source is a source of its own, the last
 in order; null ids are drawn like others; repeated rows (equal id and text) are documents of their own that share a block,

@@ -11,8 +11,8 @@ aggregate by node:
 Their weighted sum times a prior is a node's importance, and the text of nodes under ``LOW`` goes; nothing else does. The prior
 (``PRIORS``) comes from what pages mark: menus, footers, sidebars, adverts, forms, scripts and comments by 0.1, so none of
 them stays; words that boilerplate and articles share (notice, banner, widget) by 0.5, so such a box goes if it repeats and
-stays if its text is its page's own; an article or main element by 10, so of it only goes what stands on nearly all pages;
-all else by 1. A prior is needed: menus and adverts with other words on every page have the same entropies as articles.
+stays if its text is its page's own; an article or main element by 3, so of it goes what most pages share (a disclaimer on 8 of 10
+pages); all else by 1. A prior is needed: menus and adverts with other words on every page have the same entropies as articles.
 
 Pages are read twice (for the tree, then for the texts), so that no text is shuffled; only nodes with low importance
 are joined back by host.
@@ -22,7 +22,8 @@ page breaks off in is none; equal pages of a host count once; a host with fewer
 without a host, is judged by marks alone, by which a page's article or main element, where it has text, is all of its main
 text; so is a page of which the tree would leave nothing. A form around an article or main element, or around all text of a
 page, is no form; where class names mark all text of a page, they count for nothing. Digits in classes and ids don't count, so
-numbered ones share a node. Repeated rows give repeated results; null ids stay null; an empty table gives an empty result.
+numbered ones share a node. A node whose importance is just ``LOW`` stays. Pages of any length are read whole, in one pass over their
+markup. Repeated rows give repeated results; null ids stay null; an empty table gives an empty result.
 Only the named columns are read.
 """
 
@@ -78,7 +79,7 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW
 
 #: Marks, and the prior of each.
 UNMARKED, BOILERPLATE, ARTICLE, DOUBTED, FORM = range(5)
-PRIORS = (1.0, 0.1, 10.0, 0.5, 0.1)
+PRIORS = (1.0, 0.1, 3.0, 0.5, 0.1)
 
 
 def _hash(*parts: object) -> int:

@@ -10,7 +10,7 @@ together) wins, of equally long ones that with the longer host, and of equal str
 known, and what it doesn't list is allowed unless the caller says otherwise.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, no rule and the default verdict.
-Repeated rows are judged each by itself. An empty table gives an empty result, no rules give the default everywhere.
+Repeated rows are judged each by itself. Urls of any length are read whole. An empty table gives an empty result, no rules give the default everywhere.
 Only the id and url columns are read, so other columns may have any names.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.llm.batches import BATCH_ROWS, bounded, emit
-from corpusloom.session import scratch_path
+from corpusloom.session import scratch_path, written
 
 #: The index travels to each executor whole, so its size is checked; larger rule sets go by ``judge_urls_by_join``.
 MAX_INDEX_BYTES = 1 << 30
@@ -188,6 +188,7 @@ def judge_urls_by_join(pages: DataFrame, rules: DataFrame, id_col: str = "page_i
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     host = F.translate(F.regexp_extract(rest, r"(?s)^[^/]*", 0), upper, lower)
     base = pages.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"), host.alias("host"), F.regexp_extract(rest, r"(?s)/.*$", 0).alias("path"))
+    base = written(base, "url-rows")  # both sides of the last join must see the same numbers
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     probes = base.where("host <> ''").select("row", "path", F.explode(suffixes).alias("suffix"))
