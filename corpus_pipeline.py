@@ -9,7 +9,8 @@ All but the last return the columns of ``documents``. Defined results: null and
 only, never drawn by the mix, and so don't reach the end; null ids and null sources are kept; rows that repeat id and text are
 one document behind the second stage; of ties for the smallest id any copy stays, as their texts are alike; texts of any
 length are read whole and may be cut by the mix only; columns of any other names, clashing ones too, go along through the
-first three stages; an empty table gives an empty result.
+first three stages; an empty table gives an empty result. The third stage needs the column ``n_chars``, which follows a text that is
+cut.
 """
 
 from __future__ import annotations
