@@ -13,6 +13,7 @@ from corpusloom.operators import neardup as N
 from corpusloom.operators import order as O
 from corpusloom.operators import retrieval as R
 from corpusloom.operators import sampling as S
+from corpusloom.operators import vector_index as VI
 from corpusloom.plans.registry import query, table
 from corpusloom.plans.text_queries import TOKENS_SQL
 from corpusloom.session import scratch_path, written
@@ -268,6 +269,14 @@ def topk_inner_product(spark, sf_dir):
     return R.top_k(v.where("vec_id % 100 = 0"), v, 5).select("query_id", "vec_id", "rank")
 
 
+@query(TOP_SQL.format(score="list_dot_product(q.e, v.e)"))
+def topk_stored_index(spark, sf_dir):
+    """The same through a stored index of blocks, of which a search reads those that can matter."""
+    vectors, path = table(spark, sf_dir, "embeddings"), scratch_path(spark, "vector-index")
+    VI.write_index(vectors, path)
+    return VI.search_index(vectors.where("vec_id % 100 = 0"), spark, path, 5).select("query_id", "vec_id", "rank")
+
+
 @query(TOP_SQL.format(score="list_cosine_similarity(q.e, v.e)"))
 def topk_cosine(spark, sf_dir):
     """The five vectors of the smallest angle for every hundredth."""

@@ -434,3 +434,50 @@ def test_order_by_strings_needs_no_window_over_all(spark, tmp_path):
     empty = spark.createDataFrame([], "k string, v int")
     assert order.running_sum(empty, F.col("v"), "k").count() == 0 and order.every_nth(empty, 2, "k").count() == 0
     assert order.budget_cut(spark.createDataFrame([("b", 5), ("a", 5), (None, 5)], "k string, v int"), F.col("v"), 6, "k").orderBy("k").collect() == [(None, 5), ("a", 5)]
+
+
+@pytest.mark.parametrize("cosine", [False, True])
+def test_stored_index_is_exact_and_skips_blocks(spark, tmp_path, monkeypatch, cosine):
+    """Clustered vectors: the same as the search over all rows, most blocks unseen; ties, copies, and vectors that take no part."""
+    from corpusloom.operators import vector_index
+
+    monkeypatch.setattr(vector_index, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(vector_index, "CHUNK_QUERIES", 7)
+    monkeypatch.setattr(vector_index, "MEANS", 40)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(25, 6)) * 30
+    rows = [(int(i), [float(x) for x in centres[i % 25] + rng.normal(size=6)]) for i in range(500)]
+    rows += [(1000 + i, rows[0][1]) for i in range(60)] + [(2000, None), (2020, [1.0, None]), (2040, [float("nan")] * 6), (None, [1.0] * 6), (2060, [1.0, 2.0]), (2080, [0.0] * 6)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    vector_index.write_index(table, str(tmp_path / "index"), cosine=cosine)
+    told: dict = {}
+    queries = table.where("vec_id % 20 = 0")
+    found = vector_index.search_index(queries, spark, str(tmp_path / "index"), 5, cosine=cosine, told=told)
+    key = lambda d: sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in d.collect())
+    assert key(found) == key(retrieval.top_k(queries, table, 5, cosine=cosine))
+    assert spark.read.parquet(str(tmp_path / "index")).agg(F.max("members")).first()[0] < 40 and 0 < told["scored"] < 0.4 * told["pairs"]
+    empty = table.limit(0)
+    vector_index.write_index(empty, str(tmp_path / "none"))
+    assert vector_index.search_index(queries, spark, str(tmp_path / "none"), 5).count() == 0 and vector_index.search_index(empty, spark, str(tmp_path / "index"), 5).count() == 0
+
+
+def test_general_mix_in_one_order(spark, tmp_path):
+    """A failing source is told, both sinks hold the same rows in the drawn order, and reruns give the same order."""
+    from corpusloom.plans import pipelines
+
+    chat = lambda k: [{"role": "user", "content": f"Please tell me about number {k}, at length."}, {"role": "assistant", "content": f"Number {k} is a number, and there is more to say about it than fits."}]
+    chats = spark.createDataFrame([(i, chat(i)) for i in range(60)], "id bigint, messages array<struct<role: string, content: string>>")
+
+    def broken():
+        return chats.withColumn("messages", F.raise_error(F.lit("gone")).cast("array<struct<role: string, content: string>>"))
+
+    orders = []
+    for run in ("a", "b"):
+        told = pipelines.general_mix({"x": (lambda: chats.where("id < 30"), 10), "broken": (broken, 5), "y": (lambda: chats.where("id >= 30"), 50)}, "id", 3, str(tmp_path / run))
+        assert {(r.source, r.quota, r.n, r.error is None) for r in told.collect()} == {("x", 10, 10, True), ("broken", 5, 0, False), ("y", 50, 30, True)}
+        full = spark.read.json(str(tmp_path / run / "full"))
+        assert sorted(r.place for r in full.collect()) == list(range(1, 41)) and spark.read.json(str(tmp_path / run / "train")).columns == ["input", "instruction", "output"]
+        orders.append([r.id for r in full.orderBy("place").collect()])
+    assert orders[0] == orders[1] != sorted(orders[0])
+    with pytest.raises(ValueError, match="no source"):
+        pipelines.general_mix({"broken": (broken, 5)}, "id", 3, str(tmp_path / "c"))
