@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
-from itertools import dropwhile
 
 import numpy as np
 import pandas as pd
@@ -23,99 +21,113 @@ HEAD_LINES = ("Title", "Authors", "Year", "Venue", "Keywords")
 FIELDS = {"abstract": ("Abstract:", ("Full Text:", "Keywords:")), "body": ("Full Text:", ())}
 
 
-def tokens(text: str) -> int:
+#: White space of any script as a class of Java's patterns that begin with ``(?U)``.
+_SPACE = r"[\s\x1c-\x1f]"
+
+
+def _let(value: Column, body) -> Column:
+    """A value bound to a name, so that it is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def tokens(text: Column) -> Column:
     """Words times 1.3, rounded down."""
-    return int(len(text.split()) * 1.3)
+    return F.floor(F.size(F.filter(F.split(text, f"(?U){_SPACE}+", -1), lambda w: w != "")) * F.lit(1.3)).cast("int")
 
 
-def _field(text: str, start: str, ends: tuple[str, ...]) -> str:
+def _stripped(text: Column, behind: bool = True) -> Column:
+    out = F.regexp_replace(text, rf"(?U)\A{_SPACE}++", "")
+    return F.regexp_replace(out, rf"(?U)(?<!{_SPACE}){_SPACE}++\z", "") if behind else out
+
+
+def _field(text: Column, start: str, ends: tuple[str, ...]) -> Column:
     """What follows a field's name and the white space behind it, up to a later line that begins with one of the ends; empty if
     the text has no such field. (An empty field so has the next one's name in it.)"""
-    _, name, rest = text.partition(start)
-    if not name:
-        return ""
-    rest = rest.lstrip()
-    stops = [at for at in (rest.find(f"\n{end}") for end in ends) if at >= 0]
-    return rest[: min(stops)].strip() if stops else rest.strip()
+    at = F.instr(text, start)
+    rest = _stripped(F.substr(text, at + len(start)), behind=False)
+
+    def cut(rest: Column) -> Column:
+        stops = [F.nullif(F.instr(rest, f"\n{end}"), F.lit(0)) for end in ends]
+        return _stripped(F.left(rest, F.coalesce(F.least(*stops, F.char_length(rest) + 1), F.char_length(rest) + 1) - 1) if stops else rest)
 
+    return F.when(at > 0, _let(rest, cut)).otherwise("")
 
-def parts(text: str, compat: bool = True) -> tuple[str, str, str]:
-    """Title, abstract and body. A text without a title line is all body. ``compat`` gives a text with an abstract but no
+
+def parts(text: Column, compat: bool = True) -> Column:
+    """Title, abstract and body as a struct. A text without a title line is all body. ``compat`` gives a text with an abstract but no
     ``Full Text:`` no body; else its body is what follows the abstract's first paragraph."""
-    if not text.startswith("Title:"):
-        return "", "", text.strip()
-    title = text.removeprefix("Title:").lstrip().split("\n", 1)[0].strip()
-    found = {name: _field(text, *limits) for name, limits in FIELDS.items()}
-    if found["body"] or found["abstract"] and compat:
-        return title, found["abstract"], found["body"]
-    if found["abstract"]:
-        head, _, rest = found["abstract"].partition("\n\n")
-        return title, head, rest.strip()
-    heads = tuple(f"{name}:" for name in HEAD_LINES)
-    return title, "", "\n".join(dropwhile(lambda line: line.startswith(heads), text.split("\n"))).strip()
-
-
-class _Pack:
-    """Collects pieces up to the chunk's size; what it hands out, it keeps the tail of."""
-
-    def __init__(self, glue: str):
-        self.glue, self.held, self.size = glue, [], 0
-
-    def full(self, more: int) -> bool:
-        return bool(self.held) and self.size + more > CHUNK
-
-    def take(self) -> str:
-        text, tail, size = self.glue.join(self.held), [], 0
-        for piece in reversed(self.held):
-            if size + tokens(piece) > OVERLAP:
-                break
-            tail.append(piece)
-            size += tokens(piece)
-        self.held, self.size = tail[::-1], size
-        return text
-
-    def add(self, piece: str) -> None:
-        self.held.append(piece)
-        self.size += tokens(piece)
-
-
-def chunks(text: str, compat: bool = True) -> Iterator[tuple[str, str]]:
-    """Kind and text of every chunk: the abstract, then packed paragraphs; long paragraphs are packed by sentences, and
-    their rest goes on as the only paragraph held."""
-    title, abstract, body = parts(text, compat)
-    prefix = f"Title: {title}\n" if title else ""
-    if tokens(abstract) > ABSTRACT:
-        yield "abstract", f"{prefix}Abstract: {abstract}"
-    pack = _Pack("\n\n")
-    for paragraph in filter(None, (p.strip() for p in re.split(r"\n\s*\n", body))):
-        if tokens(paragraph) <= CHUNK:
-            if pack.full(tokens(paragraph)):
-                yield "fulltext", prefix + pack.take()
-            pack.add(paragraph)
-            continue
-        if pack.held:
-            yield "fulltext", prefix + pack.take()
-        inner = _Pack(" ")
-        for sentence in re.split(r"(?<=[.!?])\s+", paragraph):
-            if inner.full(tokens(sentence)):
-                yield "fulltext", prefix + inner.take()
-            inner.add(sentence)
-        if inner.held:
-            pack.held, pack.size = [" ".join(inner.held)], inner.size
-    if pack.held:
-        yield "fulltext", prefix + pack.glue.join(pack.held)
+    named_ = lambda title, abstract, body: F.struct(title.alias("title"), abstract.alias("abstract"), body.alias("body"))
+    title = _stripped(F.split(_stripped(F.substr(text, F.lit(len("Title:") + 1)), behind=False), "\n", -1)[0])
+    heads = rf"\A(?:(?:{'|'.join(HEAD_LINES)}):[^\n]*+(?:\n|\z))+"
 
+    def chosen(x: Column) -> Column:
+        gap = F.instr(x["abstract"], "\n\n")
+        second = named_(x["title"], F.left(x["abstract"], gap - 1), _stripped(F.substr(x["abstract"], gap + 2)))
+        lone = x if compat else F.when(gap > 0, second).otherwise(named_(x["title"], x["abstract"], F.lit("")))
+        rest = named_(x["title"], F.lit(""), _stripped(F.regexp_replace(text, heads, "")))
+        return F.when(x["body"] != "", x).when(x["abstract"] != "", lone).otherwise(rest)
 
-def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", compat: bool = True) -> DataFrame:
-    """``id``, ``chunk_no`` from 0, ``chunk_type`` and ``text`` of every chunk of every document."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    found = named_(title, *[_field(text, *limits) for limits in FIELDS.values()])
+    return F.when(F.startswith(text, F.lit("Title:")), _let(found, chosen)).otherwise(named_(F.lit(""), F.lit(""), _stripped(text)))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(i, n, k, t) for i, text in zip(frame.iloc[:, 0], frame.iloc[:, 1], strict=True) for n, (k, t) in enumerate(chunks(text or "", compat))]
-            yield pd.DataFrame(rows, columns=["id", "chunk_no", "chunk_type", "text"])
 
-    return spread(docs.select(id_col, text_col)).mapInPandas(run, f"id {kind}, chunk_no int, chunk_type string, text string")
+def _pack(held: Column, sizes: Column, size: Column, out: Column) -> Column:
+    """What a fold carries: the pieces of the open chunk, their tokens, how many it counts, and the chunks so far."""
+    return F.struct(held.alias("held"), sizes.alias("sizes"), size.alias("size"), out.alias("out"))
+
+
+def _added(pack: Column, text: Column, size: Column) -> Column:
+    return _pack(F.array_append(pack["held"], text), F.array_append(pack["sizes"], size), pack["size"] + size, pack["out"])
+
+
+def _taken(pack: Column, glue: str) -> Column:
+    """The open chunk put to the others; of its last pieces those of ``OVERLAP`` tokens stay for the next one."""
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("size"), F.lit(True).alias("on"))
+    more = lambda t, x: F.when(t["on"] & (t["size"] + x <= OVERLAP), F.struct((t["n"] + 1).alias("n"), (t["size"] + x).alias("size"), F.lit(True).alias("on"))).otherwise(F.struct(t["n"].alias("n"), t["size"].alias("size"), F.lit(False).alias("on")))
+    tail = F.aggregate(F.reverse(pack["sizes"]), start, more)
+    last = lambda array, t: F.slice(array, F.size(array) - t["n"] + 1, t["n"])
+    return _let(tail, lambda t: _pack(last(pack["held"], t), last(pack["sizes"], t), t["size"], F.array_append(pack["out"], F.array_join(pack["held"], glue))))
+
+
+def _folded(pack: Column, piece: Column, glue: str) -> Column:
+    """One more piece; a chunk that it would fill over is taken first."""
+    full = (F.size(pack["held"]) > 0) & (pack["size"] + piece["size"] > CHUNK)
+    return _let(F.when(full, _taken(pack, glue)).otherwise(pack), lambda p: _added(p, piece["text"], piece["size"]))
+
+
+def chunks(text: Column, compat: bool = True) -> Column:
+    """Array of (``type``, ``text``): the abstract, then packed paragraphs; long paragraphs are packed by sentences, and their rest goes
+    on as the only paragraph held. A fold over arrays in Spark's own functions."""
+    none = F.array().cast("array<string>")
+    sized = lambda s: F.struct(s.alias("text"), tokens(s).alias("size"))
+
+    def paragraph(pack: Column, p: Column) -> Column:
+        closed = F.when(F.size(pack["held"]) > 0, _taken(pack, "\n\n")).otherwise(pack)
+
+        def by_sentence(before: Column) -> Column:
+            sentences = F.transform(F.split(p["text"], rf"(?U)(?<=[.!?]){_SPACE}+", -1), sized)
+            inner = F.aggregate(sentences, _pack(none, F.array().cast("array<int>"), F.lit(0), before["out"]), lambda a, s: _folded(a, s, " "))
+            rest = lambda i: _let(F.array_join(i["held"], " "), lambda t: _pack(F.array(t), F.array(tokens(t)), i["size"], i["out"]))
+            return _let(inner, rest)
+
+        return F.when(p["size"] <= CHUNK, _folded(pack, p, "\n\n")).otherwise(_let(closed, by_sentence))
+
+    def told(x: Column) -> Column:
+        pieces = F.transform(F.filter(F.transform(F.split(x["body"], rf"(?U)\n{_SPACE}*\n", -1), lambda p: _stripped(p)), lambda p: p != ""), sized)
+        packed = F.aggregate(pieces, _pack(none, F.array().cast("array<int>"), F.lit(0), none), paragraph)
+        whole = _let(packed, lambda p: F.when(F.size(p["held"]) > 0, F.array_append(p["out"], F.array_join(p["held"], "\n\n"))).otherwise(p["out"]))
+        prefix = F.when(x["title"] != "", F.concat(F.lit("Title: "), x["title"], F.lit("\n"))).otherwise("")
+        kind = lambda name, t: F.struct(F.lit(name).alias("type"), F.concat(prefix, t).alias("text"))
+        abstract = F.when(tokens(x["abstract"]) > ABSTRACT, F.array(kind("abstract", F.concat(F.lit("Abstract: "), x["abstract"])))).otherwise(F.array().cast("array<struct<type:string,text:string>>"))
+        return F.concat(abstract, F.transform(whole, lambda t: kind("fulltext", t)))
+
+    return _let(parts(text, compat), told)
+
+
+def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", compat: bool = True) -> DataFrame:
+    """``id``, ``chunk_no`` from 0, ``chunk_type`` and ``text`` of every chunk of every document."""
+    plain = spread(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")))
+    return plain.select("id", F.posexplode(chunks(F.col("text"), compat)).alias("chunk_no", "c")).select("id", "chunk_no", F.col("c.type").alias("chunk_type"), F.col("c.text").alias("text"))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -157,7 +169,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "vec_
     the best k, which are ranked again for every query.
     """
     wanted, rows = _usable(queries, id_col, vector_col), _usable(candidates, id_col, vector_col)
-    dims = wanted.union(rows).agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
+    asked = wanted.select(F.size("v").alias("dims"), F.lit(1).alias("n")).union(rows.select(F.size("v"), F.lit(0)))
+    dims, n = asked.agg(F.coalesce(F.max("dims"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -170,10 +183,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "vec_
                 number += 1
 
     kinds = "block bigint, ids binary, data binary"
-    blocks, others = written(wanted.mapInPandas(pack, kinds), "topk-queries"), rows.mapInPandas(pack, kinds)
-    size = (F.octet_length("ids") + F.octet_length("data")).cast("bigint")
+    blocks, others = wanted.mapInPandas(pack, kinds), rows.mapInPandas(pack, kinds)
     passes = [blocks]
-    if (blocks.agg(F.sum(size)).first()[0] or 0) > PASS_BYTES:
+    if n * 8 * (dims + 1) > PASS_BYTES:  # bytes of all queries' blocks
+        blocks, size = written(blocks, "topk-queries"), (F.octet_length("ids") + F.octet_length("data")).cast("bigint")
         number = F.floor((F.col("upto") - 1) / PASS_BYTES).alias("pass")
         placed = running_sum(blocks.select("block", size.alias("size")), F.col("size"), "block", out="upto").select("block", number)
         numbered, others = written(blocks.join(placed, "block"), "topk-passes"), written(others, "topk-candidates")

@@ -1,6 +1,8 @@
 """Relational operators, samples, near duplicates, chunks and replay."""
 
 import random
+import re
+from itertools import dropwhile
 
 import numpy as np
 import pytest
@@ -268,21 +270,117 @@ def test_exact_members_tell_all_documents(spark):
     assert found == {1: (1, 1, 2), 2: (2, 1, 2), 3: (2, 1, 2), 4: (4, 4, 1), 5: (4, 4, 1), 6: (6, 6, 1), 7: (6, 6, 1), 8: (8, 8, 0)}
 
 
-def test_chunks():
+# the chunks of a text by a plain loop
+
+
+def plain_tokens(text: str) -> int:
+    """Words times 1.3, rounded down."""
+    return int(len(text.split()) * 1.3)
+
+
+def plain_field(text: str, start: str, ends: tuple[str, ...]) -> str:
+    """What follows a field's name and the white space behind it, up to a later line that begins with one of the ends; empty if
+    the text has no such field. (An empty field so has the next one's name in it.)"""
+    _, name, rest = text.partition(start)
+    if not name:
+        return ""
+    rest = rest.lstrip()
+    stops = [at for at in (rest.find(f"\n{end}") for end in ends) if at >= 0]
+    return rest[: min(stops)].strip() if stops else rest.strip()
+
+
+def plain_parts(text: str, compat: bool = True) -> tuple[str, str, str]:
+    """Title, abstract and body. A text without a title line is all body. ``compat`` gives a text with an abstract but no
+    ``Full Text:`` no body; else its body is what follows the abstract's first paragraph."""
+    if not text.startswith("Title:"):
+        return "", "", text.strip()
+    title = text.removeprefix("Title:").lstrip().split("\n", 1)[0].strip()
+    found = {name: plain_field(text, *limits) for name, limits in retrieval.FIELDS.items()}
+    if found["body"] or found["abstract"] and compat:
+        return title, found["abstract"], found["body"]
+    if found["abstract"]:
+        head, _, rest = found["abstract"].partition("\n\n")
+        return title, head, rest.strip()
+    heads = tuple(f"{name}:" for name in retrieval.HEAD_LINES)
+    return title, "", "\n".join(dropwhile(lambda line: line.startswith(heads), text.split("\n"))).strip()
+
+
+class PlainPack:
+    """Collects pieces up to the chunk's size; what it hands out, it keeps the tail of."""
+
+    def __init__(self, glue: str):
+        self.glue, self.held, self.size = glue, [], 0
+
+    def full(self, more: int) -> bool:
+        return bool(self.held) and self.size + more > retrieval.CHUNK
+
+    def take(self) -> str:
+        text, tail, size = self.glue.join(self.held), [], 0
+        for piece in reversed(self.held):
+            if size + plain_tokens(piece) > retrieval.OVERLAP:
+                break
+            tail.append(piece)
+            size += plain_tokens(piece)
+        self.held, self.size = tail[::-1], size
+        return text
+
+    def add(self, piece: str) -> None:
+        self.held.append(piece)
+        self.size += plain_tokens(piece)
+
+
+def plain_chunks(text: str, compat: bool = True) :
+    """Kind and text of every chunk: the abstract, then packed paragraphs; long paragraphs are packed by sentences, and
+    their rest goes on as the only paragraph held."""
+    title, abstract, body = plain_parts(text, compat)
+    prefix = f"Title: {title}\n" if title else ""
+    if plain_tokens(abstract) > retrieval.ABSTRACT:
+        yield "abstract", f"{prefix}Abstract: {abstract}"
+    pack = PlainPack("\n\n")
+    for paragraph in filter(None, (p.strip() for p in re.split(r"\n\s*\n", body))):
+        if plain_tokens(paragraph) <= retrieval.CHUNK:
+            if pack.full(plain_tokens(paragraph)):
+                yield "fulltext", prefix + pack.take()
+            pack.add(paragraph)
+            continue
+        if pack.held:
+            yield "fulltext", prefix + pack.take()
+        inner = PlainPack(" ")
+        for sentence in re.split(r"(?<=[.!?])\s+", paragraph):
+            if inner.full(plain_tokens(sentence)):
+                yield "fulltext", prefix + inner.take()
+            inner.add(sentence)
+        if inner.held:
+            pack.held, pack.size = [" ".join(inner.held)], inner.size
+    if pack.held:
+        yield "fulltext", prefix + pack.glue.join(pack.held)
+
+
+def chunk_texts(spark, texts, compat=True):
+    """Kinds and texts of each text's chunks."""
+    found = retrieval.chunk_documents(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string"), "id", compat=compat).collect()
+    out = [[] for _ in texts]
+    for r in sorted(found, key=lambda r: (r.id, r.chunk_no)):
+        assert r.chunk_no == len(out[r.id])
+        out[r.id].append((r.chunk_type, r.text))
+    return out
+
+
+@pytest.mark.parametrize("compat", [True, False])
+def test_chunks(spark, compat, monkeypatch):
     words = lambda n, end="": " ".join(["w"] * n) + end
-    assert list(retrieval.chunks("")) == [] and list(retrieval.chunks("short")) == [("fulltext", "short")]
-    three = "\n\n".join([words(230)] * 3)  # 299 tokens each
-    assert [t.count("w") for _, t in retrieval.chunks(three)] == [230, 230, 230]
-    small = "\n\n".join([words(90)] * 6)  # 117 tokens each: four make a chunk, one is kept
-    assert [t.count("w") for _, t in retrieval.chunks(small)] == [360, 270]
-    long = " ".join([words(50, ".")] * 10)  # sentences of 65 tokens
-    assert [t.count("w") for _, t in retrieval.chunks(long)] == [350, 200]
-    for n, chunk in ((23, 0), (24, 1)):
-        text = f"Title: T\nAbstract:\n{words(n)}\nFull Text:\nbody"
-        assert [k for k, _ in retrieval.chunks(text)].count("abstract") == chunk
-    assert next(retrieval.chunks("Title: T\nAuthors: A\nbody")) == ("fulltext", "Title: T\nbody")
-    jats = f"Title: T\nAbstract: {words(30)}\n\nMethods\nmore"
-    assert len(list(retrieval.chunks(jats))) == 1 and len(list(retrieval.chunks(jats, compat=False))) == 2
+    three, small, long = "\n\n".join([words(230)] * 3), "\n\n".join([words(90)] * 6), " ".join([words(50, ".")] * 10)
+    texts = ["", None, " \n ", "short", three, small, long, "Title: T\nAuthors: A\nbody", f"Title: T\nAbstract: {words(30)}\n\nMethods\nmore", "Title:\nAbstract: \n\nFull Text: x", "Title: only", "Title: T\nKeywords: k\nYear: 1"]
+    texts += [f"Title: T\nAbstract:\n{words(n)}\nFull Text:\nbody" for n in (23, 24)]
+    rng = random.Random(9)
+    for _ in range(60):
+        paragraphs = ["".join(rng.choice(["w ", "word ", "a. ", "b! ", "é\xa0", "x?\n", "\x1f", "日本 "]) for _ in range(rng.choice([3, 60, 200, 700]))) for _ in range(rng.randint(1, 8))]
+        body = rng.choice(["\n\n", "\n \t\n", "\n"]).join(paragraphs)
+        texts.append(rng.choice(["", "Title: A title \nAuthors: x\n", "Title:x\nAbstract: An abstract. " + words(rng.choice([5, 40])) + "\n\n"]) + rng.choice(["", "Full Text: ", "Keywords: a\nFull Text:\n"]) + body)
+    got = chunk_texts(spark, texts, compat)
+    assert got == [list(plain_chunks(t or "", compat)) for t in texts]
+    if compat:
+        assert [[t.count("w") for _, t in got[i]] for i in (4, 5, 6)] == [[230, 230, 230], [360, 270], [350, 200]]
 
 
 def test_top_k(spark):
