@@ -64,6 +64,18 @@ def append_new(main: DataFrame, more: DataFrame, key: str, order: str) -> DataFr
     return main.withColumn("branch", F.lit(0)).unionByName(fresh.withColumn("branch", F.lit(1)))
 
 
+def _by_blocks(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Both sides joined by ``cell``; of cells with more than a block on a side, every block of the one meets every block of the other."""
+    blocks = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias(name))
+    dealt = written(blocks(left, "lefts").join(blocks(right, "rights"), "cell").where("lefts > 1 OR rights > 1"), "grid-crowded")
+
+    def spread_out(df: DataFrame, own: str, other: str, seed: int) -> DataFrame:
+        told = df.join(small(dealt), "cell", "left").withColumn(own, F.pmod(F.xxhash64(F.struct(*[c for c in df.columns if c != "cell"]), F.lit(seed)), F.coalesce(own, F.lit(1))).cast("int"))
+        return told.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
+
+    return spread_out(left, "lefts", "rights", 1).join(spread_out(right, "rights", "lefts", 2), ["cell", "lefts", "rights"])
+
+
 def nearest_known(points: DataFrame, known: DataFrame, columns: list[str], tolerance: float, key: str, known_order: str) -> DataFrame:
     """Every point with the first known point, in order, that differs by less than the tolerance in every column (its
     columns get the prefix ``known_``), or nulls. Points with equal keys get the first of what any of them meets.
@@ -84,15 +96,10 @@ def nearest_known(points: DataFrame, known: DataFrame, columns: list[str], toler
         reach = F.array_distinct(F.array(F.floor((F.col(f"y{i}") - tolerance) / width), F.floor((F.col(f"y{i}") + tolerance) / width)))
         left = left.withColumn(f"c{i}", F.explode(reach))
     left = left.select("key", *[f"y{i}" for i in range(len(columns))], F.array(*[f"c{i}" for i in range(len(columns))]).alias("cell"))
-    blocks = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias(name))
-    dealt = blocks(left, "lefts").join(blocks(right, "rights"), "cell").where("lefts > 1 OR rights > 1")
-    dealt = written(dealt, "grid-crowded")
-
-    def spread_out(df: DataFrame, own: str, other: str, seed: int) -> DataFrame:
-        told = df.join(small(dealt), "cell", "left").withColumn(own, F.pmod(F.xxhash64(F.struct(*[c for c in df.columns if c != "cell"]), F.lit(seed)), F.coalesce(own, F.lit(1))).cast("int"))
-        return told.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
-
-    near = spread_out(left, "lefts", "rights", 1).join(spread_out(right, "rights", "lefts", 2), ["cell", "lefts", "rights"])
+    if known.limit(CELL_ROWS + 1).count() <= CELL_ROWS:  # no cell has more than a block of them; many points of a cell are split as skew
+        near = left.join(right, "cell")
+    else:
+        near = _by_blocks(left, right)
     for i in range(len(columns)):
         near = near.where(F.abs(F.col(f"y{i}") - F.col(f"x{i}")) < tolerance)
     best = near.groupBy("key").agg(F.min("known").alias("known"))
