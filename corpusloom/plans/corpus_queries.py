@@ -103,9 +103,19 @@ def minhash_document_clusters(spark, sf_dir):
     return N.document_clusters(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) ELSE ws END)) AS g FROM w),
+c AS (SELECT min(doc_id) AS id, g, len(g) AS n FROM g GROUP BY g),
+e AS (SELECT id, n, unnest(g) AS s FROM c),
+p AS (SELECT a.id AS i, b.id AS j FROM e a JOIN e b ON a.s = b.s AND a.id < b.id GROUP BY a.id, b.id, a.n, b.n HAVING count(*) / (a.n + b.n - count(*)) >= 0.8),
+b AS (SELECT i, j FROM p UNION ALL SELECT j, i FROM p),
+r AS (SELECT id AS node, id AS root FROM c UNION SELECT b.j, r.root FROM r JOIN b ON b.i = r.node),
+m AS (SELECT node, min(root) AS root FROM r GROUP BY node)
+SELECT g.doc_id AS id, m.root AS cluster FROM g JOIN c ON g.g = c.g JOIN m ON m.node = c.id
+""")
 def minhash_verified_clusters(spark, sf_dir):
-    """Clusters of documents that share a band of thirty-two and whose signatures agree."""
+    """Clusters of documents that share a band of thirty-two and whose shingles are as alike as 0.8."""
     return N.document_clusters(table(spark, sf_dir, "documents"), n_bands=32, rows=4, verify=0.8)
 
 
