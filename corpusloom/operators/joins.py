@@ -6,20 +6,34 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.columns import all_columns, free
 from corpusloom.operators.order import keep_first
 from corpusloom.session import written
 
-#: Rows and bytes (of its rows as JSON) up to which a table is broadcast; both are counted first.
+#: Rows and bytes up to which a table is broadcast; both are counted first.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 #: Points of a grid cell's block.
 CELL_ROWS = 4096
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: texts by their length, nested values by that of their JSON, all others 8."""
+
+    def size(column: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0))
+        if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        return F.lit(8)
+
+    return reduce(lambda a, b: a + b, (size(c, f.dataType) for c, f in zip(all_columns(df), df.schema, strict=True)), F.lit(8))
+
+
 def small(df: DataFrame) -> DataFrame:
     """``df`` with a broadcast hint if it has few rows and bytes, else as it is: Spark then shuffles and splits hot keys."""
-    some = df.limit(BROADCAST_ROWS + 1).select(F.octet_length(F.to_json(F.struct(*all_columns(df)))).alias("size"))
+    some = df.limit(BROADCAST_ROWS + 1).select(row_bytes(df).cast("bigint").alias("size"))
     rows, size = some.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 

@@ -579,3 +579,11 @@ def test_general_mix_in_one_order(spark, tmp_path):
     assert orders[0] == orders[1] != sorted(orders[0])
     with pytest.raises(ValueError, match="no source"):
         pipelines.general_mix({"broken": (broken, 5)}, "id", 3, str(tmp_path / "c"))
+
+
+def test_weights_of_rows(spark):
+    rows = spark.createDataFrame([(1, "äb", [1, 2], None, b"xyz"), (None, None, None, None, None)], "`a.b` int, s string, l array<int>, m map<string,int>, b binary")
+    sizes = [r[0] for r in rows.select(joins.row_bytes(rows)).collect()]
+    assert sizes[0] > sizes[1] >= 16 and sizes[0] >= 8 + 8 + 3 + 5 + 3
+    hint = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString().lower()
+    assert hint(joins.small(rows)) and not hint(joins.small(spark.range(10).selectExpr("repeat('x', 10000000) AS s")))
