@@ -258,7 +258,32 @@ def question_prompt(spark, sf_dir):
 # --- retrieval
 
 
-@query()
+#: The pieces of every text in order (P paragraphs, S sentences of long ones between F and E, Z the end), taken one by one.
+CHUNKS_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id AS id, string_split_regex(replace(coalesce(text, ''), chr(10), chr(10) || chr(10)), '\n\s*\n') AS ps FROM documents),
+p AS (SELECT id, n, trim(p, ' ' || chr(9) || chr(10) || chr(13)) AS p FROM (SELECT id, unnest(range(1, len(ps) + 1)) AS n, unnest(ps) AS p FROM d)),
+t AS (SELECT *, CAST(floor(len(string_split_regex(p, '\s+')) * CAST(1.3 AS DOUBLE)) AS INTEGER) AS tok FROM p WHERE p <> ''),
+l AS (SELECT id, n, string_split(regexp_replace(p, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS ss FROM t WHERE tok > 512),
+o AS (SELECT id, n, 0 AS m, 'P' AS kind, p AS text, tok FROM t WHERE tok <= 512
+      UNION ALL SELECT id, n, 0, 'F', '', 0 FROM l UNION ALL SELECT id, n, 1000000000, 'E', '', 0 FROM l
+      UNION ALL SELECT id, n, m, 'S', s, CAST(floor(len(string_split_regex(s, '\s+')) * CAST(1.3 AS DOUBLE)) AS INTEGER) FROM (SELECT id, n, unnest(range(1, len(ss) + 1)) AS m, unnest(ss) AS s FROM l)
+      UNION ALL SELECT DISTINCT id, 1000000000, 0, 'Z', '', 0 FROM t),
+q AS (SELECT id, kind, text, tok, row_number() OVER (PARTITION BY id ORDER BY n, m) AS i FROM o),
+r AS (SELECT DISTINCT id, CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS held, CAST([] AS INTEGER[]) AS sizes, 0 AS size, CAST(NULL AS VARCHAR) AS chunk FROM q
+      UNION ALL
+      SELECT id, i,
+             CASE WHEN kind = 'E' THEN [array_to_string(held, ' ')] WHEN kind IN ('F', 'Z') THEN CAST([] AS VARCHAR[]) WHEN taken THEN list_append(held[len(held) - tail + 1:], text) ELSE list_append(held, text) END,
+             CASE WHEN kind = 'E' THEN [CAST(floor(len(string_split_regex(array_to_string(held, ' '), '\s+')) * CAST(1.3 AS DOUBLE)) AS INTEGER)] WHEN kind IN ('F', 'Z') THEN CAST([] AS INTEGER[]) WHEN taken THEN list_append(sizes[len(sizes) - tail + 1:], tok) ELSE list_append(sizes, tok) END,
+             CAST(CASE WHEN kind = 'E' THEN size WHEN kind IN ('F', 'Z') THEN 0 WHEN taken THEN coalesce(list_sum(sizes[len(sizes) - tail + 1:]), 0) + tok ELSE size + tok END AS INTEGER),
+             CASE WHEN taken AND kind = 'S' THEN array_to_string(held, ' ') WHEN taken THEN array_to_string(held, E'\n\n') END
+      FROM (SELECT q.*, r.held, r.sizes, r.size, len(r.held) > 0 AND (q.kind IN ('F', 'Z') OR q.kind IN ('P', 'S') AND r.size + q.tok > 512) AS taken,
+                   len(list_filter(range(1, len(r.sizes) + 1), lambda j: list_sum(r.sizes[len(r.sizes) - j + 1:]) <= 128)) AS tail
+            FROM r JOIN q ON q.id = r.id AND q.i = r.i + 1))
+SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY i) - 1 AS INTEGER) AS chunk_no, 'fulltext' AS chunk_type, md5(chunk) AS digest FROM r WHERE chunk IS NOT NULL
+"""
+
+
+@query(CHUNKS_SQL)
 def chunk_documents(spark, sf_dir):
     """Chunks of every document, its lines taken for paragraphs."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))

@@ -80,8 +80,11 @@ def write_counted(df: DataFrame, path: str, counters: dict[str, Column], by: str
 
 def _only_once(spark: SparkSession, path: str, content: str) -> bool:
     """Put a file there as a whole unless there is one; whether it was put. Of several writers one succeeds."""
-    if path.startswith("file:") or path.startswith("/"):
-        target = path.removeprefix("file://").removeprefix("file:")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getScheme() == "file":
+        target = at.toUri().getPath()
         os.makedirs(os.path.dirname(target), exist_ok=True)
         own = f"{target}.{uuid.uuid4().hex}"
         with open(own, "w") as f:
@@ -93,21 +96,18 @@ def _only_once(spark: SparkSession, path: str, content: str) -> bool:
             return False
         finally:
             os.unlink(own)
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs
-    target, own = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = fs.create(own, False)
+    temporary = hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(temporary, False)
     out.write(bytearray(content.encode()))
     out.close()
     try:  # a rename that doesn't replace: the file system's master decides
-        context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
-        context.rename(own, target, spark._gateway.new_array(hadoop.Options.Rename, 0))
+        context = hadoop.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration())
+        context.rename(temporary, at, spark._gateway.new_array(hadoop.Options.Rename, 0))
         return True
     except Py4JJavaError:
-        if not fs.exists(target):
+        if not fs.exists(at):
             raise
-        fs.delete(own, False)
+        fs.delete(temporary, False)
         return False
 
 
