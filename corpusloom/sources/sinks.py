@@ -78,39 +78,46 @@ def write_counted(df: DataFrame, path: str, counters: dict[str, Column], by: str
     return df.sparkSession.createDataFrame([tuple(found[name] for name in counters)], kinds)
 
 
-def _only_once(spark: SparkSession, path: str, content: str) -> bool:
-    """Put a file there as a whole unless there is one; whether it was put. Of several writers one succeeds."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    at = hadoop.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.getScheme() == "file":
-        target = at.toUri().getPath()
-        os.makedirs(os.path.dirname(target), exist_ok=True)
-        own = f"{target}.{uuid.uuid4().hex}"
-        with open(own, "w") as f:
-            f.write(content)
-        try:
-            os.link(own, target)  # fails if the name is taken, whoever took it
-            return True
-        except FileExistsError:
-            return False
-        finally:
-            os.unlink(own)
-    temporary = hadoop.Path(f"{path}.{uuid.uuid4().hex}")
-    out = fs.create(temporary, False)
+def _linked(target: str, content: str) -> bool:
+    """Put a local file there as a whole unless there is one: a link fails if its name is taken, whoever took it."""
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    own = f"{target}.{uuid.uuid4().hex}"
+    with open(own, "w") as f:
+        f.write(content)
+    try:
+        os.link(own, target)
+        return True
+    except FileExistsError:
+        return False
+    finally:
+        os.unlink(own)
+
+
+def _renamed(spark: SparkSession, path: str, content: str) -> bool:
+    """The same on any file system of Spark, by a rename that doesn't replace: the file system's master decides."""
+    hadoop, settings = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    at, own = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    fs = at.getFileSystem(settings)
+    out = fs.create(own, False)
     out.write(bytearray(content.encode()))
     out.close()
-    try:  # a rename that doesn't replace: the file system's master decides
-        context = hadoop.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration())
-        context.rename(temporary, at, spark._gateway.new_array(hadoop.Options.Rename, 0))
+    try:
+        hadoop.FileContext.getFileContext(at.toUri(), settings).rename(own, at, spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0))
         return True
     except Py4JJavaError:
         if not fs.exists(at):
             raise
-        fs.delete(temporary, False)
+        fs.delete(own, False)
         return False
 
 
+def _only_once(spark: SparkSession, path: str, content: str) -> bool:
+    """Put a file there as a whole unless there is one; whether it was put. Of several writers one succeeds."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    local = at.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"  # whose renames replace
+    return _linked(at.toUri().getPath(), content) if local else _renamed(spark, path, content)
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """The numbers of the whole versions of a table, ascending; the last is the current one."""
     hadoop = spark._jvm.org.apache.hadoop.fs

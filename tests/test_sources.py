@@ -258,6 +258,15 @@ def test_two_writers_leave_two_versions(spark, tmp_path):
         sinks.read_version(spark, path, 9)
 
 
+def test_a_file_is_put_once(spark, tmp_path):
+    """Both ways to put a version's manifest: the first one stays, whole, and nothing else is left."""
+    import os
+
+    for name, put in (("linked", lambda c: sinks._linked(f"{tmp_path}/linked/0", c)), ("renamed", lambda c: sinks._renamed(spark, f"file://{tmp_path}/renamed/0", c))):
+        assert put("first") and not put("second") and (tmp_path / name / "0").read_text() == "first"
+        assert [f for f in os.listdir(tmp_path / name) if not f.endswith(".crc")] == ["0"]
+
+
 def test_paged_source(spark, tmp_path):
     """One task for each range, filters narrow the range, and a stream goes on where it stopped."""
     from corpusloom.sources import paged
