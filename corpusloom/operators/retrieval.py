@@ -21,8 +21,9 @@ HEAD_LINES = ("Title", "Authors", "Year", "Venue", "Keywords")
 FIELDS = {"abstract": ("Abstract:", ("Full Text:", "Keywords:")), "body": ("Full Text:", ())}
 
 
-#: White space of any script as a class of Java's patterns that begin with ``(?U)``.
-_SPACE = r"[\s\x1c-\x1f]"
+#: White space as Python's ``str.split`` takes it: the characters, and their class in Java's patterns.
+WHITE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def _let(value: Column, body) -> Column:
@@ -32,12 +33,11 @@ def _let(value: Column, body) -> Column:
 
 def tokens(text: Column) -> Column:
     """Words times 1.3, rounded down, of a text without white space at its ends."""
-    return F.when(text == "", 0).otherwise(F.floor(F.size(F.split(text, f"(?U){_SPACE}++", -1)) * F.lit(1.3)).cast("int"))
+    return F.when(text == "", 0).otherwise(F.floor(F.size(F.split(text, f"{_SPACE}++", -1)) * F.lit(1.3)).cast("int"))
 
 
 def _stripped(text: Column, behind: bool = True) -> Column:
-    out = F.regexp_replace(text, rf"(?U)\A{_SPACE}++", "")
-    return F.regexp_replace(out, rf"(?U)(?<!{_SPACE}){_SPACE}++\z", "") if behind else out
+    return F.btrim(text, F.lit(WHITE)) if behind else F.ltrim(text, F.lit(WHITE))
 
 
 def _field(text: Column, start: str, ends: tuple[str, ...]) -> Column:
@@ -105,7 +105,7 @@ def chunks(text: Column, compat: bool = True) -> Column:
         closed = F.when(F.size(pack["held"]) > 0, _taken(pack, "\n\n")).otherwise(pack)
 
         def by_sentence(before: Column) -> Column:
-            sentences = F.transform(F.split(p["text"], rf"(?U)(?<=[.!?]){_SPACE}+", -1), sized)
+            sentences = F.transform(F.split(p["text"], rf"(?<=[.!?]){_SPACE}+", -1), sized)
             inner = F.aggregate(sentences, _pack(none, F.array().cast("array<int>"), F.lit(0), before["out"]), lambda a, s: _folded(a, s, " "))
             rest = lambda i: _let(F.array_join(i["held"], " "), lambda t: _pack(F.array(t), F.array(tokens(t)), i["size"], i["out"]))
             return _let(inner, rest)
@@ -113,7 +113,7 @@ def chunks(text: Column, compat: bool = True) -> Column:
         return F.when(p["size"] <= CHUNK, _folded(pack, p, "\n\n")).otherwise(_let(closed, by_sentence))
 
     def told(x: Column) -> Column:
-        pieces = F.transform(F.filter(F.transform(F.split(x["body"], rf"(?U)\n{_SPACE}*\n", -1), lambda p: _stripped(p)), lambda p: p != ""), sized)
+        pieces = F.transform(F.filter(F.transform(F.split(x["body"], rf"\n{_SPACE}*\n", -1), lambda p: _stripped(p)), lambda p: p != ""), sized)
         packed = F.aggregate(pieces, _pack(none, F.array().cast("array<int>"), F.lit(0), none), paragraph)
         whole = _let(packed, lambda p: F.when(F.size(p["held"]) > 0, F.array_append(p["out"], F.array_join(p["held"], "\n\n"))).otherwise(p["out"]))
         prefix = F.when(x["title"] != "", F.concat(F.lit("Title: "), x["title"], F.lit("\n"))).otherwise("")
