@@ -5,19 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
 
-#: Rows and bytes that one Arrow batch into a Python worker may hold: a worker then needs tens of MB, whatever
-#: the lengths of the texts.
-BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
-
-
-def bounded(spark: SparkSession) -> None:
-    """Set the session's Arrow batch limits, where they are larger."""
-    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        name = f"spark.sql.execution.arrow.{key}"
-        if not 0 < int(str(spark.conf.get(name)).rstrip("b")) <= most:
-            spark.conf.set(name, str(most))
+from corpusloom.session import BATCH_BYTES, BATCH_ROWS, bounded as bounded
 
 
 def emit(rows: Iterable[tuple], schema: pa.Schema, weigh: Callable[[tuple], int] = lambda row: 0) -> Iterator[pa.RecordBatch]:

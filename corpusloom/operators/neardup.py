@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
@@ -17,7 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.operators.graph import components
-from corpusloom.session import spread, written
+from corpusloom.operators.joins import small
+from corpusloom.session import bounded, spread, written
 
 #: Hashes of a signature.
 HASHES = 128
@@ -26,6 +29,8 @@ HASHES = 128
 BLOCK, ROUNDS, FRONT, GRAMS_KEPT = 512, 3, 16_384, 1 << 15
 #: How much less often than asked signatures may agree before the texts are compared.
 SLACK = 0.15
+#: Runs of characters other than ``\s`` in Spark's patterns.
+_WORDS = re.compile("[^ \t-\r]+")
 _rng = np.random.Generator(np.random.PCG64(7))
 _MUL = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -353,22 +358,65 @@ def first_independent(sets: DataFrame, threshold: float = 0.8, n_bands: int = 32
     return reduce(DataFrame.union, stayed)
 
 
-def _hashed_shingles(text: Column, k: int = 5) -> Column:
-    """The sorted hashes of a text's word shingles, made of its words' hashes, so no shingle is put together as a text."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")
-    runs = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (k - 1)), lambda i: F.xxhash64(*[F.element_at(h, i + j) for j in range(k)]))
-    return F.array_sort(F.array_distinct(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), lambda h: F.when(F.size(h) >= k, runs(h)).otherwise(h))[0]))
+def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, threshold: float | None = None, k: int = 5) -> DataFrame:
+    """``id``, ``g`` (the sorted hashes of a text's word shingles, made of its words' hashes, so no shingle is put together as
+    a text), their number ``n`` and ``h``, a digest of all of them. With a threshold ``g`` has only the first ones, ``_begin(n)``."""
+    plain = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text"))
+    bounded(docs.sparkSession)
+    kind = plain.schema["id"].dataType
+    schema = T.StructType([T.StructField("id", kind), T.StructField("h", T.BinaryType()), T.StructField("n", T.IntegerType()), T.StructField("g", T.ArrayType(T.LongType(), False))])
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            split = [_WORDS.findall(text) for text in batch.columns[1].to_pylist()]
+            words = pd.util.hash_array(np.array([w for ws in split for w in ws], object), categorize=False)
+            digests, sizes, sets, at = [], [], [np.zeros(0, np.int64)], 0
+            for ws in split:
+                x = words[at : at + len(ws)]
+                at += len(ws)
+                if len(ws) >= k:
+                    runs = sum(x[j : len(x) - k + 1 + j] * _MUL[j] for j in range(k))
+                    x = (runs ^ (runs >> np.uint64(32))) * _MUL[k]
+                x = np.unique(x).view(np.int64)
+                digests.append(hashlib.md5(x.tobytes()).digest())
+                sizes.append(len(x))
+                sets.append(x if threshold is None else x[: _begin(len(x), threshold)])
+            g = pa.ListArray.from_arrays(pa.array(np.cumsum([len(x) for x in sets]), pa.int32()), pa.array(np.concatenate(sets)))
+            yield pa.RecordBatch.from_arrays([batch.columns[0], pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), g], ["id", "h", "n", "g"])
+
+    return plain.mapInArrow(cut, schema)
+
+
+def _tenth(n: int) -> int:
+    return max(1, n // 10)
+
+
+def _begin(n: int, threshold: float) -> int:
+    return n - math.ceil(n * threshold) + _tenth(n)
 
-def exact_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """``i``, ``j`` and ``similarity`` of all pairs of different shingle sets that are as similar as the threshold, each set
-    told by its smallest id; ``exact_members`` has the documents of the sets.
 
-    Prefix filter: in one order of shingles, the rarest first, two such sets share one of their first
-    ``n - ceil(threshold * n) + 1`` shingles. So only the beginnings are joined, and a frequent shingle, which stands in
-    no beginning of a set of some size, ties nothing.
+def _with_partners(rows: DataFrame, threshold: float) -> DataFrame:
+    """The ids of the sets (``rows``, of each its first shingles) that can be as similar as the threshold to another one; of a few
+    others too, but it lacks none.
+
+    In one order of shingles, here that of their hashes, two such sets have the first ``m`` shingles that they share within
+    their first ``n - ceil(threshold * n) + m``, for any ``m`` up to ``ceil(threshold * n)``. ``m`` is a tenth of a set's size; a
+    partner has ``ceil(threshold * n)`` shingles at least, so a set needs a tenth of that number which stand in another
+    beginning too. Beginnings move once, and a frequent shingle brings no pairs.
     """
-    sets = written(spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), _hashed_shingles(F.col(text_col)).alias("g")).groupBy("g").agg(F.min("id").alias("id")).where(F.size("g") > 0), "exact-sets")
+    needs = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * threshold) / 10))
+    filled = rows.where("id IS NOT NULL AND n > 0")
+    begins = filled.select("id", F.explode("g").alias("s")).repartition("s")
+    # both sides need the same columns of the beginnings, so Spark shuffles them once
+    shared = begins.groupBy("s").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("s")
+    met = begins.join(shared.hint("shuffle_hash"), "s").groupBy("id").agg(F.count("*").alias("met"))
+    return written(filled.select("id", needs.alias("needs")).join(met, "id").where("met >= needs").select("id").distinct(), "exact-partners")
+
+
+def _exact_pairs(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """``exact_pairs`` of documents whose sets' beginnings are ``rows``."""
+    some = docs.join(small(_with_partners(rows, threshold).withColumnRenamed("id", id_col)), id_col, "left_semi")
+    sets = written(_shingle_sets(some, id_col, text_col).groupBy("h").agg(F.min("id").alias("id"), F.first("g").alias("g")).select("id", "g"), "exact-sets")
     each = sets.select("id", F.size("g").alias("n"), F.explode("g").alias("s"))
     rare = each.join(each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "s")
     # shingles of a single set come before all others in the order, and tie nothing
@@ -380,16 +428,28 @@ def exact_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return told.select("i", "j", jaccard(F.col("gi"), F.col("gj")).alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def exact_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """``i``, ``j`` and ``similarity`` of all pairs of different shingle sets that are as similar as the threshold, each set
+    told by its smallest id; ``exact_members`` has the documents of the sets.
+
+    Sets without a possible partner go first (``_with_partners``). Prefix filter for the others: in one order of shingles, the
+    rarest first, two such sets share one of their first ``n - ceil(threshold * n) + 1`` shingles. So only the beginnings are
+    joined, and a frequent shingle, which stands in no beginning of a set of some size, ties nothing.
+    """
+    docs = spread(docs.select(id_col, text_col))
+    return _exact_pairs(docs, written(_shingle_sets(docs, id_col, text_col, threshold), "exact-begins"), id_col, text_col, threshold)
+
+
 def exact_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """One row for every document: ``id``, the ``representative`` of its shingle set (the smallest id, as ``exact_pairs`` tells
     it), ``class_id`` (the smallest id of all that links tie together) and ``n_links`` (other documents as similar as the
     threshold, copies included). Null and blank texts have no shingles and are alike among themselves only."""
-    name = F.md5(F.array_join(_hashed_shingles(F.col(text_col)).cast("array<string>"), ","))
-    rows = written(spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), name.alias("h")), "exact-members")
+    docs = spread(docs.select(id_col, text_col))
+    rows = written(_shingle_sets(docs, id_col, text_col, threshold), "exact-begins")
     sets = rows.groupBy("h").agg(F.min("id").alias("representative"), F.count("*").alias("docs"))
-    pairs = written(exact_pairs(docs, id_col, text_col, threshold).select(F.col("i").alias("u"), F.col("j").alias("v")), "exact-links")
+    pairs = written(_exact_pairs(docs, rows, id_col, text_col, threshold).select(F.col("i").alias("u"), F.col("j").alias("v")), "exact-links")
     other = sets.select(F.col("representative").alias("v"), "docs")
     links = pairs.union(pairs.select("v", "u")).join(other, "v").groupBy("u").agg(F.sum("docs").alias("links"))
     told = sets.join(links, F.col("representative") == F.col("u"), "left").join(components(pairs, "exact-classes"), F.col("representative") == F.col("node"), "left")
     told = told.select("h", "representative", F.coalesce("root", "representative").alias("class_id"), (F.col("docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return rows.join(told, "h").select("id", "representative", "class_id", "n_links")
+    return rows.select("id", "h").join(told, "h").select("id", "representative", "class_id", "n_links")

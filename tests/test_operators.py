@@ -262,6 +262,23 @@ def test_exact_pairs_find_all(spark):
     assert {(r.i, r.j) for r in neardup.exact_pairs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()} == want
 
 
+def test_exact_pairs_leave_out_sets_without_partners(spark, monkeypatch):
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, texts = words(30), []
+    for i in range(60):  # strangers with one line in common, and each tenth with a near copy whose change moves about
+        texts.append([*words(100), *line])
+        if i % 10 == 0:
+            texts.append([*texts[-1][: i + 20], "x", *texts[-1][i + 21 :]])
+    written_rows = {}
+    keep = neardup.written
+    monkeypatch.setattr(neardup, "written", lambda df, label: written_rows.setdefault(label, keep(df, label)))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    pairs = {(r.i, r.j) for r in neardup.exact_pairs(docs).collect()}
+    assert pairs == {(11 * i, 11 * i + 1) for i in range(6)}
+    assert {r.id for r in written_rows["exact-sets"].collect()} == {i for pair in pairs for i in pair}  # no set of a stranger moves
+
+
 def test_exact_members_tell_all_documents(spark):
     base = [f"w{i}" for i in range(100)]
     near = " ".join([*base, "x"])
