@@ -51,28 +51,34 @@ def char_grams(text: Column, k: int = 3) -> Column:
     return F.array_distinct(F.transform(F.array(plain), lambda p: F.when(F.char_length(p) >= k, runs(p)).otherwise(F.array(p)))[0])
 
 
-def _shingle_list(text: str | None, k: int = 5) -> set[str]:
-    words = (text or "").lower().split()
-    return {" ".join(words[i : i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else set(words)
-
-
 def _gram_list(text: str | None, k: int = 3) -> set[str]:
     plain = " ".join((text or "").lower().split())
     return {plain[i : i + k] for i in range(max(1, len(plain) - k + 1))}
 
 
+def _least(text: str | None) -> np.ndarray:
+    """HASHES values of a text's word shingles; a text without words has the largest ones."""
+    least, words = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64), (text or "").lower().split()
+    raw = " ".join(words).encode()
+    # a shingle is a part of the joined words, from where one begins to where another ends
+    ends = np.cumsum([len(w.encode()) + 1 for w in words]).tolist() if not raw.isascii() else list(itertools.accumulate(len(w) + 1 for w in words))
+    runs = zip([0, *ends], ends[4:], strict=False) if len(words) >= 5 else zip([0, *ends], ends, strict=False)
+    x = np.frombuffer(b"".join([hashlib.blake2b(g, digest_size=8).digest() for g in {raw[i : j - 1] for i, j in runs}]), "<u8")
+    for at in range(0, len(x), 1024):
+        np.minimum(least, (x[at : at + 1024, None] * _MUL + _ADD).min(0), out=least)
+    return least
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def minhash(texts: pd.Series) -> pd.Series:
     """HASHES values of every text's word shingles; a text without words has the largest ones."""
+    return texts.map(lambda text: _least(text).view(np.int64))
 
-    def one(text: str | None) -> np.ndarray:
-        least, grams = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64), _shingle_list(text)
-        x = np.fromiter((int.from_bytes(hashlib.blake2b(g.encode(), digest_size=8).digest(), "little") for g in grams), np.uint64, len(grams))
-        for at in range(0, len(x), 1024):
-            np.minimum(least, (x[at : at + 1024, None] * _MUL + _ADD).min(0), out=least)
-        return least.view(np.int64)
 
-    return texts.map(one)
+@F.pandas_udf(T.BinaryType())
+def minhash_signature(texts: pd.Series) -> pd.Series:
+    """The same as bytes, eight of each value."""
+    return texts.map(lambda text: _least(text).astype(">u8").tobytes())
 
 
 @lru_cache(maxsize=1 << 14)
@@ -136,7 +142,14 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(F.size(F.array_union(a, b)) == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
 
 
-def document_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_bands: int = 9, rows: int = 13, verify: float | None = None) -> DataFrame:
+def document_signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id``, the MinHash signature ``sig`` of every document and its digest ``h``; written, for one or more forms of clusters."""
+    bounded(docs.sparkSession)
+    signed = spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), minhash_signature(F.col(text_col)).alias("sig"))
+    return written(signed.withColumn("h", F.md5("sig")), "neardup-signatures")
+
+
+def document_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_bands: int = 9, rows: int = 13, verify: float | None = None, signed: DataFrame | None = None) -> DataFrame:
     """Every document's ``cluster`` (its smallest id) by bands that it shares.
 
     Without ``verify`` all documents of a band are one cluster, tied to its smallest id, so ties don't outnumber documents. Nine
@@ -144,20 +157,19 @@ def document_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     which is 0.40 at 0.8, 0.93 at 0.9 and 0.9999 at 0.97. With 32 bands of 4 rows that is 0.9999999 at 0.8.
     With ``verify``, documents are tied whose shingle sets are at least so similar: equal signatures are one, and of the others all pairs
     of a band are compared, dealt out as pairs of blocks. Where signatures agree at most ``SLACK`` less often than asked (four standard
-    errors of 128 hashes at 0.8), the texts are compared exactly (``exact_pairs``).
+    errors of 128 hashes at 0.8), the texts are compared exactly (``exact_pairs``). ``signed`` are the documents' ``document_signatures``,
+    where they are there already.
     """
-    signed = spread(docs.select(id_col, text_col)).select(F.col(id_col).alias("id"), minhash(F.col(text_col)).alias("sig"))
+    signed = document_signatures(docs, id_col, text_col) if signed is None else signed
     if verify is not None:
-        signed = signed.withColumn("sig", _packed(F.col("sig"), lambda x: F.lpad(F.hex(x), 16, "0")))
-        signed = written(signed.withColumn("h", F.md5("sig")), "neardup-signatures")
         sets = written(_signature_sets(signed), "neardup-sets")
         near = components(_band_ties(sets, sets.select("id", F.lit(False).alias("stays")), n_bands, rows, max(0.0, verify - SLACK)), "neardup-candidates")
-        some = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(near.select(F.col("node").alias("id")), "id", "left_semi")
+        near = written(near.select(F.col("node").alias("id")), "neardup-near")
+        some = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(small(near), "id", "left_semi")
         ties = exact_pairs(some, "id", "text", verify).select(F.col("i").alias("u"), F.col("j").alias("v"))
         found = sets.select("h", F.col("id").alias("rep")).join(components(ties, "neardup-clusters"), F.col("rep") == F.col("node"), "left")
         return signed.select("id", "h").join(found, "h", "left").select("id", F.coalesce("root", "rep", "id").alias("cluster"))
-    signed = written(signed, "neardup-signatures")
-    keyed = signed.select("id", F.posexplode(bands(F.col("sig"), n_bands, rows)).alias("band", "key"))
+    keyed = signed.select("id", F.posexplode(_band_keys(n_bands, rows)).alias("band", "key")).withColumn("key", F.md5("key"))
     firsts = keyed.groupBy("band", "key").agg(F.min("id").alias("v"))
     ties = keyed.join(firsts, ["band", "key"]).where("id <> v").select(F.col("id").alias("u"), "v").distinct()
     found = components(ties, "neardup-clusters")
@@ -177,9 +189,9 @@ def cluster_recall(pairs: DataFrame, clusters: DataFrame) -> DataFrame:
     return both.agg(F.count("*").alias("n_links"), F.avg((F.col("a") == F.col("b")).cast("int")).alias("recall"))
 
 
-def _packed(signature: Column, hex_of) -> Column:
-    """A signature as bytes, eight of each value (of an MD5 its first eight, which differ wherever the whole does)."""
-    return F.unhex(F.array_join(F.transform(signature, hex_of), ""))
+def _band_keys(n_bands: int, rows: int) -> Column:
+    """The bands of a signature ``sig`` of bytes, each as its bytes."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda b: F.substring("sig", b * (8 * rows) + 1, F.lit(8 * rows)))
 
 
 def _signature_sets(signed: DataFrame) -> DataFrame:
@@ -190,8 +202,7 @@ def _signature_sets(signed: DataFrame) -> DataFrame:
 def _band_tasks(sets: DataFrame, status: DataFrame, n_bands: int, rows: int) -> DataFrame:
     """The rows of every band that holds two and more, one of them open (``status``: ``id``, ``stays``), with the task
     (``band``, ``key``, ``a`` <= ``b``) of every pair of blocks that they stand in; sorted by task and id."""
-    keys = F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda b: F.substring("sig", b * (8 * rows) + 1, F.lit(8 * rows)))
-    keyed = sets.join(status, "id").select("id", "stays", F.posexplode(keys).alias("band", "key"))
+    keyed = sets.join(status, "id").select("id", "stays", F.posexplode(_band_keys(n_bands, rows)).alias("band", "key"))
     shared = keyed.groupBy("band", "key").agg(F.count("*").alias("members"), F.count_if(~F.col("stays")).alias("open")).where("members > 1 AND open > 0")
     dealt = (
         keyed.join(shared.select("band", "key", F.expr(f"cast(ceil(members / {BLOCK}) as int)").alias("blocks")), ["band", "key"])
@@ -275,6 +286,7 @@ def greedy_survivors(rows: DataFrame, id_col: str, text_col: str, threshold: flo
     Similar rows share a band, and their signatures agree. Of equal signatures the first id stands for all: what takes it
     takes the others, else it takes them itself. Rows without an id stay.
     """
+    bounded(rows.sparkSession)
     signed = written(rows.select(F.col(id_col).alias("id"), md5_signature(F.col(text_col)).alias("sig")).withColumn("h", F.md5("sig")), "greedy-signatures")
     kept = first_independent(_signature_sets(signed), threshold, n_bands, band_rows)
     return signed.where("id IS NULL").select("id").union(signed.select("id").join(kept, "id", "left_semi"))

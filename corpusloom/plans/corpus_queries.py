@@ -124,7 +124,8 @@ def minhash_recall(spark, sf_dir):
     """Of all links of different texts at 0.8, found exactly, the share within the clusters of both MinHash forms."""
     docs = table(spark, sf_dir, "documents")
     links = written(N.exact_pairs(docs), "recall-links")
-    forms = {"nine bands": N.document_clusters(docs), "verified": N.document_clusters(docs, n_bands=32, rows=4, verify=0.8)}
+    signed = N.document_signatures(docs)
+    forms = {"nine bands": N.document_clusters(docs, signed=signed), "verified": N.document_clusters(docs, n_bands=32, rows=4, verify=0.8, signed=signed)}
     each = [N.cluster_recall(links, found).withColumn("form", F.lit(form)) for form, found in forms.items()]
     return each[0].unionByName(each[1])
 

@@ -262,6 +262,15 @@ def test_exact_pairs_find_all(spark):
     assert {(r.i, r.j) for r in neardup.exact_pairs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()} == want
 
 
+def test_signatures_need_bounded_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, "ä b"), (3, None)], "doc_id bigint, text string")
+    told = {r.id: r.sig for r in neardup.document_signatures(docs).collect()}
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    plain = {r.doc_id: r.m for r in docs.select("doc_id", neardup.minhash("text").alias("m")).collect()}
+    assert {i: [int.from_bytes(sig[at : at + 8], "big", signed=True) for at in range(0, 1024, 8)] for i, sig in told.items()} == plain
+
+
 def test_exact_pairs_leave_out_sets_without_partners(spark, monkeypatch):
     rng = random.Random(5)
     words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
