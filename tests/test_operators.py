@@ -164,6 +164,16 @@ def test_components(spark, monkeypatch, least_hot):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_chains_become_stars_of_ranges(spark, monkeypatch):
+    monkeypatch.setattr(graph, "TIED", 1000)
+    steps, keep = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df, label: steps.append(label) or keep(df, label))
+    edges = spark.range(10, 20000).selectExpr("id AS u", "id - 10 AS v")
+    found = components(edges)
+    assert found.count() == 20000 and found.where("root <> node % 10").count() == 0
+    assert len(steps) <= 16  # doubling alone takes 25, and more for longer chains
+
+
 def test_document_clusters(spark):
     rng = random.Random(1)
     base = [f"w{rng.randrange(500)}" for _ in range(200)]
