@@ -20,12 +20,16 @@ LONE_LETTERS = r"(?<![A-Za-z])([A-Z])(?![a-z])"
 def qa_pairs(reply: Column, least_instruction: int = 10, least_output: int = 50) -> Column:
     """The valid pairs of a reply, null if there are none: code fences go, else the outermost brackets are tried; only
     lists count; too short instructions and outputs go; types are upper-cased."""
-    text = strip(reply)
-    text = F.regexp_replace(F.regexp_replace(text, r"^```[^\n]*\n", ""), r"\s*```$", "")
-    bracketed = F.regexp_extract(text, r"(?s)\[.*\]", 0)
-    parsed = F.coalesce(F.when(F.startswith(text, F.lit("[")), F.from_json(text, PAIR_SCHEMA)), F.when(~F.startswith(text, F.lit("{")), F.from_json(F.when(bracketed != "", bracketed), PAIR_SCHEMA)))
+    # a lambda's variable is computed once, wherever and how often its body uses it
+    let = lambda value, body: F.transform(F.array(value), body)[0]
+    text = F.regexp_replace(F.regexp_replace(strip(reply), r"^```[^\n]*\n", ""), r"\s*```$", "")
+
+    def parsed(text: Column) -> Column:
+        inner = let(F.regexp_extract(text, r"(?s)\[.*\]", 0), lambda x: F.from_json(F.when(x != "", x), PAIR_SCHEMA))
+        return F.coalesce(F.when(F.startswith(text, F.lit("[")), F.from_json(text, PAIR_SCHEMA)), F.when(~F.startswith(text, F.lit("{")), inner))
+
     tidy = F.transform(
-        parsed,
+        let(text, parsed),
         lambda p: F.struct(
             strip(p["instruction"]).alias("instruction"),
             F.coalesce(strip(p["input"]), F.lit("")).alias("input"),
@@ -34,7 +38,7 @@ def qa_pairs(reply: Column, least_instruction: int = 10, least_output: int = 50)
         ),
     )
     valid = F.filter(tidy, lambda p: (F.char_length(p["instruction"]) >= least_instruction) & (F.char_length(p["output"]) >= least_output))
-    return F.when(F.size(valid) > 0, valid)
+    return let(valid, lambda v: F.when(F.size(v) > 0, v))
 
 
 def _letters(text: Column, valid: Column | None) -> Column:

@@ -64,3 +64,9 @@ def test_exam_prompts_and_templates(spark):
     lines = spark.createDataFrame([(10, 1.0, 2.5), (2, 0.333, 4.0)], "i int, x double, y double")
     told = lines.agg(P.in_lines(P.candidate_line(F.col("i"), {"CE": F.col("x"), "HS": F.col("y")}), F.col("i")).alias("t")).first().t
     assert told == "  # 2: CE=0.33, HS=4.00\n  #10: CE=1.00, HS=2.50"
+
+
+def test_qa_pairs_name_the_reply_once(spark):
+    reply = F.concat(F.col("r"), F.lit("MARK"))
+    plan = spark.createDataFrame([("x",)], "r string").select(P.qa_pairs(reply).alias("p"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("MARK") == 1
