@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.columns import free, named
-from corpusloom.session import spread
+from corpusloom.session import bounded, spread
 
 #: Bytes of a packed automaton; larger lists are cut into several tables by the caller, each shipped for itself.
 MOST_BYTES = 512 << 20
@@ -61,6 +61,7 @@ def lexicon_hits(df: DataFrame, text_col: str, automaton: Automaton) -> DataFram
     """``df`` with the distinct terms of every list that its text contains, sorted: arrays under the lists' names (with underscores
     behind those that are taken). Null texts count as empty."""
     spark = df.sparkSession
+    bounded(spark)
     packed = pickle.dumps(automaton)
     if len(packed) > MOST_BYTES:
         raise ValueError(f"the automaton has {len(packed)} bytes, more than {MOST_BYTES}")

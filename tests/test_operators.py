@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.functions import records
-from corpusloom.operators import graph, joins, neardup, order, replay, retrieval, sampling, stats
+from corpusloom.functions import automaton, records
+from corpusloom.operators import graph, joins, neardup, order, replay, retrieval, sampling, stats, vector_index
 from corpusloom.operators.graph import components
 from corpusloom.sources import rest
 
@@ -281,6 +281,20 @@ def test_signatures_need_bounded_batches(spark):
     assert {i: [int.from_bytes(sig[at : at + 8], "big", signed=True) for at in range(0, 1024, 8)] for i, sig in told.items()} == plain
 
 
+def test_workers_get_bounded_batches(spark, tmp_path):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(4)], "vec_id bigint, embedding array<double>")
+    path = str(tmp_path / "index")
+    vector_index.write_index(vectors, path)
+    for work in (
+        lambda: automaton.lexicon_hits(spark.createDataFrame([("a b",)], "t string"), "t", automaton.Automaton({"x": ["a"]})),
+        lambda: retrieval.top_k(vectors, vectors, 1),
+        lambda: vector_index.search_index(vectors, spark, path, 1),
+    ):
+        spark.conf.set(name, "10000")
+        assert work().count() and int(spark.conf.get(name)) <= 1000
+
+
 def test_exact_pairs_leave_out_sets_without_partners(spark, monkeypatch):
     rng = random.Random(5)
     words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
