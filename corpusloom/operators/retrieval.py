@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.order import first_n, running_sum
-from corpusloom.session import spread, written
+from corpusloom.session import bounded, spread, written
 
 #: Tokens of a chunk, tokens it repeats of the one before, and tokens an abstract needs for a chunk of its own.
 CHUNK, OVERLAP, ABSTRACT = 512, 128, 30
@@ -168,6 +168,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "vec_
     to every candidate as fit ``PASS_BYTES``; a task scores its candidates against a block by one matrix product and keeps
     the best k, which are ranked again for every query.
     """
+    bounded(queries.sparkSession)  # a row of a query block and a candidate block has about 1 MB
     wanted, rows = _usable(queries, id_col, vector_col), _usable(candidates, id_col, vector_col)
     asked = wanted.select(F.size("v").alias("dims"), F.lit(1).alias("n")).union(rows.select(F.size("v"), F.lit(0)))
     dims, n = asked.agg(F.coalesce(F.max("dims"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
