@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.retrieval import _matrix, _usable
-from corpusloom.session import spread, written
+from corpusloom.session import bounded, spread, written
 
 #: Vectors of the sample, centres, rows of a block, queries of a chunk, blocks that a query visits first, and blocks whose means are
 #: compared with a chunk in one task.
@@ -52,6 +52,7 @@ def nearest(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 def write_index(vectors: DataFrame, path: str, id_col: str = "vec_id", vector_col: str = "embedding", cosine: bool = False) -> None:
     """Write the index of all vectors that have an id and finite numbers; ``cosine`` brings them to length 1 first."""
+    bounded(vectors.sparkSession)
     rows = written(_usable(vectors, id_col, vector_col), "index-vectors")
     n, dims = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     sample = rows.orderBy(F.xxhash64("id", "v")).limit(SAMPLE).toPandas()
@@ -92,6 +93,7 @@ def _bounds(q: np.ndarray, means: np.ndarray, radius: np.ndarray) -> np.ndarray:
 def search_index(queries: DataFrame, spark: SparkSession, path: str, k: int, id_col: str = "vec_id", vector_col: str = "embedding", cosine: bool = False, told: dict | None = None) -> DataFrame:
     """``query_id``, ``vec_id``, ``score`` and ``rank`` of every query's k vectors of the largest inner product, others than itself,
     ties by id. ``told`` gets how many pairs of a query and a block there are, and how many were scored."""
+    bounded(spark)  # a row has a chunk and a block, or a chunk and MEANS means
     blocks = spark.read.parquet(path)
     wanted = _usable(queries, id_col, vector_col)
     dims = blocks.agg(F.coalesce(F.max(F.octet_length("mean")), F.lit(0))).first()[0] // 8
