@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
-import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
@@ -27,13 +26,16 @@ HASHES = 128
 #: Signatures of a block, of which pairs are compared in one task; rounds of the greedy order before components, and a component's
 #: open rows that one round then decides in order. Grams whose digests a task remembers, 1 KB each.
 BLOCK, ROUNDS, FRONT, GRAMS_KEPT = 512, 3, 16_384, 1 << 15
+#: Shingles whose values are made at a time, which stay in a core's cache; bytes of words that are hashed at a time.
+VALUES, HASHED = 128, 1 << 20
 #: How much less often than asked signatures may agree before the texts are compared.
 SLACK = 0.15
-#: Runs of characters other than ``\s`` in Spark's patterns.
-_WORDS = re.compile("[^ \t-\r]+")
 _rng = np.random.Generator(np.random.PCG64(7))
 _MUL = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+#: A number for each byte; which bytes are ``\s`` in Spark's patterns (no byte of a longer character is).
+_BYTES = np.random.Generator(np.random.PCG64(9)).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def word_shingles(text: Column, k: int = 5) -> Column:
@@ -64,8 +66,12 @@ def _least(text: str | None) -> np.ndarray:
     ends = np.cumsum([len(w.encode()) + 1 for w in words]).tolist() if not raw.isascii() else list(itertools.accumulate(len(w) + 1 for w in words))
     runs = zip([0, *ends], ends[4:], strict=False) if len(words) >= 5 else zip([0, *ends], ends, strict=False)
     x = np.frombuffer(b"".join([hashlib.blake2b(g, digest_size=8).digest() for g in {raw[i : j - 1] for i, j in runs}]), "<u8")
-    for at in range(0, len(x), 1024):
-        np.minimum(least, (x[at : at + 1024, None] * _MUL + _ADD).min(0), out=least)
+    values = np.empty((min(len(x), VALUES), HASHES), np.uint64)
+    for at in range(0, len(x), VALUES):
+        part = x[at : at + VALUES, None]
+        now = np.multiply(part, _MUL, out=values[: len(part)])
+        np.add(now, _ADD, out=now)
+        np.minimum(least, now.min(0), out=least)
     return least
 
 
@@ -149,7 +155,7 @@ def document_signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return written(signed.withColumn("h", F.md5("sig")), "neardup-signatures")
 
 
-def document_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_bands: int = 9, rows: int = 13, verify: float | None = None, signed: DataFrame | None = None) -> DataFrame:
+def document_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_bands: int = 9, rows: int = 13, verify: float | None = None, signed: DataFrame | None = None, links: DataFrame | None = None) -> DataFrame:
     """Every document's ``cluster`` (its smallest id) by bands that it shares.
 
     Without ``verify`` all documents of a band are one cluster, tied to its smallest id, so ties don't outnumber documents. Nine
@@ -157,16 +163,21 @@ def document_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     which is 0.40 at 0.8, 0.93 at 0.9 and 0.9999 at 0.97. With 32 bands of 4 rows that is 0.9999999 at 0.8.
     With ``verify``, documents are tied whose shingle sets are at least so similar: equal signatures are one, and of the others all pairs
     of a band are compared, dealt out as pairs of blocks. Where signatures agree at most ``SLACK`` less often than asked (four standard
-    errors of 128 hashes at 0.8), the texts are compared exactly (``exact_pairs``). ``signed`` are the documents' ``document_signatures``,
-    where they are there already.
+    errors of 128 hashes at 0.8), the texts are compared exactly (as by ``exact_pairs``). ``signed`` are the documents' ``document_signatures``
+    and ``links`` their ``exact_pairs`` at ``verify``, where they are there already: an exact comparison of some gives those links
+    whose ends are among them.
     """
     signed = document_signatures(docs, id_col, text_col) if signed is None else signed
     if verify is not None:
         sets = written(_signature_sets(signed), "neardup-sets")
         near = components(_band_ties(sets, sets.select("id", F.lit(False).alias("stays")), n_bands, rows, max(0.0, verify - SLACK)), "neardup-candidates")
         near = written(near.select(F.col("node").alias("id")), "neardup-near")
-        some = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(small(near), "id", "left_semi")
-        ties = exact_pairs(some, "id", "text", verify).select(F.col("i").alias("u"), F.col("j").alias("v"))
+        if links is None:
+            some = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(small(near), "id", "left_semi")
+            ties = _set_pairs(_shingle_sets(some, "id", "text"), verify).select(F.col("i").alias("u"), F.col("j").alias("v"))
+        else:
+            u, v = small(near.withColumnRenamed("id", "u")), small(near.withColumnRenamed("id", "v"))
+            ties = links.select(F.col("i").alias("u"), F.col("j").alias("v")).join(u, "u", "left_semi").join(v, "v", "left_semi").select("u", "v")
         found = sets.select("h", F.col("id").alias("rep")).join(components(ties, "neardup-clusters"), F.col("rep") == F.col("node"), "left")
         return signed.select("id", "h").join(found, "h", "left").select("id", F.coalesce("root", "rep", "id").alias("cluster"))
     keyed = signed.select("id", F.posexplode(_band_keys(n_bands, rows)).alias("band", "key")).withColumn("key", F.md5("key"))
@@ -199,29 +210,54 @@ def _signature_sets(signed: DataFrame) -> DataFrame:
     return signed.where("id IS NOT NULL").groupBy("h").agg(F.min("id").alias("id"), F.first("sig").alias("sig"))
 
 
-def _band_tasks(sets: DataFrame, status: DataFrame, n_bands: int, rows: int) -> DataFrame:
-    """The rows of every band that holds two and more, one of them open (``status``: ``id``, ``stays``), with the task
-    (``band``, ``key``, ``a`` <= ``b``) of every pair of blocks that they stand in; sorted by task and id."""
-    keyed = sets.join(status, "id").select("id", "stays", F.posexplode(_band_keys(n_bands, rows)).alias("band", "key"))
-    shared = keyed.groupBy("band", "key").agg(F.count("*").alias("members"), F.count_if(~F.col("stays")).alias("open")).where("members > 1 AND open > 0")
+def _band_tasks(sets: DataFrame, status: DataFrame, n_bands: int, rows: int, threshold: float) -> DataFrame:
+    """The rows of every band that holds alike ones, one of them open (``status``: ``id``, ``stays``), with the task
+    (``key``, ``a`` <= ``b``) of every pair of blocks that they stand in; sorted by task and id.
+
+    Alike rows share many bands, and often the same rows do: of bands with the same rows, told by their number, first id and two
+    64-bit sums of marks, one makes tasks, so what meets often is sent and compared once. Keys are hashes; a strange row that one
+    brought would be compared, too. Signatures move to rows only that agree so far by the last byte of each value with another row of
+    their task: agreement by bytes is never less than that of values.
+    """
+    keyed = (
+        sets.join(status, "id")
+        .select("id", "stays", F.xxhash64("id", "sig").alias("mark"), F.posexplode(_band_keys(n_bands, rows)).alias("band", "key"))
+        .select("id", "stays", "mark", F.xxhash64("band", "key").alias("key"))
+        .repartition("key")
+    )
+    # both sides need the same columns, so Spark shuffles them once
+    held = [F.count("*").alias("members"), F.count_if(~F.col("stays")).alias("open"), F.min("id").alias("first"), F.bit_xor("mark").alias("x"), F.bit_xor(F.xxhash64("mark", F.lit(1))).alias("y")]
+    shared = keyed.groupBy("key").agg(*held).where("members > 1 AND open > 0").groupBy("members", "first", "x", "y").agg(F.min("key").alias("key"))
     dealt = (
-        keyed.join(shared.select("band", "key", F.expr(f"cast(ceil(members / {BLOCK}) as int)").alias("blocks")), ["band", "key"])
-        .withColumn("block", F.expr("cast(pmod(xxhash64(id, 7), blocks) as int)"))
+        keyed.join(shared.select("key", F.expr(f"cast(ceil(members / {BLOCK}) as int)").alias("blocks")), "key")
+        .withColumn("block", F.expr("cast(pmod(xxhash64(mark, 7), blocks) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select("id", "stays", "band", "key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block")
+        .select("id", "stays", "key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block")
     )
-    ready = dealt.join(sets.select("id", "sig"), "id").select("band", "key", "a", "b", "id", "stays", "block", "sig")
-    return ready.repartition("band", "key", "a", "b").sortWithinPartitions("band", "key", "a", "b", "id")
+
+    def by_task(rows: DataFrame, signed: DataFrame) -> DataFrame:
+        ready = rows.join(signed, "id").select("key", "a", "b", "id", "stays", "block", "sig")
+        return ready.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "id")
+
+    def near(group: list[tuple]) -> list[tuple]:
+        alike = _alike(group, threshold, np.uint8)
+        return [group[i][:-1] for i in np.flatnonzero(alike.any(0) | alike.any(1)).tolist()]
+
+    last_bytes = F.concat(*[F.substring("sig", 8 * place + 8, 1) for place in range(HASHES)])
+    kind = sets.schema["id"].dataType
+    kinds = [pa.int64(), pa.int32(), pa.int32(), to_arrow_type(kind), pa.bool_(), pa.int32()]
+    some = _each_run(by_task(dealt, sets.select("id", last_bytes.alias("sig"))), 3, near, f"key bigint, a int, b int, id {kind.simpleString()}, stays boolean, block int", kinds)
+    return by_task(some, sets.select("id", "sig"))
 
 
-def _alike(group: list[tuple], threshold: float) -> np.ndarray:
+def _alike(group: list[tuple], threshold: float, kind: type = np.uint64) -> np.ndarray:
     """Which rows of a task are alike, told below the diagonal; pairs of kept rows, and within a block in a task of two, don't count."""
-    sig = np.frombuffer(b"".join(r[7] for r in group), np.uint64).reshape(len(group), -1)
-    stays, block = np.array([r[5] for r in group]), np.array([r[6] for r in group])
+    sig = np.frombuffer(b"".join(r[6] for r in group), kind).reshape(len(group), -1)
+    stays, block = np.array([r[4] for r in group]), np.array([r[5] for r in group])
     alike = np.zeros((len(group), len(group)), bool)
     for i in range(1, len(group)):
         wanted = ~(stays[:i] & stays[i])
-        if group[0][2] != group[0][3]:
+        if group[0][1] != group[0][2]:
             wanted &= block[:i] != block[i]
         js = np.flatnonzero(wanted)
         alike[i, js] = np.count_nonzero(sig[js] == sig[i], axis=1) / sig.shape[1] >= threshold
@@ -273,11 +309,11 @@ def _band_ties(sets: DataFrame, status: DataFrame, n_bands: int, rows: int, thre
                     front = np.flatnonzero(alike[front].any(0) & (root < 0))
                     root[front] = i
             if root[i] != i:
-                out.append((group[i][4], group[root[i]][4]))
+                out.append((group[i][3], group[root[i]][3]))
         return out
 
     kind = sets.schema["id"].dataType
-    return _each_run(_band_tasks(sets, status, n_bands, rows), 4, work, f"u {kind.simpleString()}, v {kind.simpleString()}", [to_arrow_type(kind)] * 2).distinct()
+    return _each_run(_band_tasks(sets, status, n_bands, rows, threshold), 3, work, f"u {kind.simpleString()}, v {kind.simpleString()}", [to_arrow_type(kind)] * 2).distinct()
 
 
 def greedy_survivors(rows: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, n_bands: int = 32, band_rows: int = 4) -> DataFrame:
@@ -308,10 +344,10 @@ def first_independent(sets: DataFrame, threshold: float = 0.8, n_bands: int = 32
     name, arrow = kind.simpleString(), to_arrow_type(kind)
 
     def first(group: list[tuple]) -> list[tuple]:
-        alike, stays = _alike(group, threshold), np.array([r[5] for r in group])
+        alike, stays = _alike(group, threshold), np.array([r[4] for r in group])
         gone, least = (alike & stays).any(1), (alike & ~stays).argmax(1)
         before = (alike & ~stays).any(1)
-        return [(group[i][4], group[least[i]][4] if before[i] else None, bool(gone[i])) for i in np.flatnonzero(gone | before).tolist()]
+        return [(group[i][3], group[least[i]][3] if before[i] else None, bool(gone[i])) for i in np.flatnonzero(gone | before).tolist()]
 
     def front(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root = None
@@ -339,7 +375,7 @@ def first_independent(sets: DataFrame, threshold: float = 0.8, n_bands: int = 32
     roots = None
     for round_ in itertools.count():
         status = open_rows.withColumn("stays", F.lit(False)).union(fresh.withColumn("stays", F.lit(True)))
-        told = _each_run(_band_tasks(sets, status, n_bands, band_rows), 4, first, f"id {name}, first {name}, gone boolean", [arrow, arrow, pa.bool_()])
+        told = _each_run(_band_tasks(sets, status, n_bands, band_rows, threshold), 3, first, f"id {name}, first {name}, gone boolean", [arrow, arrow, pa.bool_()])
         told = written(told.groupBy("id").agg(F.min("first").alias("first"), F.max("gone").alias("gone")), "greedy-told")
         # rows that aren't told of have no open similar row before them, and so stay; what they are first to goes
         now = open_rows.join(told.select("id"), "id", "left_anti")
@@ -350,7 +386,7 @@ def first_independent(sets: DataFrame, threshold: float = 0.8, n_bands: int = 32
                 roots = written(components(_band_ties(sets, status, n_bands, band_rows, threshold), "greedy-components").select("root", F.col("node").alias("id")), "greedy-roots")
             # rows that are like one that stays since this round go first, so that the fronts know all that came before them
             fresh = written(now.withColumn("stays", F.lit(True)).union(left.withColumn("stays", F.lit(False))), "greedy-status")
-            lost = _each_run(_band_tasks(sets, fresh, n_bands, band_rows), 4, first, f"id {name}, first {name}, gone boolean", [arrow, arrow, pa.bool_()]).where("gone").select("id").distinct()
+            lost = _each_run(_band_tasks(sets, fresh, n_bands, band_rows, threshold), 3, first, f"id {name}, first {name}, gone boolean", [arrow, arrow, pa.bool_()]).where("gone").select("id").distinct()
             left = written(left.join(lost, "id", "left_anti"), "greedy-open")
             ranked = left.join(roots, "id").withColumn("place", F.row_number().over(Window.partitionBy("root").orderBy("id"))).where(F.col("place") <= FRONT)
             ready = ranked.select("root", "id").join(sets, "id").select("root", "id", "sig").repartition("root").sortWithinPartitions("root", "id")
@@ -370,6 +406,42 @@ def first_independent(sets: DataFrame, threshold: float = 0.8, n_bands: int = 32
     return reduce(DataFrame.union, stayed)
 
 
+def _word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word of the texts, and how many words each one has.
+
+    A word's hash is the sum of its bytes' numbers, each times one that its place gives, mixed.
+    """
+    texts = texts.cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data if data is not None else b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside = np.concatenate([~_SPACE[raw], [False]])
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    firsts = offsets[:-1]
+    begins[firsts] = inside[firsts]  # no word goes on from text to text
+    at = np.flatnonzero(begins)
+    counts = np.diff(np.searchsorted(at, offsets))
+    ends = inside[:-1] & (~inside[1:] | begins[1:])
+    sizes = np.flatnonzero(ends) + 1 - at
+    out, upto, done = np.empty(len(at), np.uint64), np.cumsum(sizes), 0
+    while done < len(at):
+        last = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + HASHED, "right")))
+        size = sizes[done:last]
+        starts = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(starts, size)
+        by_place = np.arange(1, int(size.max()) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        by_place = (by_place ^ (by_place >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        by_place = (by_place ^ (by_place >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        by_place = (by_place ^ (by_place >> np.uint64(31))) | np.uint64(1)
+        sums = np.add.reduceat(_BYTES[raw[place + np.repeat(at[done:last], size)]] * by_place[place], starts)
+        sums = (sums ^ (sums >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        out[done:last] = sums ^ (sums >> np.uint64(32))
+        done = last
+    return out, counts
+
+
 def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, threshold: float | None = None, k: int = 5) -> DataFrame:
     """``id``, ``g`` (the sorted hashes of a text's word shingles, made of its words' hashes, so no shingle is put together as
     a text), their number ``n`` and ``h``, a digest of all of them. With a threshold ``g`` has only the first ones, ``_begin(n)``."""
@@ -380,16 +452,14 @@ def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, threshold: float
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            split = [_WORDS.findall(text) for text in batch.columns[1].to_pylist()]
-            words = pd.util.hash_array(np.array([w for ws in split for w in ws], object), categorize=False)
+            words, counts = _word_hashes(batch.columns[1])
+            runs = sum(words[j : max(0, len(words) - k + 1) + j] * _MUL[j] for j in range(k))
+            runs = (runs ^ (runs >> np.uint64(32))) * _MUL[k]
             digests, sizes, sets, at = [], [], [np.zeros(0, np.int64)], 0
-            for ws in split:
-                x = words[at : at + len(ws)]
-                at += len(ws)
-                if len(ws) >= k:
-                    runs = sum(x[j : len(x) - k + 1 + j] * _MUL[j] for j in range(k))
-                    x = (runs ^ (runs >> np.uint64(32))) * _MUL[k]
-                x = np.unique(x).view(np.int64)
+            for n in counts.tolist():
+                x = np.sort(runs[at : at + n - k + 1] if n >= k else words[at : at + n])
+                at += n
+                x = x[np.concatenate([[True], x[1:] != x[:-1]])].view(np.int64) if len(x) else x.view(np.int64)
                 digests.append(hashlib.md5(x.tobytes()).digest())
                 sizes.append(len(x))
                 sets.append(x if threshold is None else x[: _begin(len(x), threshold)])
@@ -428,16 +498,26 @@ def _with_partners(rows: DataFrame, threshold: float) -> DataFrame:
 def _exact_pairs(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
     """``exact_pairs`` of documents whose sets' beginnings are ``rows``."""
     some = docs.join(small(_with_partners(rows, threshold).withColumnRenamed("id", id_col)), id_col, "left_semi")
-    sets = written(_shingle_sets(some, id_col, text_col).groupBy("h").agg(F.min("id").alias("id"), F.first("g").alias("g")).select("id", "g"), "exact-sets")
-    each = sets.select("id", F.size("g").alias("n"), F.explode("g").alias("s"))
-    rare = each.join(each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "s")
+    return _set_pairs(_shingle_sets(some, id_col, text_col), threshold)
+
+
+def _set_pairs(shingled: DataFrame, threshold: float) -> DataFrame:
+    """``exact_pairs`` of documents' whole sets, without leaving any out first."""
+    sets = written(shingled.groupBy("h").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("g").alias("g")).select("id", "n", "g"), "exact-sets")
+    each = sets.select("id", F.explode("g").alias("s")).repartition("s")
+    # both sides need the same columns, so Spark shuffles them once; a shingle of two sets has two ids
+    common = each.groupBy("s").agg(F.count("*").alias("df"), F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("s", "df")
+    rare = each.join(common.hint("shuffle_hash"), "s").join(sets.select("id", "n"), "id")
     # shingles of a single set come before all others in the order, and tie nothing
     place = F.row_number().over(Window.partitionBy("id").orderBy("df", "s")) + F.col("n") - F.count("*").over(Window.partitionBy("id"))
     begins = written(rare.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold) + 1).select("id", "n", "s"), "exact-prefixes")
     left, right = begins.withColumnsRenamed({"id": "i", "n": "ni"}), begins.withColumnsRenamed({"id": "j", "n": "nj"})
     near = left.join(right, "s").where((F.col("i") < F.col("j")) & (F.least("ni", "nj") >= F.greatest("ni", "nj") * threshold)).select("i", "j").distinct()
     told = near.join(sets.select(F.col("id").alias("i"), F.col("g").alias("gi")), "i").join(sets.select(F.col("id").alias("j"), F.col("g").alias("gj")), "j")
-    return told.select("i", "j", jaccard(F.col("gi"), F.col("gj")).alias("similarity")).where(F.col("similarity") >= threshold)
+    # sets have each shingle once, so their sizes and what they share tell the union; the one-element array binds it
+    shared = F.array(F.size(F.array_intersect("gi", "gj")))
+    similarity = F.transform(shared, lambda n: n / (F.size("gi") + F.size("gj") - n))[0]
+    return told.select("i", "j", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
 def exact_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:

@@ -125,7 +125,7 @@ def minhash_recall(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     links = written(N.exact_pairs(docs), "recall-links")
     signed = N.document_signatures(docs)
-    forms = {"nine bands": N.document_clusters(docs, signed=signed), "verified": N.document_clusters(docs, n_bands=32, rows=4, verify=0.8, signed=signed)}
+    forms = {"nine bands": N.document_clusters(docs, signed=signed), "verified": N.document_clusters(docs, n_bands=32, rows=4, verify=0.8, signed=signed, links=links)}
     each = [N.cluster_recall(links, found).withColumn("form", F.lit(form)) for form, found in forms.items()]
     return each[0].unionByName(each[1])
 

@@ -5,6 +5,7 @@ import re
 from itertools import dropwhile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -312,6 +313,59 @@ def test_exact_pairs_leave_out_sets_without_partners(spark, monkeypatch):
     assert {r.id for r in written_rows["exact-sets"].collect()} == {i for pair in pairs for i in pair}  # no set of a stranger moves
 
 
+def near_texts(n: int) -> list[tuple[int, str]]:
+    """Strangers, each third with a near copy."""
+    rng, out = random.Random(11), []
+    for i in range(n):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        out.append(" ".join(words))
+        if i % 3 == 0:
+            out.append(" ".join([*words[:-1], "x"]))
+    return list(enumerate(out))
+
+
+def test_verified_clusters_compare_sets_once(spark, monkeypatch):
+    labels = []
+    keep = neardup.written
+    monkeypatch.setattr(neardup, "written", lambda df, label: labels.append(label) or keep(df, label))
+    docs = spark.createDataFrame([*near_texts(20), (99, None), (100, " "), (None, "a")], "doc_id bigint, text string")
+    links = keep(neardup.exact_pairs(docs), "links")
+    labels.clear()
+    clusters = lambda **more: {(r.id, r.cluster) for r in neardup.document_clusters(docs, n_bands=32, rows=4, verify=0.8, **more).collect()}
+    found = clusters()
+    assert "exact-sets" in labels and "exact-partners" not in labels  # candidates have partners: none are looked for
+    labels.clear()
+    assert clusters(links=links) == found and sum(i != c for i, c in found if i != 100) == 7
+    assert not {"exact-sets", "exact-prefixes"} & set(labels)  # links that are known are not sought again
+
+
+def test_bands_of_the_same_rows_make_one_task(spark):
+    sig = lambda *parts: np.concatenate([np.full(n, x, ">u8") for n, x in parts]).tobytes()
+    rows = [(1, sig((128, 1))), (2, sig((120, 1), (8, 2))), (3, sig((60, 3), (60, 1), (8, 2))), (4, sig((128, 4)))]
+    sets = spark.createDataFrame(rows, "id bigint, sig binary")
+
+    def groups(threshold):
+        found = {}
+        for r in neardup._band_tasks(sets, sets.select("id", F.lit(False).alias("stays")), 32, 4, threshold).collect():
+            found.setdefault((r.key, r.a, r.b), []).append(r.id)
+            assert r.sig == dict(rows)[r.id]
+        return sorted(found.values())
+
+    assert groups(0.4) == [[1, 2], [1, 2, 3], [2, 3]]  # of 15 + 15 + 2 bands
+    assert groups(0.8) == [[1, 2], [1, 2]]  # rows that aren't alike lend no signature
+
+
+@pytest.mark.parametrize("hashed", [1 << 20, 5])
+def test_word_hashes_tell_words(spark, monkeypatch, hashed):
+    monkeypatch.setattr(neardup, "HASHED", hashed)
+    texts = ["", "a b", " ab\x0b ba\t", "é e\u0301 \x1c\xa0", "", "abcdefghijklmnop a", "\n", "ab"]
+    want = [re.findall("[^ \t-\r]+", t) for t in texts]
+    got, counts = neardup._word_hashes(pa.array(["zz", *texts]).slice(1))
+    assert counts.tolist() == [len(w) for w in want]
+    flat = [w for ws in want for w in ws]
+    assert len(set(got.tolist())) == len(set(flat)) == len(set(zip(flat, got.tolist(), strict=True)))
+
+
 def test_exact_members_tell_all_documents(spark):
     base = [f"w{i}" for i in range(100)]
     near = " ".join([*base, "x"])
