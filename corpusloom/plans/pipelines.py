@@ -82,8 +82,9 @@ def instruction_set(pairs: DataFrame, key: str, trivial: Sequence[str], threshol
         .when(L.any_substring(instruction, trivial), "trivial_question")
     )
     first = pairs.groupBy(F.lower(instruction).alias("_k")).agg(F.min(key).alias("_first"))
-    told = pairs.withColumn("_k", F.lower(instruction)).join(first, "_k").withColumn("type", T.question_type(F.col("type")))
-    told = told.withColumn("reason", F.when(F.col(key) != F.col("_first"), "duplicate").otherwise(reason)).drop("_k", "_first")
+    # reasons are found before the join, so texts that aren't asked for don't move
+    told = pairs.withColumn("_k", F.lower(instruction)).withColumn("_reason", reason).join(first, "_k").withColumn("type", T.question_type(F.col("type")))
+    told = told.withColumn("reason", F.when(F.col(key) != F.col("_first"), "duplicate").otherwise(F.col("_reason"))).drop("_k", "_first", "_reason")
     if threshold is None:
         return told
     stay = neardup.greedy_survivors(told.where("reason IS NULL"), key, "instruction", threshold).select(F.col("id").alias("_id"), F.lit(True).alias("_stays"))
