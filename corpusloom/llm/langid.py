@@ -42,8 +42,8 @@ from corpusloom.session import spread, written
 
 #: Characters of an n-gram, texts that the models are fitted on, n-grams of all models of the longest order, languages.
 ORDER, SAMPLE, GRAMS, LANGS = 5, 8000, 1_000_000, 250
-#: Share of a language's own texts that aren't rejected, characters that weigh a distance, and words that a task remembers.
-ACCEPTED, EVEN, WORDS_KEPT = 0.999, 200, 300_000
+#: Share of a language's own texts that aren't rejected, characters that weigh a distance, words that a task remembers, and scores at a time.
+ACCEPTED, EVEN, WORDS_KEPT, WORDS_SCORED = 0.999, 200, 300_000, 1 << 14
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Characters before and behind a word; no letters.
@@ -158,8 +158,11 @@ class Model:
         out = np.zeros((len(found), len(self.models) + 1))
         if found:
             windows, of = word_windows(found)
+            # words share most of their n-grams: each is looked up once
+            _, first, at = np.unique(gram_hashes(windows), return_index=True, return_inverse=True)
+            windows = windows[first]
             for j, m in enumerate(self.models):
-                out[:, j] = np.bincount(of, -m.scores(windows), len(found))
+                out[:, j] = np.bincount(of, -m.scores(windows)[at], len(found))
             out[:, -1] = np.bincount(of, minlength=len(found))
         return out
 
@@ -274,7 +277,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[l
         found = [np.fromiter(map(numbers.__getitem__, w), np.int64, len(w)) for w in (words(text.as_py()) for text in batch.columns[-1])]
         if len(numbers) > len(scores):
             new = list(numbers)[len(scores) :]
-            scores = np.concatenate([scores, *(model.word_scores(new[i : i + 4096]) for i in range(0, len(new), 4096))])
+            scores = np.concatenate([scores, *(model.word_scores(new[i : i + WORDS_SCORED]) for i in range(0, len(new), WORDS_SCORED))])
         yield batch.columns[:-1], np.array([scores[at].sum(0) for at in found]).reshape(len(found), -1)
 
 

@@ -65,6 +65,17 @@ def test_model_is_kneser_ney(order, monkeypatch):
         assert np.exp(model.scores(each)).sum() == pytest.approx(1)
 
 
+def test_words_look_up_each_gram_once(monkeypatch):
+    model = langid.Model(["a"], [langid.kneser_ney(["\x02\x02\x02\x02a", "\x02\x02\x02ab"], [2, 1])], np.zeros((1, 2)), (0.0, 1.0, 0.0))
+    plain, rows = langid.CharModel.scores, []
+    monkeypatch.setattr(langid.CharModel, "scores", lambda self, windows: rows.append(len(windows)) or plain(self, windows))
+    found = ["abc", "abd", "é", "abc"]
+    windows, of = langid.word_windows(found)
+    want = np.bincount(of, -plain(model.models[0], windows), len(found))
+    assert model.word_scores(found)[:, 0].tolist() == want.tolist()
+    assert rows == [len(np.unique(windows, axis=0))] and rows[0] < len(windows)
+
+
 def test_words_are_of_letters():
     assert langid.words("Ab1c_D½e  ÉÀ 中文! x²") == ["ab", "c", "d", "e", "éà", "中文", "x"]
     assert langid.words(None) == langid.words("") == langid.words("12 ½ _ ²!") == []
