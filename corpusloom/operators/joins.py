@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.columns import all_columns, free
-from corpusloom.operators.order import keep_first
+from corpusloom.operators.order import RANGES, keep_first, running_sum
 from corpusloom.session import written
 
 #: Rows and bytes up to which a table is broadcast; both are counted first.
@@ -87,38 +87,45 @@ def _by_blocks(left: DataFrame, right: DataFrame) -> DataFrame:
         told = df.join(small(dealt), "cell", "left").withColumn(own, F.pmod(F.xxhash64(F.struct(*[c for c in df.columns if c != "cell"]), F.lit(seed)), F.coalesce(own, F.lit(1))).cast("int"))
         return told.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
 
-    return spread_out(left, "lefts", "rights", 1).join(spread_out(right, "rights", "lefts", 2), ["cell", "lefts", "rights"])
+    # a side's rows are many times those of the files it is read from, so their size says nothing of a broadcast's
+    return spread_out(left, "lefts", "rights", 1).join(spread_out(right, "rights", "lefts", 2).hint("merge"), ["cell", "lefts", "rights"])
 
 
 def nearest_known(points: DataFrame, known: DataFrame, columns: list[str], tolerance: float, key: str, known_order: str) -> DataFrame:
-    """Every point with the first known point, in order, that differs by less than the tolerance in every column (its
-    columns get the prefix ``known_``), or nulls. Points with equal keys get the first of what any of them meets.
+    """Every point with the first known point, in order (those without one last), that differs by less than the tolerance in every
+    column (its columns get the prefix ``known_``), or nulls. Points with equal keys get the first of what any of them meets.
 
-    A grid over all columns has cells twice as wide as the tolerance; a known point stands in its own cell, and a point meets the
-    one or two cells of every column that its tolerance reaches. Known points with the same coordinates are one, the first in order.
+    A grid over all columns has cells twice as wide as the tolerance, told by a hash, as the distance is tested anyway; a point stands
+    in its own cell, and a known point in all that its tolerance reaches (two of every column, three where rounding makes it so).
+    Known points with the same coordinates are one, the first in order, and are numbered in order.
     The points of a crowded cell are dealt out in blocks, and every block of the one side meets every block of the other.
-    What a point meets is brought down to its first where it is found, so matches aren't gathered. Points with a null or NaN
-    coordinate meet none.
+    What a point meets is brought down to the smallest number where it is found, by hash, so matches are neither gathered nor sorted.
+    Points with a coordinate that is null, NaN or infinite meet none.
     """
-    width = 2.0 * tolerance
+    width, places = 2.0 * tolerance, range(len(columns))
     as_double = lambda c: F.col(c).cast("double")
-    usable = reduce(lambda a, b: a & b, (as_double(c).isNotNull() & ~F.isnan(as_double(c)) for c in columns))
-    told = known.where(usable).groupBy(*[as_double(c).alias(f"x{i}") for i, c in enumerate(columns)]).agg(F.min(F.struct(F.col(known_order).alias("order"), *[F.struct(F.col(c)).alias(f"v{i}") for i, c in enumerate(known.columns)])).alias("known"))
-    right = told.withColumn("cell", F.array(*[F.floor(F.col(f"x{i}") / width) for i in range(len(columns))]))
+    usable = reduce(lambda a, b: a & b, (F.abs(as_double(c)) < float("inf") for c in columns))
+    first = F.min(F.struct(F.col(known_order).isNull().alias("last"), F.col(known_order).alias("order"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(known.columns)]))
+    told = written(known.where(usable).groupBy(*[as_double(c).alias(f"x{i}") for i, c in enumerate(columns)]).agg(first.alias("known")).select("*", "known.*").drop("known"), "grid-known")
+    few = told.limit(CELL_ROWS + 1).count() <= CELL_ROWS
+    ties = tuple(f"v{i}" for i, c in enumerate(known.columns) if c != known_order)
+    numbered = running_sum(told, F.lit(1), "order", ties, out="no", ranges=1 if few else RANGES).withColumn("no", F.col("no").cast("bigint"))
+    numbered = written(numbered.withColumn("no", F.when(F.col("last"), F.col("no") + (1 << 62)).otherwise(F.col("no"))), "grid-numbered")
+
+    right = numbered.select("no", *[f"x{i}" for i in places])
+    for i in places:
+        right = right.withColumn(f"c{i}", F.explode(F.sequence(F.floor((F.col(f"x{i}") - tolerance) / width), F.floor((F.col(f"x{i}") + tolerance) / width))))
+    right = right.select("no", *[f"x{i}" for i in places], F.xxhash64(*[f"c{i}" for i in places]).alias("cell"))
     left = points.where(usable).select(F.col(key).alias("key"), *[as_double(c).alias(f"y{i}") for i, c in enumerate(columns)])
-    for i in range(len(columns)):
-        reach = F.array_distinct(F.array(F.floor((F.col(f"y{i}") - tolerance) / width), F.floor((F.col(f"y{i}") + tolerance) / width)))
-        left = left.withColumn(f"c{i}", F.explode(reach))
-    left = left.select("key", *[f"y{i}" for i in range(len(columns))], F.array(*[f"c{i}" for i in range(len(columns))]).alias("cell"))
-    if known.limit(CELL_ROWS + 1).count() <= CELL_ROWS:  # no cell has more than a block of them; many points of a cell are split as skew
-        near = left.join(right, "cell")
-    else:
-        near = _by_blocks(left, right)
-    for i in range(len(columns)):
+    left = left.withColumn("cell", F.xxhash64(*[F.floor(F.col(f"y{i}") / width) for i in places]))
+    # of few known points no cell has more than a block; many points of a cell are split as skew
+    near = left.join(right, "cell") if few else _by_blocks(left, right)
+    for i in places:
         near = near.where(F.abs(F.col(f"y{i}") - F.col(f"x{i}")) < tolerance)
-    best = near.groupBy("key").agg(F.min("known").alias("known"))
+    values = numbered.select("no", *[f"v{i}" for i in range(len(known.columns))])
+    best = near.groupBy("key").agg(F.min("no").alias("no")).join(small(values), "no")
     (own,) = free(points, "_key")
-    best = best.select(F.col("key").alias(own), *[F.col(f"known.v{i}").getField(c).alias(f"known_{c}") for i, c in enumerate(known.columns)])
+    best = best.select(F.col("key").alias(own), *[F.col(f"v{i}").alias(f"known_{c}") for i, c in enumerate(known.columns)])
     return points.join(best, F.col(key) == F.col(own), "left").drop(own)
 
 

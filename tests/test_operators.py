@@ -78,6 +78,31 @@ def test_nearest_known_in_crowded_cells(spark, monkeypatch, columns, cell_rows):
     assert found.columns == ["id", "x", "y", "z", "known_k", "known_x", "known_y", "known_z"]
 
 
+@pytest.mark.parametrize("cell_rows", [4096, 5])
+def test_nearest_known_neither_sorts_nor_gathers_matches(spark, monkeypatch, cell_rows):
+    """What points meet is many times what they are: it is brought down by hash, so a task holds a row for a point."""
+    monkeypatch.setattr(joins, "CELL_ROWS", cell_rows)
+    p = spark.range(2000).select("id", (F.col("id") % 7 / 5.0).alias("x"))
+    q = spark.range(300).select(F.format_string("k%03d", F.lit(299) - F.col("id")).alias("k"), (F.col("id") / 1000.0).alias("x"), F.lit("v").alias("v"))
+    found = joins.nearest_known(p, q, ["x"], 0.5, "id", "k")
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.id % 7, r.known_k, r.known_v) for r in found.collect()} == {(i, "k000", "v") if i < 4 else (i, None, None) for i in range(7)}
+
+
+@pytest.mark.parametrize("cell_rows", [4096, 2])
+def test_nearest_known_at_odd_values(spark, monkeypatch, cell_rows):
+    """A reach that rounding stretches over three cells, infinite and huge coordinates, equal orders and orders that are null."""
+    monkeypatch.setattr(joins, "CELL_ROWS", cell_rows)
+    odd, inf = 0.49999999999999994, float("inf")
+    at = lambda p, q: {r.id: (r.known_k, r.known_v) for r in joins.nearest_known(spark.createDataFrame(p, "id int, x double"), spark.createDataFrame(q, "k int, x double, v string"), ["x"], 0.5, "id", "k").collect()}
+    assert at([(1, odd), (2, 0.3)], [(5, 0.3, "a"), (4, odd, "b"), (9, 7.0, "c")]) == {1: (4, "b"), 2: (4, "b")}
+    assert at([(1, odd)], [(5, 0.3, "a"), (6, 8.0, "b"), (7, 9.0, "c")]) == {1: (5, "a")}
+    assert at([(1, 0.3)], [(5, odd, "a"), (6, 8.0, "b"), (7, 9.0, "c")]) == {1: (5, "a")}
+    huge = [(1, inf, "a"), (2, -inf, "b"), (3, 1e300, "c"), (4, -1e300, "d"), (5, 2.0**53, "e")]
+    assert at([(i, x) for i, x, _ in huge], huge) == {1: (None, None), 2: (None, None), 3: (3, "c"), 4: (4, "d"), 5: (5, "e")}
+    assert at([(1, 1.0), (2, 5.0)], [(None, 1.0, "a"), (8, 1.1, "c"), (8, 1.2, "b"), (None, 5.0, "d")]) == {1: (8, "c"), 2: (None, "d")}
+
+
 def test_statistics(spark):
     for n in (1, 2, 4, 5):
         row = stats.index_quantiles(spark.range(n).withColumn("g", F.lit("x")), ["g"], "id", [25, 50, 75, 95]).first()
