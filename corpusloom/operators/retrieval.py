@@ -8,7 +8,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.order import first_n, running_sum
@@ -53,9 +53,13 @@ def _field(text: Column, start: str, ends: tuple[str, ...]) -> Column:
     return F.when(at > 0, _let(rest, cut)).otherwise("")
 
 
-def parts(text: Column, compat: bool = True) -> Column:
-    """Title, abstract and body as a struct. A text without a title line is all body. ``compat`` gives a text with an abstract but no
-    ``Full Text:`` no body; else its body is what follows the abstract's first paragraph."""
+def parts(text: Column | str, compat: bool = True) -> Column | tuple[str, str, str]:
+    """Title, abstract and body as a struct; of a string, which is a text and no column's name, they are computed and come as a tuple.
+    A text without a title line is all body. ``compat`` gives a text with an abstract but no ``Full Text:`` no body; else its body is
+    what follows the abstract's first paragraph."""
+    if isinstance(text, str):
+        one = SparkSession.builder.getOrCreate().range(1)
+        return tuple(one.select(parts(F.lit(text), compat).alias("found")).first().found)
     named_ = lambda title, abstract, body: F.struct(title.alias("title"), abstract.alias("abstract"), body.alias("body"))
     title = _stripped(F.split(_stripped(F.substr(text, F.lit(len("Title:") + 1)), behind=False), "\n", -1)[0])
     heads = rf"\A(?:(?:{'|'.join(HEAD_LINES)}):[^\n]*+(?:\n|\z))+"
