@@ -79,7 +79,8 @@ def drop(text: Column, pattern: str) -> Column:
 
 def strip(text: Column) -> Column:
     """The text without white space at its ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    # the characters of \s; a pattern would be tried at every white space of the text
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
 
 
 def words(text: Column) -> Column:

@@ -24,12 +24,14 @@ from corpusloom.session import bounded, spread, written
 #: Hashes of a signature.
 HASHES = 128
 #: Signatures of a block, of which pairs are compared in one task; rounds of the greedy order before components, and a component's
-#: open rows that one round then decides in order. Grams whose digests a task remembers, 1 KB each.
+#: open rows that one round then decides in order. Grams whose digests a worker remembers, 1 KB each.
 BLOCK, ROUNDS, FRONT, GRAMS_KEPT = 512, 3, 16_384, 1 << 15
 #: Shingles whose values are made at a time, which stay in a core's cache; bytes of words that are hashed at a time.
 VALUES, HASHED = 128, 1 << 20
 #: How much less often than asked signatures may agree before the texts are compared.
 SLACK = 0.15
+#: Rows whose sketches are compared at a time; tasks of so many rows are compared together, larger ones each by itself.
+ROWS_AT_ONCE, FEW = 1 << 16, 24
 _rng = np.random.Generator(np.random.PCG64(7))
 _MUL = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -101,7 +103,7 @@ def md5_minhash(texts: pd.Series) -> pd.Series:
 
 
 class _GramTable:
-    """The first eight bytes of every gram's digests as rows of numbers; each distinct gram of a task is digested once."""
+    """The first eight bytes of every gram's digests as rows of numbers; each distinct gram of a worker is digested once."""
 
     def __init__(self) -> None:
         self.at: dict[str, int] = {}
@@ -125,10 +127,16 @@ class _GramTable:
         return out
 
 
+@lru_cache(maxsize=1)
+def _gram_table() -> _GramTable:
+    """The worker's own, which its tasks share."""
+    return _GramTable()
+
+
 @F.pandas_udf(T.BinaryType())
 def md5_signature(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """The first eight bytes of each value of ``md5_minhash``, one behind the other."""
-    table = _GramTable()
+    table = _gram_table()
     for batch in texts:
         yield batch.map(lambda text: table.least(_gram_list(text)).astype(">u8").tobytes())
 
@@ -170,7 +178,7 @@ def document_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     signed = document_signatures(docs, id_col, text_col) if signed is None else signed
     if verify is not None:
         sets = written(_signature_sets(signed), "neardup-sets")
-        near = components(_band_ties(sets, sets.select("id", F.lit(False).alias("stays")), n_bands, rows, max(0.0, verify - SLACK)), "neardup-candidates")
+        near = components(_band_ties(sets, None, n_bands, rows, max(0.0, verify - SLACK)), "neardup-candidates")
         near = written(near.select(F.col("node").alias("id")), "neardup-near")
         if links is None:
             some = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(small(near), "id", "left_semi")
@@ -210,58 +218,147 @@ def _signature_sets(signed: DataFrame) -> DataFrame:
     return signed.where("id IS NOT NULL").groupBy("h").agg(F.min("id").alias("id"), F.first("sig").alias("sig"))
 
 
-def _band_tasks(sets: DataFrame, status: DataFrame, n_bands: int, rows: int, threshold: float) -> DataFrame:
-    """The rows of every band that holds alike ones, one of them open (``status``: ``id``, ``stays``), with the task
-    (``key``, ``a`` <= ``b``) of every pair of blocks that they stand in; sorted by task and id.
+def _agreeing(threshold: float) -> int:
+    """In how many places signatures agree at least that are as similar as the threshold."""
+    return next((n for n in range(HASHES + 1) if n / HASHES >= threshold), HASHES + 1)
+
+
+def _key_places(n_bands: int, rows: int, threshold: float) -> list[np.ndarray]:
+    """The places of each key of a signature: those of its bands, or of longer keys that bring the same similar rows together.
+
+    Similar rows differ in ``away`` places at most. If there are more bands, each such pair shares one, so any keys do that every
+    such pair shares one of: of ``away // 2 + 1`` parts of the places, one has a single different place or none, and of its three blocks
+    two agree whole. At 0.8 that are 39 keys of six places and more; strangers, which 32 bands of 4 bring together by the
+    square of their number, then share one about a tenth as often.
+    """
+    away, places = max(0, HASHES - _agreeing(threshold)), np.arange(HASHES)
+    split = [places[b * rows : (b + 1) * rows] for b in range(n_bands)]
+    longer = [np.concatenate(two) for part in np.array_split(places, away // 2 + 1) for two in itertools.combinations(np.array_split(part, 3), 2)]
+    return longer if away < len(split) and min(map(len, longer)) > rows else split
+
+
+def _with_keys(rows: DataFrame, places: list[np.ndarray]) -> DataFrame:
+    """``id``, ``stays``, ``key`` (a hash) for every key of a row, and its sketch ``s0`` to ``s3``: two bits of each value."""
+    kind = rows.schema["id"].dataType.simpleString()
 
-    Alike rows share many bands, and often the same rows do: of bands with the same rows, told by their number, first id and two
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, HASHES, 8)
+            folded = np.bitwise_xor.reduce(raw, axis=2)
+            sketch = [np.packbits(folded >> bit & 1, axis=1).view(np.int64) for bit in (0, 1)]
+            mixed = raw.view(np.uint64)[:, :, 0] * _MUL
+            mixed = np.stack([mixed[:, at].sum(1) + _ADD[i] for i, at in enumerate(places)], 1)
+            mixed = (mixed ^ (mixed >> np.uint64(31))) * _MUL[0]
+            mixed ^= mixed >> np.uint64(32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1) * len(places), pa.int32()), pa.array(mixed.view(np.int64).ravel()))
+            words = [pa.array(np.ascontiguousarray(sketch[i // 2][:, i % 2])) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists, *words], ["id", "stays", "keys", "s0", "s1", "s2", "s3"])
+
+    made = rows.select("id", "stays", "sig").mapInArrow(keys, f"id {kind}, stays boolean, keys array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    # written, as Spark shuffles what a Python step makes anew for each use; the same holds where one use alone drops null keys
+    return written(made, "neardup-keys").select("id", "stays", F.explode("keys").alias("key"), "s0", "s1", "s2", "s3").where("key IS NOT NULL")
+
+
+def _band_tasks(sets: DataFrame, status: DataFrame | None, n_bands: int, rows: int, threshold: float) -> DataFrame:
+    """The rows of every key (``_key_places``) that holds alike ones, one of them open (``status``: ``id``, ``stays``; all are without
+    it), with the task (``key``, ``a`` <= ``b``) of every pair of blocks that they stand in; sorted by task and id.
+
+    Alike rows share many keys, and often the same rows do: of keys with the same rows, told by their number, first id and two
     64-bit sums of marks, one makes tasks, so what meets often is sent and compared once. Keys are hashes; a strange row that one
-    brought would be compared, too. Signatures move to rows only that agree so far by the last byte of each value with another row of
-    their task: agreement by bytes is never less than that of values.
+    brought would be compared, too. Signatures move to rows only whose sketch is as near as alike ones are to that of another row of
+    their task: agreement by parts of values is never less than that of values.
     """
-    keyed = (
-        sets.join(status, "id")
-        .select("id", "stays", F.xxhash64("id", "sig").alias("mark"), F.posexplode(_band_keys(n_bands, rows)).alias("band", "key"))
-        .select("id", "stays", "mark", F.xxhash64("band", "key").alias("key"))
-        .repartition("key")
-    )
+    bounded(sets.sparkSession)
+    given = sets.withColumn("stays", F.lit(False)) if status is None else sets.join(status, "id")
+    sketch = ["s0", "s1", "s2", "s3"]
+    keyed = _with_keys(given, _key_places(n_bands, rows, threshold)).repartition("key")
+    mark = F.xxhash64("id", *sketch)
     # both sides need the same columns, so Spark shuffles them once
-    held = [F.count("*").alias("members"), F.count_if(~F.col("stays")).alias("open"), F.min("id").alias("first"), F.bit_xor("mark").alias("x"), F.bit_xor(F.xxhash64("mark", F.lit(1))).alias("y")]
+    held = [F.count("*").alias("members"), F.count_if(~F.col("stays")).alias("open"), F.min("id").alias("first"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("y")]
     shared = keyed.groupBy("key").agg(*held).where("members > 1 AND open > 0").groupBy("members", "first", "x", "y").agg(F.min("key").alias("key"))
     dealt = (
         keyed.join(shared.select("key", F.expr(f"cast(ceil(members / {BLOCK}) as int)").alias("blocks")), "key")
-        .withColumn("block", F.expr("cast(pmod(xxhash64(mark, 7), blocks) as int)"))
+        .withColumn("block", F.pmod(F.xxhash64(mark, F.lit(7)), "blocks").cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select("id", "stays", "key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block")
+        .select("key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "id", "stays", "block", *sketch)
     )
 
-    def by_task(rows: DataFrame, signed: DataFrame) -> DataFrame:
-        ready = rows.join(signed, "id").select("key", "a", "b", "id", "stays", "block", "sig")
-        return ready.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "id")
+    def by_task(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "id")
 
-    def near(group: list[tuple]) -> list[tuple]:
-        alike = _alike(group, threshold, np.uint8)
-        return [group[i][:-1] for i in np.flatnonzero(alike.any(0) | alike.any(1)).tolist()]
+    away = HASHES - _agreeing(threshold)
 
-    last_bytes = F.concat(*[F.substring("sig", 8 * place + 8, 1) for place in range(HASHES)])
-    kind = sets.schema["id"].dataType
-    kinds = [pa.int64(), pa.int32(), pa.int32(), to_arrow_type(kind), pa.bool_(), pa.int32()]
-    some = _each_run(by_task(dealt, sets.select("id", last_bytes.alias("sig"))), 3, near, f"key bigint, a int, b int, id {kind.simpleString()}, stays boolean, block int", kinds)
-    return by_task(some, sets.select("id", "sig"))
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_tasks(batches):
+            yield from part.select(list(range(6))).filter(pa.array(_near(part, away))).to_batches()
 
+    some = by_task(dealt).mapInArrow(near, f"key bigint, a int, b int, id {sets.schema['id'].dataType.simpleString()}, stays boolean, block int")
+    return by_task(some.join(sets.select("id", "sig"), "id").select("key", "a", "b", "id", "stays", "block", "sig"))
 
-def _alike(group: list[tuple], threshold: float, kind: type = np.uint64) -> np.ndarray:
-    """Which rows of a task are alike, told below the diagonal; pairs of kept rows, and within a block in a task of two, don't count."""
-    sig = np.frombuffer(b"".join(r[6] for r in group), kind).reshape(len(group), -1)
-    stays, block = np.array([r[4] for r in group]), np.array([r[5] for r in group])
-    alike = np.zeros((len(group), len(group)), bool)
-    for i in range(1, len(group)):
-        wanted = ~(stays[:i] & stays[i])
-        if group[0][1] != group[0][2]:
-            wanted &= block[:i] != block[i]
-        js = np.flatnonzero(wanted)
-        alike[i, js] = np.count_nonzero(sig[js] == sig[i], axis=1) / sig.shape[1] >= threshold
-    return alike
+
+def _whole_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of whole tasks, some ``ROWS_AT_ONCE`` at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= ROWS_AT_ONCE:
+            part = pa.Table.from_batches(held)
+            key, a, b = (part.column(i).to_numpy() for i in range(3))
+            done = part.num_rows - int(np.count_nonzero((key == key[-1]) & (a == a[-1]) & (b == b[-1])))
+            if done:
+                yield part.slice(0, done)
+            held = part.slice(done).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _near(part: pa.Table, away: int) -> np.ndarray:
+    """Which rows' sketches differ in ``away`` places at most from that of another row of their task; pairs of kept rows, and within a
+    block in a task of two, don't count."""
+    key, a, b, stays, block = (part.column(i).to_numpy() for i in (0, 1, 2, 4, 5))
+    sketch, n = [part.column(i).to_numpy().view(np.uint64) for i in range(6, 10)], len(key)
+    near = np.zeros(n, bool)
+    if not n:
+        return near
+    begins = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    sizes = np.diff(begins, append=n)
+    two = a != b
+
+    def meet(i, j) -> np.ndarray:
+        """Whether rows ``i`` and ``j`` (places, or a place and a range) are compared and near."""
+        apart = np.bitwise_count((sketch[0][i] ^ sketch[0][j]) | (sketch[2][i] ^ sketch[2][j])) + np.bitwise_count((sketch[1][i] ^ sketch[1][j]) | (sketch[3][i] ^ sketch[3][j]))
+        return (apart <= away) & ~(stays[i] & stays[j]) & (~two[i] | (block[i] != block[j]))
+
+    behind = np.where(np.repeat(sizes, sizes) <= FEW, np.repeat(begins + sizes, sizes) - np.arange(n) - 1, 0)
+    for step in range(1, FEW):
+        i = np.flatnonzero(behind >= step)
+        if not len(i):
+            break
+        i = i[meet(i, i + step)]
+        near[i] = near[i + step] = True
+    for begin, size in zip(begins[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
+        for i in range(begin, begin + size - 1):
+            # of rows that are told of already, only the others' partners are sought
+            j = np.arange(i + 1, begin + size)[~near[i + 1 : begin + size]] if near[i] else slice(i + 1, begin + size)
+            found = meet(i, j)
+            if found.any():
+                near[i] = True
+                near[j] |= found
+    return near
+
+
+class _Group:
+    """The rows of a task in the order of ids: ``sig``, ``stays``, and which of them are compared and alike."""
+
+    def __init__(self, group: list[tuple], threshold: float) -> None:
+        self.sig = np.frombuffer(b"".join(r[6] for r in group), np.uint64).reshape(len(group), -1)
+        self.stays, self.block = np.array([r[4] for r in group]), np.array([r[5] for r in group])
+        self.two, self.least = group[0][1] != group[0][2], _agreeing(threshold)
+
+    def alike(self, i: int, js: np.ndarray) -> np.ndarray:
+        """Those of ``js`` that row ``i`` is alike; pairs within a block in a task of two don't count."""
+        js = js[self.block[js] != self.block[i]] if self.two else js
+        return js[np.count_nonzero(self.sig[js] == self.sig[i], axis=1) >= self.least]
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
@@ -295,21 +392,20 @@ def _each_run(ready: DataFrame, keys: int, work: Callable[[list[tuple]], list[tu
     return ready.mapInArrow(run, ddl)
 
 
-def _band_ties(sets: DataFrame, status: DataFrame, n_bands: int, rows: int, threshold: float) -> DataFrame:
+def _band_ties(sets: DataFrame, status: DataFrame | None, n_bands: int, rows: int, threshold: float) -> DataFrame:
     """``u``, ``v``: ties that span the groups of alike rows of every task. Only they leave a task, never its pairs."""
 
     def work(group: list[tuple]) -> list[tuple]:
-        alike = _alike(group, threshold)
-        alike |= alike.T
-        root, out = np.full(len(group), -1), []
+        rows, root, out = _Group(group, threshold), np.full(len(group), -1), []
         for i in range(len(group)):
-            if root[i] < 0:
-                root[i], front = i, np.array([i])
-                while len(front):
-                    front = np.flatnonzero(alike[front].any(0) & (root < 0))
-                    root[front] = i
-            if root[i] != i:
-                out.append((group[i][3], group[root[i]][3]))
+            if root[i] >= 0:
+                continue
+            root[i], front = i, [i]
+            while front:
+                found = rows.alike(front.pop(), np.flatnonzero(root < 0))
+                root[found] = i
+                front += found.tolist()
+                out += [(group[j][3], group[i][3]) for j in found.tolist()]
         return out
 
     kind = sets.schema["id"].dataType
@@ -333,10 +429,10 @@ def first_independent(sets: DataFrame, threshold: float = 0.8, n_bands: int = 32
     maximal independent set that comes first.
 
     Rounds to the end. In each one, open rows are compared with the open rows and with those that stay since the last round, in
-    tasks of block pairs of their bands, which tell one line for a row at most: a row without an open similar row before it stays, one
-    whose first such row stays goes, as does one that is like a row which stays. In whatever order ids were given, all but few
-    rows are decided so in a number of rounds that grows with the logarithm of their number; what has been sorted into chains is
-    not. So after ``ROUNDS`` rounds, each connected component's first ``FRONT`` open rows are also decided in order in one task, as
+    tasks of block pairs of their keys, which tell one line for a row at most: a row without an open similar row before it stays, one
+    whose first such row stays goes, as does one that is like a row which stays. Rows without any similar row are done with the first
+    round. In whatever order ids were given, all but few rows are decided so in a number of rounds that grows with the logarithm of
+    their number; what has been sorted into chains is not. So after ``ROUNDS`` rounds, each connected component's first ``FRONT`` open rows are also decided in order in one task, as
     nothing before them is open: a chain of n rows ends in n / ``FRONT`` rounds, and no task gets a component.
     """
     sets = written(sets.select("id", "sig"), "greedy-sets")
@@ -344,10 +440,19 @@ def first_independent(sets: DataFrame, threshold: float = 0.8, n_bands: int = 32
     name, arrow = kind.simpleString(), to_arrow_type(kind)
 
     def first(group: list[tuple]) -> list[tuple]:
-        alike, stays = _alike(group, threshold), np.array([r[4] for r in group])
-        gone, least = (alike & stays).any(1), (alike & ~stays).argmax(1)
-        before = (alike & ~stays).any(1)
-        return [(group[i][3], group[least[i]][3] if before[i] else None, bool(gone[i])) for i in np.flatnonzero(gone | before).tolist()]
+        rows, n = _Group(group, threshold), len(group)
+        least, gone, linked, is_open = np.full(n, -1), np.zeros(n, bool), np.zeros(n, bool), ~rows.stays
+        for i in range(n - 1):
+            # what a row before has told already isn't asked again: a group of alike rows takes a step for each row, not for each pair
+            sought = ~gone if rows.stays[i] else (least < 0) if linked[i] else np.ones(n, bool)
+            found = rows.alike(i, i + 1 + np.flatnonzero((sought & is_open)[i + 1 :]))
+            if len(found):
+                linked[i] = linked[found] = True
+                if rows.stays[i]:
+                    gone[found] = True
+                else:
+                    least[found] = np.where(least[found] < 0, i, least[found])
+        return [(group[i][3], group[least[i]][3] if least[i] >= 0 else None, bool(gone[i])) for i in np.flatnonzero(linked & is_open).tolist()]
 
     def front(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root = None
@@ -370,37 +475,37 @@ def first_independent(sets: DataFrame, threshold: float = 0.8, n_bands: int = 32
                 told.append((i, stays))
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in told], arrow), pa.array([s for _, s in told], pa.bool_())], ["id", "stays"])
 
-    open_rows, fresh = sets.select("id"), sets.select("id").limit(0)
+    open_rows, status = sets.select("id"), None
     stayed: list[DataFrame] = []
     roots = None
     for round_ in itertools.count():
-        status = open_rows.withColumn("stays", F.lit(False)).union(fresh.withColumn("stays", F.lit(True)))
         told = _each_run(_band_tasks(sets, status, n_bands, band_rows, threshold), 3, first, f"id {name}, first {name}, gone boolean", [arrow, arrow, pa.bool_()])
         told = written(told.groupBy("id").agg(F.min("first").alias("first"), F.max("gone").alias("gone")), "greedy-told")
-        # rows that aren't told of have no open similar row before them, and so stay; what they are first to goes
-        now = open_rows.join(told.select("id"), "id", "left_anti")
-        left = written(told.where("NOT gone").join(told.select(F.col("id").alias("first")), "first", "left_semi").select("id"), "greedy-open")
+        # rows without an open similar row before them stay; what they are first to goes
+        bound = told.where("gone OR first IS NOT NULL")
+        now = written(open_rows.join(bound.select("id"), "id", "left_anti"), "greedy-stays")
+        stayed.append(now)
+        left = written(bound.where("NOT gone").join(bound.select(F.col("id").alias("first")), "first", "left_semi").select("id"), "greedy-open")
+        # what isn't told of has no similar row, so none of those that are open is like it
+        fresh = now.join(told.select("id"), "id", "left_semi")
         if round_ >= ROUNDS and not left.isEmpty():
             if roots is None:
                 status = left.withColumn("stays", F.lit(False))
                 roots = written(components(_band_ties(sets, status, n_bands, band_rows, threshold), "greedy-components").select("root", F.col("node").alias("id")), "greedy-roots")
             # rows that are like one that stays since this round go first, so that the fronts know all that came before them
-            fresh = written(now.withColumn("stays", F.lit(True)).union(left.withColumn("stays", F.lit(False))), "greedy-status")
-            lost = _each_run(_band_tasks(sets, fresh, n_bands, band_rows, threshold), 3, first, f"id {name}, first {name}, gone boolean", [arrow, arrow, pa.bool_()]).where("gone").select("id").distinct()
+            status = written(fresh.withColumn("stays", F.lit(True)).union(left.withColumn("stays", F.lit(False))), "greedy-status")
+            lost = _each_run(_band_tasks(sets, status, n_bands, band_rows, threshold), 3, first, f"id {name}, first {name}, gone boolean", [arrow, arrow, pa.bool_()]).where("gone").select("id").distinct()
             left = written(left.join(lost, "id", "left_anti"), "greedy-open")
             ranked = left.join(roots, "id").withColumn("place", F.row_number().over(Window.partitionBy("root").orderBy("id"))).where(F.col("place") <= FRONT)
             ready = ranked.select("root", "id").join(sets, "id").select("root", "id", "sig").repartition("root").sortWithinPartitions("root", "id")
             solved = written(ready.mapInArrow(front, f"id {name}, stays boolean"), "greedy-fronts")
             left = written(left.join(solved.select("id"), "id", "left_anti"), "greedy-open")
-            stayed.append(written(now, "greedy-stays"))
             fresh = solved.where("stays").select("id")
             stayed.append(fresh)
-        else:
-            fresh = written(now, "greedy-stays")
-            stayed.append(fresh)
         if left.isEmpty():
             break
         open_rows = left
+        status = open_rows.withColumn("stays", F.lit(False)).union(fresh.withColumn("stays", F.lit(True)))
         if len(stayed) > 16:
             stayed = [written(reduce(DataFrame.union, stayed), "greedy-stays")]
     return reduce(DataFrame.union, stayed)

@@ -380,6 +380,71 @@ def test_bands_of_the_same_rows_make_one_task(spark):
     assert groups(0.8) == [[1, 2], [1, 2]]  # rows that aren't alike lend no signature
 
 
+@pytest.mark.parametrize("threshold", [0.76, 0.8, 0.9, 1.0])
+def test_keys_bring_all_similar_rows_together(threshold):
+    places, rng, away = neardup._key_places(32, 4, threshold), np.random.default_rng(1), neardup.HASHES - neardup._agreeing(threshold)
+    assert min(map(len, places)) > 4  # longer than the bands, and none is missed
+    parts = np.array_split(np.arange(neardup.HASHES), away // 2 + 1)
+    hard = [np.concatenate([rng.choice(part, min(2, away), False) for part in parts])[:away] for _ in range(200)]
+    for differ in [*hard, *(rng.choice(neardup.HASHES, away, False) for _ in range(200))]:
+        assert any(not np.isin(at, differ).any() for at in places)
+    assert [at.tolist() for at in neardup._key_places(32, 4, 0.6)] == [[4 * b + i for i in range(4)] for b in range(32)]  # more may differ than bands are there
+
+
+def test_strangers_of_a_band_share_no_key(spark):
+    rng = np.random.default_rng(2)
+    sig = rng.integers(0, 1 << 62, (300, neardup.HASHES))
+    sig[:, 8:12] = 7  # one band of 32 is the same, which made 44,850 pairs
+    sig[1] = np.where(np.arange(neardup.HASHES) < 20, sig[1], sig[0])
+    rows = spark.createDataFrame([(i, False, x.astype(">u8").tobytes()) for i, x in enumerate(sig)], "id bigint, stays boolean, sig binary")
+    met = neardup._with_keys(rows, neardup._key_places(32, 4, 0.8)).groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("last")).where("n > 1").collect()
+    assert met and {(r.n, r["last"]) for r in met} == {(2, 1)}
+
+
+@pytest.mark.parametrize("few,once", [(24, 1 << 16), (3, 40)])
+def test_near_sketches_are_those_of_a_plain_loop(monkeypatch, few, once):
+    monkeypatch.setattr(neardup, "FEW", few)
+    monkeypatch.setattr(neardup, "ROWS_AT_ONCE", once)
+    rng, rows = np.random.default_rng(4), []
+    for task, size in enumerate([1, 2, 2, 3, 5, 30, 60, 1, 7, 40]):
+        base = rng.integers(-(1 << 63), 1 << 63, (3, 4))
+        for i in range(size):
+            sketch = base[rng.integers(3)] ^ (1 << rng.integers(0, 62, 4)) * (rng.random(4) < 0.7)
+            rows.append((task, 0, task % 2, i, bool(rng.random() < 0.4), int(rng.integers(2)) if task % 2 else 0, *map(int, sketch)))
+
+    def alike(x, y, away):
+        apart = sum(bin(((x[6 + w] ^ y[6 + w]) | (x[8 + w] ^ y[8 + w])) & (1 << 64) - 1).count("1") for w in (0, 1))
+        return x is not y and x[0] == y[0] and apart <= away and not (x[4] and y[4]) and (x[1] == x[2] or x[5] != y[5])
+
+    names = ["key", "a", "b", "id", "stays", "block", "s0", "s1", "s2", "s3"]
+    batches = pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows]).to_batches(max_chunksize=7)
+    for away in (2, 4):
+        parts = list(neardup._whole_tasks(batches))
+        assert len(parts) > 1 or once > len(rows)
+        assert [near for part in parts for near in neardup._near(part, away).tolist()] == [any(alike(x, y, away) for y in rows) for x in rows]
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.9])
+def test_greedy_order_at_other_thresholds(spark, monkeypatch, threshold):
+    """Against the plain loop; rows without a similar one are in the first round only."""
+    asked = []
+    keep = neardup.written
+    monkeypatch.setattr(neardup, "written", lambda df, label: (out := keep(df, label), label == "neardup-keys" and asked.append(out.count()))[0])
+    rng = np.random.default_rng(6)
+    sig = rng.integers(0, 1 << 62, (120, neardup.HASHES))
+    for i in range(1, 60):  # near to one before it, by more and less than the threshold
+        other = sig[rng.integers(i)]
+        sig[i] = np.where(rng.random(neardup.HASHES) < rng.choice([0.05, 0.12, 0.3, 0.45]), sig[i], other)
+    bands = sig.reshape(120, 32, 4)
+    want: list[int] = []
+    for i in range(120):
+        if all((sig[i] == sig[j]).mean() < threshold or not (bands[i] == bands[j]).all(1).any() for j in want):
+            want.append(i)
+    rows = spark.createDataFrame([(i, x.astype(">u8").tobytes()) for i, x in enumerate(sig)], "id bigint, sig binary").repartition(3)
+    assert ids(neardup.first_independent(rows, threshold)) == want and 70 < len(want) < 115
+    assert asked[0] == 120 and len(asked) > 1 and max(asked[1:]) <= 60
+
+
 @pytest.mark.parametrize("hashed", [1 << 20, 5])
 def test_word_hashes_tell_words(spark, monkeypatch, hashed):
     monkeypatch.setattr(neardup, "HASHED", hashed)

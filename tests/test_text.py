@@ -85,3 +85,9 @@ def test_lexicons(spark):
     assert [r.r for r in tiers] == [None, "safe_title", None, "confirmed_title", "text", None]
     assert each(spark, ["trig", "trig anc"], lambda c: L.trigger_without_anchor(c, c, "trig", "anc")) == [True, False]
     assert each(spark, ["anc", "x"], lambda c: L.anchored(c, F.lit("The Journal"), "anc", ["journal"])) == ["anchor", "journal"]
+
+
+def test_strip_takes_white_space_at_the_ends_only(spark):
+    texts = [" \t\n\x0b\f\ra b\n c \r\n", "a \u2028", "\xa0a ", " \n ", "", None]
+    found = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(T.strip(F.col("t"))).collect()]
+    assert found == ["a b\n c", "a \u2028", "\xa0a", "", "", None]  # a pattern's $ stands before a last line separator, too
