@@ -504,6 +504,8 @@ def first_independent(sets: DataFrame, threshold: float = 0.8, n_bands: int = 32
             stayed.append(fresh)
         if left.isEmpty():
             break
+        if not round_:  # all that comes is among rows with a similar one
+            sets = written(sets.join(small(told.select("id")), "id", "left_semi"), "greedy-sets")
         open_rows = left
         status = open_rows.withColumn("stays", F.lit(False)).union(fresh.withColumn("stays", F.lit(True)))
         if len(stayed) > 16:

@@ -81,10 +81,16 @@ def instruction_set(pairs: DataFrame, key: str, trivial: Sequence[str], threshol
         .when(F.char_length(output) > 5000, "output_too_long")
         .when(L.any_substring(instruction, trivial), "trivial_question")
     )
-    first = pairs.groupBy(F.lower(instruction).alias("_k")).agg(F.min(key).alias("_first"))
-    # reasons are found before the join, so texts that aren't asked for don't move
-    told = pairs.withColumn("_k", F.lower(instruction)).withColumn("_reason", reason).join(first, "_k").withColumn("type", T.question_type(F.col("type")))
-    told = told.withColumn("reason", F.when(F.col(key) != F.col("_first"), "duplicate").otherwise(F.col("_reason"))).drop("_k", "_first", "_reason")
+    pairs = pairs.where(F.col("instruction").isNotNull())
+    first = pairs.groupBy(F.lower(instruction).alias("_k")).agg(F.min(key).alias("_first")).select("_first", F.xxhash64("_k").alias("_same"))
+    if threshold is not None:
+        # used twice; merged, so that rows are dealt out for the signatures of their instructions, however few files the table has
+        first = written(first, "instruction-firsts").hint("merge")
+    # a row is the first of its instruction if its key is; joined by keys, as many rows may say the same, and texts don't move for it;
+    # reasons are found before the join, so texts that aren't asked for don't move either
+    told = pairs.withColumn("_h", F.xxhash64(F.lower(instruction))).withColumn("_reason", reason).withColumn("type", T.question_type(F.col("type")))
+    told = told.join(first, (F.col(key) == F.col("_first")) & (F.col("_h") == F.col("_same")), "left")
+    told = told.withColumn("reason", F.when(F.col(key).isNotNull() & F.col("_first").isNull(), "duplicate").otherwise(F.col("_reason"))).drop("_h", "_same", "_first", "_reason")
     if threshold is None:
         return told
     stay = neardup.greedy_survivors(told.where("reason IS NULL"), key, "instruction", threshold).select(F.col("id").alias("_id"), F.lit(True).alias("_stays"))

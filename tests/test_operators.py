@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import automaton, records
 from corpusloom.operators import graph, joins, neardup, order, replay, retrieval, sampling, stats, vector_index
 from corpusloom.operators.graph import components
+from corpusloom.plans import pipelines
 from corpusloom.sources import rest
 
 
@@ -445,6 +446,28 @@ def test_greedy_order_at_other_thresholds(spark, monkeypatch, threshold):
     assert asked[0] == 120 and len(asked) > 1 and max(asked[1:]) <= 60
 
 
+def test_instructions_said_often_are_spread(spark):
+    long = "What is said here is long enough. " * 4
+    rows = [(i, f" SAME words as ever, {'again' if i % 2 else 'AGAIN'}\n", long, "fact") for i in range(400, 0, -1)]
+    rows += [(500, "x", long, "fact"), (501, "X ", long, None), (None, "same words as ever, again", long, "fact"), (502, None, long, "fact"), (500, "Something else is asked for.", "short", "x"), (1, "Something else is asked for.", long, "x")]
+    pairs = spark.createDataFrame(rows, "id bigint, instruction string, output string, type string").repartition(4, "instruction")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        told = pipelines.instruction_set(pairs, "id", ["the re"], None)
+        assert told.columns == ["id", "instruction", "output", "type", "reason"]
+        found = told.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    often = [r for r in found if r.id is not None and r.id <= 400 and r.instruction.lower().startswith(" same")]
+    assert {r.id for r in often if r.reason is None} == {1} and sum(r.reason == "duplicate" for r in often) == 399
+    assert len({r.part for r in often}) == 4  # in one place, as long as instructions were joined
+    rest = sorted(((r.id, r.instruction, r.reason) for r in found if r not in often), key=str)
+    assert rest == sorted([(500, "x", "instruction_too_short"), (501, "X ", "duplicate"), (None, "same words as ever, again", None), (500, "Something else is asked for.", "duplicate"), (1, "Something else is asked for.", None)], key=str)
+
+
 @pytest.mark.parametrize("hashed", [1 << 20, 5])
 def test_word_hashes_tell_words(spark, monkeypatch, hashed):
     monkeypatch.setattr(neardup, "HASHED", hashed)
